@@ -9,6 +9,8 @@ from loomspark.ship import shipped
 #: Module -> its query; a module's SQL, where there is any, is its oracle.
 OPERATORS = {
     "jaccard_join": "op1_jaccard_join",
+    "decontaminate": "op6_decontaminate",
+    "mixing": "op8_mix_sources",
 }
 
 
