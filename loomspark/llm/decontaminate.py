@@ -49,30 +49,23 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     )
 
 
-def _matching(words: Column, pos: Column, wins: Column) -> Column:
-    """The windows of an anchor that stand around position `pos` (from 0)."""
-
-    def fits(w: Column) -> Column:
-        start = pos - w["off"]
-        inside = (start >= 0) & (start + w["len"] <= F.size(words))
-        text = ascii_lower(F.array_join(F.slice(words, F.greatest(start, F.lit(0)) + 1, w["len"]), " "))
-        return inside & (text == w["words"])
-
-    return F.filter(wins, fits)
-
-
 def benchmark_hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """(doc_id, item_id, start, len): every occurrence of a benchmark window in a document, in words from 0."""
+    """(doc_id, item_id, start, len): every occurrence of a benchmark window in a document, in words from 0.
+
+    Splitting, probing and comparing stay in one stage of generated code: a text's words are never copied per word.
+    """
     anchors = written(benchmark_windows(benchmark, window), "anchors")
     docs = documents.select("doc_id", words_of(F.col("text")).alias("words"))
     if n_bytes(anchors) <= limit:
-        seen = docs.select("doc_id", "words", F.posexplode("words").alias("pos", "word")).withColumn("anchor", F.lower("word"))
-        near = seen.join(F.broadcast(anchors), "anchor").select("doc_id", _matching(F.col("words"), F.col("pos"), F.col("wins")).alias("hits"), "pos")
+        seen = docs.select("doc_id", "words", F.posexplode_outer("words").alias("pos", "word")).withColumn("anchor", F.lower("word"))
+        near = seen.join(F.broadcast(anchors), "anchor")
     else:
-        seen = docs.select("doc_id", F.posexplode("words").alias("pos", "word")).select("doc_id", "pos", F.lower("word").alias("anchor"))
-        at = seen.join(anchors, "anchor").select("doc_id", "pos", "wins")
-        near = at.join(docs, "doc_id").select("doc_id", _matching(F.col("words"), F.col("pos"), F.col("wins")).alias("hits"), "pos")
-    return near.where(F.size("hits") > 0).select("doc_id", "pos", F.explode("hits").alias("h")).select("doc_id", "h.item_id", (F.col("pos") - F.col("h.off")).alias("start"), F.col("h.len").alias("len"))
+        seen = docs.select("doc_id", F.posexplode_outer("words").alias("pos", "word")).select("doc_id", "pos", F.lower("word").alias("anchor"))
+        near = seen.join(anchors, "anchor").select("doc_id", "pos", "wins").join(docs, "doc_id")
+    start = F.col("pos") - F.col("w.off")
+    inside = (start >= 0) & (start + F.col("w.len") <= F.size("words"))
+    text = ascii_lower(F.array_join(F.slice("words", F.greatest(start, F.lit(0)) + 1, F.col("w.len")), " "))
+    return near.select("doc_id", "words", "pos", F.explode_outer("wins").alias("w")).where(inside & (text == F.col("w.words"))).select("doc_id", "w.item_id", start.alias("start"), F.col("w.len").alias("len"))
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, part: int = 20) -> DataFrame:
