@@ -2,7 +2,7 @@
 
 A payload of bytes is stored as the samples of a one-channel 8-bit WAV by the wave module. Reading takes the samples
 back, transforms overlapping windows to the frequency domain, takes in each band of each window the strongest bin that
-no neighbouring window exceeds as a peak, and pairs each peak with the next ones: code (both bins and the distance) and
+no neighbouring window exceeds as a peak, and pairs each peak with the others of its window and of the next ones: code (both bins and the distance) and
 time of each pair are stored as two arrays. Every step works on one payload at a time, so equal texts have equal values.
 """
 
@@ -73,13 +73,13 @@ def fingerprint(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     peak[1:] &= mags[1:] >= mags[:-1]
     peak[:-1] &= mags[:-1] >= mags[1:]
     codes, times = [], []
-    for step in range(1, min(AHEAD, len(bins) - 1) + 1):
-        both = peak[:-step, :, None] & peak[step:, None, :]
+    for step in range(min(AHEAD, len(bins) - 1) + 1):
+        both = peak[: len(peak) - step, :, None] & peak[step:, None, :]
+        if not step:
+            both &= np.arange(BANDS)[:, None] < np.arange(BANDS)
         t, i, j = np.nonzero(both)
         codes.append(bins[t, i] | (bins[t + step, j] << 9) | (step << 18))
         times.append(t)
-    if not codes:
-        return np.zeros(0, np.int32), np.zeros(0, np.int32)
     c, t = np.concatenate(codes).astype(np.int32), np.concatenate(times).astype(np.int32)
     order = np.lexsort((c, t))
     return c[order], t[order]
