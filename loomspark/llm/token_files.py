@@ -27,8 +27,10 @@ from loomspark.llm.scratch import new_path, parts
 #: Id appended to each document.
 END = 2
 #: Words whose ids a worker keeps; beyond that it starts anew.
-KEPT = 1_000_000
+KEPT = 1_500_000
 #: White space other than single spaces and line feeds between other characters: such texts are encoded whole.
+#: A word of letters and ASCII marks after them: the pattern cuts it between the two. (An apostrophe may bind letters.)
+_STEM = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+)([!-&(-/:-@\[-`{-~]+)")
 _ODD = re.compile(r"[^\S \n]|\s\s|\A\s|\s\Z")
 
 
@@ -50,6 +52,7 @@ class WordEncoder:
         self.type = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), END + 1) <= 1 << 16 else "<u4")
         self.heads: dict[str, bytes] = {"": b""}
         self.bodies: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
         self.feed = self._ids(["\n"])[0]
         #: Ids that start with a space: no word holds one but at its own start.
         self.spaced = np.zeros(self.tokenizer.get_vocab_size(), bool)
@@ -76,7 +79,7 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.heads) + len(self.bodies) > KEPT:
-            self.heads, self.bodies = {"": b""}, {}
+            self.heads, self.bodies, self.marks = {"": b""}, {}, {}
         heads, bodies, whole, cut = self.heads, self.bodies, {}, []
         new_heads, new_bodies = set(), set()
         for i, text in enumerate(texts):
@@ -90,7 +93,11 @@ class WordEncoder:
             for x in lines:
                 new_bodies |= set(x[1:]).difference(bodies)
         self._learn(heads, list(new_heads), "\n")
-        self._learn(bodies, list(new_bodies), " ")
+        split = {w: m.groups() for w in new_bodies if (m := _STEM.fullmatch(w))}
+        self._learn(bodies, list({s for s, _ in split.values()}.difference(bodies) | (new_bodies - split.keys())), " ")
+        if more := list({m for _, m in split.values()}.difference(self.marks)):
+            self.marks.update(zip(more, self._ids(more), strict=True))
+        bodies.update((w, bodies[s] + self.marks[m]) for w, (s, m) in split.items())
         encoded = dict(zip(whole, self._ids(list(whole.values())), strict=True))
         return [encoded[i] if lines is None else self.feed.join([heads[x[0]] + b"".join([bodies[w] for w in x[1:]]) for x in lines]) for i, lines in enumerate(cut)]
 
