@@ -33,12 +33,12 @@ from loomspark.llm.scratch import maybe_broadcast, parts, written
 from loomspark.llm.textarrays import shingle_sets
 
 #: Shingle occurrences that one chunk of the first pass holds (8 bytes each).
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 #: A shingle in this many documents of one chunk is frequent.
 FREQUENT = 64
 FREQUENT_RANK = (1 << 31) - 1
 #: Bounds of a block of a candidate group: documents and shingles.
-BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1 << 20
+BLOCK_DOCS, BLOCK_SHINGLES = 384, 1 << 19
 
 PACKED = "bucket int, kind int, a binary, b binary"
 POSTED = "doc_id bigint, rank int, shingle bigint, d1 bigint, d2 bigint"
@@ -284,10 +284,10 @@ def jaccard_components(documents: DataFrame, k: int = 5, percent: int = 80) -> D
     """
     spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("bigint"), F.col("text"))
-    named, buckets = docs.where("doc_id is not null"), parts(spark)
+    named, buckets = docs.where("doc_id is not null"), 2 * parts(spark)
     packed = named.mapInArrow(_pack(k, buckets), PACKED)
     posted = packed.repartitionById(buckets, F.col("bucket")).drop("bucket").mapInArrow(_index, POSTED)
-    sorted_rows = posted.repartition(buckets, "doc_id").sortWithinPartitions("doc_id", "rank", "shingle")
+    sorted_rows = posted.repartition(parts(spark), "doc_id").sortWithinPartitions("doc_id", "rank", "shingle")
     short = written(sorted_rows.mapInArrow(_short_lists(percent), POSTED), "short-lists")
 
     rows = short.where("rank < 0").select("doc_id", F.col("shingle").alias("n_shingles"), "d1", "d2")
