@@ -9,8 +9,10 @@ from loomspark.ship import shipped
 #: Module -> its query; a module's SQL, where there is any, is its oracle.
 OPERATORS = {
     "jaccard_join": "op1_jaccard_join",
+    "toxicity": "op2_toxicity",
     "token_files": "op3_token_files",
     "media": "op4_media",
+    "quality": "op5_quality",
     "decontaminate": "op6_decontaminate",
     "html_text": "op7_html_text",
     "mixing": "op8_mix_sources",
