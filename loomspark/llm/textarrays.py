@@ -76,7 +76,7 @@ class Words:
         if not n:
             self.hash, self.row = np.zeros(0, np.uint64), np.zeros(0, np.int64)
             self.start = self.end = np.zeros(0, np.int64)
-            self.first = np.zeros(rows + 1, np.int64)
+            self.first, self._sums, self._down = np.zeros(rows + 1, np.int64), np.zeros(1, np.uint64), np.ones(1, np.uint64)
             return
         kept = np.ones(256, bool)
         kept[list(separators)] = False
@@ -93,12 +93,20 @@ class Words:
         up, down = Powers.upto(n + 1)
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(_values(lower)[raw] * up[:n], out=sums[1:])
+        self._sums, self._down = sums, down
         self.hash = mix((sums[self.end] - sums[self.start]) * down[self.start])
         #: first[i]: number of the first word of text i
         self.first = np.searchsorted(self.start, offsets)
         self.row = np.repeat(np.arange(rows), np.diff(self.first))
 
 
+    def beginnings(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of the words of more than k bytes, hashes of their first k bytes)."""
+        at = np.flatnonzero(self.end - self.start > k)
+        start = self.start[at]
+        return at, mix(((self._sums[start + k] - self._sums[start]) * self._down[start]) ^ np.uint64(k * 0x9E3779B97F4A7))
+
+
 def _values(lower: bool) -> np.ndarray:
     if lower not in _VALUES:
         v = mix((np.arange(256, dtype=np.uint64) + np.uint64(1)) * _BASE)

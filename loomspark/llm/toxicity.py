@@ -1,6 +1,6 @@
 """Toxicity by maximum-scoring segments (operator 2).
 
-Words get log-odds of the toxic class against the clean one under an informative Dirichlet prior, whose masses follow
+Words, and beginnings of longer words (for their endings), get log-odds of the toxic class against the clean one under an informative Dirichlet prior, whose masses follow
 the counts of all documents. Only words whose log-odds stand out by their standard error score; any other word costs a
 small constant, so clean text drifts downward. A linear scan finds all maximal scoring segments of a document. Segment
 scores are put on the scale of extreme-value (Karlin-Altschul) statistics: lambda solves the equation of the clean
@@ -27,6 +27,8 @@ SUPPORT, VOCABULARY = 3, 100_000
 #: Standard errors that a word's log-odds must stand out by, the prior's mass as a share of the learning words, and what
 #: a word without score costs.
 STANDS_OUT, PRIOR, DRIFT = 4.0, 0.1, 0.25
+#: Least log-odds of a scoring unit. Beginnings of words that are units too, in bytes; parts that counts are summed in.
+LEAST, BEGINNINGS, PARTS = 2.0, (4, 5, 6, 7), 16
 EULER = 0.5772156649
 
 
@@ -42,30 +44,51 @@ class Lexicon:
     offset: float = 0.0
 
 
-def _word_counts(vocabulary: np.ndarray | None):
-    """Rows (text, label) -> per batch (word, docs, n_all, n_toxic, n_clean); word 0 carries the totals."""
+def _units(words: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(numbers of words, hashes) of every unit: the words, and the beginnings of the longer ones."""
+    yield np.arange(len(words.hash)), words.hash
+    for k in BEGINNINGS:
+        yield words.beginnings(k)
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts -> per batch (unit, docs, n): documents that hold it, and occurrences."""
+    for batch in batches:
+        for _, raw, offsets in text_slices(batch.column("text")):
+            words = Words(raw, offsets, ASCII_PUNCT)
+            at, unit = (np.concatenate(x) for x in zip(*_units(words), strict=True))
+            u, inv = np.unique(unit, return_inverse=True)
+            pairs = np.unique(inv.astype(np.int64) * len(offsets) + words.row[at])
+            yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(np.bincount(pairs // len(offsets), minlength=len(u))), pa.array(np.bincount(inv, minlength=len(u)))], ["unit", "docs", "n"])
+
+
+def _counts(vocabulary: np.ndarray):
+    """Rows (text, label) -> one row per task: occurrences of each unit of the vocabulary in all, toxic and clean rows,
+    as blocks of counts; the last unit stands for the words altogether."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((3, len(vocabulary) + 1), np.int64)
         for batch in batches:
             labels = np.array([-1 if x is None else x for x in batch.column("label").to_pylist()])
             for first, raw, offsets in text_slices(batch.column("text")):
                 words = Words(raw, offsets, ASCII_PUNCT)
                 label = labels[first : first + len(offsets) - 1][words.row]
-                h, row = words.hash, words.row
-                totals = (0, 0, len(h), int((label == 1).sum()), int((label == 0).sum()))
-                if vocabulary is not None:
-                    keep = _member(vocabulary, h)[0]
-                    h, row, label = h[keep], row[keep], label[keep]
-                u, inv = np.unique(h, return_inverse=True)
-                pairs = np.unique(inv.astype(np.int64) * (len(offsets) + 1) + row)
-                docs = np.bincount(pairs // (len(offsets) + 1), minlength=len(u))
-                cols = [u.view(np.int64), docs, np.bincount(inv, minlength=len(u)), np.bincount(inv, label == 1, len(u)), np.bincount(inv, label == 0, len(u))]
-                yield pa.RecordBatch.from_arrays([pa.array(np.append(c, t).astype(np.int64)) for c, t in zip(cols, totals, strict=True)], ["word", "docs", "n_all", "n_toxic", "n_clean"])
+                total[:, -1] += (len(label), int((label == 1).sum()), int((label == 0).sum()))
+                for at, unit in _units(words):
+                    keep, place = _member(vocabulary, unit)
+                    own = label[at[keep]]
+                    for k, x in enumerate((place, place[own == 1], place[own == 0])):
+                        total[k] += np.bincount(x, minlength=len(vocabulary) + 1)
+        size = -(-total.shape[1] // PARTS)
+        if total[0, -1]:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(PARTS, dtype=np.int32)), pa.array([total[:, i * size : (i + 1) * size].tobytes() for i in range(PARTS)], pa.binary())], ["part", "counts"])
 
     return run
 
 
-_COUNTS = "word bigint, docs bigint, n_all bigint, n_toxic bigint, n_clean bigint"
+def _add(t: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(b, np.int64) for b in t.column("counts").to_pylist())
+    return pa.table({"part": t.column("part").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
 
 
 def _member(sorted_words: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -118,11 +141,15 @@ def _scan(model: Lexicon):
                 words = Words(raw, offsets, ASCII_PUNCT)
                 rows = len(offsets) - 1
                 size[first : first + rows] = np.diff(words.first)
-                at, place = _member(model.words, words.hash)
+                gain = np.zeros(len(words.hash))
+                for who, unit in _units(words):
+                    keep, place = _member(model.words, unit)
+                    np.maximum.at(gain, who[keep], model.odds[place])
+                at = np.flatnonzero(gain)
                 cuts = np.searchsorted(words.row[at], np.arange(rows + 1))
                 for i in np.flatnonzero(np.diff(cuts)):
                     a, b = cuts[i], cuts[i + 1]
-                    found = maximal_segments(at[a:b] - words.first[i], model.odds[place[a:b]])
+                    found = maximal_segments(at[a:b] - words.first[i], gain[at[a:b]])
                     best[first + i] = max(s for _, _, s in found)
                     level = model.log_k + np.log(size[first + i])
                     kept = [(x, y, s, model.rate * s - level) for x, y, s in found if model.rate * s > level]
@@ -147,25 +174,21 @@ def learn(documents: DataFrame, labels: DataFrame) -> Lexicon:
     """The model from all documents and the labels that may be learned from (see `learning_labels`)."""
     known = learning_labels(labels, "toxic")
     docs = documents.select(F.col("doc_id").cast("bigint"), "text")
-    toxic = docs.join(known.where("label = 1"), "doc_id").select("text", "label").mapInArrow(_word_counts(None), _COUNTS)
-    often = toxic.where("word <> 0").groupBy("word").agg(F.sum("docs").alias("docs"), F.sum("n_toxic").alias("n")).where(F.col("docs") >= SUPPORT)
-    vocabulary = np.sort(np.array([r.word for r in often.orderBy(F.desc("n"), "word").limit(VOCABULARY).select("word").collect()], np.int64).view(np.uint64))
-    counted = docs.join(known, "doc_id", "left").select("text", "label").mapInArrow(_word_counts(vocabulary), _COUNTS)
-    rows = counted.groupBy("word").agg(*(F.sum(c).alias(c) for c in ("n_all", "n_toxic", "n_clean"))).collect()
-    total = next(((r.n_all, r.n_toxic, r.n_clean) for r in rows if r.word == 0), (0, 0, 0))
-    rows = sorted((r for r in rows if r.word != 0), key=lambda r: r.word)
-    if not rows or not total[1] or not total[2]:
-        model = Lexicon(np.zeros(0, np.uint64), np.zeros(0))
-    else:
-        words = np.array([r.word for r in rows], np.int64).view(np.uint64)
-        n_all, y1, y0 = (np.array([float(getattr(r, c)) for r in rows]) for c in ("n_all", "n_toxic", "n_clean"))
+    toxic = docs.join(known.where("label = 1"), "doc_id").select("text").mapInArrow(_candidates, "unit bigint, docs bigint, n bigint")
+    often = toxic.groupBy("unit").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n")).where(F.col("docs") >= SUPPORT)
+    vocabulary = np.sort(np.array([r.unit for r in often.orderBy(F.desc("n"), "unit").limit(VOCABULARY).select("unit").collect()], np.int64).view(np.uint64))
+    counted = docs.join(known, "doc_id", "left").select("text", "label").mapInArrow(_counts(vocabulary), "part int, counts binary").groupBy("part").applyInArrow(_add, "part int, counts binary").collect()
+    parts = [np.frombuffer(r.counts, np.int64).reshape(3, -1) for r in sorted(counted)]
+    n_all, y1, y0 = np.concatenate(parts, axis=1).astype(float) if parts else np.zeros((3, 1))
+    total, (n_all, y1, y0) = (n_all[-1], y1[-1], y0[-1]), (n_all[:-1], y1[:-1], y0[:-1])
+    model = Lexicon(np.zeros(0, np.uint64), np.zeros(0))
+    if len(vocabulary) and total[1] and total[2]:
         mass = PRIOR * (total[1] + total[2])
         prior = mass * n_all / total[0]
         odds = np.log((y1 + prior) / (total[1] + mass - y1 - prior)) - np.log((y0 + prior) / (total[2] + mass - y0 - prior))
-        keep = odds / np.sqrt(1 / (y1 + prior) + 1 / (y0 + prior)) > STANDS_OUT
-        order = np.argsort(words[keep])
-        model = Lexicon(words[keep][order], odds[keep][order])
-        model.rate = _lambda(model.odds, y0[keep][order] / total[2])
+        keep = (odds / np.sqrt(1 / (y1 + prior) + 1 / (y0 + prior)) > STANDS_OUT) & (odds > LEAST)
+        model = Lexicon(vocabulary[keep], odds[keep])
+        model.rate = _lambda(model.odds, y0[keep] / total[2])
     learning = docs.join(known, "doc_id").select("doc_id", "text", "label")
     mean = learning.where("label = 0").mapInArrow(_scan(model), _SCANNED).agg(F.avg("raised")).first()[0]
     model.log_k = (mean or 0.0) - EULER
