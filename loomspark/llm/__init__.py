@@ -16,6 +16,8 @@ OPERATORS = {
     "decontaminate": "op6_decontaminate",
     "html_text": "op7_html_text",
     "mixing": "op8_mix_sources",
+    "line_dedup": "op9_line_dedup",
+    "licenses": "op10_license_scan",
 }
 
 
