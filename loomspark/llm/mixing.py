@@ -37,12 +37,13 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, most: int = MOST)
     every = Window.partitionBy()
     full = ranked.withColumns({
         "before": F.coalesce(F.sum(F.col("source_size") * most).over(fill.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "place": F.row_number().over(fill),
         "left": F.sum("w").over(fill.rowsBetween(Window.currentRow, Window.unboundedFollowing)),
         "total": F.sum("source_size").over(every),
     })
     level = (F.col("total") - F.col("before")) / F.col("left")
     level = full.withColumn("level", level).withColumn("fits", F.col("level") * F.col("w") <= F.col("source_size") * most)
-    level = level.withColumn("level", F.min(F.when(F.col("fits"), F.col("level"))).over(every))
+    level = level.withColumn("level", F.min(F.when(F.col("fits"), F.struct("place", "level"))).over(every)["level"])
     share = F.least(F.coalesce(F.col("level"), F.lit(0.0)) * F.col("w"), (F.col("source_size") * most).cast("double"))
     return level.select("source", "source_size", share.alias("target"))
 
@@ -78,11 +79,11 @@ SQL = r"""
 WITH d AS MATERIALIZED (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, ([5, 2, 1])[1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::BIGINT AS w FROM s),
-f AS (SELECT *, coalesce(sum(3 * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before,
+f AS (SELECT *, row_number() OVER o AS place, coalesce(sum(3 * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before,
   (sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS rest, (sum(source_size) OVER ())::BIGINT AS total
   FROM w WINDOW o AS (ORDER BY (3 * source_size)::DOUBLE / w, source NULLS LAST)),
 l AS (SELECT *, (total - before)::DOUBLE / rest AS level FROM f),
-t AS (SELECT source, source_size, w, least(coalesce((SELECT min(level) FROM l WHERE level * w <= 3 * source_size), 0.0) * w, (3 * source_size)::DOUBLE) AS target FROM l),
+t AS (SELECT source, source_size, w, least(coalesce((SELECT arg_min(level, place) FROM l WHERE level * w <= 3 * source_size), 0.0) * w, (3 * source_size)::DOUBLE) AS target FROM l),
 r AS (SELECT d.doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN least(target / source_size, 3.0::DOUBLE) ELSE 0.0::DOUBLE END AS rate,
   ('0x' || substr(sha256('mix-1' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS draw
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
