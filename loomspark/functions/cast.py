@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _int_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for s in batches:
         yield s.map(lambda b: None if b is None else str(int.from_bytes(b, "big", signed=len(b) == 32)))

@@ -90,6 +90,7 @@ def chain_tables(spark: SparkSession, sf_dir: str, full: bool = False) -> dict[s
             df = df.withColumn("authorization_list", F.when(F.col("auth_address").isNotNull(), F.array(one))).drop("auth_address")
         if name == "traces":
             df = df.withColumn("trace_address", F.when(F.col("trace_place").isNotNull(), F.array(F.col("trace_place").cast("bigint")))).drop("trace_place")
+        df = df.withColumns({c: F.col(c).cast("bigint") for c in ("transaction_index", "transaction_position") if c in df.columns})
         if name == "logs":
             df = df.withColumns({c: F.col(c).cast("bigint") for c in ("log_index", "transaction_index")})
         if full:
