@@ -11,8 +11,14 @@ from pyspark.sql import SparkSession
 _SENT: set[str] = set()
 
 
+#: Bytes that one Arrow batch of rows sent to a Python task holds: texts are long, and several batches are held at once.
+BATCH_BYTES = 4 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Add the package to the Python path of the executors, once per application (through Spark's file server)."""
+    """Add the package to the Python path of the executors, once per application (through Spark's file server),
+    and bound the batches that they get."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     sc = spark.sparkContext
     if sc.applicationId in _SENT:
         return
