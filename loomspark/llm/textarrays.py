@@ -12,13 +12,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+# Memory that is freed goes back to the system at once: executors share theirs with the JVM.
+pa.set_memory_pool(pa.system_memory_pool())
+
 #: Odd constants of the hash (arbitrary, but equal everywhere).
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MUL1 = np.uint64(0xBF58476D1CE4E5B9)
 _MUL2 = np.uint64(0x94D049BB133111EB)
 _S1, _S2, _S3 = np.uint64(30), np.uint64(27), np.uint64(31)
 #: Bytes of text that one numpy pass takes; a longer text is a pass of its own.
-SLICE = 1 << 20
+SLICE = 1 << 19
 
 ASCII_SPACE = frozenset([0x20, *range(0x09, 0x0E)])
 #: All ASCII but letters and digits.
