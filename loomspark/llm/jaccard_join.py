@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from loomspark.llm.components import connected_components
 from loomspark.llm.scratch import maybe_broadcast, parts, written
-from loomspark.llm.textarrays import shingle_sets
+from loomspark.llm.textarrays import clear_kept, shingle_sets
 
 #: Shingle occurrences that one chunk of the first pass holds (8 bytes each).
 CHUNK = 1 << 20
@@ -85,6 +85,7 @@ def _pack(k: int, buckets: int):
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int32()), pa.array([r[1] for r in out], pa.int32()), pa.array([r[2] for r in out], pa.binary()), pa.array([r[3] for r in out], pa.binary())], ["bucket", "kind", "a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clear_kept()
         ids: list[int] = []
         sets: list[np.ndarray] = []
         size = turn = 0

@@ -15,6 +15,15 @@ import pyarrow as pa
 # Memory that is freed goes back to the system at once: executors share theirs with the JVM.
 pa.set_memory_pool(pa.system_memory_pool())
 
+#: What tasks keep in a reused worker for the next ones; a pass that needs the memory clears it first.
+KEPT_BY_WORKER: list[dict] = []
+
+
+def clear_kept() -> None:
+    for kept in KEPT_BY_WORKER:
+        kept.clear()
+
+
 #: Odd constants of the hash (arbitrary, but equal everywhere).
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MUL1 = np.uint64(0xBF58476D1CE4E5B9)

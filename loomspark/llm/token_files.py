@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspark.llm.scratch import new_path, parts
+from loomspark.llm.textarrays import KEPT_BY_WORKER
 
 #: Id appended to each document.
 END = 2
@@ -102,6 +103,9 @@ class WordEncoder:
         return [encoded[i] if lines is None else self.feed.join([heads[x[0]] + b"".join([bodies[w] for w in x[1:]]) for x in lines]) for i, lines in enumerate(cut)]
 
 
+KEPT_BY_WORKER.append(WordEncoder.kept)
+
+
 def _open(uri: str, mode: str):
     """A file of the shared folder: a plain path where it is mounted, else through Arrow's file systems."""
     where = urlparse(uri)
