@@ -144,8 +144,8 @@ def test_line_dedup(spark):
     block = "l one\nl two\nl three\nl four"
     texts = [f"a\n{block}\nz", f"b\n\n {block}\ny", "q\nl two\nl three\nx", block, "tiny", "tiny", None, "", "\n\n", "r\nr\nr\nr\nr"]
     got = line_dedup.dedup_lines(docs(spark, texts)).orderBy("doc_id").collect()
-    assert [r.text for r in got] == [texts[0], "b\n\ny", texts[2], "", "tiny", "", None, "", "\n\n", ""]
-    assert [r.n_removed for r in got] == [0, 4, 0, 4, 0, 1, 0, 0, 0, 5] or got[-1].n_removed == 4
+    assert [r.text for r in got] == [texts[0], "b\n\ny", texts[2], "", "tiny", "", None, "", "\n\n", "r"]
+    assert [r.n_removed for r in got] == [0, 4, 0, 4, 0, 1, 0, 0, 0, 4]
     assert line_dedup.dedup_lines(docs(spark, [])).count() == 0
 
 
