@@ -1,7 +1,7 @@
 """Toxicity by maximum-scoring segments (operator 2).
 
 Words, and beginnings of longer words (for their endings), get log-odds of the toxic class against the clean one under an informative Dirichlet prior, whose masses follow
-the counts of all documents. Only words whose log-odds stand out by their standard error score; any other word costs a
+the counts of all documents; they are counted and filtered by Spark, all of them. Only words whose log-odds stand out by their standard error score; any other word costs a
 small constant, so clean text drifts downward. A linear scan finds all maximal scoring segments of a document. Segment
 scores are put on the scale of extreme-value (Karlin-Altschul) statistics: lambda solves the equation of the clean
 word mix, K comes from the best segments of all clean learning documents, and a segment's evidence is lambda * score -
@@ -19,16 +19,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomspark.llm.learning import held_out, learning_labels, logistic_fit
+from loomspark.llm.scratch import maybe_broadcast, n_bytes, written
 from loomspark.llm.textarrays import ASCII_PUNCT, Words, text_slices
 
-#: A word of the model stands in at least so many toxic learning documents; the model keeps at most so many words, the
-#: most frequent ones in toxic documents (its size is a parameter of the model, not of the data).
-SUPPORT, VOCABULARY = 3, 100_000
+#: A unit of the model stands in at least so many toxic learning documents. Files of scoring units larger than MODEL_BYTES
+#: are an error, as every task holds them all; none is left out.
+SUPPORT, MODEL_BYTES = 3, 64 << 20
 #: Standard errors that a word's log-odds must stand out by, the prior's mass as a share of the learning words, and what
 #: a word without score costs.
 STANDS_OUT, PRIOR, DRIFT = 4.0, 0.1, 0.25
-#: Least log-odds of a scoring unit. Beginnings of words that are units too, in bytes; parts that counts are summed in.
-LEAST, BEGINNINGS, PARTS = 2.0, (4, 5, 6, 7), 16
+#: Least log-odds of a scoring unit. Beginnings of words that are units too, in bytes.
+LEAST, BEGINNINGS = 2.0, (4, 5, 6, 7)
 EULER = 0.5772156649
 
 
@@ -62,33 +63,19 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(np.bincount(pairs // len(offsets), minlength=len(u))), pa.array(np.bincount(inv, minlength=len(u)))], ["unit", "docs", "n"])
 
 
-def _counts(vocabulary: np.ndarray):
-    """Rows (text, label) -> one row per task: occurrences of each unit of the vocabulary in all, toxic and clean rows,
-    as blocks of counts; the last unit stands for the words altogether."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((3, len(vocabulary) + 1), np.int64)
-        for batch in batches:
-            labels = np.array([-1 if x is None else x for x in batch.column("label").to_pylist()])
-            for first, raw, offsets in text_slices(batch.column("text")):
-                words = Words(raw, offsets, ASCII_PUNCT)
-                label = labels[first : first + len(offsets) - 1][words.row]
-                total[:, -1] += (len(label), int((label == 1).sum()), int((label == 0).sum()))
-                for at, unit in _units(words):
-                    keep, place = _member(vocabulary, unit)
-                    own = label[at[keep]]
-                    for k, x in enumerate((place, place[own == 1], place[own == 0])):
-                        total[k] += np.bincount(x, minlength=len(vocabulary) + 1)
-        size = -(-total.shape[1] // PARTS)
-        if total[0, -1]:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(PARTS, dtype=np.int32)), pa.array([total[:, i * size : (i + 1) * size].tobytes() for i in range(PARTS)], pa.binary())], ["part", "counts"])
-
-    return run
-
-
-def _add(t: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(b, np.int64) for b in t.column("counts").to_pylist())
-    return pa.table({"part": t.column("part").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (text, label) -> per run of texts (unit, n, y1, y0): occurrences of each unit in all, toxic and clean rows;
+    the null unit stands for the words altogether."""
+    for batch in batches:
+        labels = np.array([-1 if x is None else x for x in batch.column("label").to_pylist()])
+        for first, raw, offsets in text_slices(batch.column("text")):
+            words = Words(raw, offsets, ASCII_PUNCT)
+            label = labels[first : first + len(offsets) - 1][words.row]
+            at, unit = (np.concatenate(x) for x in zip(*_units(words), strict=True))
+            u, inv = np.unique(unit, return_inverse=True)
+            own = label[at]
+            columns = [np.append(np.bincount(inv[m], minlength=len(u)), k.sum()) for m, k in ((own > -2, label > -2), (own == 1, label == 1), (own == 0, label == 0))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(u.view(np.int64), 0), mask=np.arange(len(u) + 1) == len(u)), *map(pa.array, columns)], ["unit", "n", "y1", "y0"])
 
 
 def _member(sorted_words: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -175,20 +162,27 @@ def learn(documents: DataFrame, labels: DataFrame) -> Lexicon:
     known = learning_labels(labels, "toxic")
     docs = documents.select(F.col("doc_id").cast("bigint"), "text")
     toxic = docs.join(known.where("label = 1"), "doc_id").select("text").mapInArrow(_candidates, "unit bigint, docs bigint, n bigint")
-    often = toxic.groupBy("unit").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n")).where(F.col("docs") >= SUPPORT)
-    vocabulary = np.sort(np.array([r.unit for r in often.orderBy(F.desc("n"), "unit").limit(VOCABULARY).select("unit").collect()], np.int64).view(np.uint64))
-    counted = docs.join(known, "doc_id", "left").select("text", "label").mapInArrow(_counts(vocabulary), "part int, counts binary").groupBy("part").applyInArrow(_add, "part int, counts binary").collect()
-    parts = [np.frombuffer(r.counts, np.int64).reshape(3, -1) for r in sorted(counted)]
-    n_all, y1, y0 = np.concatenate(parts, axis=1).astype(float) if parts else np.zeros((3, 1))
-    total, (n_all, y1, y0) = (n_all[-1], y1[-1], y0[-1]), (n_all[:-1], y1[:-1], y0[:-1])
+    often = written(toxic.groupBy("unit").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= SUPPORT).select("unit"), "units")
+    rows = docs.join(known, "doc_id", "left").select("text", "label").mapInArrow(_counts, "unit bigint, n bigint, y1 bigint, y0 bigint")
+    sums = rows.groupBy("unit").agg(*(F.sum(c).alias(c) for c in ("n", "y1", "y0")))
+    # The supported units are kept by an outer join, which lets the row of the null unit through as well.
+    counted = written(sums.join(maybe_broadcast(often.withColumn("known", F.lit(True))), "unit", "left").where("known OR unit IS NULL").drop("known"), "counts")
+    total = counted.where("unit IS NULL").select("n", "y1", "y0").first()
     model = Lexicon(np.zeros(0, np.uint64), np.zeros(0))
-    if len(vocabulary) and total[1] and total[2]:
-        mass = PRIOR * (total[1] + total[2])
-        prior = mass * n_all / total[0]
-        odds = np.log((y1 + prior) / (total[1] + mass - y1 - prior)) - np.log((y0 + prior) / (total[2] + mass - y0 - prior))
-        keep = (odds / np.sqrt(1 / (y1 + prior) + 1 / (y0 + prior)) > STANDS_OUT) & (odds > LEAST)
-        model = Lexicon(vocabulary[keep], odds[keep])
-        model.rate = _lambda(model.odds, y0[keep] / total[2])
+    if total and total.y1 and total.y0:
+        mass = PRIOR * (total.y1 + total.y0)
+        prior = F.lit(mass) * F.col("n") / F.lit(float(total.n))
+        y1, y0 = F.col("y1") + F.col("prior"), F.col("y0") + F.col("prior")
+        odds = F.log(y1) - F.log(F.lit(total.y1 + mass) - y1) - F.log(y0) + F.log(F.lit(total.y0 + mass) - y0)
+        scored = counted.where("unit IS NOT NULL").withColumn("prior", prior).withColumn("odds", odds)
+        scored = written(scored.where((F.col("odds") / F.sqrt(1 / y1 + 1 / y0) > STANDS_OUT) & (F.col("odds") > LEAST)).select("unit", "odds", "y0"), "scoring")
+        if n_bytes(scored) > MODEL_BYTES:
+            raise ValueError(f"the scoring units take {n_bytes(scored)} bytes, more than the {MODEL_BYTES} that every task may hold")
+        found = scored.toArrow()
+        unit, odds, y0 = (found.column(c).to_numpy() for c in ("unit", "odds", "y0"))
+        order = np.argsort(unit.view(np.uint64))
+        model = Lexicon(unit.view(np.uint64)[order], odds[order])
+        model.rate = _lambda(model.odds, y0[order] / total.y0)
     learning = docs.join(known, "doc_id").select("doc_id", "text", "label")
     mean = learning.where("label = 0").mapInArrow(_scan(model), _SCANNED).agg(F.avg("raised")).first()[0]
     model.log_k = (mean or 0.0) - EULER

@@ -140,6 +140,17 @@ def test_classifier_edges(spark, name):
     assert f(docs(spark, []), labels).count() == 0
 
 
+def test_toxicity_learns_rare_words_beside_many_common_ones(spark):
+    from loomspark.llm.learning import held_out
+
+    common = spark.createDataFrame([(" ".join(f"{i:04x}aaaa" for i in range(21_000)),)], "common string")
+    learned = [r.id for r in spark.range(200).where(~held_out(F.col("id"))).collect()][:120]
+    labels = spark.createDataFrame([(d, int(i < 60)) for i, d in enumerate(learned)], "doc_id bigint, toxic int")
+    rare = F.when(F.col("doc_id") < learned[45], F.lit(" vile")).otherwise(F.lit(""))
+    model = toxicity.learn(labels.crossJoin(common).select("doc_id", F.concat("common", rare).alias("text")), labels)
+    assert model.words.tolist() == Words(np.frombuffer(b"vile", np.uint8), np.array([0, 4]), ASCII_PUNCT).hash.tolist()
+
+
 def test_line_dedup(spark):
     block = "l one\nl two\nl three\nl four"
     texts = [f"a\n{block}\nz", f"b\n\n {block}\ny", "q\nl two\nl three\nx", block, "tiny", "tiny", None, "", "\n\n", "r\nr\nr\nr\nr"]
