@@ -1,13 +1,17 @@
-"""License scans by sentence rules (operator 10), with DataFrame functions.
+"""License scans by sentence rules (operator 10).
 
-A text is cut into sentences, each is normalised and looked up among known licence sentences; the identifiers found, in
-order, form the document's sequence. Ordered rules name the licence of a run of identifiers; a rule takes the runs it
+A text is cut into lines and sentences, which are normalised and looked up among known licence sentences; one that is
+wrapped over several lines is found as well. The identifiers found, in order, form the document's sequence. Ordered rules name the licence of a run of identifiers; a rule takes the runs it
 matches out of the sequence, so that a later, wider rule doesn't see them again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Sentences as the public licence texts and their usual notices word them, normalised.
@@ -71,30 +75,72 @@ RULES = [
     ("CC-BY-ND-4.0", ["cc_by_nd"]),
     ("CC0-1.0", ["cc0"]),
 ]
-#: A sentence ends at a line feed, or at one of these marks with white space after it.
-ENDS = r"([.!?;:])[ \t\r]+"
-NOT_WORD = r"[^a-z0-9]+"
+#: A piece of text ends at a line feed, or at one of these marks with white space after it.
+ENDS = re.compile(r"(?<=[.!?;:])[ \t\r]+|\n")
+#: ASCII letters (in lower case) and digits; all else, comment leaders too, stands between words.
+_WORD = re.compile(r"[a-z0-9]+")
 
 
-def sentences(text: Column) -> Column:
-    return F.split(F.regexp_replace(text, ENDS, "$1\n"), "\n")
+def _trie() -> dict:
+    """Known sentences by their words; the identifier of a whole one is under the empty word."""
+    root: dict = {}
+    for i, many in SENTENCES.items():
+        for s in many:
+            node = root
+            for word in s.split():
+                node = node.setdefault(word, {})
+            node[""] = i
+    return root
 
 
-def normal(sentence: Column) -> Column:
-    """ASCII letters (in lower case) and digits, in words with single spaces between."""
-    return F.btrim(F.regexp_replace(F.lower(sentence), NOT_WORD, " "))
+TRIE = _trie()
 
 
-def license_hits(documents: DataFrame) -> DataFrame:
-    """(doc_id, hits): the known sentences of each document that has any, as (place, id) in order.
+def known_sentences(text: str | None) -> list[tuple[int, str]]:
+    """(number of the piece where it begins, id) of the known sentences of a text.
 
-    The table of known sentences is a fixed one of this module; it is broadcast, so no text is shuffled.
+    A known sentence is a run of whole pieces, the longest one from its first piece on. It may hold line feeds and end
+    marks ("free software: you can", "v. 2.0"), but no line without words.
     """
-    spark = documents.sparkSession
-    known = spark.createDataFrame([(s, i) for i, many in SENTENCES.items() for s in many], "sentence string, id string")
-    cut = documents.where("doc_id is not null").select("doc_id", F.posexplode_outer(sentences(F.col("text"))).alias("place", "s"))
-    near = cut.where(F.length("s") >= min(len(s) for many in SENTENCES.values() for s in many)).select("doc_id", "place", normal(F.col("s")).alias("sentence"))
-    return near.join(F.broadcast(known), "sentence").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("place", "id"))).alias("hits"))
+    out: list[tuple[int, str]] = []
+    pieces, at = ENDS.split((text or "").lower()), 0
+    while at < len(pieces):
+        head = _WORD.search(pieces[at])
+        to = at + 1
+        if head and head[0] in TRIE:
+            node, found = TRIE, None
+            for k in range(at, len(pieces)):
+                words = _WORD.findall(pieces[k])
+                for word in words:
+                    node = node.get(word)
+                    if node is None:
+                        break
+                if node is None or not words:
+                    break
+                if "" in node:
+                    found, to = node[""], k + 1
+            if found:
+                out.append((at, found))
+        at = to
+    return out
+
+
+def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        row, place, ids = [], [], []
+        for i, text in enumerate(batch.column("text")):
+            for p, x in known_sentences(text.as_py()):
+                row.append(i)
+                place.append(p)
+                ids.append(x)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(row, pa.int64())), pa.array(place, pa.int32()), pa.array(ids, pa.string())], ["doc_id", "place", "id"])
+
+
+def license_hits(documents: DataFrame) -> DataFrame:
+    """(doc_id, hits): the known sentences of each document that has any, as (place, id) in order. No text is shuffled."""
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    found = documents.where("doc_id is not null").select("doc_id", "text").mapInArrow(_find, f"doc_id {kind}, place int, id string")
+    return found.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("place", "id"))).alias("hits"))
 
 
 def scan_licenses(documents: DataFrame) -> DataFrame:

@@ -169,6 +169,47 @@ def test_licenses(spark):
     assert licenses.scan_licenses(docs(spark, [])).count() == 0
 
 
+MIT_WRAPPED = """MIT License
+
+Copyright (c) 2020 A. Name
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+GPL_HEADER = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+# GNU General Public License for more details.
+"""
+
+
+def test_wrapped_licenses(spark):
+    notices = "words before\nReleased under the MIT License\nAll rights reserved\nwords after"
+    parted = "This program is distributed in the hope\n\nthat it will be useful"
+    got = licenses.scan_licenses(docs(spark, [MIT_WRAPPED, GPL_HEADER, GPL_HEADER.replace("\n# ", "\r\n// "), notices, parted])).orderBy("doc_id").collect()
+    assert [r.licenses for r in got] == [["MIT"], ["GPL-3.0-or-later"], ["GPL-3.0-or-later"], ["MIT"], []]
+    assert [r.n_sentences for r in got][0] == 4 and got[0].unmatched == [] and got[3].unmatched == ["all_rights"]
+
+
 def test_pipeline_on_sf001(spark):
     import corpus_pipeline
 
