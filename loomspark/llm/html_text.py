@@ -4,7 +4,8 @@ A page is read into a small tree. Paragraphs with text get points for their leng
 of their text that stands in links, and pass them to their ancestors: all to the parent, half to the grandparent, less
 further up. The best container wins; if it stands in an article or main element, that element is taken. Its siblings
 are kept when they score well or are plain paragraphs or headings. From what is kept, menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles and comments are left out, and the rest is cut into blocks.
+notices, adverts, forms, scripts, styles and comments are left out, and the rest is cut into blocks. A class, an id, a
+role or a form is loose evidence: such an element stays when the article or most of the page's points stand in it.
 """
 
 from __future__ import annotations
@@ -35,30 +36,41 @@ SCORED = frozenset("p pre blockquote td li dd h2 h3 h4 h5 h6 div section article
 HEADINGS = frozenset("h1 h2 h3".split())
 
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)([^>]*)>", re.S)
-_ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+#: One attribute, its value with it, so that nothing within a name or a value is taken for another attribute.
+_ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _WORDS = re.compile(r"[a-z]+")
+#: A class that tells what a page has or lacks beside the element: "has-sidebar", "no-sidebar", "with-banner".
+_BESIDE = re.compile(r"(?:has|no|with|without)[-_]")
+#: Kinds of junk. SOFT: a form, or a class of what stands beside. NAMED: a junk word within a longer class or id. EXACT:
+#: the class, id or role itself. HARD: by the element's name, or hidden.
+SOFT, NAMED, EXACT, HARD = 1, 2, 3, 4
 _NONE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "junk", "points")
+    __slots__ = ("tag", "parent", "children", "mark", "junk", "points")
 
-    def __init__(self, tag: str, parent: Node | None, junk: bool = False):
-        self.tag, self.parent, self.children, self.junk, self.points = tag, parent, [], junk, 0.0
+    def __init__(self, tag: str, parent: Node | None, mark: int = 0):
+        self.tag, self.parent, self.children, self.mark, self.points = tag, parent, [], mark, 0.0
+        self.junk = 0 if tag in ("html", "body", "article", "main") else mark
 
 
-def _is_junk(tag: str, attrs: str) -> bool:
-    if tag in JUNK_TAGS:
-        return True
-    if not attrs or tag in ("html", "body", "article", "main"):
-        return False
+def _mark(tag: str, attrs: str) -> int:
+    """The kind of junk that an element looks like by its name and attributes, or 0."""
+    if tag in JUNK_TAGS and tag != "form":
+        return HARD
+    found = SOFT if tag == "form" else 0
     for m in _ATTR.finditer(attrs):
-        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "")
+        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and _NONE.search(value):
-            return True
-        if name == "role" and value.lower() in JUNK_ROLES or name in ("class", "id") and JUNK_WORDS.intersection(_WORDS.findall(value.lower())):
-            return True
-    return False
+            return HARD
+        if name == "role" and value in JUNK_ROLES:
+            found = max(found, SOFT if value == "form" else EXACT)
+        elif name in ("class", "id"):
+            for token in value.split():
+                if JUNK_WORDS.intersection(_WORDS.findall(token)):
+                    found = max(found, EXACT if token in JUNK_WORDS else SOFT if _BESIDE.match(token) else NAMED)
+    return found
 
 
 def parse(page: str) -> Node:
@@ -89,7 +101,7 @@ def parse(page: str) -> Node:
             _close(open_, ("p",))
         if tag in CLOSES:
             _close(open_, CLOSES[tag])
-        node = Node(tag, open_[-1], _is_junk(tag, attrs))
+        node = Node(tag, open_[-1], _mark(tag, attrs))
         open_[-1].children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -109,26 +121,62 @@ def _close(open_: list[Node], tags: tuple) -> None:
             return None
 
 
+def _seen(root: Node, least: int = SOFT) -> list[Node]:
+    """Elements in page order, without those that are junk of the kind `least` or a surer one, and all below them."""
+    seen: list[Node] = []
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        if node.junk < least:
+            seen.append(node)
+            stack += [c for c in reversed(node.children) if isinstance(c, Node)]
+    return seen
+
+
+def _paragraph(node: Node) -> float | None:
+    """The points of a node's own text, or None where it is no paragraph."""
+    if node.tag not in SCORED:
+        return None
+    own, linked = _own_text(node)
+    size = len(own)
+    return None if size < 25 else (1 + own.count(",") + own.count("،") + own.count("、") + min(size / 100, 3)) * (1 - linked / size)
+
+
+def _spare(root: Node) -> None:
+    """Clear elements that are junk by loose evidence only: those around the article or main elements that stand in the
+    fewest of them, SOFT ones that hold most of the page's points, and NAMED ones that hold all of them."""
+    seen = _seen(root, HARD)
+    loose = [x for x in seen if x.junk]
+    if not loose:
+        return
+    held, depth, anchors = {}, {}, []
+    for x in seen:
+        depth[id(x)] = (depth[id(x.parent)] if x.parent else 0) + (x.junk > 0)
+        if x.tag in ("article", "main") and not x.mark:
+            anchors.append(x)
+    for x in reversed(seen):
+        held[id(x)] = held.get(id(x), 0.0) + (_paragraph(x) or 0.0)
+        if x.parent:
+            held[id(x.parent)] = held.get(id(x.parent), 0.0) + held[id(x)]
+    total, least = held[id(root)], min((depth[id(x)] for x in anchors), default=0)
+    around: set[int] = set()
+    for up in (x for x in anchors if depth[id(x)] == least):
+        while up is not None and id(up) not in around:
+            around.add(id(up))
+            up = up.parent
+    for x in loose:
+        if id(x) in around or total and held[id(x)] > {SOFT: 0.5, NAMED: 0.999}.get(x.junk, 1.1) * total:
+            x.junk = 0
+
+
 def _score(root: Node) -> Node | None:
     """Give points; the best container, or None where no paragraph has text."""
     best: Node | None = None
-    stack = [(root, 0)]
-    seen: list[Node] = []
-    while stack:
-        node, _ = stack.pop()
-        if node.junk:
-            continue
-        seen.append(node)
-        stack += [(c, 0) for c in reversed(node.children) if isinstance(c, Node)]
     scored: dict[int, Node] = {}
-    for node in seen:
-        if node.tag not in SCORED:
-            continue
-        own, linked = _own_text(node)
-        size = len(own)
-        if size < 25:
+    for node in _seen(root):
+        points = _paragraph(node)
+        if points is None:
             continue
-        points = (1 + own.count(",") + own.count("،") + own.count("、") + min(size / 100, 3)) * (1 - linked / size)
         up, depth = node.parent if node.tag not in ("div", "section", "article") else node, 0
         while up is not None and depth < 6:
             up.points += points if depth == 0 else points / 2 if depth == 1 else points / (3 * depth)
@@ -192,6 +240,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
+    _spare(root)
     best = _score(root)
     out: list[str] = []
     if best is None:

@@ -100,6 +100,18 @@ def test_html(spark):
     assert html_text.extract_pages(pages.limit(0)).count() == 0
 
 
+def test_html_keeps_what_only_looks_like_junk():
+    a = "This is the first paragraph, with commas, and enough text to be scored as one."
+    b = "A second paragraph, as long as the first, and with commas, which is no part of the article, but of another thing, at the side."
+    for around in ('<div><p data-hidden="false">{}</p></div>', '<div><p title="the hidden costs">{}</p></div>', '<div class="layout has-sidebar"><article><p>{}</p></article></div>', '<form><div><p>{}</p></div></form>', '<div class="no-sidebar"><p>{}</p></div>', '<div role=form><main><p>{}</p></main></div>', '<div class="post comments-open"><div class="has-ads"><p>{}</p></div></div>'):
+        assert html_text.main_text("<body>" + around.format(a)) == a
+    assert html_text.main_text(f'<div><p>{a} <a href="/x?id=menu">A link</a></p></div>') == f"{a} A link"
+    for other in ('<div class="related"><article><p>{}</p></article></div>', '<section id=comments><article class=comment><p>{}</p></article></section>', '<div class=sidebar><p>{}</p></div>', "<p hidden>{}</p>", "<nav><p>{}</p></nav>"):
+        assert html_text.main_text(f'<div class="layout has-sidebar"><main><p>{a}</p><p>{a}</p></main>{other.format(b)}</div>') == f"{a}\n{a}"
+    for other in ("<div class=ad><p>{}</p></div>", "<div class=cookie-notice><p>{}</p></div>", "<p hidden>{}</p>", '<p style="display: none">{}</p>'):
+        assert html_text.main_text(f"<div><p>{a}</p></div>{other.format(b)}") == a
+
+
 def test_maximal_segments_against_brute_force():
     rng = np.random.default_rng(5)
     for _ in range(200):
