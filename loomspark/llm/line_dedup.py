@@ -2,7 +2,8 @@
 
 Lines are compared without the white space around them, and blank lines are passed over. Each run of three lines is
 hashed (128 bits); of windows that stand in more than one place the first place, by doc_id and line, stays, and the
-lines that any later place covers are removed. A document of one or two lines is one window of all its lines.
+lines that any later place covers are removed. A document of one or two lines is one window of all its lines, which
+is never matched within a longer document; the README says what is lost.
 """
 
 from __future__ import annotations
