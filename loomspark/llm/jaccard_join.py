@@ -1,25 +1,28 @@
 """N-gram Jaccard self-join by T-occurrence search (operator 1).
 
-Two documents link when their sets of word shingles overlap by the threshold. The join runs in four steps:
-
-1. One pass over the documents turns each text into its set of hashed shingles and spreads (shingle, document) pairs
-   over buckets of the shingle space, packed into binary rows. Copies inside a chunk are folded first; a shingle that
-   very many documents of one chunk share travels once, as "frequent", without its documents.
-2. Each bucket is an inverted index. A shingle of one document only is dropped there: on the usual corpus that is
-   nearly everything. The others go back to their documents with their document frequency.
-3. T-occurrence: a document of n shingles and a partner at least as similar as the threshold share all but a few, so
-   of the shingles in order of rising frequency the first n - T + 1 hold a common one. Documents whose first n - T + 1
-   are all unique are out. The lists of the rest (the short lists) tie documents into candidate groups.
-4. Within each group (cut into blocks, each pair of blocks a task of its own) the T-occurrence problem is solved by
-   DivideSkip on whole sets: the short inverted lists are merged by counting, documents reaching T - L are probed in
-   the L long lists by binary search, and those reaching the overlap are links. A task returns a spanning forest of its
-   links and the number of links per document, never the pairs themselves.
-
-Shingles are 64-bit hashes: two different ones are taken as equal with chance 2**-64.
+Two documents link when their sets of word shingles overlap by the threshold. The join runs in five steps:
+
+1. A pass over the documents turns each text into its set of hashed shingles; equal sets are one class.
+2. A second pass spreads (shingle, class) pairs over the cluster, sorted by shingle: an inverted index that is streamed,
+   so that a list of any length takes bounded memory. A shingle of one class only is dropped there; the others go back
+   to their classes with the length of their list.
+3. T-occurrence: a set of n shingles and a partner at least as similar as the threshold share all but a few, so of the
+   shingles in order of rising frequency the first n - T + 1 hold a common one. Sets whose first n - T + 1 are all
+   unique are out. The lists of the rest are the short lists.
+4. A class goes home to the smallest class in its short lists. Homes are cut into blocks of bounded size, large ones by
+   bands of set sizes first, and a pair of blocks is a task when it may hold a link: within a home, or between two homes
+   with a short list in common. Nothing is closed transitively, so chains of lists don't grow into one large group.
+5. In each task the T-occurrence problem is solved by DivideSkip on whole sets: the short inverted lists are merged by
+   counting, documents reaching T - L are probed in the L long lists by binary search, and those reaching the overlap
+   are links. A task returns a spanning forest of its links and the number of links per document, never the pairs.
+
+Shingles are 64-bit hashes, and so are classes until sets are compared: two different ones are taken as equal with
+chance 2**-64 a pair.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,151 +32,146 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomspark.llm.components import connected_components
-from loomspark.llm.scratch import maybe_broadcast, parts, written
+from loomspark.llm.scratch import maybe_broadcast, written
 from loomspark.llm.textarrays import clear_kept, shingle_sets
 
-#: Shingle occurrences that one chunk of the first pass holds (8 bytes each).
-CHUNK = 1 << 20
-#: A shingle in this many documents of one chunk is frequent.
-FREQUENT = 64
-FREQUENT_RANK = (1 << 31) - 1
-#: Bounds of a block of a candidate group: documents and shingles.
+#: Postings in one output batch, and digests kept to fold copies, of the second pass.
+CHUNK = 1 << 17
+#: Lists this long count as equally long, and are passed on in parts.
+LONGEST = 1 << 16
+#: Bounds of a block: documents and shingles.
 BLOCK_DOCS, BLOCK_SHINGLES = 384, 1 << 19
 
-PACKED = "bucket int, kind int, a binary, b binary"
-POSTED = "doc_id bigint, rank int, shingle bigint, d1 bigint, d2 bigint"
-
 
 def needed(n: int, percent: int) -> int:
     """Least overlap of a set of n with any partner of at most its size."""
     return -(-percent * n // 100)
 
 
-def _pack(k: int, buckets: int):
-    """Documents -> packed rows. kind 0: shingles and their documents; 1: document rows; 2: frequent shingles of
-    documents; 3: the frequent shingles of the chunk that fall into the bucket."""
-
-    def rows(ids: list[int], sets: list[np.ndarray], turn: int) -> pa.RecordBatch:
-        out: list[tuple] = []
-        seen: dict = {}
-        docs = np.zeros((len(ids), 4), np.int64)
-        folded: list[int] = []
-        for i, (doc, s) in enumerate(zip(ids, sets, strict=True)):
-            d = xxhash.xxh3_128_digest(s.tobytes()) if len(s) else bytes(16)
-            docs[i] = (doc, len(s), *np.frombuffer(d, np.int64))
-            if len(s) and d not in seen:
-                seen[d] = i
-                folded.append(i)
-        out.append(((ids[0] + turn) % buckets, 1, docs.tobytes(), None))
-        if folded:
-            all_s = np.concatenate([sets[i] for i in folded])
-            all_d = np.repeat(np.array([ids[i] for i in folded], np.int64), [len(sets[i]) for i in folded])
-            s = np.sort(all_s)
-            often = np.unique(s[: len(s) - FREQUENT + 1][s[: len(s) - FREQUENT + 1] == s[FREQUENT - 1 :]]) if len(s) >= FREQUENT else s[:0]
-            if len(often):
-                at = np.minimum(np.searchsorted(often, all_s), len(often) - 1)
-                hot = often[at] == all_s
-                out.append(((ids[-1] + turn) % buckets, 2, all_s[hot].tobytes(), all_d[hot].tobytes()))
-                all_s, all_d = all_s[~hot], all_d[~hot]
-            for kind, x, y in ((0, all_s, all_d), (3, often, None)):
-                b = ((x >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
-                order = np.argsort(b, kind="stable")
-                cuts = np.searchsorted(b[order], np.arange(buckets + 1))
-                x = x[order]
-                y = y[order] if y is not None else None
-                out += [(j, kind, x[p:q].tobytes(), y[p:q].tobytes() if y is not None else None) for j, (p, q) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if p < q]
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int32()), pa.array([r[1] for r in out], pa.int32()), pa.array([r[2] for r in out], pa.binary()), pa.array([r[3] for r in out], pa.binary())], ["bucket", "kind", "a", "b"])
+def _digest(s: np.ndarray) -> list[int]:
+    """128 bits of a set; zeros for the empty one."""
+    return np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64).tolist() if len(s) else [0, 0]
+
+
+def _rows(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clear_kept()
+        for batch in batches:
+            found = [(len(s), *_digest(s)) for s in shingle_sets(batch.column(1), k)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in zip(*found, strict=True))] if found else [pa.array([], pa.int64())] * 4, ["doc_id", "n", "d1", "d2"])
+
+    return run
+
+
+def _postings(k: int):
+    """Texts -> (shingle, node), node being the class's d1. Copies that come close after one another are folded."""
+
+    def posted(sets: list[np.ndarray], nodes: list[int]) -> pa.RecordBatch:
+        node = np.repeat(np.array(nodes, np.int64), [len(s) for s in sets])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64)), pa.array(node)], ["shingle", "node"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         clear_kept()
-        ids: list[int] = []
-        sets: list[np.ndarray] = []
-        size = turn = 0
+        seen: set[int] = set()
         for batch in batches:
-            for doc, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), k), strict=True):
-                ids.append(doc)
+            sets, nodes, held = [], [], 0
+            for s in shingle_sets(batch.column(0), k):
+                node = _digest(s)[0]
+                if not len(s) or node in seen:
+                    continue
+                if len(seen) >= CHUNK:
+                    seen.clear()
+                seen.add(node)
                 sets.append(s)
-                size += len(s)
-                if size >= CHUNK:
-                    yield rows(ids, sets, turn)
-                    ids, sets, size, turn = [], [], 0, turn + 1
-        if ids:
-            yield rows(ids, sets, turn)
+                nodes.append(node)
+                held += len(s)
+                if held >= CHUNK:
+                    yield posted(sets, nodes)
+                    sets, nodes, held = [], [], 0
+            if sets:
+                yield posted(sets, nodes)
 
     return run
 
 
-def _posted(doc, rank, shingle, d1=None, d2=None) -> pa.RecordBatch:
-    none = pa.nulls(len(doc), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(rank, pa.int32()), pa.array(shingle, pa.int64()), none if d1 is None else pa.array(d1), none if d2 is None else pa.array(d2)], ["doc_id", "rank", "shingle", "d1", "d2"])
+def _ranked(node: np.ndarray, rank: np.ndarray, shingle: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(node), CHUNK):
+        to = at + CHUNK
+        yield pa.RecordBatch.from_arrays([pa.array(node[at:to]), pa.array(rank[at:to].astype(np.int32)), pa.array(shingle[at:to])], ["node", "rank", "shingle"])
 
 
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of a bucket -> document rows (rank -1, shingle holds the set's size) and postings of the shingles of
-    two or more documents (rank: the document frequency)."""
-    shingles, docs, often = [], [], []
+    """Rows (shingle, node) in order of the shingle -> (node, rank, shingle) of shingles of two or more classes; rank is
+    the length of the list, LONGEST at most. Of a list in parts, repeats of a class are left to the next step."""
+
+    def lists(s: np.ndarray, node: np.ndarray) -> Iterator[pa.RecordBatch]:
+        order = np.lexsort((node, s))
+        s, node = s[order], node[order]
+        fresh = np.ones(len(s), bool)
+        fresh[1:] = (s[1:] != s[:-1]) | (node[1:] != node[:-1])
+        s, node = s[fresh], node[fresh]
+        head = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+        length = np.diff(np.append(head, len(s)))
+        rank = np.repeat(np.minimum(length, LONGEST), length)
+        keep = rank > 1
+        yield from _ranked(node[keep], rank[keep], s[keep])
+
+    s, node, long = np.zeros(0, np.int64), np.zeros(0, np.int64), None
     for batch in batches:
-        for kind, a, b in zip(batch.column("kind").to_pylist(), batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
-            if kind == 0:
-                shingles.append(np.frombuffer(a, np.uint64))
-                docs.append(np.frombuffer(b, np.int64))
-            elif kind == 1:
-                m = np.frombuffer(a, np.int64).reshape(-1, 4)
-                yield _posted(m[:, 0].copy(), np.full(len(m), -1, np.int32), m[:, 1].copy(), m[:, 2].copy(), m[:, 3].copy())
-            elif kind == 2:
-                s = np.frombuffer(a, np.int64)
-                yield _posted(np.frombuffer(b, np.int64), np.full(len(s), FREQUENT_RANK, np.int32), s)
-            else:
-                often.append(np.frombuffer(a, np.uint64))
-    if not shingles:
-        return
-    s, d = np.concatenate(shingles), np.concatenate(docs)
-    del shingles, docs
-    order = np.argsort(s)
-    s, d = s[order], d[order]
-    head = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
-    count = np.diff(np.append(head, len(s)))
-    if often:
-        count[np.isin(s[head], np.unique(np.concatenate(often)))] = FREQUENT_RANK
-        runs = np.diff(np.append(head, len(s)))
-    else:
-        runs = count
-    rank = np.repeat(count, runs)
-    keep = np.flatnonzero(rank > 1)
-    for at in range(0, len(keep), 1 << 16):
-        x = keep[at : at + (1 << 16)]
-        yield _posted(d[x], rank[x].astype(np.int32), s[x].view(np.int64))
+        if not len(batch):
+            continue
+        s, node = np.concatenate([s, batch.column(0).to_numpy()]), np.concatenate([node, batch.column(1).to_numpy()])
+        if long is not None:
+            to = int(np.searchsorted(s, long, "right"))
+            yield from _ranked(node[:to], np.full(to, LONGEST), s[:to])
+            s, node = s[to:], node[to:]
+            if not len(s):
+                continue
+            long = None
+        cut = int(np.searchsorted(s, s[-1]))
+        if cut:
+            yield from lists(s[:cut], node[:cut])
+            s, node = s[cut:], node[cut:]
+        if len(s) >= LONGEST and len(np.unique(node)) >= LONGEST:
+            long = int(s[0])
+            yield from _ranked(node, np.full(len(node), LONGEST), s)
+            s, node = s[:0], node[:0]
+        elif len(s) >= 2 * LONGEST:
+            node = np.unique(node)
+            s = np.full(len(node), s[0])
+    if len(s):
+        yield from lists(s, node)
 
 
 def _short_lists(percent: int):
-    """Rows of documents, each document's together: its row, then its postings by rising frequency -> the document rows
-    and, of documents that can have a partner, the postings of their first n - T + 1 shingles."""
+    """Rows of classes, each class's together: its size (rank -1), then its postings by rising frequency -> the
+    postings of the first n - T + 1 shingles, of classes that can have a partner."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
+        columns = [np.zeros(0, np.int64) for _ in range(3)]
         for batch in batches:
-            t = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
-            doc = t.column("doc_id").to_numpy()
-            cut = int(np.searchsorted(doc, doc[-1])) if (doc[:-1] <= doc[1:]).all() else int(np.flatnonzero(doc != doc[-1])[-1]) + 1
-            rest = t.slice(cut)
+            if not len(batch):
+                continue
+            columns = [np.concatenate([c, batch.column(i).to_numpy()]) for i, c in enumerate(columns)]
+            cut = int(np.searchsorted(columns[0], columns[0][-1]))
             if cut:
-                yield from chosen(t.slice(0, cut))
-        if rest is not None and len(rest):
-            yield from chosen(rest)
-
-    def chosen(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        doc, rank, shingle = (t.column(c).to_numpy() for c in ("doc_id", "rank", "shingle"))
-        start = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-        size = np.diff(np.append(start, len(doc)))
-        is_doc = rank < 0
-        # rows of the same doc_id count as one document with the largest of their sets
-        n_rows = np.add.reduceat(is_doc, start)
-        n = np.maximum.reduceat(np.where(is_doc, shingle, 0), start)
-        unique = n - (size - n_rows)
-        room = n - (-(-percent * n // 100)) + 1 - np.where(n_rows > 1, 0, unique)
-        place = np.arange(len(doc)) - np.repeat(start + n_rows, size)
-        keep = np.flatnonzero(is_doc | (place < np.repeat(np.where(n_rows > 1, size, room), size)))
-        yield from t.take(pa.array(keep)).combine_chunks().to_batches()
+                yield chosen(*(c[:cut] for c in columns))
+                columns = [c[cut:] for c in columns]
+        if len(columns[0]):
+            yield chosen(*columns)
+
+    def chosen(node: np.ndarray, rank: np.ndarray, shingle: np.ndarray) -> pa.RecordBatch:
+        fresh = np.ones(len(node), bool)
+        fresh[1:] = (node[1:] != node[:-1]) | (shingle[1:] != shingle[:-1]) | (rank[1:] != rank[:-1])
+        node, rank, shingle = node[fresh], rank[fresh], shingle[fresh]
+        start = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+        size = np.diff(np.append(start, len(node)))
+        n = np.where(rank[start] < 0, shingle[start], size)
+        unique = n - (size - 1)
+        room = n - (-(-percent * n // 100)) + 1 - unique
+        place = np.arange(len(node)) - np.repeat(start + 1, size)
+        keep = (rank > 0) & (place < np.repeat(room, size))
+        return pa.RecordBatch.from_arrays([pa.array(shingle[keep]), pa.array(node[keep])], ["shingle", "node"])
 
     return run
 
@@ -228,13 +226,13 @@ def divide_skip(sets: list[np.ndarray], percent: int, side: np.ndarray | None =
 
 
 def _links(percent: int):
-    """A pair of blocks of a candidate group -> per document with links: its root in the spanning forest, link count."""
+    """A pair of blocks -> per document with links: its root in the spanning forest, link count."""
 
     def run(t: pa.Table) -> pa.Table:
         ids, d1, weight = (t.column(c).to_numpy() for c in ("doc_id", "d1", "weight"))
         sets = [np.frombuffer(b, np.uint64) for b in t.column("shingles").to_pylist()]
-        i, j, own = (t.column(c).to_numpy() for c in ("i", "j", "own"))
-        side = None if i[0] == j[0] else (own == i).astype(np.int8)
+        low, high, own = (t.column(c).to_numpy() for c in ("low", "high", "block"))
+        side = None if low[0] == high[0] else (own == low).astype(np.int8)
         parent, links = list(range(len(ids))), np.zeros(len(ids), np.int64)
 
         def root(v: int) -> int:
@@ -259,64 +257,77 @@ def _links(percent: int):
 def _sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s.tobytes() for s in shingle_sets(batch.column("text"), k)]
-            d1 = [int(np.frombuffer(xxhash.xxh3_128_digest(s), np.int64)[0]) if s else 0 for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(d1, pa.int64()), pa.array(sets, pa.binary())], ["doc_id", "d1", "shingles"])
+            sets = list(shingle_sets(batch.column("text"), k))
+            d1 = [_digest(s)[0] for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(d1, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "d1", "shingles"])
 
     return run
 
 
-def _sizes(k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([len(s) for s in shingle_sets(batch.column(0), k)], pa.int64())], ["n_shingles"])
-
-    return run
+def _dealt(lists: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The tasks: pairs (low, high) of blocks, each with the classes of both: block, doc_id, d1, weight (copies)."""
+    centres = lists.groupBy("shingle").agg(F.min("node").alias("centre"), F.max("node").alias("last")).where("centre <> last").select("shingle", "centre")
+    ties = written(lists.join(centres, "shingle"), "ties")
+    homes = written(ties.groupBy("node").agg(F.min("centre").alias("home")), "homes")
+    at_home = classes.join(homes, F.col("d1") == F.col("node"))
+    needs = F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n") / BLOCK_SHINGLES)
+    large = at_home.groupBy("home").agg((needs > 1).alias("large"))
+    band = F.when(F.col("large"), F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent))).otherwise(-1).cast("int")
+    banded = at_home.join(large, "home").withColumn("band", band)
+    blocks = banded.groupBy("home", "band").agg(F.ceil(needs).alias("blocks"))
+    block = F.xxhash64("home", "band", F.pmod(F.xxhash64("rep", F.lit(7)), "blocks"))
+    members = written(banded.join(blocks, ["home", "band"]).select("home", "band", block.alias("block"), F.col("rep").alias("doc_id"), "d1", F.col("copies").alias("weight")), "members")
+
+    blocks = written(members.groupBy("home", "band", "block").agg(F.count("*").alias("m")), "blocks")
+    left, right = (blocks.select(*(F.col(c).alias(f"{side}_{c}") for c in ("home", "band", "block", "m"))) for side in ("l", "r"))
+    # The sizes of partners are in the same band or in one beside it; band -1 is a small home as a whole.
+    near = (F.col("l_band") < 0) | (F.col("r_band") < 0) | (F.abs(F.col("l_band") - F.col("r_band")) <= 1)
+    inside = left.join(right, F.col("l_home") == F.col("r_home")).where(near & ((F.col("l_block") < F.col("r_block")) | (F.col("l_block") == F.col("r_block")) & (F.col("l_m") > 1)))
+    spread = ties.join(homes, "node").groupBy("shingle", "home").agg(F.first("centre").alias("centre"))
+    several = spread.groupBy("shingle").agg(F.min("home").alias("a"), F.max("home").alias("b")).where("a <> b").select("shingle")
+    spread = written(spread.join(several, "shingle").select("shingle", "home"), "spread")
+    between = spread.withColumnRenamed("home", "l_home").join(spread.withColumnRenamed("home", "r_home"), "shingle").where("l_home < r_home").select("l_home", "r_home").distinct()
+    between = between.join(left, "l_home").join(right, "r_home").where(near)
+    low, high = F.least("l_block", "r_block").alias("low"), F.greatest("l_block", "r_block").alias("high")
+    ends = F.array_distinct(F.array(*(F.struct(low, high, F.col(b).alias("block")) for b in ("l_block", "r_block"))))
+    tasks = inside.select(ends.alias("ends")).union(between.select(ends)).select(F.explode("ends").alias("e")).select("e.*")
+    return tasks.join(members.select("block", "doc_id", "d1", "weight"), "block")
 
 
 def jaccard_components(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links), n_links (documents it links
-    with, copies included).
+    """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable by links), n_links (rows it links with,
+    copies included).
 
-    `documents` needs doc_id and text; other columns are ignored. Words are runs of anything but ASCII white space,
-    A-Z lower-cased. A null or blank text has an empty set and links with nothing; neither does a row without doc_id,
-    whose component is null. Rows that share a doc_id are one node of the graph, and each gets its row. Exact copies of
-    a set are folded before anything is compared. An empty table gives an empty result.
+    `documents` needs doc_id and text; other columns, whatever their names, are ignored. Words are runs of anything but
+    ASCII white space, A-Z lower-cased. A null or blank text has an empty set and links with nothing; neither does a row
+    without doc_id, whose component is null. Rows that share a doc_id are in one component. Exact copies of a set are
+    folded before anything is compared; a text of any length is one set. An empty table gives an empty result.
     """
-    spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("bigint"), F.col("text"))
-    named, buckets = docs.where("doc_id is not null"), 2 * parts(spark)
-    packed = named.mapInArrow(_pack(k, buckets), PACKED)
-    posted = packed.repartitionById(buckets, F.col("bucket")).drop("bucket").mapInArrow(_index, POSTED)
-    sorted_rows = posted.repartition(parts(spark), "doc_id").sortWithinPartitions("doc_id", "rank", "shingle")
-    short = written(sorted_rows.mapInArrow(_short_lists(percent), POSTED), "short-lists")
-
-    rows = short.where("rank < 0").select("doc_id", F.col("shingle").alias("n_shingles"), "d1", "d2")
-    classes = written(rows.where("n_shingles > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n_shingles").alias("n")), "classes")
-    lists = short.where("rank > 0").select("doc_id", "shingle")
-    tied = rows.join(lists.select("doc_id").distinct(), "doc_id", "left_semi").join(classes, ["d1", "d2"]).select("doc_id", "rep")
-    lists = written(lists.join(tied, "doc_id").select("shingle", "rep").distinct(), "lists")
-    centres = lists.groupBy("shingle").agg(F.min("rep").alias("centre"))
-    groups = connected_components(lists.join(centres, "shingle").where("rep <> centre").select(F.col("rep").alias("src"), F.col("centre").alias("dst")).distinct())
-    members = groups.join(classes, groups.node == classes.rep).select("component", F.col("rep").alias("doc_id"), F.col("d1").alias("d"), "copies", "n")
-    sizes = members.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    members = written(members.join(sizes, "component"), "members")
-
-    ids = maybe_broadcast(written(members.select("doc_id").distinct(), "member-ids"))
-    sets = named.join(ids, "doc_id", "left_semi").mapInArrow(_sets(k), "doc_id bigint, d1 bigint, shingles binary")
-    own = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.col("blocks")).cast("int")
-    blocks = (
-        members.withColumn("own", own).join(sets.dropDuplicates(["doc_id", "d1"]), "doc_id").where("d = d1")
-        .select("component", "doc_id", "d1", "own", F.col("copies").alias("weight"), "shingles", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-        .withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
-    )
-    linked = written(blocks.groupBy("component", "i", "j").applyInArrow(_links(percent), "doc_id bigint, d1 bigint, links bigint, root bigint"), "links")
-    found = connected_components(linked.select(F.col("doc_id").alias("src"), F.col("root").alias("dst")))
+    named = docs.where("doc_id is not null")
+    rows = written(docs.mapInArrow(_rows(k), "doc_id bigint, n bigint, d1 bigint, d2 bigint"), "rows")
+    known = rows.where("n > 0 and doc_id is not null")
+    classes = written(known.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n")), "classes")
+
+    postings = named.select("text").mapInArrow(_postings(k), "shingle bigint, node bigint").repartition("shingle").sortWithinPartitions("shingle")
+    ranked = postings.mapInArrow(_index, "node bigint, rank int, shingle bigint").union(classes.select("d1", F.lit(-1), "n"))
+    by_class = ranked.repartition("node").sortWithinPartitions("node", "rank", "shingle")
+    lists = written(by_class.mapInArrow(_short_lists(percent), "shingle bigint, node bigint"), "short-lists")
+    dealt = written(_dealt(lists, classes, percent), "dealt")
+
+    ids = maybe_broadcast(written(dealt.select("doc_id").distinct(), "member-ids"))
+    sets = named.join(ids, "doc_id", "left_semi").mapInArrow(_sets(k), "doc_id bigint, d1 bigint, shingles binary").dropDuplicates(["doc_id", "d1"])
+    linked = written(dealt.join(sets, ["doc_id", "d1"]).groupBy("low", "high").applyInArrow(_links(percent), "doc_id bigint, d1 bigint, links bigint, root bigint"), "links")
+    # An id with several sets ties their classes together.
+    several = known.groupBy("doc_id").agg(F.min("d1").alias("a"), F.max("d1").alias("b")).where("a <> b").select("doc_id")
+    same_id = known.join(several, "doc_id").join(classes.select("d1", "d2", "rep"), ["d1", "d2"]).select("doc_id", "rep")
+    found = connected_components(linked.select(F.col("doc_id").alias("src"), F.col("root").alias("dst")).union(same_id))
     counts = linked.groupBy(F.col("doc_id").alias("rep"), "d1").agg(F.sum("links").alias("links"))
-    classes = classes.join(counts, ["rep", "d1"], "left").join(found, F.col("rep") == F.col("node"), "left").select("d1", "d2", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("class"))
-    result = rows.join(classes, ["d1", "d2"], "left").select("doc_id", "n_shingles", F.coalesce("class", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
-    unnamed = docs.where("doc_id is null").select("text").mapInArrow(_sizes(k), "n_shingles bigint")
-    return result.union(unnamed.select(F.lit(None).cast("bigint"), "n_shingles", F.lit(None).cast("bigint"), F.lit(0).cast("bigint")))
+    final = classes.join(counts, ["rep", "d1"], "left").join(found, F.col("rep") == F.col("node"), "left").select("d1", "d2", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("class"))
+    is_named = F.col("doc_id").isNotNull()
+    return rows.join(final, ["d1", "d2"], "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(is_named, F.coalesce("class", "doc_id")).alias("component_id"), F.when(is_named, F.coalesce("n_links", F.lit(0))).otherwise(0).cast("bigint").alias("n_links")
+    )
 
 
 def op1_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -57,6 +57,39 @@ def test_frequent_shingles_and_small_blocks(spark, monkeypatch):
     assert got == brute(rows, 5, 80)
 
 
+def test_long_lists_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(J, "LONGEST", 8)
+    monkeypatch.setattr(J, "CHUNK", 64)
+    rows = corpus()
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    assert sorted(tuple(r) for r in J.jaccard_components(df, k=4, percent=85).collect()) == brute(rows, 4, 85)
+    import numpy as np
+    import pyarrow as pa
+
+    s = np.sort(np.repeat(np.arange(40), np.arange(40)))
+    node = np.concatenate([np.arange(i) for i in range(40)])
+    batches = [pa.RecordBatch.from_arrays([pa.array(s[a : a + 13]), pa.array(node[a : a + 13])], ["shingle", "node"]) for a in range(0, len(s), 13)]
+    got = sorted(tuple(r.values()) for b in J._index(iter(batches)) for r in b.to_pylist())
+    assert got == sorted((x, min(i, 8), i) for i in range(2, 40) for x in range(i))
+
+
+def test_templated_texts_and_blocks_of_bands(spark, monkeypatch):
+    """Texts made of shared passages: many short lists in common, few links; homes of several blocks and bands."""
+    rng = random.Random(11)
+    passages = [" ".join(f"p{i}w{j}" for j in range(12)) for i in range(12)]
+    rows = [(i, " ".join(rng.sample(passages, rng.randint(2, 6))) + f" own{i % 150}") for i in range(200)]
+    monkeypatch.setattr(J, "BLOCK_DOCS", 9)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert sorted(tuple(r) for r in J.jaccard_components(df, k=4, percent=60).collect()) == brute(rows, 4, 60)
+
+
+def test_rows_that_share_an_id(spark):
+    a, b = "one two three four five six seven", "eight nine ten eleven twelve"
+    rows = [(5, a), (5, b), (2, a), (9, b), (7, "something else that is on its own")]
+    got = {(r.doc_id, r.component_id) for r in J.jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {(5, 2), (2, 2), (9, 2), (7, 7)}
+
+
 def test_edges(spark):
     none = spark.createDataFrame([], "doc_id bigint, text string")
     assert J.jaccard_components(none).count() == 0
