@@ -28,7 +28,8 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, most: int = MOST)
 
     All targets sum to the total of all sizes. Source i gets min(level * weight, most * size): with the sources in
     order of most * size / weight, those up to some place are full, and the level is what is left over, by weight, for
-    the others; the first place where the next source stays below its bound fixes it.
+    the others; the first place where the next source stays below its bound fixes it. The order and the prefix sums go
+    over one row per source in one task: sources are few beside documents.
     """
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     w = F.element_at(F.array(*map(F.lit, weights)), F.pmod(F.row_number().over(by_name) - 1, F.lit(len(weights))) + 1)
@@ -48,25 +49,36 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, most: int = MOST)
     return level.select("source", "source_size", share.alias("target"))
 
 
+def _plan(documents: DataFrame, weights: tuple, most: int, seed: str) -> DataFrame:
+    """The columns of `documents` as c0, c1, …, so that no name can clash, with size, source_size, target and copies."""
+    own = {c: f"c{i}" for i, c in enumerate(documents.columns)}
+    sized = documents.select(*(F.col(f"`{c}`").alias(x) for c, x in own.items()))
+    sized = sized.withColumns({"source": F.col(own["source"]), "size": word_count(own["text"])})
+    targets = maybe_broadcast(written(source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most), "targets"))
+    rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most)))).otherwise(0.0)
+    draw = F.conv(F.substring(F.sha2(F.concat(F.lit(seed), F.coalesce(F.col(own["doc_id"]).cast("string"), F.lit(""))), 256), 1, 8), 16, 10).cast("bigint") / float(1 << 32)
+    joined = sized.alias("d").join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")))
+    return joined.select(*own.values(), "size", "source_size", "target", (F.floor(rate) + (draw < rate - F.floor(rate)).cast("int")).cast("bigint").alias("copies"))
+
+
 def mix_plan(documents: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
-    """`documents` with size, source_size, target and copies: how often the mix takes each document.
+    """`documents` with size, source_size, target and copies (how often the mix takes each row); columns of these names
+    are replaced.
 
     The draw is a hash of seed and doc_id, so reruns agree; rows repeating a doc_id share it, a null id draws as the
     empty text. A null source is a source of its own, last in order. Empty texts have size 0 and are repeated as their
-    source is, or not at all when the whole source is empty. An empty table gives an empty result.
+    source is, or not at all when the whole source is empty; texts of any length count whole. An empty table gives an
+    empty result.
     """
-    sized = documents.withColumn("size", word_count())
-    targets = maybe_broadcast(written(source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most), "targets"))
-    rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most)))).otherwise(0.0)
-    draw = F.conv(F.substring(F.sha2(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 256), 1, 8), 16, 10).cast("bigint") / float(1 << 32)
-    joined = sized.alias("d").join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")))
-    return joined.select("d.*", "source_size", "target", (F.floor(rate) + (draw < rate - F.floor(rate)).cast("int")).cast("bigint").alias("copies"))
+    added = ("size", "source_size", "target", "copies")
+    plan = _plan(documents, weights, most, seed)
+    return plan.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(documents.columns) if c not in added), *added)
 
 
 def mix(documents: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
-    """The mixed corpus: every document as often as the plan says, columns as in `documents`."""
-    plan = mix_plan(documents, weights, most, seed).where("copies > 0")
-    return plan.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*documents.columns)
+    """The mixed corpus: every row as often as the plan says, all columns as they are in `documents`."""
+    plan = _plan(documents, weights, most, seed).where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return plan.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(documents.columns)))
 
 
 def op8_mix_sources(spark, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side is broadcast only when its files are known to be no larger than this.
@@ -13,9 +13,12 @@ BROADCAST_BYTES = 32 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The shared folder of the cluster, from ``spark.checkpoint.dir``; where that is unset (tests), a local one."""
+    """The shared folder of the cluster, from ``spark.checkpoint.dir``; where that is unset and Spark runs in
+    one process (tests), a local one."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-loom-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
@@ -48,5 +51,10 @@ def maybe_broadcast(written_df: DataFrame, limit: int = BROADCAST_BYTES) -> Data
     return F.broadcast(written_df) if n_bytes(written_df) <= limit else written_df
 
 
+def row_key(doc_id: Column, text: Column) -> Column:
+    """What tells rows apart where ids are null or repeat: 16 bytes of hash over id and text. Rows equal in both share it."""
+    return F.unhex(F.concat(*(F.lpad(F.hex(F.xxhash64(F.lit(seed), doc_id.isNull(), doc_id, text.isNull(), text)), 16, "0") for seed in (1, 2))))
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -65,23 +65,50 @@ def test_media_round_trip(spark):
     assert media.media_features(media.store_media(docs(spark, []))).count() == 0
 
 
+def ascii_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def plain_contamination(rows, items):
+    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) of each row, window by window."""
+    windows: dict = {}
+    for item, text in items:
+        w = ascii_words(text)
+        for i in range(max(len(w) - 12, 1) if w else 0):
+            windows.setdefault(tuple(w[i : i + 13]), set()).add(item)
+    out = []
+    for doc, text in rows:
+        w, hit, found = ascii_words(text), set(), set()
+        for n in {len(x) for x in windows}:
+            for i in range(len(w) - n + 1):
+                if (x := windows.get(tuple(w[i : i + n]))) is not None:
+                    hit.update(range(i, i + n))
+                    found |= x
+        names = sorted(str(x) for x in found)
+        out.append((doc, len(w), len(hit), len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)))
+    return sorted(out, key=str)
+
+
 @pytest.mark.parametrize("limit", [scratch.BROADCAST_BYTES, 0])
 def test_decontamination(spark, limit):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron"
-    bench = spark.createDataFrame([(10, item), (9, item), (2, "short Item"), (3, None), (4, "..."), (5, "Éa éb")], "item_id bigint, text string").selectExpr("*", "1 AS doc_id")
-    texts = [f"x, {item.upper()}! y", item[:-10], "a SHORT, item b short  item", None, "", "Éa éb éa Éb", "w " * 500 + item]
-    hits = decontaminate.benchmark_hits(docs(spark, texts), bench, limit=limit)
-    if not limit:
-        assert hits.count() == decontaminate.benchmark_hits(docs(spark, texts), bench).count()
-        return
-    got = decontaminate.contamination(docs(spark, texts), bench).orderBy("doc_id").collect()
-    n = len(item.split())
-    assert [(r.n_words, r.n_hit, r.n_items, r.contaminated) for r in got] == [(n + 2, n, 2, True), (13, 13, 2, True), (6, 4, 1, True), (0, 0, 0, False), (0, 0, 0, False), (4, 2, 1, True), (500 + n, n, 2, False)]
-    assert got[0].items_sha256 == hashlib.sha256(b"10,9").hexdigest()
-    assert [r.doc_id for r in decontaminate.drop_contaminated(docs(spark, texts), bench).orderBy("doc_id").collect()] == [3, 4, 6]
-    assert decontaminate.remove_spans(docs(spark, texts), bench).where("doc_id = 0").first().text == "x y"
-    assert decontaminate.contamination(docs(spark, texts), bench.limit(0)).where("n_hit > 0").count() == 0
-    assert decontaminate.contamination(docs(spark, []), bench).count() == 0
+    bench = [(10, item), (9, item), (2, "short Item"), (3, None), (4, "..."), (5, "Éa éb"), (None, "no id here"), (2, "short Item")]
+    texts = [f"x, {item.upper()}! y", item[:-10], "a SHORT, item b short  item", None, "", "Éa éb éa Éb", "w " * 500 + item, "K short item", "short", "w " * 60_000 + "short item"]
+    rows = [*enumerate(texts), (None, item), (None, "clean words"), (2, "clean words of a repeated id"), (2, "a SHORT, item b short  item"), (7, f"{item} {item}")]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 AS words", "2 AS spans", "3 AS key", "4 AS hash", "5 AS size")
+    b = spark.createDataFrame(bench, "item_id bigint, text string").selectExpr("*", "1 AS doc_id", "2 AS hash")
+    plain = plain_contamination(rows, [(i, t) for i, t in bench if i is not None])
+    named = b.where("item_id is not null")
+    got = decontaminate.contamination(d, named, limit=limit).drop("spans", "key")
+    assert sorted((tuple(r) for r in got.collect()), key=str) == plain
+    kept = decontaminate.drop_contaminated(d, named, limit=limit)
+    assert kept.columns == d.columns
+    clean = [r for r in rows if not plain_contamination([r], [(i, t) for i, t in bench if i is not None])[0][5]]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(clean, key=str)
+    cleaned = {(r.doc_id, r.text) for r in decontaminate.remove_spans(d, named, limit=limit).collect()}
+    assert (0, "x y") in cleaned and (None, "") in cleaned and (2, "clean words of a repeated id") in cleaned and (2, "a b") in cleaned
+    assert decontaminate.contamination(d, named.limit(0), limit=limit).where("n_hit > 0").count() == 0
+    assert decontaminate.contamination(d.limit(0), named, limit=limit).count() == 0
 
 
 PAGE = """<html><head><title>t</title><script>x("</p>")</script></head><body><header>Head</header><nav><ul><li><a href=a>Menu</a></ul></nav>
@@ -163,15 +190,53 @@ def test_toxicity_learns_rare_words_beside_many_common_ones(spark):
     assert model.words.tolist() == Words(np.frombuffer(b"vile", np.uint8), np.array([0, 4]), ASCII_PUNCT).hash.tolist()
 
 
+def plain_line_dedup(rows):
+    """Texts without later occurrences of windows; rows in order of their ids, each id and text once."""
+    space = " \t\r\x0b\x0c"
+    full = [[(i, x.strip(space)) for i, x in enumerate((t or "").split("\n")) if x.strip(space)] for _, t in rows]
+    first, gone = {}, [set() for _ in rows]
+    for r, lines in enumerate(full):
+        texts = [t for _, t in lines]
+        for s in range(len(texts)):
+            for m in (1, 2, 3):
+                run = texts[s : s + m]
+                short = m == 3 and len(texts) < 3
+                if not (s == 0 or s + 3 <= len(texts) if m == 3 else s + m <= len(texts) and len(re.findall(r"[^\x20\x09-\x0D]+", " ".join(run))) > 50):
+                    continue
+                place = first.setdefault((m, short, *run), (r, s))
+                if place != (r, s):
+                    gone[r] |= {p for p in range(s, s + len(run)) if place[0] != r or p >= place[1] + len(run)}
+    out = []
+    for (doc, text), lines, g in zip(rows, full, gone, strict=True):
+        cut = {lines[p][0] for p in g}
+        out.append((doc, None if text is None else "\n".join(x for i, x in enumerate(text.split("\n")) if i not in cut), len(lines), len(g)))
+    return out
+
+
 def test_line_dedup(spark):
     block = "l one\nl two\nl three\nl four"
     texts = [f"a\n{block}\nz", f"b\n\n {block}\ny", "q\nl two\nl three\nx", block, "tiny", "tiny", None, "", "\n\n", "r\nr\nr\nr\nr"]
     got = line_dedup.dedup_lines(docs(spark, texts)).orderBy("doc_id").collect()
-    assert [r.text for r in got] == [texts[0], "b\n\ny", texts[2], "", "tiny", "", None, "", "\n\n", "r"]
-    assert [r.n_removed for r in got] == [0, 4, 0, 4, 0, 1, 0, 0, 0, 4]
+    assert [r.text for r in got] == [texts[0], "b\n\ny", texts[2], "", "tiny", "", None, "", "\n\n", "r\nr\nr"]
+    assert [r.n_removed for r in got] == [0, 4, 0, 4, 0, 1, 0, 0, 0, 2]
     assert line_dedup.dedup_lines(docs(spark, [])).count() == 0
 
 
+def test_line_dedup_edges_and_passages(spark):
+    long, half = " ".join(f"w{i}" for i in range(51)), " ".join(f"v{i}" for i in range(30))
+    rows = [
+        (1, f"k1\nk2\nk3\n{long}\nend"), (2, "x1\nx2\nx3"), (2, "k1\nk2\nk3"), (3, f"other\n {long} \nmore"), (4, long), (5, f"{half}\n{half}\na"), (6, f"b\n{half}\n{half}"), (7, f"{half}\nc"),
+        (8, "h\nh\nh\nh\nend"), (9, "line\n" * 30_000), (None, "k1\nk2\nk3"), (None, "own\nlines\nhere"), (None, None),
+    ]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "7 AS places", "8 AS lines", "9 AS full", "10 AS key", "11 AS n_lines")
+    got = line_dedup.dedup_lines(d.repartition(3))
+    assert {(r.places, r.lines, r.full, r.key) for r in got.collect()} == {(7, 8, 9, 10)}
+    assert sorted(((r.doc_id, r.text, r.n_lines, r.n_removed) for r in got.collect()), key=str) == sorted(plain_line_dedup(rows), key=str)
+    assert (2, "x1\nx2\nx3", 3, 0) in plain_line_dedup(rows) and (3, "other\nmore", 3, 1) in plain_line_dedup(rows) and (8, "h\nh\nh\nend", 5, 1) in plain_line_dedup(rows)
+    same = spark.createDataFrame([(1, "a\nb\nc"), (1, "a\nb\nc")], "doc_id bigint, text string")
+    assert [r.text for r in line_dedup.dedup_lines(same).collect()] == ["a\nb\nc"] * 2
+
+
 def test_licenses(spark):
     apache = "Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0\nUnless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."
     texts = [apache, "x\nReleased under the MIT License.\ny", "licensed under cc by-nc 4.0", None, "", "All rights reserved. This work is licensed under the GNU General Public License, version 3."]
