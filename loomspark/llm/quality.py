@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomspark.llm.learning import held_out, learning_labels, logistic_fit
-from loomspark.llm.textarrays import Words, grams, text_slices
+from loomspark.llm.textarrays import Words, clear_kept, grams, text_slices
 
-#: Size of the feature space, groups that counts are summed in, and learning rows that the linear model is fitted on.
-SPACE, GROUPS = 1 << 18, 64
+#: Size of the feature space, and learning rows that the linear model is fitted on.
+SPACE = 1 << 18
 SAMPLE = 12_000
 #: Of five rows of the sample one is left for the logistic curve. Cost of a margin error, and rounds of the descent.
 COST, ROUNDS = 1.0, 8
@@ -61,20 +61,22 @@ def features(column: pa.Array) -> Iterator[np.ndarray]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (text, label) -> one row per group of features and task: counts in rows of label 0 and 1."""
-    counts, seen = np.zeros((2, SPACE), np.int64), [0, 0]
+    """Rows (text, label) -> per task the features it has seen: counts in rows of label 0 and 1."""
+    clear_kept()
+    counts = np.zeros((2, SPACE), np.int64)
     for batch in batches:
         for label, f in zip(batch.column("label").to_pylist(), features(batch.column("text")), strict=True):
             counts[label, f] += 1
-            seen[label] += 1
-    if any(seen):
-        parts = counts.reshape(2, GROUPS, -1).transpose(1, 0, 2)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(GROUPS, dtype=np.int32)), pa.array([p.tobytes() for p in parts], pa.binary())], ["part", "counts"])
+    seen = np.flatnonzero(counts.any(axis=0))
+    for at in range(0, len(seen), 1 << 16):
+        x = seen[at : at + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int32)), pa.array(counts[0, x]), pa.array(counts[1, x])], ["feature", "y0", "y1"])
 
 
-def _add(t: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(b, np.int64) for b in t.column("counts").to_pylist())
-    return pa.table({"part": t.column("part").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+def log_count_ratios(counts: np.ndarray) -> np.ndarray:
+    """log of the ratio of a feature's shares in class 1 and class 0; counts (class, feature) are smoothed by one."""
+    share = (counts + 1) / (counts + 1).sum(axis=1, keepdims=True)
+    return np.log(share[1] / share[0])
 
 
 def dual_descent(rows: list[np.ndarray], y: np.ndarray, scale: np.ndarray) -> np.ndarray:
@@ -126,14 +128,15 @@ def learn(documents: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarr
     """(weights, log-count ratios, slope, offset)."""
     known = learning_labels(labels, "quality")
     rows = documents.select(F.col("doc_id").cast("bigint"), "text").join(known, "doc_id")
-    summed = rows.select("text", "label").mapInArrow(_count, "part int, counts binary").groupBy("part").applyInArrow(_add, "part int, counts binary").collect()
+    sums = rows.select("text", "label").mapInArrow(_count, "feature int, y0 bigint, y1 bigint").groupBy("feature").agg(F.sum("y0").alias("y0"), F.sum("y1").alias("y1")).toArrow()
     counts = np.zeros((2, SPACE))
-    for r in summed:
-        counts.reshape(2, GROUPS, -1)[:, r.part] = np.frombuffer(r.counts, np.int64).reshape(2, -1)
-    share = (counts + 1) / (counts + 1).sum(axis=1, keepdims=True)
-    scale = np.log(share[1] / share[0])
+    for i, c in enumerate(("y0", "y1")):
+        counts[i, sums.column("feature").to_numpy()] = sums.column(c).to_numpy()
+    scale = log_count_ratios(counts)
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    sample = documents.select(F.col("doc_id").cast("bigint"), "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    # Of rows that repeat an id the text with the smallest hash is taken, so that reruns agree.
+    first = F.min_by(F.struct("text", "label"), F.struct(F.xxhash64("text"), "text")).alias("x")
+    sample = documents.select(F.col("doc_id").cast("bigint"), "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(first).select("doc_id", "x.*")
     fitted = sample.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id").select("text", "label").mapInArrow(_fit(scale), "w binary, slope double, offset double").collect()
     if not fitted:
         return np.zeros(SPACE), scale, 0.0, 0.0
@@ -153,8 +156,9 @@ def _score(w: np.ndarray, scale: np.ndarray, slope: float, offset: float):
 def score_quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """Per row of `documents` (doc_id, text; others are left out): doc_id, score (0 to 1).
 
-    A null or empty text has no features and the score of a zero margin. Equal texts have equal scores; repeated rows
-    are each scored. Without labels of both classes all rows have the base rate. An empty table gives an empty result.
+    A null or empty text has no features and the score of a zero margin; a text of any length is whole. Equal texts have
+    equal scores; repeated rows are each scored, a null doc_id too, which is not learned from. Of rows that repeat an id
+    all count for the ratios, and the text with the smallest hash is fitted. Without labels of both classes all rows have the base rate. An empty table gives an empty result.
     """
     model = learn(documents, labels)
     return documents.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(_score(*model), "doc_id bigint, score double")

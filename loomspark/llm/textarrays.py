@@ -7,6 +7,7 @@ everywhere; different words get different ones but for chance (2**-64 a pair).
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,9 +20,19 @@ pa.set_memory_pool(pa.system_memory_pool())
 KEPT_BY_WORKER: list[dict] = []
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    if _TRIM:
+        _TRIM(0)
+
+
 def clear_kept() -> None:
     for kept in KEPT_BY_WORKER:
         kept.clear()
+    give_back()
 
 
 #: Odd constants of the hash (arbitrary, but equal everywhere).

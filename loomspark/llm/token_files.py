@@ -10,6 +10,7 @@ files into memory and needs nothing but the index.
 from __future__ import annotations
 
 import json
+import os
 import re
 import uuid
 import zlib
@@ -18,20 +19,25 @@ from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspark.llm.scratch import new_path, parts
-from loomspark.llm.textarrays import KEPT_BY_WORKER
+from loomspark.llm.textarrays import KEPT_BY_WORKER, give_back
 
 #: Id appended to each document.
 END = 2
-#: Words whose ids a worker keeps; beyond that it starts anew.
-KEPT = 1_500_000
-#: White space other than single spaces and line feeds between other characters: such texts are encoded whole.
+#: Words (without marks after them) whose ids a worker keeps; beyond that it starts anew.
+KEPT = 1_000_000
+#: Bytes of text that are encoded at once.
+PIECE = 1 << 20
+#: The pattern of byte-level pre-tokenizers that the cuts at words rely on: it is built into the tokenizers library.
+BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
 #: A word of letters and ASCII marks after them: the pattern cuts it between the two. (An apostrophe may bind letters.)
 _STEM = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+)([!-&(-/:-@\[-`{-~]+)")
+#: White space other than single spaces and line feeds between other characters: such texts are encoded whole.
 _ODD = re.compile(r"[^\S \n]|\s\s|\A\s|\s\Z")
 
 
@@ -40,7 +46,8 @@ class WordEncoder:
 
     Byte-level BPE splits a text with a pattern before it merges anything; no match of it reaches over the start of a
     single space, or over a single line feed, between two other characters. There texts may be cut, and each word (with
-    the space before it) is encoded once per worker. Texts with other white space or with an added token go whole.
+    the space before it) is encoded once per worker. Texts with other white space or with an added token go whole, and
+    so do all texts of a tokenizer that isn't of this kind (`by_words`).
     """
 
     kept: dict = {}
@@ -51,10 +58,13 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.type = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), END + 1) <= 1 << 16 else "<u4")
+        spec = json.loads(self.tokenizer.to_str())
+        cut = spec.get("pre_tokenizer") or {}
+        self.by_words = spec.get("normalizer") is None and all(cut.get(k) == v for k, v in BYTE_LEVEL.items()) and spec["model"]["type"] == "BPE" and not spec["model"].get("ignore_merges")
         self.heads: dict[str, bytes] = {"": b""}
         self.bodies: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
-        self.feed = self._ids(["\n"])[0]
+        self.feed = self._ids(["\n"])[0] if self.by_words else b""
         #: Ids that start with a space: no word holds one but at its own start.
         self.spaced = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.spaced[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith("\u0120")]] = True
@@ -84,7 +94,7 @@ class WordEncoder:
         heads, bodies, whole, cut = self.heads, self.bodies, {}, []
         new_heads, new_bodies = set(), set()
         for i, text in enumerate(texts):
-            if _ODD.search(text) or any(a in text for a in self.added):
+            if not self.by_words or _ODD.search(text) or any(a in text for a in self.added):
                 whole[i] = text
                 cut.append(None)
                 continue
@@ -98,9 +108,10 @@ class WordEncoder:
         self._learn(bodies, list({s for s, _ in split.values()}.difference(bodies) | (new_bodies - split.keys())), " ")
         if more := list({m for _, m in split.values()}.difference(self.marks)):
             self.marks.update(zip(more, self._ids(more), strict=True))
-        bodies.update((w, bodies[s] + self.marks[m]) for w, (s, m) in split.items())
+        marked = {w: bodies[s] + self.marks[m] for w, (s, m) in split.items()}
+        body = lambda w: bodies.get(w) or marked[w]
         encoded = dict(zip(whole, self._ids(list(whole.values())), strict=True))
-        return [encoded[i] if lines is None else self.feed.join([heads[x[0]] + b"".join([bodies[w] for w in x[1:]]) for x in lines]) for i, lines in enumerate(cut)]
+        return [encoded[i] if lines is None else self.feed.join([heads[x[0]] + b"".join(map(body, x[1:])) for x in lines]) for i, lines in enumerate(cut)]
 
 
 KEPT_BY_WORKER.append(WordEncoder.kept)
@@ -117,14 +128,34 @@ def _open(uri: str, mode: str):
     return system.open_output_stream(path) if "w" in mode else system.open_input_file(path)
 
 
-def _mapped(uri: str, kind) -> np.ndarray:
-    where = urlparse(uri)
-    if where.scheme in ("", "file"):
-        import os
+class Stored:
+    """Numbers of one file, read by ranges: mapped into memory where the folder is mounted, else through Arrow."""
 
-        return np.memmap(where.path, kind, "r") if os.path.getsize(where.path) else np.zeros(0, kind)
-    with _open(uri, "rb") as f:
-        return np.frombuffer(f.read(), kind)
+    def __init__(self, uri: str, kind: str):
+        self.kind = np.dtype(kind)
+        where = urlparse(uri)
+        if where.scheme in ("", "file"):
+            self.size = os.path.getsize(where.path) // self.kind.itemsize
+            self.map = np.memmap(where.path, self.kind, "r") if self.size else np.zeros(0, self.kind)
+        else:
+            self.map, self.file = None, _open(uri, "rb")
+            self.size = self.file.size() // self.kind.itemsize
+
+    def part(self, a: int, b: int) -> np.ndarray:
+        if self.map is not None:
+            return self.map[a:b]
+        self.file.seek(a * self.kind.itemsize)
+        return np.frombuffer(self.file.read((b - a) * self.kind.itemsize), self.kind)
+
+
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of about PIECE bytes of text; a longer text is a run of its own."""
+    size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
+    ends, at = np.cumsum(size, dtype=np.int64), 0
+    while at < len(batch):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PIECE, "right")))
+        yield batch.slice(at, to - at)
+        at = to
 
 
 def _write(path: str, folder: str):
@@ -135,8 +166,7 @@ def _write(path: str, folder: str):
         docs = tokens = nulls = 0
         with _open(f"{name}.tokens", "wb") as out, _open(f"{name}.offsets", "wb") as offsets, _open(f"{name}.ids", "wb") as ids:
             for batch in batches:
-                for at in range(0, len(batch), 500):
-                    piece = batch.slice(at, 500)
+                for piece in _pieces(batch):
                     done = [x + end for x in encoder.encode([x or "" for x in piece.column(1).to_pylist()])]
                     sizes = np.array([len(x) for x in done], np.int64) // encoder.type.itemsize
                     out.write(b"".join(done))
@@ -144,6 +174,7 @@ def _write(path: str, folder: str):
                     ids.write(np.array([0 if x is None else x for x in piece.column(0).to_pylist()], "<i8").tobytes())
                     nulls += piece.column(0).null_count
                     docs, tokens = docs + len(piece), tokens + int(sizes.sum())
+        give_back()
         if docs:
             yield pa.RecordBatch.from_pydict({"part": [task.partitionId()], "name": [name], "docs": [docs], "tokens": [tokens], "nulls": [nulls]}, schema=pa.schema([("part", pa.int32()), ("name", pa.string()), ("docs", pa.int64()), ("tokens", pa.int64()), ("nulls", pa.int64())]))
 
@@ -154,16 +185,15 @@ def write_tokens(documents: DataFrame, path: str, folder: str | None = None) ->
     """Encode `documents` (doc_id, text; other columns are ignored) in ascending order of doc_id; the index file's URI.
 
     A null or empty text is its end id alone. Null ids come first; rows that repeat an id follow each other in the order
-    of a hash of their texts. An empty table gives an index without files. `path` is the tokenizer's file, the same on
-    every machine. The driver handles one row per partition.
+    of a hash of their texts. Texts of any length are encoded whole; a hot id or many equal rows are dealt by that hash
+    too. An empty table gives an index without files. `path` is the tokenizer's file, the same on every machine. The
+    driver handles one row per partition.
     """
     import public_tokenizers  # noqa: F401  (the tokenizers' files must be there)
 
     spark = documents.sparkSession
     folder = folder or new_path(spark, "tokens")
     if urlparse(folder).scheme in ("", "file"):
-        import os
-
         os.makedirs(urlparse(folder).path, exist_ok=True)
     docs = documents.select(F.col("doc_id").cast("bigint"), F.col("text"), F.xxhash64("text").alias("tie"))
     ordered = docs.repartitionByRange(parts(spark), F.col("doc_id").asc_nulls_first(), F.col("tie")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie").drop("tie")
@@ -180,15 +210,14 @@ def _read(kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                ids = _mapped(row["name"] + ".ids", "<i8")
-                offsets = _mapped(row["name"] + ".offsets", "<u8").astype(np.int64)
-                tokens = _mapped(row["name"] + ".tokens", kind)
-                ends = np.append(offsets[1:], len(tokens))
-                for at in range(0, len(ids), 10_000):
-                    to = min(at + 10_000, len(ids))
-                    crc = [zlib.crc32(tokens[a:b].astype("<u4").tobytes()) for a, b in zip(offsets[at:to], ends[at:to], strict=True)]
+                ids, starts, tokens = Stored(row["name"] + ".ids", "<i8"), Stored(row["name"] + ".offsets", "<u8"), Stored(row["name"] + ".tokens", kind)
+                for at in range(0, ids.size, 10_000):
+                    to = min(at + 10_000, ids.size)
+                    cuts = starts.part(at, to + 1).astype(np.int64)
+                    cuts = cuts if to < ids.size else np.append(cuts, tokens.size)
+                    crc = [zlib.crc32(tokens.part(a, b).astype("<u4").tobytes()) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
                     null = np.arange(at, to) < row["nulls"]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.asarray(ids[at:to]), mask=null), pa.array(row["base"] + offsets[at:to]), pa.array(ends[at:to] - offsets[at:to]), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.array(ids.part(at, to)), mask=null), pa.array(row["base"] + cuts[:-1]), pa.array(np.diff(cuts)), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return run
 

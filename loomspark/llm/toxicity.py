@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomspark.llm.learning import held_out, learning_labels, logistic_fit
-from loomspark.llm.scratch import maybe_broadcast, n_bytes, written
-from loomspark.llm.textarrays import ASCII_PUNCT, Words, text_slices
+from loomspark.llm.scratch import maybe_broadcast, n_bytes, row_key, written
+from loomspark.llm.textarrays import ASCII_PUNCT, Words, clear_kept, text_slices
 
 #: A unit of the model stands in at least so many toxic learning documents. Files of scoring units larger than MODEL_BYTES
 #: are an error, as every task holds them all; none is left out.
@@ -54,6 +54,7 @@ def _units(words: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts -> per batch (unit, docs, n): documents that hold it, and occurrences."""
+    clear_kept()
     for batch in batches:
         for _, raw, offsets in text_slices(batch.column("text")):
             words = Words(raw, offsets, ASCII_PUNCT)
@@ -66,6 +67,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (text, label) -> per run of texts (unit, n, y1, y0): occurrences of each unit in all, toxic and clean rows;
     the null unit stands for the words altogether."""
+    clear_kept()
     for batch in batches:
         labels = np.array([-1 if x is None else x for x in batch.column("label").to_pylist()])
         for first, raw, offsets in text_slices(batch.column("text")):
@@ -120,6 +122,7 @@ def _scan(model: Lexicon):
     """Rows (doc_id, text, …) -> per row the evidence and the significant segments; other columns pass through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clear_kept()
         for batch in batches:
             n = len(batch)
             size, best, total = np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
@@ -147,14 +150,14 @@ def _scan(model: Lexicon):
             score = 1 / (1 + np.exp(-np.clip(model.slope * evidence + model.offset, -700, 700)))
             kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("score", pa.float64()), ("evidence", pa.float64())]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("label") if "label" in batch.schema.names else pa.nulls(n, pa.int32()), pa.array(raised), pa.array(evidence), pa.array(score), pa.array(segments, kind)],
-                ["doc_id", "label", "raised", "evidence", "score", "segments"],
+                [batch.column("doc_id"), batch.column("label") if "label" in batch.schema.names else pa.nulls(n, pa.int32()), batch.column("key") if "key" in batch.schema.names else pa.nulls(n, pa.binary()), pa.array(raised), pa.array(evidence), pa.array(score), pa.array(segments, kind)],
+                ["doc_id", "label", "key", "raised", "evidence", "score", "segments"],
             )
 
     return run
 
 
-_SCANNED = "doc_id bigint, label int, raised double, evidence double, score double, segments array<struct<first: int, last: int, score: double, evidence: double>>"
+_SCANNED = "doc_id bigint, label int, key binary, raised double, evidence double, score double, segments array<struct<first: int, last: int, score: double, evidence: double>>"
 
 
 def learn(documents: DataFrame, labels: DataFrame) -> Lexicon:
@@ -209,14 +212,17 @@ def _lambda(odds: np.ndarray, share: np.ndarray) -> float:
 
 
 def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per row of `documents` (doc_id, text; others are left out): doc_id, score (0 to 1), segments (first and last word,
-    score, evidence of each significant passage).
+    """Per row of `documents` (doc_id, text; others, whatever their names, are left out): doc_id, score (0 to 1), segments
+    (first and last word, score, evidence of each significant passage), key (see `row_key`).
 
-    A null or empty text has no segments and the score of no evidence. Equal texts have equal scores; repeated rows are
-    each scored. Without labels of both classes all rows have the base rate. An empty table gives an empty result.
+    A null or empty text has no segments and the score of no evidence; a text of any length is scanned whole. Equal texts
+    have equal scores; repeated rows are each scored, and so is a row without doc_id, which no label can be tied to. Of
+    rows that repeat an id all are learned from. Without labels of both classes all rows have the base rate. An empty
+    table gives an empty result.
     """
     model = learn(documents, labels)
-    return documents.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(_scan(model), _SCANNED).select("doc_id", "score", "segments")
+    rows = documents.select(F.col("doc_id").cast("bigint"), "text", row_key(F.col("doc_id"), F.col("text")).alias("key"))
+    return rows.mapInArrow(_scan(model), _SCANNED).select("doc_id", "score", "segments", "key")
 
 
 def op2_toxicity(spark, sf_dir: str) -> DataFrame:

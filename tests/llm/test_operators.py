@@ -287,14 +287,76 @@ def test_wrapped_licenses(spark):
     assert [r.n_sentences for r in got][0] == 4 and got[0].unmatched == [] and got[3].unmatched == ["all_rights"]
 
 
-def test_pipeline_on_sf001(spark):
+def plain_pipeline(rows, scores, items, encode):
+    """(doc_id, start, n_tokens, crc) of every row and copy, in plain Python but for the scores of toxicity."""
+    from test_jaccard_join import shingles
+    from test_mixing import filled
+
+    rows = [r for r in rows if scores[r[1]] < 0.5]
+    rows = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, r[1] or "", r[2] or ""))
+    sets = [shingles(t, 5) for _, t, _ in rows]
+    group = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and 100 * len(a & sets[j]) >= 80 * len(a | sets[j]) and group[i] != group[j]:
+                low, high = sorted((group[i], group[j]))
+                group = [low if g == high else g for g in group]
+    rows = [r for i, r in enumerate(rows) if group[i] == i]
+    rows = [r for r in rows if not plain_contamination([r[:2]], items)[0][5]]
+    words = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    sizes: dict = {}
+    for _, t, source in rows:
+        sizes[source] = sizes.get(source, 0) + words(t)
+    targets, taken = filled(sizes), []
+    for doc, t, source in rows:
+        rate = min(targets[source] / sizes[source], 3.0) if sizes[source] else 0.0
+        draw = int(hashlib.sha256(f"mix-1{'' if doc is None else doc}".encode()).hexdigest()[:8], 16) / 2**32
+        taken += [(doc, t)] * (int(rate) + (draw < rate - int(rate)))
+    out, start = [], 0
+    for doc, t in sorted(taken, key=lambda r: (r[0] is not None, r[0] or 0)):
+        ids = [*encode(t or ""), 2]
+        out.append((doc, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    return out
+
+
+@pytest.fixture(scope="module")
+def small_corpus(spark, tmp_path_factory):
+    """Tables of 120 real documents with copies, odd rows, clashing columns, and their labels and benchmark."""
+    where = str(tmp_path_factory.mktemp("small"))
+    real = [(r.doc_id, r.text, r.source) for r in spark.read.parquet(str(DATA / "documents.parquet")).orderBy("doc_id").limit(120).collect()]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(str(DATA / "benchmark.parquet")).limit(20).collect()]
+    near = [(1000 + d, t + " one more word", s) for d, t, s in real[:30]]
+    odd = [(None, None, None), (3001, "", "src1"), (3002, items[0][1], "src2"), (3003, "quiet words of a row " + items[1][1], None), (3004, "some words that stand alone here", "src0"), (3004, "some words that stand alone here", "src0"), (None, real[5][1], "src0")]
+    schema = "doc_id bigint, text string, source string"
+    documents = spark.createDataFrame(real + near + odd, schema)
+    documents.selectExpr("*", "1 AS key", "2 AS size", "3 AS row", "4 AS copies", "5 AS score", "6 AS component_id", "7 AS n_chars").write.parquet(f"{where}/documents.parquet")
+    spark.read.parquet(str(DATA / "labels.parquet")).write.parquet(f"{where}/labels.parquet")
+    spark.createDataFrame(items, "item_id string, text string").write.parquet(f"{where}/benchmark.parquet")
+    return where, real + near + odd, items
+
+
+def test_pipeline_against_plain_python(spark, small_corpus):
+    import corpus_pipeline
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    where, rows, items = small_corpus
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    read = lambda t: spark.read.parquet(f"{where}/{t}.parquet")
+    scores = {r.text: r.score for r in toxicity.score_toxicity(read("documents"), read("labels")).alias("s").join(read("documents").select("text", scratch.row_key(F.col("doc_id"), F.col("text")).alias("key")), "key").collect()}
+    want = plain_pipeline(rows, scores, items, lambda t: tokenizer.encode(t, add_special_tokens=False).ids)
+    got = corpus_pipeline.run(spark, where).select("doc_id", "start", "n_tokens", "ids_crc32")
+    assert sorted(tuple(r) for r in got.collect() if r.doc_id is not None) == sorted(r for r in want if r[0] is not None)
+    assert len(want) == got.count() and 0 < len(want) < len(rows) * 3
+
+
+def test_pipeline_stages_on_edges(spark, small_corpus):
     import corpus_pipeline
 
-    d = spark.read.parquet(str(DATA / "documents.parquet"))
-    held = d
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        held = scratch.written(stage(spark, held, str(DATA)), name)
-        assert held.columns == corpus_pipeline.COLUMNS
-        assert 0 < held.count() <= 1100
-    out = corpus_pipeline.run(spark, str(DATA))
-    assert sorted(r.doc_id for r in out.select("doc_id").collect()) == sorted(r.doc_id for r in held.select("doc_id").collect())
+    where, _, _ = small_corpus
+    d = spark.read.parquet(f"{where}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, d, where).columns == d.columns
+        assert stage(spark, d.limit(0), where).count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, d.limit(0), where).count() == 0
