@@ -279,6 +279,51 @@ GPL_HEADER = """# This program is free software: you can redistribute it and/or
 """
 
 
+BSD3 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+FREE = "This {what} is free software{mark} you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free Software Foundation; either version {v} of the License, or (at your option) any later version.\n\nThis {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details."
+WHOLE = [
+    ("MIT", "\n\n".join(" ".join(p.split()) for p in MIT_WRAPPED[MIT_WRAPPED.index("Permission") :].split("\n\n"))), ("BSD-3-Clause", BSD3), ("BSD-2-Clause", BSD3.replace(BSD3.split("\n\n")[3] + "\n\n", "")), ("ISC", ISC),
+    ("GPL-2.0-or-later", FREE.format(what="program", mark=";", name="General Public License", v=2)), ("GPL-3.0-or-later", FREE.format(what="program", mark=":", name="General Public License", v=3)),
+    ("LGPL-2.1-or-later", FREE.format(what="library", mark=";", name="Lesser General Public License", v="2.1")), ("LGPL-3.0-or-later", FREE.format(what="program", mark=":", name="Lesser General Public License", v=3)),
+    ("AGPL-3.0-or-later", FREE.format(what="program", mark=":", name="Affero General Public License", v=3)),
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.'),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("Apache-2.0", "Apache License\nVersion 2.0, January 2004\n\nTERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION"), ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International Public License"), ("CC0-1.0", "CC0 1.0 Universal"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n\nEveryone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed."),
+    ("MIT", "// SPDX-License-Identifier: MIT"), ("LGPL-2.1-or-later", "# SPDX-License-Identifier: LGPL-2.1-or-later"), ("Unlicense", "This is free and unencumbered software released into the public domain."),
+]
+
+
+@pytest.mark.parametrize("wrap", [0, 72, 40])
+def test_whole_license_texts(spark, wrap):
+    import textwrap
+
+    cut = lambda t: "\n\n".join("\n".join(textwrap.wrap(p, wrap)) if wrap and "\n" not in p else p for p in t.split("\n\n"))
+    rows = [(i % 7 or None, "Some words before it.\n\n" + cut(t) + "\n\nSome words after it.") for i, (_, t) in enumerate(WHOLE)]
+    for (name, _), row in zip(WHOLE, rows, strict=True):
+        ids = [x for _, x in licenses.known_sentences(row[1])]
+        found = licenses.scan_licenses(spark.createDataFrame([row], "doc_id bigint, text string")).first() if wrap == 40 and name in ("ISC", "MPL-2.0") else None
+        assert found is None or found.licenses == [name] and found.unmatched == []
+        rest, got = "," + "".join(f"{x},," for x in ids)[:-1] if ids else ",", []
+        for licence, run in licenses.RULES:
+            pattern = "," + ",,".join(run) + ","
+            if pattern in rest:
+                got.append(licence)
+                rest = rest.replace(pattern, "")
+        assert got == [name] and not rest.strip(","), (name, ids)
+
+
 def test_wrapped_licenses(spark):
     notices = "words before\nReleased under the MIT License\nAll rights reserved\nwords after"
     parted = "This program is distributed in the hope\n\nthat it will be useful"
