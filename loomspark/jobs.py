@@ -92,10 +92,18 @@ def _stored(spark, tables, *names) -> str:
 
 # Sources
 
-for _t, _k in (("blocks", "number"), ("transactions", "block_number"), ("logs", "block_number"), ("traces", "block_number")):
-    job(f"scan_{_t}", f"SELECT {cols(COLUMNS[_t])} FROM {_t} WHERE {_k} >= {LOW} AND {_k} < {HIGH}")(
-        lambda spark, d, t, n=_t: block_range(scan(spark, _stored(spark, t, n), n), n, LOW, HIGH).select(*(f"`{c}`" for c in COLUMNS[n]))
-    )
+def _scanned(table: str):
+    """The stored table, read as a whole; blocks by a range, which prunes folders."""
+
+    def run(spark, d, t):
+        df = scan(spark, _stored(spark, t, table), table)
+        return (block_range(df, table, LOW, HIGH) if table == "blocks" else df).select(*(f"`{c}`" for c in COLUMNS[table]))
+
+    return run
+
+
+for _t in COLUMNS:
+    job(f"scan_{_t}", f"SELECT {cols(COLUMNS[_t])} FROM {_t}" + (f" WHERE number >= {LOW} AND number < {HIGH}" if _t == "blocks" else ""))(_scanned(_t))
 
 
 def _ipc_writer(folder: str):
@@ -178,7 +186,7 @@ def _debug_traces(spark, d, t):
     text = F.to_json(F.struct(F.lit("CALL").alias("type"), "from", "to"))
     json = F.concat(F.regexp_replace(text, r"\}$", ""), F.lit(',"calls":['), F.to_json(first), F.lit(","), F.to_json(second), F.lit("]}"))
     docs = df.select("block_number", F.unhex(F.substring("block_hash", 3, 64)).alias("block_hash"), F.unhex(F.substring("hash", 3, 64)).alias("transaction_hash"), F.col("transaction_index").alias("transaction_position"), json.alias("json"))
-    return ingest.debug_traces(docs, 3).select("block_number", "transaction_hash", "trace_address", "subtraces", "type", "from", "to")
+    return ingest.debug_traces(docs).select("block_number", "transaction_hash", "trace_address", "subtraces", "type", "from", "to")
 
 
 job("archive_height", "SELECT max(number) AS height FROM blocks")(lambda spark, d, t: archive_height(t["blocks"]))
@@ -204,9 +212,7 @@ for _t, _rows, _n in (("blocks", "mb", 40), ("transactions", "mt", 100), ("logs"
     )
 job("next_block", f", {_MATCHED}, {_CUT.format(key='block_number', rows='ml')} SELECT max(n) + 1 AS next_block FROM c WHERE seen < 500")(lambda spark, d, t: _limited(t).limit(logs=500).execute(t).next_block(t))
 for _name, _rev in (("order_canonical", False), ("reverse_order", True)):
-    job(_name, f"SELECT {cols(LG)} FROM logs WHERE block_number >= {LOW} AND block_number < {HIGH} ORDER BY block_number {'DESC' if _rev else ''}, log_index {'DESC' if _rev else ''}")(
-        lambda spark, d, t, r=_rev: order.ordered(block_range(t["logs"], "logs", LOW, HIGH).select(*LG), "logs", r)
-    )
+    job(_name, f"SELECT {cols(LG)} FROM logs ORDER BY block_number {'DESC' if _rev else ''}, log_index {'DESC' if _rev else ''}")(lambda spark, d, t, r=_rev: order.ordered(t["logs"].select(*LG), "logs", r))
 job("row_counts", "SELECT 'blocks' AS \"table\", count(*) AS n FROM blocks UNION ALL SELECT 'transactions', count(*) FROM transactions UNION ALL SELECT 'logs', count(*) FROM logs UNION ALL SELECT 'traces', count(*) FROM traces")(
     lambda spark, d, t: order.row_counts(t)
 )
@@ -267,6 +273,7 @@ _FILTERS = [
     ("filter_tx_hash", "transactions", "hash", [sha(f"t{i}") for i in range(1, 50)]),
     ("filter_trace_from", "traces", "from", [addr(f"c{i}") for i in range(1, 40)]),
     ("filter_trace_to", "traces", "to", [addr("tok1")]),
+    ("filter_trace_address", "traces", "address", [addr("k1"), addr("k6")]),
     ("filter_trace_call_type", "traces", "call_type", ["delegatecall"]),
     ("filter_trace_reward_type", "traces", "reward_type", ["block", "uncle"]),
     ("filter_trace_type", "traces", "type", ["reward"]),
@@ -276,12 +283,6 @@ for _name, _t, _f, _v in _FILTERS:
     _direct(_name, _t, Filter(_t).where(_f, _v), f'"{_f}" IN ({inside(_v)})')
 
 
-@job("filter_trace_address", f"SELECT {cols(TR)} FROM traces WHERE author IN ('{addr('m1')}')")
-def _trace_address(spark, d, t):
-    traces = t["traces"].withColumn("address", F.col("author"))
-    return traces.where(Filter("traces").where("address", [addr("m1")]).column()).select(*(f"`{c}`" for c in TR))
-
-
 @job("filter_tx_authorization", f"SELECT {cols(TX)} FROM transactions WHERE auth_address IN ('{addr('a2')}', '{addr('a4')}')")
 def _authorized(spark, d, t):
     f = Filter("transactions").authorized(AuthorizationSelection(("0x01",), (addr("a2"),)), AuthorizationSelection((), (addr("a4"),)), AuthorizationSelection(("0x05",), ()))
@@ -469,10 +470,31 @@ def _followed(spark, t: dict, table: str, make) -> DataFrame:
     return spark.read.parquet(f"{out}/rows")
 
 
-_STREAMED = ChainQuery(LOW, HIGH).where("logs", Filter("logs").where("topic0", ["0x" + TRANSFER])).select("logs", LG)
-_STREAM_SQL = f"SELECT {cols(LG)} FROM logs WHERE block_number >= {LOW} AND block_number < {HIGH} AND topic0 = '0x{TRANSFER}'"
-for _name in ("stream_query", "follow_sink", "follow_head"):
-    job(_name, _STREAM_SQL)(lambda spark, d, t: _followed(spark, t, "logs", lambda p: follow.stream_query(spark, p, _STREAMED, "logs")))
+_STREAMED = ChainQuery().where("logs", Filter("logs").where("topic0", ["0x" + TRANSFER])).select("logs", LG)
+_STREAM_SQL = f"SELECT {cols(LG)} FROM logs WHERE topic0 = '0x{TRANSFER}'"
+job("stream_query", _STREAM_SQL)(lambda spark, d, t: _followed(spark, t, "logs", lambda p: follow.stream_query(spark, p, _STREAMED, "logs")))
+job("follow_sink", f"SELECT {cols(BL)} FROM blocks")(lambda spark, d, t: _followed(spark, t, "blocks", lambda p: follow.stream_table(spark, p, "blocks").select(*BL)))
+
+
+@job("follow_head", f"SELECT {cols(LG)} FROM logs WHERE topic0 = '0x{TRANSFER}'")
+def _follow_head(spark, d, t):
+    """Blocks that arrive in three pages, each followed by its matching logs; started anew after the second page."""
+    path, out = _stored(spark, t, "logs"), shared_folder(spark, "head")
+    low, high = t["blocks"].agg(F.min("number"), F.max("number") + 1).first()
+    cuts = [low, low + (high - low) // 3, low + 2 * (high - low) // 3, high]
+    logs = scan(spark, path, "logs").where(_STREAMED.predicates()["logs"])
+
+    def page(batch: DataFrame, epoch: int) -> None:
+        first, last = batch.agg(F.min("number"), F.max("number")).first()
+        block_range(logs, "logs", first, last + 1).select(*LG).write.mode("overwrite").parquet(f"{out}/pages/epoch={epoch}")
+
+    def reorganised(batch: DataFrame, block: int) -> None:
+        raise ValueError(f"a block after {block} doesn't continue the chain")
+
+    for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+        full_shape(block_range(t["blocks"], "blocks", start, end), "blocks").write.mode("append").parquet(f"{out}/blocks")
+        follow.follow_with_guard(follow.stream_table(spark, f"{out}/blocks", "blocks"), page, reorganised, f"{out}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{out}/pages").select(*LG)
 
 
 @job("height_stream", "SELECT max(number) AS height FROM blocks")

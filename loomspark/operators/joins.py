@@ -68,15 +68,16 @@ def events(logs: DataFrame, transactions: DataFrame, blocks: DataFrame, log_fiel
     join, and a side of which nothing is selected is a null of its full type.
     """
 
-    def side(df: DataFrame, other: DataFrame, name: str, fields: list[str], key: str, log_key: str) -> DataFrame:
+    def side(df: DataFrame, other: DataFrame, name: str, fields: list[str], key: str, log_key: str, block: str) -> DataFrame:
         if not fields:
             return df.withColumn(name, F.lit(None).cast(SCHEMAS[name + "s"]))
         if set(fields) == {key}:
             return df.withColumn(name, F.struct(F.col(log_key).alias(key)))
-        chosen = other.select(F.col(key).alias("_key"), F.struct(*(f"`{f}`" for f in sorted({*fields, key}))).alias(name))
-        return df.join(chosen, F.col(log_key) == F.col("_key"), "left").drop("_key")
+        chosen = other.select(F.col(key).alias("_key"), F.col(block).alias("_block"), F.struct(*(f"`{f}`" for f in sorted({*fields, key}))).alias(name))
+        on = F.col("block_number") == F.col("_block")
+        return df.join(chosen, on if key == block else on & (F.col(log_key) == F.col("_key")), "left").drop("_key", "_block")
 
     fields = sorted({*log_fields} | ({"block_number"} if block_fields else set()) | ({"transaction_hash"} if tx_fields else set()))
     keys = sorted({*fields, "block_number", "transaction_hash"})
-    df = side(side(logs.select(*keys), transactions, "transaction", tx_fields, "hash", "transaction_hash"), blocks, "block", block_fields, "number", "block_number")
+    df = side(side(logs.select(*keys), transactions, "transaction", tx_fields, "hash", "transaction_hash", "block_number"), blocks, "block", block_fields, "number", "block_number", "number")
     return df.select(F.struct(*fields).alias("log"), "transaction", "block")

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loomspark.schema import BLOCK_COLUMN, ORDER
+from loomspark.schema import BLOCK_COLUMN, ORDER, RANGE
 
 #: Blocks whose counts are summed in one window of the prefix sum.
 BUCKET = 1000
@@ -24,13 +24,36 @@ def blocks_within(df: DataFrame, column: str, limit: int) -> DataFrame:
     return counts.join(before, "b").withColumn("seen", F.col("base") + inside).where(F.col("seen") < limit).select(F.col("n").alias(column))
 
 
-def limit_blocks(tables: dict, limits: dict) -> tuple[dict, DataFrame | None]:
-    """Cut all tables at the first block where a table's limit was reached; the last block kept, if there was a cut."""
-    ends = [blocks_within(tables[t], BLOCK_COLUMN[t], n).agg(F.max(BLOCK_COLUMN[t]).alias("last")) for t, n in limits.items() if n is not None]
-    if not ends:
+def limit_blocks(tables: dict, limits: dict, start: int, end: int) -> tuple[dict, int | None]:
+    """Cut all tables after the block where a table's limit was reached; the last block kept, or None without a cut.
+
+    Counts go over ranges of blocks from `start` on, each twice as long as the one before, and end where the limit is
+    reached: what lies behind is neither read nor counted. The driver reads one row a range.
+    """
+    cuts = [c for t, n in limits.items() if n is not None and (c := _cut(tables[t], BLOCK_COLUMN[t], n, start, end)) is not None]
+    if not cuts:
         return tables, None
-    last = reduce(DataFrame.union, ends).agg(F.min("last").alias("last"))
-    return {t: df.join(F.broadcast(last), F.col(BLOCK_COLUMN[t]) <= F.col("last")).select(*df.columns) for t, df in tables.items()}, last
+    last = min(cuts)
+    return {t: within(df, BLOCK_COLUMN[t], start, last + 1) for t, df in tables.items()}, last
+
+
+def within(df: DataFrame, column: str, start: int, end: int) -> DataFrame:
+    """Blocks of [start, end), by the block column and, in a stored table, by the folders of ranges."""
+    kept = (F.col(column) >= start) & (F.col(column) < end)
+    return df.where(kept & F.col("block_range").between(start // RANGE, max(0, end - 1) // RANGE) if "block_range" in df.columns else kept)
+
+
+def _cut(df: DataFrame, column: str, limit: int, start: int, end: int) -> int | None:
+    """The last block to keep, or None when the table has fewer rows than the limit."""
+    low, step, left = start, RANGE, limit
+    while low < end:
+        high = min(low + step, end)
+        part = within(df, column, low, high)
+        n = part.count()
+        if n >= left:
+            return blocks_within(part, column, left).agg(F.max(column)).first()[0] if left > 0 else low - 1
+        low, step, left = high, 2 * step, left - n
+    return None
 
 
 def ordered(df: DataFrame, table: str, reverse: bool = False) -> DataFrame:

@@ -47,11 +47,11 @@ def assert_not_null(df: DataFrame, table: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class ChainResult:
-    """Lazy frames; a table without selected fields is None. `last_block` has a row when a limit cut the page."""
+    """Lazy frames; a table without selected fields is None. `last_block` is the last one of a page that a limit cut."""
 
     tables: dict
     decoded_logs: DataFrame | None = None
-    last_block: DataFrame | None = None
+    last_block: int | None = None
     to_block: int | None = None
 
     def transform(self, decode=None, reverse: bool = False, mapping: dict | None = None, hex_mode: str = "none") -> ChainResult:
@@ -68,7 +68,7 @@ class ChainResult:
         height = tables["blocks"].agg(F.coalesce(F.max("number"), F.lit(-1)).alias("height"))
         if self.last_block is None:
             return height.select(end.cast("bigint").alias("next_block"))
-        return height.crossJoin(F.broadcast(self.last_block)).select(F.least(F.col("last") + 1, end).cast("bigint").alias("next_block"))
+        return height.select(F.least(F.lit(self.last_block + 1), end).cast("bigint").alias("next_block"))
 
 
 @dataclass(frozen=True)
@@ -107,13 +107,17 @@ class ChainQuery:
         return {t: any_of(self.selections.get(t, ())) for t in SCHEMAS}
 
     def execute(self, tables: dict) -> ChainResult:
-        """The result over four tables. Without `to_block` the range ends with the highest block there is."""
+        """The result over four tables. Without `to_block` the range ends with the highest block there is. Only limits
+        read anything here: counts of ranges of blocks, until one is reached."""
         ranged = {t: block_range(df, t, self.from_block, self.to_block) for t, df in tables.items()}
         match = self.predicates()
         out = MODES[self.join_mode](ranged, match)
         if self.include_all_blocks:
             out["blocks"] = ranged["blocks"]
-        out, last = limit_blocks(out, self.limits)
+        last = None
+        if any(n is not None for n in self.limits.values()):
+            end = self.to_block if self.to_block is not None else (tables["blocks"].agg(F.max("number")).first()[0] or -1) + 1
+            out, last = limit_blocks(out, self.limits, self.from_block, end)
         chosen = {t: df.select(*(f"`{c}`" for c in self.fields[t] if c in df.columns)) if self.fields.get(t) else None for t, df in out.items()}
         return ChainResult(chosen, last_block=last, to_block=self.to_block)
 

@@ -11,9 +11,12 @@ from loomspark.plans.query import ChainResult
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder in the cluster's shared one (spark.checkpoint.dir); where that is unset, as in tests, a local one."""
+    """A new folder in the cluster's shared one (spark.checkpoint.dir); where that is unset and Spark runs in one process, as in
+    tests, a local one."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-chain-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -47,11 +47,12 @@ FROM lineitem JOIN (SELECT o_orderkey, o_custkey, DAY AS block_number, B(H('b' |
     "traces": f"""
 SELECT B({_ADDR("'c' || o_custkey")}) AS "from", B({_ADDR("'tok' || l_partkey % 20")}) AS "to", CASE WHEN l_linestatus = 'O' THEN 'call' ELSE 'delegatecall' END AS call_type,
   B('70a08231' || {_PAD("'c' || o_custkey")}) AS input, B({_Q(_QTY)}) AS value, B(NULL) AS author, CAST(NULL AS STRING) AS reward_type, t.block_hash, t.block_number,
-  B({_WORD(_QTY)}) AS output, row_number() OVER (PARTITION BY l_orderkey ORDER BY {LINE}) - 1 AS trace_place, t.transaction_hash, t.transaction_position, 'call' AS type, B('70a08231') AS sighash
+  B({_WORD(_QTY)}) AS output, row_number() OVER (PARTITION BY l_orderkey ORDER BY {LINE}) - 1 AS trace_place, t.transaction_hash, t.transaction_position, 'call' AS type, B('70a08231') AS sighash,
+  B(CASE WHEN l_linenumber = 2 THEN {_ADDR("'k' || l_partkey % 20")} END) AS address
 FROM lineitem JOIN (SELECT o_orderkey, o_custkey, DAY AS block_number, B(H('b' || DAY)) AS block_hash, B(H('t' || o_orderkey)) AS transaction_hash,
   row_number() OVER (PARTITION BY DAY ORDER BY o_orderkey) - 1 AS transaction_position FROM orders) t ON l_orderkey = o_orderkey WHERE l_linenumber <= 2
 UNION ALL
-SELECT B(NULL), B(NULL), NULL, B(NULL), B('1bc16d674ec80000'), B({_ADDR("'m' || number % 7")}), 'block', B(H('b' || number)), number, B(NULL), NULL, B(NULL), NULL, 'reward', B(NULL)
+SELECT B(NULL), B(NULL), NULL, B(NULL), B('1bc16d674ec80000'), B({_ADDR("'m' || number % 7")}), 'block', B(H('b' || number)), number, B(NULL), NULL, B(NULL), NULL, 'reward', B(NULL), B(NULL)
 FROM (SELECT DISTINCT DAY AS number FROM orders)""",
 }
 

@@ -5,8 +5,10 @@ Readers get a frame with a text column `json`; the documents' fields are read by
 
 from __future__ import annotations
 
-from functools import reduce
+import json
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -124,22 +126,51 @@ def rpc_traces(df: DataFrame) -> DataFrame:
     return own.withColumn("sighash", F.when(F.length("input") >= 4, F.substring("input", 1, 4))).select(*(f"`{n}`" for n in SCHEMAS["traces"].names))
 
 
-def debug_traces(df: DataFrame, depth: int = 8) -> DataFrame:
-    """Call trees (columns block_number, block_hash, transaction_hash, transaction_position, json) as rows of traces: one
-    level of calls per step; trace_address is the path of positions. A tree deeper than `depth` is an error."""
+#: What is read from a call of a call tree.
+_CALL = ("type", "from", "to", "gas", "gasUsed", "input", "output", "value", "error")
+_CALL_ROWS = 10_000
+
+
+def _calls(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with a call tree in `json` -> one row per call, parents first: the other columns, the path of positions, the
+    number of calls below, and the texts of _CALL. A tree of any depth is walked with a stack."""
+
+    def rows(batch: pa.RecordBatch, at: list, paths: list, below: list, calls: list) -> pa.RecordBatch:
+        own = batch.drop_columns(["json"]).take(pa.array(at, pa.int64()))
+        text = lambda x: x if x is None or isinstance(x, str) else json.dumps(x)
+        columns = [pa.array(paths, pa.list_(pa.int64())), pa.array(below, pa.int64()), *(pa.array([text(c.get(n)) for c in calls], pa.string()) for n in _CALL)]
+        return pa.RecordBatch.from_arrays([*own.columns, *columns], [*own.schema.names, "trace_address", "subtraces", *(f"call_{n}" for n in _CALL)])
+
+    for batch in batches:
+        at, paths, below, calls = [], [], [], []
+        for i, text in enumerate(batch.column("json").to_pylist()):
+            stack = [([], json.loads(text))] if text else []
+            while stack:
+                path, call = stack.pop()
+                inner = call.get("calls") or []
+                at.append(i)
+                paths.append(path)
+                below.append(len(inner))
+                calls.append(call)
+                stack += [([*path, j], inner[j]) for j in reversed(range(len(inner)))]
+                if len(at) >= _CALL_ROWS:
+                    yield rows(batch, at, paths, below, calls)
+                    at, paths, below, calls = [], [], [], []
+        if at:
+            yield rows(batch, at, paths, below, calls)
+
+
+def debug_traces(df: DataFrame) -> DataFrame:
+    """Call trees of any depth (columns block_number, block_hash, transaction_hash, transaction_position, json) as rows
+    of traces; trace_address is the path of positions. A null document has no calls."""
     keys = ["block_number", "block_hash", "transaction_hash", "transaction_position"]
-    level, levels = df.select(*keys, F.col("json").alias("call"), F.array().cast("array<bigint>").alias("trace_address")), []
-    for i in range(depth + 1):
-        calls = _array(F.col("call"), "$.calls", "string")
-        calls = F.when(F.size(calls) > 0, F.raise_error(F.lit(f"calls nest deeper than {depth}"))).otherwise(calls) if i == depth else calls
-        level = level.withColumn("calls", calls)
-        levels.append(level)
-        level = level.select(*keys, F.posexplode("calls").alias("i", "call"), "trace_address").select(*keys, "call", F.concat("trace_address", F.array(F.col("i").cast("bigint"))).alias("trace_address"))
-    rows = reduce(DataFrame.union, levels)
-    text = lambda n: F.get_json_object("call", f"$.{n}")
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
+    schema = ", ".join([f"{k} {kinds[k]}" for k in keys] + ["trace_address array<bigint>", "subtraces bigint"] + [f"call_{n} string" for n in _CALL])
+    rows = df.select(*keys, "json").mapInArrow(_calls, schema)
+    text = lambda n: F.col(f"call_{n}")
     call = F.lower(text("type"))
     rows = rows.select(
-        *keys, "trace_address", F.coalesce(F.size("calls"), F.lit(0)).cast("bigint").alias("subtraces"), F.when(call.startswith("create"), "create").when(call == "selfdestruct", "suicide").otherwise("call").alias("type"),
+        *keys, "trace_address", "subtraces", F.when(call.startswith("create"), "create").when(call == "selfdestruct", "suicide").otherwise("call").alias("type"),
         F.when(~call.startswith("create"), call).alias("call_type"), hex_to_fixed(text("from"), 20).alias("from"), hex_to_fixed(text("to"), 20).alias("to"), number_to_quantity(text("gas")).alias("gas"),
         number_to_quantity(text("gasUsed")).alias("gas_used"), hex_to_data(text("input")).alias("input"), hex_to_data(text("output")).alias("output"), number_to_quantity(text("value")).alias("value"), text("error").alias("error"),
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from loomspark.plans.query import ChainQuery, block_range
 from loomspark.schema import SCHEMAS
@@ -45,18 +46,35 @@ def detect_reorg(blocks: DataFrame, bucket: int = 1000) -> DataFrame:
     return both.withColumn("before", F.lag("hash").over(w)).where(F.col("own") & F.col("before").isNotNull() & (F.col("before") != F.col("parent_hash"))).select("number", "parent_hash", F.col("before").alias("stored_hash"))
 
 
-def follow_with_guard(stream: DataFrame, handle, on_reorg, **trigger):
-    """Micro-batches of blocks to `handle`; a batch that doesn't continue the one before goes to `on_reorg` first. The
-    state is the last guard (one row)."""
-    last: dict = {}
+def follow_with_guard(stream: DataFrame, handle, on_reorg, checkpoint: str, **trigger):
+    """Micro-batches of blocks to `handle(batch, epoch)`; when a batch doesn't continue the one before, or breaks within
+    itself, `on_reorg(batch, last good block)` comes first.
+
+    The guards (one row a batch) are kept below `checkpoint` beside the stream's own progress, so a restart goes on
+    against the last one; a batch that is repeated is held against the one before it again.
+    """
+    spark, guards = stream.sparkSession, f"{checkpoint}/guards"
+
+    def before(epoch: int):
+        try:
+            return spark.read.parquet(guards).where(F.col("epoch") < epoch).orderBy(F.desc("epoch")).first()
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+                raise
+            return None
 
     def step(batch: DataFrame, epoch: int) -> None:
-        guard = rollback_guard(batch).first()
-        if guard.block_number is None:
+        guard = rollback_guard(batch)
+        ends = guard.first()
+        if ends.block_number is None:
             return
-        if last and last["hash"] != guard.first_parent_hash:
-            on_reorg(batch, last["block_number"])
-        last.update(hash=guard.hash, block_number=guard.block_number)
+        last = before(epoch)
+        broken = detect_reorg(batch).agg(F.min("number")).first()[0]
+        if last and last.hash != ends.first_parent_hash:
+            on_reorg(batch, last.block_number)
+        elif broken is not None:
+            on_reorg(batch, broken - 1)
         handle(batch, epoch)
+        guard.write.mode("overwrite").parquet(f"{guards}/epoch={epoch}")
 
-    return stream.writeStream.foreachBatch(step).trigger(**(trigger or {"availableNow": True})).start()
+    return stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{checkpoint}/stream").trigger(**(trigger or {"availableNow": True})).start()

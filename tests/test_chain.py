@@ -88,6 +88,59 @@ def test_abi_fixtures(spark):
     assert one(spark, abi.decode_body(F.col("c"), abi.parse_signature("f(string s)").params)[0], c=hostile) is False
 
 
+def test_deep_call_trees(spark):
+    import json
+
+    call = {"type": "CALL", "from": "0x" + "01" * 20, "calls": []}
+    for _ in range(1023):
+        call = {"type": "CALL", "from": "0x" + "02" * 20, "gas": 5, "calls": [call, {"type": "CREATE", "from": "0x" + "03" * 20}]}
+    docs = spark.createDataFrame([(1, b"a", b"b", 0, json.dumps(call)), (2, b"a", b"c", 1, None)], "block_number bigint, block_hash binary, transaction_hash binary, transaction_position bigint, json string")
+    rows = ingest.debug_traces(docs).select("trace_address", "subtraces", "type").collect()
+    assert len(rows) == 2047 and max(len(r.trace_address) for r in rows) == 1023
+    assert sorted(r.subtraces for r in rows)[-1] == 2 and sum(r.type == "create" for r in rows) == 1023
+
+
+def test_follow_with_guard_over_restarts(spark, tmp_path):
+    from loomspark.streaming import follow
+
+    h = lambda *x: [bytes([i]) * 32 for i in x]
+    schema = T.StructType([f for f in follow.SCHEMAS["blocks"] if f.name in ("number", "hash", "parent_hash")])
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
+    seen, bad = [], []
+
+    def page(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/blocks")
+        stream = follow.stream_table(spark, f"{tmp_path}/blocks", "blocks")
+        follow.follow_with_guard(stream, lambda b, e: seen.append(b.count()), lambda b, last: bad.append(last), f"{tmp_path}/checkpoint").awaitTermination()
+
+    page([(1, *h(1, 0)), (2, *h(2, 1))])
+    page([(3, *h(3, 2))])
+    assert (seen, bad) == ([2, 1], [])
+    page([(4, *h(4, 9))])
+    page([(5, *h(5, 4)), (6, *h(6, 8))])
+    assert (seen, bad) == ([2, 1, 1, 2], [3, 5])
+
+
+def test_limits_stop_early(spark, monkeypatch):
+    from loomspark.operators import order
+    from loomspark.sources.fixtures import chain_tables
+
+    monkeypatch.setattr(order, "RANGE", 50)
+    t = chain_tables(spark, DATA)
+    q = ChainQuery(10, None, join_mode="nothing").where("logs", Filter("logs")).select("logs", ["block_number"]).where("blocks", Filter("blocks")).select("blocks", ["number"])
+    counts = {r.block_number: r["count"] for r in t["logs"].where("block_number >= 10").groupBy("block_number").count().collect()}
+    for limit in (1, 40, 700, 10**9):
+        total, kept = 0, []
+        for b in sorted(counts):
+            if total >= limit:
+                break
+            total += counts[b]
+            kept.append(b)
+        r = q.limit(logs=limit).execute(t)
+        assert r.tables["logs"].count() == total
+        assert r.last_block == (kept[-1] if limit < 10**9 else None)
+
+
 def test_receipt_defaults(spark):
     docs = spark.createDataFrame([('{"transactionHash":"0x01","blockNumber":"0x5","status":"0x1","effectiveGasPrice":null}',), ('{"transactionHash":"0x02","blockNumber":"0x5"}',)], "json string")
     assert [bytes(r.effective_gas_price) for r in ingest.rpc_receipts(docs).collect()] == [b"\x00", b"\x00"]
