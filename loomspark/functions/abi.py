@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,24 +74,64 @@ class Signature:
         return self.hash[:4]
 
 
+def _split(text: str) -> list[str]:
+    """Parts between the commas outside of parentheses, stripped; empty ones are left out."""
+    depth, parts = 0, [""]
+    for c in text:
+        depth += {"(": 1, ")": -1}.get(c, 0)
+        if c == "," and not depth:
+            parts.append("")
+        else:
+            parts[-1] += c
+    return [p for x in parts if (p := x.strip())]
+
+
+def _group(text: str) -> tuple[str, str]:
+    """What stands in the parentheses that `text` begins with, and what follows them."""
+    depth = 0
+    for i, c in enumerate(text):
+        depth += {"(": 1, ")": -1}.get(c, 0)
+        if not depth:
+            return text[1:i], text[i + 1 :]
+    raise ValueError(f"parentheses don't match: {text!r}")
+
+
 def _params(text: str) -> tuple[Param, ...]:
+    """Parameters of a list; types in their canonical form, a tuple as the types of its components."""
     out = []
-    for part in filter(None, (p.strip() for p in text.split(","))):
-        words = part.split()
-        kind = re.sub(r"^(u?int)$", r"\g<1>256", words[0])
-        if not _TYPE.fullmatch(kind):
-            raise ValueError(f"unsupported type {words[0]!r}")
-        rest = [w for w in words[1:] if w not in ("indexed", "memory", "calldata")]
-        out.append(Param(rest[0] if rest else "", kind, "indexed" in words))
+    for part in _split(text):
+        part = re.sub(r"^tuple\s*(?=\()", "", part)
+        if part.startswith("("):
+            inner, rest = _group(part)
+            base = f"({','.join(p.type for p in _params(inner))})"
+        else:
+            m = re.match(r"\w+", part)
+            if not m:
+                raise ValueError(f"unsupported type {part!r}")
+            base, rest = re.sub(r"^(u?int)$", r"\g<1>256", m[0]), part[m.end() :]
+            if not _TYPE.fullmatch(base):
+                raise ValueError(f"unsupported type {m[0]!r}")
+        m = re.match(r"((?:\s*\[\d*\])*)(?:\s+(.*))?$", rest, re.S)
+        if not m:
+            raise ValueError(f"unsupported type {part!r}")
+        words = (m[2] or "").split()
+        names = [w for w in words if w not in ("indexed", "memory", "calldata", "payable")]
+        out.append(Param(names[0] if names else "", base + re.sub(r"\s", "", m[1]), "indexed" in words))
     return tuple(out)
 
 
 def parse_signature(text: str) -> Signature:
-    """`[event|function] name(type [indexed] name, …)[(outputs)]`; arrays and tuples are errors."""
-    m = re.fullmatch(r"\s*(?:event\s+|function\s+)?([A-Za-z_$][\w$]*)\s*\(([^()]*)\)\s*(?:(?:returns\s*)?\(([^()]*)\))?\s*(?:anonymous)?\s*;?\s*", text)
+    """`[event|function] name(type [indexed] name, …)[(outputs)]`; types may be arrays and tuples."""
+    m = re.match(r"\s*(?:event\s+|function\s+)?([A-Za-z_$][\w$]*)\s*(?=\()", text)
     if not m:
         raise ValueError(f"not a signature: {text!r}")
-    return Signature(m[1], _params(m[2]), _params(m[3] or ""))
+    inner, rest = _group(text[m.end() :])
+    rest, outputs = re.sub(r"^\s*(?:returns\s*)?(?=\()", "", rest), ""
+    if rest.startswith("("):
+        outputs, rest = _group(rest)
+    if not re.fullmatch(r"\s*(?:anonymous)?\s*;?\s*", rest):
+        raise ValueError(f"not a signature: {text!r}")
+    return Signature(m[1], _params(inner), _params(outputs))
 
 
 def named(params: tuple[Param, ...]) -> tuple[Param, ...]:
@@ -121,26 +162,92 @@ def _word_value(word: Column, kind: str) -> Column:
     return F.substring(word, 13, 20) if kind == "address" else word
 
 
+def _tree(kind: str) -> tuple:
+    """A canonical type as ("array", of, length or None), ("tuple", parts), ("dynamic", kind) or ("word", kind)."""
+    if m := re.fullmatch(r"(.*)\[(\d*)\]", kind, re.S):
+        return "array", _tree(m[1]), int(m[2]) if m[2] else None
+    if kind.startswith("("):
+        return "tuple", [_tree(x) for x in _split(kind[1:-1])]
+    return ("dynamic" if kind in ("string", "bytes") else "word"), kind
+
+
+def _size(t: tuple) -> int | None:
+    """Bytes of a type in place; None when it is held elsewhere, behind an offset."""
+    if t[0] == "array":
+        return None if t[2] is None or _size(t[1]) is None else t[2] * _size(t[1])
+    if t[0] == "tuple":
+        sizes = [_size(x) for x in t[1]]
+        return None if None in sizes else sum(sizes)
+    return 32 if t[0] == "word" else None
+
+
+def _word(data: Column, at: Column | int) -> Column:
+    return F.substring(data, 1 + at, 32) if isinstance(at, int) else F.substring(data, (at + 1).cast("int"), F.lit(32))
+
+
+def _simple(data: Column, t: tuple, at: Column | int) -> tuple[Column, Column]:
+    """(whether it is well-formed, value) of a word at `at`, or of the text or bytes that begin there."""
+    size = F.length(data)
+    if t[0] == "word":
+        word = _word(data, at)
+        return (F.lit(at) + 32 <= size if isinstance(at, int) else at + 32 <= size) & _word_ok(word, t[1]), _word_value(word, t[1])
+    length = _small(_word(data, at))
+    value = F.substring(data, (at + 33).cast("int"), length.cast("int"))
+    valid = at + 32 + length <= size
+    if t[1] == "string":
+        value = F.try_validate_utf8(value.cast("string"))
+        valid &= value.isNotNull()
+    return F.coalesce(valid, F.lit(False)), value
+
+
+def _let(c: Column, body) -> Column:
+    """`body` of a column that is computed once, however often it is used there."""
+    return F.get(F.transform(F.array(c), body), 0)
+
+
+def _pair(ok: Column, value: Column) -> Column:
+    return F.struct(F.coalesce(ok, F.lit(False)).alias("ok"), value.alias("v"))
+
+
+def _nested(data: Column, t: tuple, at: Column | int, base: Column | int) -> Column:
+    """struct<ok, v> of any type whose place, or offset from `base`, stands at `at`. Arrays are arrays, tuples structs of
+    c0, c1, …; an array that can't fit the data is never laid out."""
+    if _size(t) is None:
+        return _let(_small(_word(data, at)) + base, lambda p: _pair(*_simple(data, t, p)) if t[0] == "dynamic" else _laid_out(data, t, p, p))
+    return _pair(*_simple(data, t, at)) if t[0] == "word" else _laid_out(data, t, at, base)
+
+
+def _laid_out(data: Column, t: tuple, at: Column | int, base: Column | int) -> Column:
+    if t[0] == "tuple":
+        parts, place = [], at
+        for i, x in enumerate(t[1]):
+            parts.append(_nested(data, x, place, base).alias(f"c{i}"))
+            place = place + (_size(x) or 32)
+        names = [f"c{i}" for i in range(len(parts))]
+        return _let(F.struct(*parts), lambda s: _pair(reduce(Column.__and__, (s[n]["ok"] for n in names), F.lit(True)), F.struct(*(s[n]["v"].alias(n) for n in names))))
+    n, first = (_small(_word(data, at)), at + 32) if t[2] is None else (F.lit(t[2]).cast("bigint"), at)
+    each = _size(t[1]) or 32
+    fits = F.coalesce(F.lit(first) + n * each <= F.length(data) if isinstance(first, int) else first + n * each <= F.length(data), F.lit(False))
+    places = F.when(fits & (n > 0), F.sequence(F.lit(0).cast("bigint"), n - 1)).otherwise(F.array().cast("array<bigint>"))
+    items = F.transform(places, lambda i: _nested(data, t[1], i * each + first, first))
+    return _let(items, lambda x: _pair(fits & F.forall(x, lambda y: y["ok"]), F.transform(x, lambda y: y["v"])))
+
+
 def decode_body(data: Column, params: tuple[Param, ...]) -> tuple[Column, list[Column]]:
     """(whether the whole tuple is well-formed, value of each parameter). Null data counts as empty."""
     data = F.coalesce(data, F.lit(b""))
-    size = F.length(data)
-    valid, values = size >= 32 * len(params), []
-    for i, p in enumerate(params):
-        word = F.substring(data, 1 + 32 * i, 32)
-        if p.type in ("string", "bytes"):
-            at = _small(word)
-            length = _small(F.substring(data, (at + 1).cast("int"), F.lit(32)))
-            valid &= F.coalesce(at + 32 <= size, F.lit(False)) & F.coalesce(at + 32 + length <= size, F.lit(False))
-            value = F.substring(data, (at + 33).cast("int"), length.cast("int"))
-            if p.type == "string":
-                value = F.try_validate_utf8(value.cast("string"))
-                valid &= F.coalesce(value.isNotNull(), F.lit(False))
+    valid, values, at = F.lit(True), [], 0
+    for p in params:
+        t = _tree(p.type)
+        if t[0] in ("array", "tuple"):
+            found = _nested(data, t, at, 0)
+            ok, value = found["ok"], found["v"]
         else:
-            valid &= _word_ok(word, p.type)
-            value = _word_value(word, p.type)
+            ok, value = _simple(data, t, at if t[0] == "word" else _small(_word(data, at)))
+        valid &= ok
         values.append(value)
-    return F.coalesce(valid, F.lit(False)), values
+        at += _size(t) or 32
+    return F.coalesce(valid & (F.length(data) >= at), F.lit(False)), values
 
 
 def decode_topic(topic: Column, kind: str, strict: bool = True) -> Column:
@@ -164,8 +271,18 @@ def decode_logs(logs: DataFrame, signature: str, keep: tuple[str, ...] = (), str
     return logs.select(*keep, *(c.alias(p.name) for p, c in _event_columns(s, strict)))
 
 
+def _text(c: Column, t: tuple) -> Column:
+    """A value as text: 0x hex, or true and false, or the string; [a,b] for arrays and (a,b) for tuples."""
+    if t[0] == "array":
+        return F.concat(F.lit("["), F.array_join(F.transform(c, lambda x: _text(x, t[1])), ","), F.lit("]"))
+    if t[0] == "tuple":
+        return F.concat(F.lit("("), F.concat_ws(",", *(_text(c[f"c{i}"], x) for i, x in enumerate(t[1]))), F.lit(")"))
+    return c.cast("string") if t[1] in ("bool", "string") else F.concat(F.lit("0x"), F.lower(F.hex(c)))
+
+
 def _listed(columns: list[tuple[Param, Column]]) -> Column:
-    text = lambda p, c: c.cast("string") if p.type in ("bool", "string") else F.concat(F.lit("0x"), F.lower(F.hex(c)))
+    # An indexed array, tuple or text is held as its hash.
+    text = lambda p, c: _text(c, ("word", "bytes32") if p.indexed and _tree(p.type)[0] != "word" else _tree(p.type))
     return F.array(*(F.struct(F.lit(p.name).alias("name"), F.lit(p.type).alias("type"), F.lit(p.indexed).alias("indexed"), text(p, c).alias("value")) for p, c in columns))
 
 

@@ -408,6 +408,20 @@ def _word_types(spark, d, t):
     return df.select("hash", *(F.when(valid, p).alias(n) for n, p in zip(("flag", "who", "name", "raw"), parts, strict=True)))
 
 
+@job("decode_arrays", """
+SELECT hash, '[' || rtrim(repeat("from" || ',', type::INT), ',') || ']' AS receivers,
+  '[' || rtrim(repeat('(0x' || lpad(lower(to_hex(block_number)), 64, '0') || ',' || (status = 1)::VARCHAR || '),', type::INT), ',') || ']' AS items FROM transactions""")
+def _arrays(spark, d, t):
+    word = lambda n: F.lpad(F.unhex(F.hex(n.cast("bigint"))), 32, bytes(1))
+    n = F.col("type").cast("int")
+    receivers = F.concat(word(n), F.unhex(F.repeat(F.hex(values.address_to_topic(F.col("from"))), n)))
+    items = F.concat(word(n), F.unhex(F.repeat(F.hex(F.concat(word(F.col("block_number")), word(F.col("status")))), n)))
+    data = F.concat(word(F.lit(64)), word(F.lit(64) + F.length(receivers)), receivers, items)
+    signature = "send(address[] to, (uint256 amount, bool last)[] items)"
+    call = abi.decode_input(F.concat(F.lit(abi.parse_signature(signature).selector), data), [signature])
+    return t["transactions"].select("hash", call["params"][0]["value"].alias("receivers"), call["params"][1]["value"].alias("items"))
+
+
 def _long(df: DataFrame) -> DataFrame:
     return df.select("*", F.posexplode("params").alias("i", "p")).drop("params")
 

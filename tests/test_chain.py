@@ -81,13 +81,65 @@ def test_abi_fixtures(spark):
     assert got.function == "transfer" and got.params[0].value == "0xdc4bde73fa35b7478a574f78d5dfd57a0b2e2281"
     assert one(spark, abi.decode_input(F.col("c"), ["transfer(address dst, uint256 wad)"]), c=b"\x01") is None
     assert one(spark, abi.decode_output(F.col("c"), "balanceOf(address)(uint256)"), c=b"") is None
-    for bad in ("incorrect signature", "f(uint256[] x)", "f((uint256,bool) x)"):
+    for bad in ("incorrect signature", "f(uint256[x] a)", "f((uint256,bool x)", "f(uint256 a) what", "f(thing a)"):
         with pytest.raises(ValueError):
             abi.parse_signature(bad)
     hostile = b"\xff" * 32
     assert one(spark, abi.decode_body(F.col("c"), abi.parse_signature("f(string s)").params)[0], c=hostile) is False
 
 
+def encoded(kind, value) -> tuple[bytes, bool]:
+    """(plain ABI encoding of a value, whether it is held behind an offset)."""
+    t = abi._tree(kind) if isinstance(kind, str) else kind
+    if t[0] == "word":
+        return int(value).to_bytes(32, "big"), False
+    if t[0] == "dynamic":
+        raw = value.encode() if isinstance(value, str) else value
+        return len(raw).to_bytes(32, "big") + raw + bytes(-len(raw) % 32), True
+    kinds = [t[1]] * len(value) if t[0] == "array" else t[1]
+    parts = [encoded(k, v) for k, v in zip(kinds, value, strict=True)]
+    head, tail, size = b"", b"", sum(32 if dynamic else len(x) for x, dynamic in parts)
+    for x, dynamic in parts:
+        head += (size + len(tail)).to_bytes(32, "big") if dynamic else x
+        tail += x if dynamic else b""
+    count = len(value).to_bytes(32, "big") if t[0] == "array" and t[2] is None else b""
+    return count + head + tail, abi._size(t) is None
+
+
+ARRAYS = [
+    ("uint256[]", [5, 6, 7]), ("uint256[]", []), ("bool[2]", [True, False]), ("string[]", ["a", "", "long text " * 9]), ("bytes[][]", [[b"x"], [], [b"y" * 40, b""]]),
+    ("(uint256,bool)", (3, True)), ("(string,uint8)[]", [("one", 1), ("two", 2)]), ("((uint256,string)[],bytes)[2]", [([(1, "q")], b"z"), ([], b"")]), ("uint8[2][]", [[1, 2], [3, 4]]),
+]
+
+
+@pytest.mark.parametrize("kinds", [*([a] for a in ARRAYS), ARRAYS[:4], ARRAYS[4:]])
+def test_abi_arrays_and_tuples(spark, kinds):
+    def plain(t, v):
+        if t[0] == "array":
+            return [plain(t[1], x) for x in v]
+        if t[0] == "tuple":
+            return tuple(plain(x, y) for x, y in zip(t[1], v, strict=True))
+        return v if t[0] == "dynamic" or t[1] == "bool" else int(v).to_bytes(32, "big")
+
+    def got(x):
+        return [got(y) for y in x] if isinstance(x, list) else tuple(got(y) for y in x) if isinstance(x, tuple) else bytes(x) if isinstance(x, bytearray) else x
+
+    signature = abi.parse_signature(f"f({', '.join(f'{k} x{i}' for i, (k, _) in enumerate(kinds))})")
+    data = encoded(("tuple", [abi._tree(k) for k, _ in kinds]), [v for _, v in kinds])[0]
+    rows = [(data,), (data[:-33],), (b"\xff" * len(data),), (None,)]
+    valid, values_ = abi.decode_body(F.col("c"), signature.params)
+    found = spark.createDataFrame(rows, "c binary").select(valid.alias("ok"), *(F.when(valid, v).alias(f"v{i}") for i, v in enumerate(values_))).collect()
+    assert [r.ok for r in found] == [True, False, False, False]
+    assert [got(x) for x in found[0][1:]] == [plain(abi._tree(k), v) for k, v in kinds]
+
+
+def test_abi_canonical_forms():
+    s = abi.parse_signature("function multicall(tuple(address target, bytes data)[] calls, uint[3] x) returns (bytes[] memory results);")
+    assert s.canonical == "multicall((address,bytes)[],uint256[3])" and [p.type for p in s.outputs] == ["bytes[]"]
+    assert [p.name for p in s.params] == ["calls", "x"]
+    assert abi.parse_signature("aggregate((address,bytes)[])").selector.hex() == "252dba42"
+
+
 def test_deep_call_trees(spark):
     import json
 
