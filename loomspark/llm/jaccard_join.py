@@ -13,8 +13,8 @@ Two documents link when their sets of word shingles overlap by the threshold. Th
    bands of set sizes first, and a pair of blocks is a task when it may hold a link: within a home, or between two homes
    with a short list in common. Nothing is closed transitively, so chains of lists don't grow into one large group.
 5. In each task the T-occurrence problem is solved by DivideSkip on whole sets: the short inverted lists are merged by
-   counting, documents reaching T - L are probed in the L long lists by binary search, and those reaching the overlap
-   are links. A task returns a spanning forest of its links and the number of links per document, never the pairs.
+   a heap that skips, documents reaching T - L are probed in the L long lists by binary search, and those reaching the
+   overlap are links. A task returns a spanning forest of its links and the number of links per document, never the pairs.
 
 Shingles are 64-bit hashes, and so are classes until sets are compared: two different ones are taken as equal with
 chance 2**-64 a pair.
@@ -22,7 +22,9 @@ chance 2**-64 a pair.
 
 from __future__ import annotations
 
+import heapq
 import math
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +41,8 @@ from loomspark.llm.textarrays import clear_kept, shingle_sets
 CHUNK = 1 << 17
 #: Lists this long count as equally long, and are passed on in parts.
 LONGEST = 1 << 16
+#: Weighs probes against pops when lists are divided: a probe is one of many in a numpy call, a pop a step of Python.
+MU = 0.002
 #: Bounds of a block: documents and shingles.
 BLOCK_DOCS, BLOCK_SHINGLES = 384, 1 << 19
 
@@ -176,51 +180,90 @@ def _short_lists(percent: int):
     return run
 
 
+def merge_skip(posts: list[int], spans: list[tuple[int, int]], least: int) -> tuple[list[int], list[int]]:
+    """The entries that stand in `least` or more of the sorted lists posts[a:b], and in how many, from a heap of the
+    lists' heads. Where too few lists begin with the smallest entry, more are popped until least - 1 are out: an entry
+    below the head that is left can't reach `least` any more, so all of them skip to it by binary search."""
+    k = len(spans)
+    at = [a for a, _ in spans]
+    heap = [posts[a] * k + j for j, (a, b) in enumerate(spans) if a < b]
+    heapq.heapify(heap)
+    found, counts = [], []
+    while len(heap) >= least:
+        entry = heap[0] // k
+        popped = []
+        while heap and heap[0] // k == entry:
+            popped.append(heapq.heappop(heap) % k)
+        if len(popped) >= least:
+            found.append(entry)
+            counts.append(len(popped))
+            beyond = entry + 1
+        else:
+            while heap and len(popped) < least - 1:
+                popped.append(heapq.heappop(heap) % k)
+            if not heap:
+                break
+            beyond = heap[0] // k
+        for j in popped:
+            at[j] = bisect_left(posts, beyond, at[j], spans[j][1])
+            if at[j] < spans[j][1]:
+                heapq.heappush(heap, posts[at[j]] * k + j)
+    return found, counts
+
+
+class _Lists:
+    """The inverted lists of some of the sets: of token i, posts[head[i] : head[i + 1]], in rising order."""
+
+    def __init__(self, ident: np.ndarray, owner: np.ndarray, n_tokens: int):
+        by = np.lexsort((owner, ident))
+        self.posts = owner[by]
+        self.entries = self.posts.tolist()
+        self.head = np.searchsorted(ident[by], np.arange(n_tokens + 1))
+        self.length = np.diff(self.head)
+
+
 def divide_skip(sets: list[np.ndarray], percent: int, side: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
     """All links among the sets: (i, the linked j), each pair once. With `side`, only pairs of different sides.
 
     For each set in order of size, T is the least overlap with any set of at most its size. Its inverted lists are
-    divided: the L longest are left aside, the short ones are merged by counting; sets that occur in T - L of them are
+    divided: the L longest are left aside, the short ones are merged by a heap; sets that occur in T - L of them are
     probed in the long lists by binary search, and those reaching the overlap that their two sizes ask for are links.
+    L = T / (MU log2(longest list) + 1), T - 1 at most.
     """
     order = np.argsort([len(s) for s in sets], kind="stable")
     size = np.array([len(sets[i]) for i in order], np.int64)
-    tokens = np.concatenate([sets[i] for i in order])
+    token, ident = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True)
     owner = np.repeat(np.arange(len(order)), size)
-    by = np.lexsort((owner, tokens))
-    sorted_t, posts = tokens[by], owner[by]
-    head = np.flatnonzero(np.concatenate([[True], sorted_t[1:] != sorted_t[:-1]]))
-    length = np.diff(np.append(head, len(sorted_t)))
-    ident = np.empty(len(tokens), np.int64)
-    ident[by] = np.repeat(np.arange(len(head)), length)
     begin = np.concatenate([[0], np.cumsum(size)])
-    who = side[order] if side is not None else None
+    who = side[order] if side is not None else np.zeros(len(order), np.int8)
+    index = {w: _Lists(ident[who[owner] == w], owner[who[owner] == w], len(token)) for w in np.unique(who).tolist()}
     for x in range(1, len(order)):
         n = int(size[x])
-        low = int(np.searchsorted(size, -(-percent * n // 100)))
-        if low >= x:
+        low = int(np.searchsorted(size, needed(n, percent)))
+        inverted = index.get(int(who[x]) if side is None else 1 - int(who[x]))
+        if low >= x or inverted is None:
             continue
         lists = ident[begin[x] : begin[x + 1]]
-        lists = lists[length[lists] > 1]
+        length = inverted.length[lists]
+        # Without sides a set stands in its own lists.
+        keep = length > (side is None)
+        lists, length = lists[keep], length[keep]
         t = needed(n, percent)
         if len(lists) < t:
             continue
-        lists = lists[np.argsort(length[lists], kind="stable")]
-        skip = min(t - 1, int(t / (np.log2(length[lists[-1]]) + 1)))
+        rising = np.argsort(length, kind="stable")
+        lists = lists[rising]
+        skip = min(t - 1, int(t / (MU * np.log2(length[rising[-1]] + 1) + 1)))
         short, long = lists[: len(lists) - skip], lists[len(lists) - skip :]
-        merged = np.concatenate([posts[head[j] : head[j] + length[j]] for j in short])
-        count = np.bincount(merged, minlength=x)[:x]
-        found = np.flatnonzero(count[low:] >= t - skip) + low
-        if who is not None:
-            found = found[who[found] != who[x]]
+        ends = zip(inverted.head[short].tolist(), inverted.head[short + 1].tolist(), strict=True)
+        spans = [(bisect_left(inverted.entries, low, a, b), bisect_left(inverted.entries, x, a, b)) for a, b in ends]
+        found, counts = (np.array(c, np.int64) for c in merge_skip(inverted.entries, spans, t - skip))
         if not len(found):
             continue
-        hits = count[found]
-        for j in long:
-            members = posts[head[j] : head[j] + length[j]]
-            at = np.minimum(np.searchsorted(members, found), len(members) - 1)
-            hits = hits + (members[at] == found)
-        linked = found[100 * hits >= percent * (n + size[found] - hits)]
+        for a, b in zip(inverted.head[long].tolist(), inverted.head[long + 1].tolist(), strict=True):
+            members = inverted.posts[a:b]
+            counts += members[np.minimum(np.searchsorted(members, found), b - a - 1)] == found
+        linked = found[100 * counts >= percent * (n + size[found] - counts)]
         if len(linked):
             yield int(order[x]), order[linked]
 
