@@ -17,7 +17,8 @@ Two documents link when their sets of word shingles overlap by the threshold. Th
    overlap are links. A task returns a spanning forest of its links and the number of links per document, never the pairs.
 
 Shingles are 64-bit hashes, and so are classes until sets are compared: two different ones are taken as equal with
-chance 2**-64 a pair.
+chance 2**-64 a pair. The index holds the upper 48 bits of a shingle, which makes its shuffle smaller: two shingles that
+share them make a list longer and may bring sets together for comparison, but lose no link.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ from loomspark.llm.components import connected_components
 from loomspark.llm.scratch import maybe_broadcast, written
 from loomspark.llm.textarrays import clear_kept, shingle_sets
 
+#: Bits of a shingle that the index leaves out.
+CUT = 16
 #: Postings in one output batch, and digests kept to fold copies, of the second pass.
 CHUNK = 1 << 17
 #: Lists this long count as equally long, and are passed on in parts.
@@ -57,12 +60,23 @@ def _digest(s: np.ndarray) -> list[int]:
     return np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64).tolist() if len(s) else [0, 0]
 
 
+def _cut(s: np.ndarray) -> np.ndarray:
+    """The entries of a sorted set in the index, sorted and distinct."""
+    c = s >> np.uint64(CUT)
+    keep = np.ones(len(c), bool)
+    np.not_equal(c[1:], c[:-1], out=keep[1:])
+    return c[keep]
+
+
 def _rows(k: int):
+    """Texts -> size of the set, entries it has in the index, digest."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         clear_kept()
         for batch in batches:
-            found = [(len(s), *_digest(s)) for s in shingle_sets(batch.column(1), k)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in zip(*found, strict=True))] if found else [pa.array([], pa.int64())] * 4, ["doc_id", "n", "d1", "d2"])
+            found = [(len(s), len(_cut(s)), *_digest(s)) for s in shingle_sets(batch.column(1), k)]
+            columns = [batch.column(0), *(pa.array(c, pa.int64()) for c in zip(*found, strict=True))] if found else [pa.array([], pa.int64())] * 5
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "entries", "d1", "d2"])
 
     return run
 
@@ -86,7 +100,7 @@ def _postings(k: int):
                 if len(seen) >= CHUNK:
                     seen.clear()
                 seen.add(node)
-                sets.append(s)
+                sets.append(_cut(s))
                 nodes.append(node)
                 held += len(s)
                 if held >= CHUNK:
@@ -147,9 +161,10 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from lists(s, node)
 
 
-def _short_lists(percent: int):
-    """Rows of classes, each class's together: its size (rank -1), then its postings by rising frequency -> the
-    postings of the first n - T + 1 shingles, of classes that can have a partner."""
+def _short_lists():
+    """Rows of classes, each class's together: first, of rank -1, how many entries its short lists have beyond those in
+    the index at large (n - T + 1 less its entries), then its postings by rising frequency -> the postings of the first
+    n - T + 1 shingles, of classes that can have a partner."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = [np.zeros(0, np.int64) for _ in range(3)]
@@ -170,9 +185,7 @@ def _short_lists(percent: int):
         node, rank, shingle = node[fresh], rank[fresh], shingle[fresh]
         start = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
         size = np.diff(np.append(start, len(node)))
-        n = np.where(rank[start] < 0, shingle[start], size)
-        unique = n - (size - 1)
-        room = n - (-(-percent * n // 100)) + 1 - unique
+        room = shingle[start] + size - 1
         place = np.arange(len(node)) - np.repeat(start + 1, size)
         keep = (rank > 0) & (place < np.repeat(room, size))
         return pa.RecordBatch.from_arrays([pa.array(shingle[keep]), pa.array(node[keep])], ["shingle", "node"])
@@ -348,14 +361,15 @@ def jaccard_components(documents: DataFrame, k: int = 5, percent: int = 80) -> D
     """
     docs = documents.select(F.col("doc_id").cast("bigint"), F.col("text"))
     named = docs.where("doc_id is not null")
-    rows = written(docs.mapInArrow(_rows(k), "doc_id bigint, n bigint, d1 bigint, d2 bigint"), "rows")
+    rows = written(docs.mapInArrow(_rows(k), "doc_id bigint, n bigint, entries bigint, d1 bigint, d2 bigint"), "rows")
     known = rows.where("n > 0 and doc_id is not null")
-    classes = written(known.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n")), "classes")
+    classes = written(known.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("entries").alias("entries")), "classes")
 
     postings = named.select("text").mapInArrow(_postings(k), "shingle bigint, node bigint").repartition("shingle").sortWithinPartitions("shingle")
-    ranked = postings.mapInArrow(_index, "node bigint, rank int, shingle bigint").union(classes.select("d1", F.lit(-1), "n"))
+    room = F.col("n") - F.expr(f"({percent} * n + 99) div 100") + 1 - F.col("entries")
+    ranked = postings.mapInArrow(_index, "node bigint, rank int, shingle bigint").union(classes.select("d1", F.lit(-1), room))
     by_class = ranked.repartition("node").sortWithinPartitions("node", "rank", "shingle")
-    lists = written(by_class.mapInArrow(_short_lists(percent), "shingle bigint, node bigint"), "short-lists")
+    lists = written(by_class.mapInArrow(_short_lists(), "shingle bigint, node bigint"), "short-lists")
     dealt = written(_dealt(lists, classes, percent), "dealt")
 
     ids = maybe_broadcast(written(dealt.select("doc_id").distinct(), "member-ids"))

@@ -96,3 +96,43 @@ def test_edges(spark):
     odd = spark.createDataFrame([(None, "a b c d e f"), (None, None), (1, "a b c d e f"), (1, "a b c d e f"), (2, "word " * 60_000)], "doc_id bigint, text string")
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in J.jaccard_components(odd).collect()), key=str)
     assert got == sorted([(None, 2, None), (None, 0, None), (1, 2, 1), (1, 2, 1), (2, 1, 2)], key=str)
+
+
+def test_entries_of_the_index_that_collide(spark, monkeypatch):
+    """With entries of eight bits nearly every shingle shares its entry with others, also within a set; no link is lost."""
+    monkeypatch.setattr(J, "CUT", 56)
+    rows = corpus()
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    assert sorted(tuple(r) for r in J.jaccard_components(df, k=4, percent=85).collect()) == brute(rows, 4, 85)
+
+
+def test_merge_by_a_heap_that_skips():
+    from collections import Counter
+
+    rng = random.Random(5)
+    for _ in range(300):
+        lists = [sorted(rng.sample(range(40), rng.randint(0, 30))) for _ in range(rng.randint(1, 9))]
+        posts, spans = [], []
+        for x in lists:
+            spans.append((len(posts), len(posts) + len(x)))
+            posts += x
+        least = rng.randint(1, len(lists))
+        found, counts = J.merge_skip(posts, spans, least)
+        assert dict(zip(found, counts)) == {v: c for v, c in Counter(posts).items() if c >= least}
+        assert found == sorted(found)
+
+
+def test_divide_skip_however_lists_are_divided(monkeypatch):
+    import numpy as np
+
+    rng = random.Random(8)
+    bases = [[rng.randrange(10**6) for _ in range(rng.randint(5, 80))] for _ in range(6)]
+    sets = [np.unique(np.array([x if rng.random() > 0.06 else rng.randrange(10**6) for x in rng.choice(bases)], np.uint64)) for _ in range(120)]
+    sides = [None, np.array([i % 3 == 0 for i in range(120)], np.int8)]
+    for side in sides:
+        linked = lambda i, j: 100 * (c := len(np.intersect1d(sets[i], sets[j]))) >= 70 * (len(sets[i]) + len(sets[j]) - c)
+        expected = {(j, i) for i in range(120) for j in range(i) if (side is None or side[i] != side[j]) and linked(i, j)}
+        for mu in (0.0, 0.002, 0.1, 10.0):
+            monkeypatch.setattr(J, "MU", mu)
+            assert {tuple(sorted((i, int(j)))) for i, js in J.divide_skip(sets, 70, side) for j in js} == expected
+    assert expected
