@@ -6,10 +6,7 @@ Both sides run over the chain-shaped tables derived from `orders` and `lineitem`
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
-from urllib.parse import urlparse
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +20,7 @@ from loomspark.plans.query import ChainQuery, assert_not_null, block_range, full
 from loomspark.registry import ORACLES, QUERIES, query
 from loomspark.schema import SCHEMAS
 from loomspark.ship import ship
-from loomspark.sinks import follow_sink, shared_folder, write_parquet
+from loomspark.sinks import follow_sink, shared_folder, write_arrow_ipc, write_parquet
 from loomspark.sources import ingest
 from loomspark.sources.fixtures import APPROVAL, TRANSFER, chain_tables, oracle_tables
 from loomspark.sources.tables import archive_height, chain_id, scan, scan_arrow_ipc, store
@@ -106,25 +103,11 @@ for _t in COLUMNS:
     job(f"scan_{_t}", f"SELECT {cols(COLUMNS[_t])} FROM {_t}" + (f" WHERE number >= {LOW} AND number < {HIGH}" if _t == "blocks" else ""))(_scanned(_t))
 
 
-def _ipc_writer(folder: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-        import uuid
-
-        os.makedirs(folder, exist_ok=True)
-        for batch in batches:
-            with pa.OSFile(f"{folder}/{uuid.uuid4().hex}.arrow", "wb") as out, pa.ipc.new_file(out, batch.schema) as w:
-                w.write_batch(batch)
-            yield pa.RecordBatch.from_pydict({"rows": [len(batch)]}, schema=pa.schema([("rows", pa.int64())]))
-
-    return run
-
-
 @job("scan_arrow_ipc", f"SELECT {cols(BL)} FROM blocks")
 def _ipc(spark, d, t):
     folder = shared_folder(spark, "ipc")
     df = t["blocks"].select(*BL)
-    df.mapInArrow(_ipc_writer(urlparse(folder).path), "rows bigint").agg(F.sum("rows")).first()
+    write_arrow_ipc(df, folder)
     return scan_arrow_ipc(spark, folder, T.StructType([T.StructField(f.name, f.dataType) for f in df.schema]))
 
 

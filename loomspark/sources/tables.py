@@ -32,7 +32,8 @@ def scan(spark: SparkSession, path: str, table: str) -> DataFrame:
 
 
 def scan_arrow_ipc(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Rows of Arrow IPC files in a folder; each file is read by one task, batch by batch."""
+    """Rows of Arrow IPC files in a folder; each file is read by one task, which holds it whole (`write_arrow_ipc` bounds
+    its files) and gives it on batch by batch."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -212,6 +212,21 @@ def test_partition_pruning_and_pushdown(spark, tmp_path):
     assert "topic0" not in plan.split("ReadSchema")[1]
 
 
+def test_arrow_ipc_round_trip(spark, tmp_path, monkeypatch):
+    from loomspark import sinks
+    from loomspark.sources.tables import scan_arrow_ipc
+
+    monkeypatch.setattr(sinks, "IPC_BYTES", 1000)
+    df = spark.range(0, 30_000, 1, 3).selectExpr("id AS number", "IF(id % 3 = 0, NULL, sha2(CAST(id AS STRING), 256)) AS text")
+    assert sinks.write_arrow_ipc(df, f"file://{tmp_path}/a") == 30_000
+    assert len(list((tmp_path / "a").iterdir())) >= 3
+    back = scan_arrow_ipc(spark, f"file://{tmp_path}/a", df.schema)
+    assert back.exceptAll(df).isEmpty() and back.count() == 30_000
+    sinks.write_arrow_ipc(df, f"{tmp_path}/a")
+    assert scan_arrow_ipc(spark, f"{tmp_path}/a", df.schema).count() == 30_000
+    assert sinks.write_arrow_ipc(df.where("number < 0"), f"{tmp_path}/b") == 0
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 1
     assert set(entry.oracle_sql()) <= set(entry.queries())
