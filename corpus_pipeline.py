@@ -33,10 +33,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Of each group of rows that shingles of five words link at 0.8 the one with the smallest id stays (a null id comes
     last; rows that share an id are rows of their own). Of rows equal in id and text one stays. Rows without words stay."""
     key = F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
-    groups = written(jaccard_components(docs.select(key.alias("doc_id"), "text"), k=5, percent=80).where("n_links > 0").select(F.col("doc_id").alias("key"), "component_id"), "groups")
+    linked = jaccard_components(docs.select(key.alias("doc_id"), "text"), k=5, percent=80).where("n_links > 0")
+    groups = written(linked.select(F.col("doc_id").alias("key"), "component_id"), "groups")
     ids = written(docs.select(key.alias("key"), "doc_id"), "keys")
-    best = groups.join(ids, "key").groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))["key"].alias("best"))
-    copies = groups.join(best, "component_id").where("key <> best").select("key").distinct()
+    # The row that stays is found by partial minima and told from its copies by key: a large group never meets in one task.
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))["key"]
+    best = groups.join(ids, "key").groupBy("component_id").agg(first.alias("key")).select("key")
+    copies = groups.join(best, "key", "left_anti").select("key").distinct()
     kept = _without(docs, key, copies)
     repeated = written(ids.groupBy("key").count().where("count > 1").select("key"), "repeated")
     if repeated.isEmpty():
