@@ -46,10 +46,16 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     An item of fewer words is one window; one without words, or null, is none. Words are A-Z lower-cased; the hash goes
     over fully lower-cased words, which equal ones share.
     """
-    items = benchmark.select("item_id", F.split(ascii_lower(F.array_join(words_of(F.col("text")), " ")), " ").alias("w")).where("w[0] <> ''")
+    items = benchmark.select(
+        "item_id", F.split(ascii_lower(F.array_join(words_of(F.col("text")), " ")), " ").alias("w")
+    ).where("w[0] <> ''")
     starts = F.sequence(F.lit(0), F.greatest(F.size("w") - window, F.lit(0)))
-    cut = items.select("item_id", "w", F.explode(starts).alias("s")).select("item_id", F.slice("w", F.col("s") + 1, window).alias("w"))
-    distinct = cut.groupBy(F.array_join("w", " ").alias("words")).agg(F.first(F.size("w")).alias("size"), F.collect_set("item_id").alias("items"))
+    cut = items.select("item_id", "w", F.explode(starts).alias("s")).select(
+        "item_id", F.slice("w", F.col("s") + 1, window).alias("w")
+    )
+    distinct = cut.groupBy(F.array_join("w", " ").alias("words")).agg(
+        F.first(F.size("w")).alias("size"), F.collect_set("item_id").alias("items")
+    )
     low = distinct.withColumn("l", F.split(F.lower("words"), " "))
     by_size = F.coalesce(*(F.when(F.col("size") == n, _window_hash("l", F.lit(0), n)) for n in range(window, 0, -1)))
     return low.select(by_size.alias("hash"), "size", "words", "items")
@@ -72,14 +78,25 @@ def _hit_windows(docs: DataFrame, windows: DataFrame, window: int, limit: int) -
         placed = split.select("key", "words", "low", place).select("key", "words", "start", hashes)
         return verified(placed.join(F.broadcast(known), "hash"))
     salt = F.pmod(F.xxhash64("key", "start"), F.lit(SALTS)).cast("int")
-    placed = split.select("key", "low", place).select("key", "start", hashes).where("hash is not null").withColumn("salt", salt)
+    placed = (
+        split.select("key", "low", place)
+        .select("key", "start", hashes)
+        .where("hash is not null")
+        .withColumn("salt", salt)
+    )
     salted = known.select("hash", "size", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")).distinct()
     near = written(placed.join(salted, ["hash", "salt"]).select("key", "start", "hash", "size"), "near")
-    again = split.join(maybe_broadcast(written(near.select("key").distinct(), "near-keys")), "key").select("key", "words").dropDuplicates(["key"])
+    again = (
+        split.join(maybe_broadcast(written(near.select("key").distinct(), "near-keys")), "key")
+        .select("key", "words")
+        .dropDuplicates(["key"])
+    )
     return verified(near.join(again, "key").join(known.drop("size"), "hash"))
 
 
-def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, part: int = 20, limit: int = BROADCAST_BYTES) -> DataFrame:
+def contamination(
+    documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, part: int = 20, limit: int = BROADCAST_BYTES
+) -> DataFrame:
     """Per row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans (array of start and len), key.
 
     A row is contaminated when at least 1 in `part` of its words lies in a window of the benchmark. A null, empty or
@@ -91,16 +108,28 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     docs = documents.select("doc_id", "text").withColumn("key", row_key(F.col("doc_id"), F.col("text")))
     windows = written(benchmark_windows(benchmark, window), "windows")
     hits = _hit_windows(docs.select("key", "text"), windows, window, limit)
-    spans = hits.groupBy("key", "start").agg(F.max("size").alias("len"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
+    spans = hits.groupBy("key", "start").agg(
+        F.max("size").alias("len"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items")
+    )
     before = Window.partitionBy("key").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     end = F.col("start") + F.col("len")
     fresh = F.greatest(F.lit(0), end - F.greatest(F.col("start"), F.coalesce(F.max(end).over(before), F.lit(0))))
     items = F.array_distinct(F.flatten(F.collect_set("items")))
-    per_row = spans.withColumn("fresh", fresh).groupBy("key").agg(
-        F.sum("fresh").alias("hit"), F.array_sort(F.transform(items, lambda x: x.cast("string"))).alias("items"), F.array_sort(F.collect_list(F.struct("start", "len"))).alias("spans")
+    per_row = (
+        spans.withColumn("fresh", fresh)
+        .groupBy("key")
+        .agg(
+            F.sum("fresh").alias("hit"),
+            F.array_sort(F.transform(items, lambda x: x.cast("string"))).alias("items"),
+            F.array_sort(F.collect_list(F.struct("start", "len"))).alias("spans"),
+        )
     )
     trimmed = F.btrim(F.coalesce("text", F.lit("")), F.lit(SEPARATORS))
-    sizes = docs.select("doc_id", "key", F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, SPLIT))).cast("bigint").alias("n_words"))
+    sizes = docs.select(
+        "doc_id",
+        "key",
+        F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, SPLIT))).cast("bigint").alias("n_words"),
+    )
     n_hit = F.coalesce("hit", F.lit(0)).cast("bigint")
     return sizes.join(per_row, "key", "left").select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("n_items"),
@@ -108,25 +137,44 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     )
 
 
-def drop_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, part: int = 20, limit: int = BROADCAST_BYTES) -> DataFrame:
+def drop_contaminated(
+    documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, part: int = 20, limit: int = BROADCAST_BYTES
+) -> DataFrame:
     """The rows that are not contaminated by themselves, as they are, all columns kept."""
     bad = contamination(documents, benchmark, window, part, limit).where("contaminated").select("key").distinct()
     rows = documents.select(F.struct("*").alias("row"), row_key(F.col("doc_id"), F.col("text")).alias("key"))
     return rows.join(bad, "key", "left_anti").select("row.*")
 
 
-def remove_spans(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: int = BROADCAST_BYTES) -> DataFrame:
+def remove_spans(
+    documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: int = BROADCAST_BYTES
+) -> DataFrame:
     """doc_id and `text` with every hit word taken out; the words left are joined by one space in texts with hits,
     and other texts stay as they are."""
-    found = contamination(documents, benchmark, window, limit=limit).where("n_hit > 0").select("key", "spans").dropDuplicates(["key"])
+    found = (
+        contamination(documents, benchmark, window, limit=limit)
+        .where("n_hit > 0")
+        .select("key", "spans")
+        .dropDuplicates(["key"])
+    )
     rows = documents.select("doc_id", "text", row_key(F.col("doc_id"), F.col("text")).alias("key"))
-    kept = F.filter(F.transform(words_of(F.col("text")), lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: ~F.exists("spans", lambda s: (x["i"] >= s["start"]) & (x["i"] < s["start"] + s["len"])))
-    return rows.join(found, "key", "left").select("doc_id", F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda x: x["w"]), " ")).alias("text"))
+    kept = F.filter(
+        F.transform(words_of(F.col("text")), lambda w, i: F.struct(w.alias("w"), i.alias("i"))),
+        lambda x: ~F.exists("spans", lambda s: (x["i"] >= s["start"]) & (x["i"] < s["start"] + s["len"])),
+    )
+    return rows.join(found, "key", "left").select(
+        "doc_id",
+        F.when(F.col("spans").isNull(), F.col("text"))
+        .otherwise(F.array_join(F.transform(kept, lambda x: x["w"]), " "))
+        .alias("text"),
+    )
 
 
 def op6_decontaminate(spark, sf_dir: str) -> DataFrame:
     """Windows of 13 words; a document with one word in twenty hit is contaminated."""
-    found = contamination(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = contamination(
+        spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    )
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 

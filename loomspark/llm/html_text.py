@@ -23,19 +23,29 @@ RAW = frozenset("script style textarea title xmp noembed noframes".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-JUNK_TAGS = frozenset("head script style noscript template nav header footer aside form button select option textarea input label iframe object embed svg canvas math menu dialog audio video map title".split())
+JUNK_TAGS = frozenset(
+    "head script style noscript template nav header footer aside form button select option textarea input label iframe object embed svg canvas math menu dialog audio video map title".split()
+)
 JUNK_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav navbar navigation menu submenu breadcrumb breadcrumbs sidebar aside rail widget footer header masthead topbar toolbar "
-    "notice notices cookie cookies consent gdpr alert popup modal overlay newsletter subscribe subscription signup login share sharing social follow related recommended recommendations trending outbrain taboola comment comments respond replies disqus pagination pager skip".split()
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav navbar navigation menu submenu breadcrumb breadcrumbs sidebar aside rail widget footer header masthead topbar toolbar " "notice notices cookie cookies consent gdpr alert popup modal overlay newsletter subscribe subscription signup login share sharing social follow related recommended recommendations trending outbrain taboola comment comments respond replies disqus pagination pager skip".split()
+)
+JUNK_ROLES = frozenset(
+    "navigation banner contentinfo complementary search form alert dialog menu menubar toolbar note".split()
 )
-JUNK_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar note".split())
 #: Elements whose start ends an open element of the second list.
-CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "thead": ("tr", "td", "th"), "tbody": ("thead", "tr", "td", "th"), "tfoot": ("tbody", "tr", "td", "th")}
+CLOSES = {
+    "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
+    "th": ("td", "th"), "option": ("option",), "thead": ("tr", "td", "th"), "tbody": ("thead", "tr", "td", "th"),
+    "tfoot": ("tbody", "tr", "td", "th"),
+}
 BARRIER = frozenset("table ul ol dl td th div section article main body html blockquote".split())
 SCORED = frozenset("p pre blockquote td li dd h2 h3 h4 h5 h6 div section article".split())
 HEADINGS = frozenset("h1 h2 h3".split())
 
-_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)([^>]*)>", re.S)
+_MARKUP = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)([^>]*)>",
+    re.S,
+)
 #: One attribute, its value with it, so that nothing within a name or a value is taken for another attribute.
 _ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _WORDS = re.compile(r"[a-z]+")
@@ -139,7 +149,9 @@ def _paragraph(node: Node) -> float | None:
         return None
     own, linked = _own_text(node)
     size = len(own)
-    return None if size < 25 else (1 + own.count(",") + own.count("،") + own.count("、") + min(size / 100, 3)) * (1 - linked / size)
+    return None if size < 25 else (
+        1 + own.count(",") + own.count("،") + own.count("、") + min(size / 100, 3)
+    ) * (1 - linked / size)
 
 
 def _spare(root: Node) -> None:
@@ -272,13 +284,23 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(0, len(batch), 1000):
             piece = batch.slice(at, 1000)
             texts = [main_text(x) for x in piece.column("html").to_pylist()]
-            yield pa.RecordBatch.from_arrays([piece.column("page_id"), piece.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    piece.column("page_id"),
+                    piece.column("url"),
+                    pa.array(texts, pa.string()),
+                    pa.array([len(t) for t in texts], pa.int64()),
+                ],
+                ["page_id", "url", "text", "n_chars"],
+            )
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars per row of `pages` (page_id, url, html; other columns are left out). Null html gives
     an empty text; repeated rows are each extracted; an empty table gives an empty result."""
-    return pages.select("page_id", "url", "html").mapInArrow(_extract, "page_id bigint, url string, text string, n_chars bigint")
+    return pages.select("page_id", "url", "html").mapInArrow(
+        _extract, "page_id bigint, url string, text string, n_chars bigint"
+    )
 
 
 def op7_html_text(spark, sf_dir: str) -> DataFrame:

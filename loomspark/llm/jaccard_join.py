@@ -75,7 +75,9 @@ def _rows(k: int):
         clear_kept()
         for batch in batches:
             found = [(len(s), len(_cut(s)), *_digest(s)) for s in shingle_sets(batch.column(1), k)]
-            columns = [batch.column(0), *(pa.array(c, pa.int64()) for c in zip(*found, strict=True))] if found else [pa.array([], pa.int64())] * 5
+            columns = [
+                batch.column(0), *(pa.array(c, pa.int64()) for c in zip(*found, strict=True))
+            ] if found else [pa.array([], pa.int64())] * 5
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "entries", "d1", "d2"])
 
     return run
@@ -86,7 +88,9 @@ def _postings(k: int):
 
     def posted(sets: list[np.ndarray], nodes: list[int]) -> pa.RecordBatch:
         node = np.repeat(np.array(nodes, np.int64), [len(s) for s in sets])
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64)), pa.array(node)], ["shingle", "node"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(sets).view(np.int64)), pa.array(node)], ["shingle", "node"]
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         clear_kept()
@@ -115,7 +119,10 @@ def _postings(k: int):
 def _ranked(node: np.ndarray, rank: np.ndarray, shingle: np.ndarray) -> Iterator[pa.RecordBatch]:
     for at in range(0, len(node), CHUNK):
         to = at + CHUNK
-        yield pa.RecordBatch.from_arrays([pa.array(node[at:to]), pa.array(rank[at:to].astype(np.int32)), pa.array(shingle[at:to])], ["node", "rank", "shingle"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(node[at:to]), pa.array(rank[at:to].astype(np.int32)), pa.array(shingle[at:to])],
+            ["node", "rank", "shingle"],
+        )
 
 
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,7 +242,9 @@ class _Lists:
         self.length = np.diff(self.head)
 
 
-def divide_skip(sets: list[np.ndarray], percent: int, side: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+def divide_skip(
+    sets: list[np.ndarray], percent: int, side: np.ndarray | None = None
+) -> Iterator[tuple[int, np.ndarray]]:
     """All links among the sets: (i, the linked j), each pair once. With `side`, only pairs of different sides.
 
     For each set in order of size, T is the least overlap with any set of at most its size. Its inverted lists are
@@ -305,7 +314,14 @@ def _links(percent: int):
                     a, b = (a, b) if ids[a] < ids[b] else (b, a)
                     parent[b] = a
         keep = np.flatnonzero(links)
-        return pa.table({"doc_id": ids[keep], "d1": d1[keep], "links": links[keep], "root": ids[[root(v) for v in keep]] if len(keep) else ids[:0]})
+        return pa.table(
+            {
+                "doc_id": ids[keep],
+                "d1": d1[keep],
+                "links": links[keep],
+                "root": ids[[root(v) for v in keep]] if len(keep) else ids[:0],
+            }
+        )
 
     return run
 
@@ -315,38 +331,73 @@ def _sets(k: int):
         for batch in batches:
             sets = list(shingle_sets(batch.column("text"), k))
             d1 = [_digest(s)[0] for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(d1, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "d1", "shingles"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(d1, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                ["doc_id", "d1", "shingles"],
+            )
 
     return run
 
 
 def _dealt(lists: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The tasks: pairs (low, high) of blocks, each with the classes of both: block, doc_id, d1, weight (copies)."""
-    centres = lists.groupBy("shingle").agg(F.min("node").alias("centre"), F.max("node").alias("last")).where("centre <> last").select("shingle", "centre")
+    centres = (
+        lists.groupBy("shingle")
+        .agg(F.min("node").alias("centre"), F.max("node").alias("last"))
+        .where("centre <> last")
+        .select("shingle", "centre")
+    )
     ties = written(lists.join(centres, "shingle"), "ties")
     homes = written(ties.groupBy("node").agg(F.min("centre").alias("home")), "homes")
     at_home = classes.join(homes, F.col("d1") == F.col("node"))
     needs = F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n") / BLOCK_SHINGLES)
     large = at_home.groupBy("home").agg((needs > 1).alias("large"))
-    band = F.when(F.col("large"), F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent))).otherwise(-1).cast("int")
+    band = (
+        F.when(F.col("large"), F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)))
+        .otherwise(-1)
+        .cast("int")
+    )
     banded = at_home.join(large, "home").withColumn("band", band)
     blocks = banded.groupBy("home", "band").agg(F.ceil(needs).alias("blocks"))
     block = F.xxhash64("home", "band", F.pmod(F.xxhash64("rep", F.lit(7)), "blocks"))
-    members = written(banded.join(blocks, ["home", "band"]).select("home", "band", block.alias("block"), F.col("rep").alias("doc_id"), "d1", F.col("copies").alias("weight")), "members")
+    members = written(
+        banded.join(blocks, ["home", "band"])
+        .select(
+            "home", "band", block.alias("block"), F.col("rep").alias("doc_id"), "d1", F.col("copies").alias("weight")
+        ),
+        "members",
+    )
 
     blocks = written(members.groupBy("home", "band", "block").agg(F.count("*").alias("m")), "blocks")
-    left, right = (blocks.select(*(F.col(c).alias(f"{side}_{c}") for c in ("home", "band", "block", "m"))) for side in ("l", "r"))
+    left, right = (
+        blocks.select(*(F.col(c).alias(f"{side}_{c}") for c in ("home", "band", "block", "m"))) for side in ("l", "r")
+    )
     # The sizes of partners are in the same band or in one beside it; band -1 is a small home as a whole.
     near = (F.col("l_band") < 0) | (F.col("r_band") < 0) | (F.abs(F.col("l_band") - F.col("r_band")) <= 1)
-    inside = left.join(right, F.col("l_home") == F.col("r_home")).where(near & ((F.col("l_block") < F.col("r_block")) | (F.col("l_block") == F.col("r_block")) & (F.col("l_m") > 1)))
+    inside = left.join(right, F.col("l_home") == F.col("r_home")).where(
+        near & ((F.col("l_block") < F.col("r_block")) | (F.col("l_block") == F.col("r_block")) & (F.col("l_m") > 1))
+    )
     spread = ties.join(homes, "node").groupBy("shingle", "home").agg(F.first("centre").alias("centre"))
-    several = spread.groupBy("shingle").agg(F.min("home").alias("a"), F.max("home").alias("b")).where("a <> b").select("shingle")
+    several = (
+        spread.groupBy("shingle")
+        .agg(F.min("home").alias("a"), F.max("home").alias("b"))
+        .where("a <> b")
+        .select("shingle")
+    )
     spread = written(spread.join(several, "shingle").select("shingle", "home"), "spread")
-    between = spread.withColumnRenamed("home", "l_home").join(spread.withColumnRenamed("home", "r_home"), "shingle").where("l_home < r_home").select("l_home", "r_home").distinct()
+    between = (
+        spread.withColumnRenamed("home", "l_home")
+        .join(spread.withColumnRenamed("home", "r_home"), "shingle")
+        .where("l_home < r_home")
+        .select("l_home", "r_home")
+        .distinct()
+    )
     between = between.join(left, "l_home").join(right, "r_home").where(near)
     low, high = F.least("l_block", "r_block").alias("low"), F.greatest("l_block", "r_block").alias("high")
     ends = F.array_distinct(F.array(*(F.struct(low, high, F.col(b).alias("block")) for b in ("l_block", "r_block"))))
-    tasks = inside.select(ends.alias("ends")).union(between.select(ends)).select(F.explode("ends").alias("e")).select("e.*")
+    tasks = (
+        inside.select(ends.alias("ends")).union(between.select(ends)).select(F.explode("ends").alias("e")).select("e.*")
+    )
     return tasks.join(members.select("block", "doc_id", "d1", "weight"), "block")
 
 
@@ -363,33 +414,74 @@ def jaccard_components(documents: DataFrame, k: int = 5, percent: int = 80) -> D
     named = docs.where("doc_id is not null")
     rows = written(docs.mapInArrow(_rows(k), "doc_id bigint, n bigint, entries bigint, d1 bigint, d2 bigint"), "rows")
     known = rows.where("n > 0 and doc_id is not null")
-    classes = written(known.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("entries").alias("entries")), "classes")
+    classes = written(
+        known.groupBy("d1", "d2")
+        .agg(
+            F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"),
+            F.first("entries").alias("entries"),
+        ),
+        "classes",
+    )
 
-    postings = named.select("text").mapInArrow(_postings(k), "shingle bigint, node bigint").repartition("shingle").sortWithinPartitions("shingle")
+    postings = (
+        named.select("text")
+        .mapInArrow(_postings(k), "shingle bigint, node bigint")
+        .repartition("shingle")
+        .sortWithinPartitions("shingle")
+    )
     room = F.col("n") - F.expr(f"({percent} * n + 99) div 100") + 1 - F.col("entries")
-    ranked = postings.mapInArrow(_index, "node bigint, rank int, shingle bigint").union(classes.select("d1", F.lit(-1), room))
+    ranked = postings.mapInArrow(
+        _index, "node bigint, rank int, shingle bigint"
+    ).union(classes.select("d1", F.lit(-1), room))
     by_class = ranked.repartition("node").sortWithinPartitions("node", "rank", "shingle")
     lists = written(by_class.mapInArrow(_short_lists(), "shingle bigint, node bigint"), "short-lists")
     dealt = written(_dealt(lists, classes, percent), "dealt")
 
     ids = maybe_broadcast(written(dealt.select("doc_id").distinct(), "member-ids"))
-    sets = named.join(ids, "doc_id", "left_semi").mapInArrow(_sets(k), "doc_id bigint, d1 bigint, shingles binary").dropDuplicates(["doc_id", "d1"])
-    linked = written(dealt.join(sets, ["doc_id", "d1"]).groupBy("low", "high").applyInArrow(_links(percent), "doc_id bigint, d1 bigint, links bigint, root bigint"), "links")
+    sets = (
+        named.join(ids, "doc_id", "left_semi")
+        .mapInArrow(_sets(k), "doc_id bigint, d1 bigint, shingles binary")
+        .dropDuplicates(["doc_id", "d1"])
+    )
+    linked = written(
+        dealt.join(sets, ["doc_id", "d1"])
+        .groupBy("low", "high")
+        .applyInArrow(_links(percent), "doc_id bigint, d1 bigint, links bigint, root bigint"),
+        "links",
+    )
     # An id with several sets ties their classes together.
-    several = known.groupBy("doc_id").agg(F.min("d1").alias("a"), F.max("d1").alias("b")).where("a <> b").select("doc_id")
-    same_id = known.join(several, "doc_id").join(classes.select("d1", "d2", "rep"), ["d1", "d2"]).select("doc_id", "rep")
+    several = (
+        known.groupBy("doc_id").agg(F.min("d1").alias("a"), F.max("d1").alias("b")).where("a <> b").select("doc_id")
+    )
+    same_id = (
+        known.join(several, "doc_id").join(classes.select("d1", "d2", "rep"), ["d1", "d2"]).select("doc_id", "rep")
+    )
     found = connected_components(linked.select(F.col("doc_id").alias("src"), F.col("root").alias("dst")).union(same_id))
     counts = linked.groupBy(F.col("doc_id").alias("rep"), "d1").agg(F.sum("links").alias("links"))
-    final = classes.join(counts, ["rep", "d1"], "left").join(found, F.col("rep") == F.col("node"), "left").select("d1", "d2", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("class"))
+    final = (
+        classes.join(counts, ["rep", "d1"], "left")
+        .join(found, F.col("rep") == F.col("node"), "left")
+        .select(
+            "d1",
+            "d2",
+            (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+            F.coalesce("component", "rep").alias("class"),
+        )
+    )
     is_named = F.col("doc_id").isNotNull()
     return rows.join(final, ["d1", "d2"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(is_named, F.coalesce("class", "doc_id")).alias("component_id"), F.when(is_named, F.coalesce("n_links", F.lit(0))).otherwise(0).cast("bigint").alias("n_links")
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(is_named, F.coalesce("class", "doc_id")).alias("component_id"),
+        F.when(is_named, F.coalesce("n_links", F.lit(0))).otherwise(0).cast("bigint").alias("n_links"),
     )
 
 
 def op1_jaccard_join(spark, sf_dir: str) -> DataFrame:
     """Four-word shingles, links at a Jaccard similarity of 0.85."""
-    return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"), k=4, percent=85).select("doc_id", "n_shingles", "component_id", "n_links")
+    return jaccard_components(
+        spark.read.parquet(f"{sf_dir}/documents.parquet"), k=4, percent=85
+    ).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 SQL = r"""

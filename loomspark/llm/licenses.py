@@ -17,36 +17,138 @@ from pyspark.sql import functions as F
 
 # Sentences as the public licence texts and their usual notices word them, normalised.
 SENTENCES = {
-    "mit_notice": ["released under the mit license", "licensed under the mit license", "this project is licensed under the mit license", "this software is released under the mit license", "distributed under the mit license"],
-    "mit_grant": ["permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions"],
-    "mit_condition": ["the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"],
-    "as_is": ["the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"],
-    "mit_liability": ["in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software"],
-    "apache2_notice": ["licensed under the apache license version 2 0", "released under the apache license version 2 0", "distributed under the apache license version 2 0", "this project is licensed under the apache license version 2 0", "licensed under the apache license version 2 0 the license"],
+    "mit_notice": [
+        "released under the mit license",
+        "licensed under the mit license",
+        "this project is licensed under the mit license",
+        "this software is released under the mit license",
+        "distributed under the mit license",
+    ],
+    "mit_grant": [
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and "
+        "associated documentation files the software to deal in the software without restriction including "
+        "without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies "
+        "of the software and to permit persons to whom the software is furnished to do so subject to the "
+        "following conditions"
+    ],
+    "mit_condition": [
+        "the above copyright notice and this permission notice shall be included in all copies or substantial "
+        "portions of the software"
+    ],
+    "as_is": [
+        "the software is provided as is without warranty of any kind express or implied including but not "
+        "limited to the warranties of merchantability fitness for a particular purpose and noninfringement"
+    ],
+    "mit_liability": [
+        "in no event shall the authors or copyright holders be liable for any claim damages or other liability "
+        "whether in an action of contract tort or otherwise arising from out of or in connection with the "
+        "software or the use or other dealings in the software"
+    ],
+    "apache2_notice": [
+        "licensed under the apache license version 2 0",
+        "released under the apache license version 2 0",
+        "distributed under the apache license version 2 0",
+        "this project is licensed under the apache license version 2 0",
+        "licensed under the apache license version 2 0 the license",
+    ],
     "apache2_comply": ["you may not use this file except in compliance with the license"],
-    "apache2_copy": ["you may obtain a copy of the license at http www apache org licenses license 2 0", "you may obtain a copy of the license at"],
-    "apache2_as_is": ["unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied"],
-    "apache2_see": ["see the license for the specific language governing permissions and limitations under the license"],
-    "gpl3_notice": ["this work is licensed under the gnu general public license version 3", "licensed under the gnu general public license version 3", "released under the gnu general public license version 3", "spdx license identifier gpl 3 0"],
-    "gpl2_notice": ["this work is licensed under the gnu general public license version 2", "licensed under the gnu general public license version 2", "released under the gnu general public license version 2", "spdx license identifier gpl 2 0"],
-    "gpl3_redistribute": ["this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"],
-    "gpl2_redistribute": ["this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version"],
-    "lgpl_notice": ["licensed under the gnu lesser general public license version 3", "licensed under the gnu lesser general public license version 2 1", "released under the gnu lesser general public license version 3"],
-    "agpl3_notice": ["licensed under the gnu affero general public license version 3", "this work is licensed under the gnu affero general public license version 3"],
-    "gpl_hope": ["this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"],
+    "apache2_copy": [
+        "you may obtain a copy of the license at http www apache org licenses license 2 0",
+        "you may obtain a copy of the license at",
+    ],
+    "apache2_as_is": [
+        "unless required by applicable law or agreed to in writing software distributed under the license is "
+        "distributed on an as is basis without warranties or conditions of any kind either express or implied"
+    ],
+    "apache2_see": [
+        "see the license for the specific language governing permissions and limitations under the license"
+    ],
+    "gpl3_notice": [
+        "this work is licensed under the gnu general public license version 3",
+        "licensed under the gnu general public license version 3",
+        "released under the gnu general public license version 3",
+        "spdx license identifier gpl 3 0",
+    ],
+    "gpl2_notice": [
+        "this work is licensed under the gnu general public license version 2",
+        "licensed under the gnu general public license version 2",
+        "released under the gnu general public license version 2",
+        "spdx license identifier gpl 2 0",
+    ],
+    "gpl3_redistribute": [
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu "
+        "general public license as published by the free software foundation either version 3 of the license or "
+        "at your option any later version"
+    ],
+    "gpl2_redistribute": [
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu "
+        "general public license as published by the free software foundation either version 2 of the license or "
+        "at your option any later version"
+    ],
+    "lgpl_notice": [
+        "licensed under the gnu lesser general public license version 3",
+        "licensed under the gnu lesser general public license version 2 1",
+        "released under the gnu lesser general public license version 3",
+    ],
+    "agpl3_notice": [
+        "licensed under the gnu affero general public license version 3",
+        "this work is licensed under the gnu affero general public license version 3",
+    ],
+    "gpl_hope": [
+        "this program is distributed in the hope that it will be useful but without any warranty without even "
+        "the implied warranty of merchantability or fitness for a particular purpose"
+    ],
     "gpl_see": ["see the gnu general public license for more details"],
-    "bsd_grant": ["redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"],
-    "bsd_source": ["redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"],
-    "bsd_binary": ["redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"],
-    "bsd_endorse": ["neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"],
-    "bsd_notice": ["licensed under the bsd license", "released under the bsd license", "licensed under the bsd 3 clause license", "released under the bsd 3 clause license"],
-    "isc_grant": ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"],
-    "mpl2_notice": ["this source code form is subject to the terms of the mozilla public license v 2 0", "licensed under the mozilla public license version 2 0", "released under the mozilla public license version 2 0"],
-    "cc_by": ["licensed under cc by 4 0", "this work is licensed under cc by 4 0", "this work is licensed under a creative commons attribution 4 0 international license"],
-    "cc_by_sa": ["licensed under cc by sa 4 0", "this work is licensed under cc by sa 4 0", "this work is licensed under a creative commons attribution sharealike 4 0 international license"],
-    "cc_by_nc": ["licensed under cc by nc 4 0", "this work is licensed under cc by nc 4 0", "this work is licensed under a creative commons attribution noncommercial 4 0 international license"],
+    "bsd_grant": [
+        "redistribution and use in source and binary forms with or without modification are permitted provided "
+        "that the following conditions are met"
+    ],
+    "bsd_source": [
+        "redistributions of source code must retain the above copyright notice this list of conditions and the "
+        "following disclaimer"
+    ],
+    "bsd_binary": [
+        "redistributions in binary form must reproduce the above copyright notice this list of conditions and "
+        "the following disclaimer in the documentation and or other materials provided with the distribution"
+    ],
+    "bsd_endorse": [
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+        "promote products derived from this software without specific prior written permission"
+    ],
+    "bsd_notice": [
+        "licensed under the bsd license", "released under the bsd license", "licensed under the bsd 3 clause license",
+        "released under the bsd 3 clause license",
+    ],
+    "isc_grant": [
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is "
+        "hereby granted provided that the above copyright notice and this permission notice appear in all copies"
+    ],
+    "mpl2_notice": [
+        "this source code form is subject to the terms of the mozilla public license v 2 0",
+        "licensed under the mozilla public license version 2 0",
+        "released under the mozilla public license version 2 0",
+    ],
+    "cc_by": [
+        "licensed under cc by 4 0",
+        "this work is licensed under cc by 4 0",
+        "this work is licensed under a creative commons attribution 4 0 international license",
+    ],
+    "cc_by_sa": [
+        "licensed under cc by sa 4 0",
+        "this work is licensed under cc by sa 4 0",
+        "this work is licensed under a creative commons attribution sharealike 4 0 international license",
+    ],
+    "cc_by_nc": [
+        "licensed under cc by nc 4 0",
+        "this work is licensed under cc by nc 4 0",
+        "this work is licensed under a creative commons attribution noncommercial 4 0 international license",
+    ],
     "cc_by_nd": ["licensed under cc by nd 4 0", "this work is licensed under cc by nd 4 0"],
-    "cc0": ["licensed under cc0 1 0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work"],
+    "cc0": [
+        "licensed under cc0 1 0",
+        "to the extent possible under law the author has waived all copyright and related or neighboring rights "
+        "to this work",
+    ],
     "all_rights": ["all rights reserved"],
     "apache2_title": ["apache license version 2 0 january 2004"],
     "apache2_terms": ["terms and conditions for use reproduction and distribution"],
@@ -55,34 +157,107 @@ SENTENCES = {
     "lgpl3_title": ["gnu lesser general public license version 3 29 june 2007"],
     "lgpl21_title": ["gnu lesser general public license version 2 1 february 1999"],
     "agpl3_title": ["gnu affero general public license version 3 19 november 2007"],
-    "fsf_verbatim": ["everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed"],
-    "gpl_received": ["you should have received a copy of the gnu general public license along with this program", "you should have received a copy of the gnu general public license along with this program if not see http www gnu org licenses", "you should have received a copy of the gnu general public license along with this program if not see https www gnu org licenses"],
-    "lgpl3_redistribute": ["this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version", "this program is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version"],
-    "lgpl21_redistribute": ["this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version"],
-    "lgpl_hope": ["this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"],
+    "fsf_verbatim": [
+        "everyone is permitted to copy and distribute verbatim copies of this license document but changing it "
+        "is not allowed"
+    ],
+    "gpl_received": [
+        "you should have received a copy of the gnu general public license along with this program",
+        "you should have received a copy of the gnu general public license along with this program if not see "
+        "http www gnu org licenses",
+        "you should have received a copy of the gnu general public license along with this program if not see "
+        "https www gnu org licenses",
+    ],
+    "lgpl3_redistribute": [
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu "
+        "lesser general public license as published by the free software foundation either version 3 of the "
+        "license or at your option any later version",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu "
+        "lesser general public license as published by the free software foundation either version 3 of the "
+        "license or at your option any later version",
+    ],
+    "lgpl21_redistribute": [
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu "
+        "lesser general public license as published by the free software foundation either version 2 1 of the "
+        "license or at your option any later version"
+    ],
+    "lgpl_hope": [
+        "this library is distributed in the hope that it will be useful but without any warranty without even "
+        "the implied warranty of merchantability or fitness for a particular purpose"
+    ],
     "lgpl_see": ["see the gnu lesser general public license for more details"],
-    "agpl3_redistribute": ["this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version"],
+    "agpl3_redistribute": [
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu "
+        "affero general public license as published by the free software foundation either version 3 of the "
+        "license or at your option any later version"
+    ],
     "agpl_see": ["see the gnu affero general public license for more details"],
-    "bsd_as_is": ["this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed"],
-    "bsd_liability": ["in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage"],
-    "isc_as_is": ["the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness"],
-    "isc_liability": ["in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software"],
+    "bsd_as_is": [
+        "this software is provided by the copyright holders and contributors as is and any express or implied "
+        "warranties including but not limited to the implied warranties of merchantability and fitness for a "
+        "particular purpose are disclaimed"
+    ],
+    "bsd_liability": [
+        "in no event shall the copyright holder or contributors be liable for any direct indirect incidental "
+        "special exemplary or consequential damages including but not limited to procurement of substitute goods "
+        "or services loss of use data or profits or business interruption however caused and on any theory of "
+        "liability whether in contract strict liability or tort including negligence or otherwise arising in any "
+        "way out of the use of this software even if advised of the possibility of such damage"
+    ],
+    "isc_as_is": [
+        "the software is provided as is and the author disclaims all warranties with regard to this software "
+        "including all implied warranties of merchantability and fitness"
+    ],
+    "isc_liability": [
+        "in no event shall the author be liable for any special direct indirect or consequential damages or any "
+        "damages whatsoever resulting from loss of use data or profits whether in an action of contract "
+        "negligence or other tortious action arising out of or in connection with the use or performance of this "
+        "software"
+    ],
     "mpl2_title": ["mozilla public license version 2 0"],
-    "mpl2_obtain": ["if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0", "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0"],
+    "mpl2_obtain": [
+        "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0",
+        "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0",
+    ],
     "cc_by_title": ["creative commons attribution 4 0 international public license", "attribution 4 0 international"],
-    "cc_by_sa_title": ["creative commons attribution sharealike 4 0 international public license", "attribution sharealike 4 0 international"],
-    "cc_by_nc_title": ["creative commons attribution noncommercial 4 0 international public license", "attribution noncommercial 4 0 international"],
-    "cc_by_nd_title": ["creative commons attribution noderivatives 4 0 international public license", "attribution noderivatives 4 0 international"],
+    "cc_by_sa_title": [
+        "creative commons attribution sharealike 4 0 international public license",
+        "attribution sharealike 4 0 international",
+    ],
+    "cc_by_nc_title": [
+        "creative commons attribution noncommercial 4 0 international public license",
+        "attribution noncommercial 4 0 international",
+    ],
+    "cc_by_nd_title": [
+        "creative commons attribution noderivatives 4 0 international public license",
+        "attribution noderivatives 4 0 international",
+    ],
     "cc0_title": ["cc0 1 0 universal"],
     "unlicense_grant": ["this is free and unencumbered software released into the public domain"],
     "zlib_as_is": ["this software is provided as is without any express or implied warranty"],
-    "zlib_liability": ["in no event will the authors be held liable for any damages arising from the use of this software"],
-    "zlib_grant": ["permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions"],
-    "boost_title": ["boost software license version 1 0 august 17th 2003", "distributed under the boost software license version 1 0"],
-    "epl2_notice": ["eclipse public license v 2 0", "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0"],
+    "zlib_liability": [
+        "in no event will the authors be held liable for any damages arising from the use of this software"
+    ],
+    "zlib_grant": [
+        "permission is granted to anyone to use this software for any purpose including commercial applications "
+        "and to alter it and redistribute it freely subject to the following restrictions"
+    ],
+    "boost_title": [
+        "boost software license version 1 0 august 17th 2003",
+        "distributed under the boost software license version 1 0",
+    ],
+    "epl2_notice": [
+        "eclipse public license v 2 0",
+        "this program and the accompanying materials are made available under the terms of the eclipse public "
+        "license 2 0 which is available at https www eclipse org legal epl 2 0",
+    ],
 }
 # Identifiers of the SPDX list that a file's tag line may name; each is a sentence and a rule of its own.
-SPDX = ["Apache-2.0", "MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later", "MPL-2.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC0-1.0", "Unlicense", "Zlib", "BSL-1.0", "EPL-2.0"]
+SPDX = [
+    "Apache-2.0", "MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only",
+    "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only",
+    "AGPL-3.0-or-later", "MPL-2.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC0-1.0", "Unlicense", "Zlib", "BSL-1.0", "EPL-2.0",
+]
 SENTENCES |= {f"spdx_{x}": ["spdx license identifier " + " ".join(re.findall("[a-z0-9]+", x.lower()))] for x in SPDX}
 # Fixed values: (licence, run of identifiers), in order of precedence: whole texts, file headers, then single sentences.
 RULES = [
@@ -206,7 +381,9 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def license_hits(documents: DataFrame) -> DataFrame:
     """(doc_id, hits) of each row: its known sentences as (place, id) in order. Nothing is shuffled."""
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(_find, f"doc_id {kind}, hits array<struct<place: int, id: string>>")
+    return documents.select("doc_id", "text").mapInArrow(
+        _find, f"doc_id {kind}, hits array<struct<place: int, id: string>>"
+    )
 
 
 def scan_licenses(documents: DataFrame) -> DataFrame:
@@ -217,20 +394,35 @@ def scan_licenses(documents: DataFrame) -> DataFrame:
     or not. An empty table gives an empty result.
     """
     found = license_hits(documents)
-    rest = F.concat(F.lit(","), F.array_join(F.transform("hits", lambda h: F.concat(h["id"], F.lit(","))), ","), F.lit(","))
+    rest = F.concat(
+        F.lit(","), F.array_join(F.transform("hits", lambda h: F.concat(h["id"], F.lit(","))), ","), F.lit(",")
+    )
     rows, names = found.withColumn("rest", F.coalesce(rest, F.lit(","))), []
     for i, (name, run) in enumerate(RULES):
         pattern = F.lit("," + ",,".join(run) + ",")
-        rows = rows.withColumns({f"r{i}": F.when(F.contains("rest", pattern), F.lit(name))}).withColumn("rest", F.replace("rest", pattern, F.lit("")))
+        rows = rows.withColumns(
+            {f"r{i}": F.when(F.contains("rest", pattern), F.lit(name))}
+        ).withColumn("rest", F.replace("rest", pattern, F.lit("")))
         names.append(f"r{i}")
     left = F.filter(F.split("rest", ","), lambda x: x != "")
-    return rows.select("doc_id", F.size("hits").cast("bigint").alias("n_sentences"), F.array_distinct(F.array_compact(F.array(*names))).alias("licenses"), left.alias("unmatched"), "hits")
+    return rows.select(
+        "doc_id",
+        F.size("hits").cast("bigint").alias("n_sentences"),
+        F.array_distinct(F.array_compact(F.array(*names))).alias("licenses"),
+        left.alias("unmatched"),
+        "hits",
+    )
 
 
 def op10_license_scan(spark, sf_dir: str) -> DataFrame:
     """Every document, with its licences and what no rule explains."""
     found = scan_licenses(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return found.select("doc_id", "n_sentences", F.array_join("licenses", ",").alias("licenses"), F.array_join("unmatched", ",").alias("unmatched"))
+    return found.select(
+        "doc_id",
+        "n_sentences",
+        F.array_join("licenses", ",").alias("licenses"),
+        F.array_join("unmatched", ",").alias("unmatched"),
+    )
 
 
 def _sql() -> str:
@@ -238,7 +430,10 @@ def _sql() -> str:
     steps, before = [], "seqs"
     for k, (_, run) in enumerate(RULES):
         pattern = "," + ",,".join(run) + ","
-        steps.append(f"s{k} AS (SELECT * EXCLUDE (rest), replace(rest, '{pattern}', '') AS rest, contains(rest, '{pattern}') AS r{k} FROM {before})")
+        steps.append(
+            f"s{k} AS (SELECT * EXCLUDE (rest), replace(rest, '{pattern}', '') AS rest, contains(rest, "
+            f"'{pattern}') AS r{k} FROM {before})"
+        )
         before = f"s{k}"
     names = ", ".join(f"CASE WHEN r{k} THEN '{name}' END" for k, (name, _) in enumerate(RULES))
     return f"""

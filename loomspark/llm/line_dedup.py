@@ -38,7 +38,11 @@ def repeated_lines(documents: DataFrame, n: int = LINES, passage: int = PASSAGE)
     documents hold is one row per task when the first places are sought; its later occurrences are spread by the
     adaptive join, and only they travel on.
     """
-    keyed = documents.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id").alias("id"), _full(_split_lines(F.col("text"))).alias("full"))
+    keyed = documents.select(
+        row_key(F.col("doc_id"), F.col("text")).alias("key"),
+        F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id").alias("id"),
+        _full(_split_lines(F.col("text"))).alias("full"),
+    )
     size = F.size("full")
 
     def window(s: Column, m: int) -> Column:
@@ -49,17 +53,44 @@ def repeated_lines(documents: DataFrame, n: int = LINES, passage: int = PASSAGE)
         else:
             words = sum((F.regexp_count(t, F.lit(r"[^\x20\x09-\x0D]+")) for t in texts), F.lit(0))
             kind, holds = F.lit(False), (s + m <= size) & (words > passage)
-        found = F.struct(s.cast("int").alias("s"), F.least(size, F.lit(m)).alias("n"), F.xxhash64(F.lit(m), kind, *texts).alias("h1"), F.xxhash64(F.lit(-m), kind, *texts).alias("h2"))
+        found = F.struct(
+            s.cast("int").alias("s"),
+            F.least(size, F.lit(m)).alias("n"),
+            F.xxhash64(F.lit(m), kind, *texts).alias("h1"),
+            F.xxhash64(F.lit(-m), kind, *texts).alias("h2"),
+        )
         return F.when(holds, found)
 
     starts = F.sequence(F.lit(0), size - 1)
-    windows = keyed.where(size > 0).select("key", "id", F.explode(F.flatten(F.transform(starts, lambda s: F.array_compact(F.array(*(window(s, m) for m in range(1, n + 1))))))).alias("w")).select("key", "id", "w.*")
+    windows = (
+        keyed.where(size > 0)
+        .select(
+            "key",
+            "id",
+            F.explode(
+                F.flatten(
+                    F.transform(starts, lambda s: F.array_compact(F.array(*(window(s, m) for m in range(1, n + 1)))))
+                )
+            )
+            .alias("w"),
+        )
+        .select("key", "id", "w.*")
+    )
     place = F.struct("id", "key", "s")
-    first = windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("h1", "h2", F.col("first.key").alias("first_key"), F.col("first.s").alias("first_s"))
+    first = (
+        windows.groupBy("h1", "h2")
+        .agg(F.min(place).alias("first"), F.max(place).alias("last"))
+        .where("first <> last")
+        .select("h1", "h2", F.col("first.key").alias("first_key"), F.col("first.s").alias("first_s"))
+    )
     same = F.col("key") == F.col("first_key")
     later = windows.join(first, ["h1", "h2"]).where(~(same & (F.col("s") == F.col("first_s"))))
     start = F.when(same, F.greatest("s", F.col("first_s") + F.col("n"))).otherwise(F.col("s"))
-    return later.select("key", F.explode(F.sequence(start, F.col("s") + F.col("n") - 1)).alias("p")).groupBy("key").agg(F.collect_set("p").alias("places"))
+    return (
+        later.select("key", F.explode(F.sequence(start, F.col("s") + F.col("n") - 1)).alias("p"))
+        .groupBy("key")
+        .agg(F.collect_set("p").alias("places"))
+    )
 
 
 def dedup_lines(documents: DataFrame, n: int = LINES, passage: int = PASSAGE) -> DataFrame:
@@ -71,19 +102,41 @@ def dedup_lines(documents: DataFrame, n: int = LINES, passage: int = PASSAGE) ->
     replaced, all others are kept. An empty table gives an empty result.
     """
     found = repeated_lines(documents, n, passage)
-    rows = documents.select(F.struct("*").alias("row"), row_key(F.col("doc_id"), F.col("text")).alias("key")).join(found, "key", "left")
-    lines = rows.select("row", "places", _split_lines(F.col("row.text")).alias("lines")).withColumn("full", _full(F.col("lines")))
+    rows = documents.select(
+        F.struct("*").alias("row"), row_key(F.col("doc_id"), F.col("text")).alias("key")
+    ).join(found, "key", "left")
+    lines = rows.select(
+        "row", "places", _split_lines(F.col("row.text")).alias("lines")
+    ).withColumn("full", _full(F.col("lines")))
     gone = F.transform("places", lambda p: F.get("full", p)["i"])
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), gone)
-    text = F.when(F.col("places").isNull() | F.col("row.text").isNull(), F.col("row.text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get("lines", i)), "\n"))
-    done = lines.select("row", F.struct(text.alias("text"), F.size("full").cast("bigint").alias("n_lines"), F.coalesce(F.size("places"), F.lit(0)).cast("bigint").alias("n_removed")).alias("done"))
-    return done.select(*(F.col("row")[c].alias(c) for c in documents.columns if c not in ("text", "n_lines", "n_removed")), "done.*")
+    text = F.when(
+        F.col("places").isNull() | F.col("row.text").isNull(), F.col("row.text")
+    ).otherwise(F.array_join(F.transform(kept, lambda i: F.get("lines", i)), "\n"))
+    done = lines.select(
+        "row",
+        F.struct(
+            text.alias("text"),
+            F.size("full").cast("bigint").alias("n_lines"),
+            F.coalesce(F.size("places"), F.lit(0)).cast("bigint").alias("n_removed"),
+        )
+        .alias("done"),
+    )
+    return done.select(
+        *(F.col("row")[c].alias(c) for c in documents.columns if c not in ("text", "n_lines", "n_removed")), "done.*"
+    )
 
 
 def op9_line_dedup(spark, sf_dir: str) -> DataFrame:
     """Every document, with the size and digest of the text that is kept."""
     kept = dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
-    return kept.select("doc_id", "n_lines", "n_removed", F.coalesce(F.length("text"), F.lit(0)).cast("bigint").alias("kept_chars"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    return kept.select(
+        "doc_id",
+        "n_lines",
+        "n_removed",
+        F.coalesce(F.length("text"), F.lit(0)).cast("bigint").alias("kept_chars"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
 
 
 SQL = r"""

@@ -95,16 +95,24 @@ def _store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             media.append(to_wav(payload_of(raw)))
             held += len(media[-1])
             if held >= BATCH:
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())],
+                    ["doc_id", "n_bytes", "media"],
+                )
                 ids, sizes, media, held = [], [], [], 0
         if ids:
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())],
+                ["doc_id", "n_bytes", "media"],
+            )
 
 
 def store_media(documents: DataFrame) -> DataFrame:
     """doc_id, n_bytes, media: each text (null: empty) as the bytes of a WAV file. One row per row, other columns are
     left out; an empty table gives an empty result."""
-    return documents.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(_store, "doc_id bigint, n_bytes bigint, media binary")
+    return documents.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
+        _store, "doc_id bigint, n_bytes bigint, media binary"
+    )
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,7 +122,12 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for media in piece.column("media").to_pylist():
                 payload = from_wav(media)
                 codes, times = fingerprint(np.frombuffer(payload, np.uint8))
-                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), codes, times))
+                rows.append(
+                    (
+                        len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media),
+                        hashlib.sha256(media).hexdigest(), codes, times,
+                    )
+                )
             cols = list(zip(*rows, strict=True))
             yield pa.RecordBatch.from_arrays(
                 [piece.column("doc_id"), piece.column("n_bytes"), pa.array(cols[0], pa.int64()), pa.array(cols[1]), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64()), pa.array(cols[4]), pa.array(cols[5], pa.list_(pa.int32())), pa.array(cols[6], pa.list_(pa.int32()))],
@@ -124,11 +137,24 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def media_features(media: DataFrame) -> DataFrame:
     """Features of stored media (doc_id, n_bytes, media): digests of what is read back, and the pair fingerprint."""
-    return media.select("doc_id", "n_bytes", "media").mapInArrow(_features, "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, codes array<int>, times array<int>")
+    return media.select("doc_id", "n_bytes", "media").mapInArrow(
+        _features,
+        "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, "
+        "media_bytes bigint, media_sha256 string, codes array<int>, times array<int>",
+    )
 
 
 def op4_media(spark, sf_dir: str) -> DataFrame:
     """Every text stored as WAV, read back and fingerprinted; `feature` digests the time-coded pairs."""
     found = media_features(store_media(spark.read.parquet(f"{sf_dir}/documents.parquet")))
     pairs = F.array_join(F.zip_with("codes", "times", lambda c, t: F.concat_ws("@", c, t)), ",")
-    return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", F.concat_ws(":", F.size("codes"), F.sha2(pairs, 256)).alias("feature"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        "payload_bytes",
+        "payload_sha256",
+        "tail_crc32",
+        "media_bytes",
+        "media_sha256",
+        F.concat_ws(":", F.size("codes"), F.sha2(pairs, 256)).alias("feature"),
+    )

@@ -43,7 +43,9 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, most: int = MOST)
         "total": F.sum("source_size").over(every),
     })
     level = (F.col("total") - F.col("before")) / F.col("left")
-    level = full.withColumn("level", level).withColumn("fits", F.col("level") * F.col("w") <= F.col("source_size") * most)
+    level = full.withColumn("level", level).withColumn(
+        "fits", F.col("level") * F.col("w") <= F.col("source_size") * most
+    )
     level = level.withColumn("level", F.min(F.when(F.col("fits"), F.struct("place", "level"))).over(every)["level"])
     share = F.least(F.coalesce(F.col("level"), F.lit(0.0)) * F.col("w"), (F.col("source_size") * most).cast("double"))
     return level.select("source", "source_size", share.alias("target"))
@@ -54,11 +56,29 @@ def _plan(documents: DataFrame, weights: tuple, most: int, seed: str) -> DataFra
     own = {c: f"c{i}" for i, c in enumerate(documents.columns)}
     sized = documents.select(*(F.col(f"`{c}`").alias(x) for c, x in own.items()))
     sized = sized.withColumns({"source": F.col(own["source"]), "size": word_count(own["text"])})
-    targets = maybe_broadcast(written(source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most), "targets"))
-    rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most)))).otherwise(0.0)
-    draw = F.conv(F.substring(F.sha2(F.concat(F.lit(seed), F.coalesce(F.col(own["doc_id"]).cast("string"), F.lit(""))), 256), 1, 8), 16, 10).cast("bigint") / float(1 << 32)
+    targets = maybe_broadcast(
+        written(
+            source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most), "targets"
+        )
+    )
+    rate = F.when(
+        F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most)))
+    ).otherwise(0.0)
+    draw = F.conv(
+        F.substring(
+            F.sha2(F.concat(F.lit(seed), F.coalesce(F.col(own["doc_id"]).cast("string"), F.lit(""))), 256), 1, 8
+        ),
+        16,
+        10,
+    ).cast("bigint") / float(1 << 32)
     joined = sized.alias("d").join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")))
-    return joined.select(*own.values(), "size", "source_size", "target", (F.floor(rate) + (draw < rate - F.floor(rate)).cast("int")).cast("bigint").alias("copies"))
+    return joined.select(
+        *own.values(),
+        "size",
+        "source_size",
+        "target",
+        (F.floor(rate) + (draw < rate - F.floor(rate)).cast("int")).cast("bigint").alias("copies"),
+    )
 
 
 def mix_plan(documents: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
@@ -77,14 +97,20 @@ def mix_plan(documents: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, s
 
 def mix(documents: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
     """The mixed corpus: every row as often as the plan says, all columns as they are in `documents`."""
-    plan = _plan(documents, weights, most, seed).where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    plan = (
+        _plan(documents, weights, most, seed)
+        .where("copies > 0")
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    )
     return plan.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(documents.columns)))
 
 
 def op8_mix_sources(spark, sf_dir: str) -> DataFrame:
     """Weights 5, 2, 1 over the sources, at most three copies."""
     plan = mix_plan(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source"))
-    return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
+    return plan.select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies"
+    )
 
 
 SQL = r"""

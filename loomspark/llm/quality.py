@@ -70,7 +70,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen = np.flatnonzero(counts.any(axis=0))
     for at in range(0, len(seen), 1 << 16):
         x = seen[at : at + (1 << 16)]
-        yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int32)), pa.array(counts[0, x]), pa.array(counts[1, x])], ["feature", "y0", "y1"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x.astype(np.int32)), pa.array(counts[0, x]), pa.array(counts[1, x])], ["feature", "y0", "y1"]
+        )
 
 
 def log_count_ratios(counts: np.ndarray) -> np.ndarray:
@@ -114,7 +116,10 @@ def _fit(scale: np.ndarray):
         w = dual_descent([f for f, a in zip(rows, aside, strict=True) if not a], 2 * y[~aside] - 1.0, scale)
         test = [i for i in range(len(y)) if aside[i] or not aside.any()]
         slope, offset = logistic_fit(np.array([margin(rows[i], w, scale) for i in test]), y[test], np.ones(len(test)))
-        yield pa.RecordBatch.from_arrays([pa.array([w.astype(np.float64).tobytes()], pa.binary()), pa.array([slope]), pa.array([offset])], ["w", "slope", "offset"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([w.astype(np.float64).tobytes()], pa.binary()), pa.array([slope]), pa.array([offset])],
+            ["w", "slope", "offset"],
+        )
 
     return run
 
@@ -128,7 +133,13 @@ def learn(documents: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarr
     """(weights, log-count ratios, slope, offset)."""
     known = learning_labels(labels, "quality")
     rows = documents.select(F.col("doc_id").cast("bigint"), "text").join(known, "doc_id")
-    sums = rows.select("text", "label").mapInArrow(_count, "feature int, y0 bigint, y1 bigint").groupBy("feature").agg(F.sum("y0").alias("y0"), F.sum("y1").alias("y1")).toArrow()
+    sums = (
+        rows.select("text", "label")
+        .mapInArrow(_count, "feature int, y0 bigint, y1 bigint")
+        .groupBy("feature")
+        .agg(F.sum("y0").alias("y0"), F.sum("y1").alias("y1"))
+        .toArrow()
+    )
     counts = np.zeros((2, SPACE))
     for i, c in enumerate(("y0", "y1")):
         counts[i, sums.column("feature").to_numpy()] = sums.column(c).to_numpy()
@@ -136,8 +147,20 @@ def learn(documents: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarr
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     # Of rows that repeat an id the text with the smallest hash is taken, so that reruns agree.
     first = F.min_by(F.struct("text", "label"), F.struct(F.xxhash64("text"), "text")).alias("x")
-    sample = documents.select(F.col("doc_id").cast("bigint"), "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(first).select("doc_id", "x.*")
-    fitted = sample.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id").select("text", "label").mapInArrow(_fit(scale), "w binary, slope double, offset double").collect()
+    sample = (
+        documents.select(F.col("doc_id").cast("bigint"), "text")
+        .join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id")
+        .agg(first)
+        .select("doc_id", "x.*")
+    )
+    fitted = (
+        sample.repartition(1)
+        .sortWithinPartitions(F.xxhash64("doc_id"), "doc_id")
+        .select("text", "label")
+        .mapInArrow(_fit(scale), "w binary, slope double, offset double")
+        .collect()
+    )
     if not fitted:
         return np.zeros(SPACE), scale, 0.0, 0.0
     return np.frombuffer(fitted[0].w, np.float64), scale, fitted[0].slope, fitted[0].offset
@@ -148,7 +171,9 @@ def _score(w: np.ndarray, scale: np.ndarray, slope: float, offset: float):
         for batch in batches:
             m = np.array([margin(f, w, scale) for f in features(batch.column("text"))])
             score = 1 / (1 + np.exp(-np.clip(slope * m + offset, -700, 700)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score, pa.float64())], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(score, pa.float64())], ["doc_id", "score"]
+            )
 
     return run
 
@@ -161,10 +186,19 @@ def score_quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
     all count for the ratios, and the text with the smallest hash is fitted. Without labels of both classes all rows have the base rate. An empty table gives an empty result.
     """
     model = learn(documents, labels)
-    return documents.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(_score(*model), "doc_id bigint, score double")
+    return documents.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
+        _score(*model), "doc_id bigint, score double"
+    )
 
 
 def op5_quality(spark, sf_dir: str) -> DataFrame:
     """Every document, by the labels of the rows that are not held out."""
-    found = score_quality(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    found = score_quality(
+        spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    )
+    return found.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )

@@ -53,7 +53,14 @@ def maybe_broadcast(written_df: DataFrame, limit: int = BROADCAST_BYTES) -> Data
 
 def row_key(doc_id: Column, text: Column) -> Column:
     """What tells rows apart where ids are null or repeat: 16 bytes of hash over id and text. Rows equal in both share it."""
-    return F.unhex(F.concat(*(F.lpad(F.hex(F.xxhash64(F.lit(seed), doc_id.isNull(), doc_id, text.isNull(), text)), 16, "0") for seed in (1, 2))))
+    return F.unhex(
+        F.concat(
+            *(
+                F.lpad(F.hex(F.xxhash64(F.lit(seed), doc_id.isNull(), doc_id, text.isNull(), text)), 16, "0")
+                for seed in (1, 2)
+            )
+        )
+    )
 
 
 def parts(spark: SparkSession) -> int:

@@ -99,7 +99,9 @@ class Words:
         if not n:
             self.hash, self.row = np.zeros(0, np.uint64), np.zeros(0, np.int64)
             self.start = self.end = np.zeros(0, np.int64)
-            self.first, self._sums, self._down = np.zeros(rows + 1, np.int64), np.zeros(1, np.uint64), np.ones(1, np.uint64)
+            self.first, self._sums, self._down = np.zeros(
+                rows + 1, np.int64
+            ), np.zeros(1, np.uint64), np.ones(1, np.uint64)
             return
         kept = np.ones(256, bool)
         kept[list(separators)] = False
@@ -127,7 +129,9 @@ class Words:
         """(numbers of the words of more than k bytes, hashes of their first k bytes)."""
         at = np.flatnonzero(self.end - self.start > k)
         start = self.start[at]
-        return at, mix(((self._sums[start + k] - self._sums[start]) * self._down[start]) ^ np.uint64(k * 0x9E3779B97F4A7))
+        return at, mix(
+            ((self._sums[start + k] - self._sums[start]) * self._down[start]) ^ np.uint64(k * 0x9E3779B97F4A7)
+        )
 
 
 def _values(lower: bool) -> np.ndarray:

@@ -60,7 +60,9 @@ class WordEncoder:
         self.type = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), END + 1) <= 1 << 16 else "<u4")
         spec = json.loads(self.tokenizer.to_str())
         cut = spec.get("pre_tokenizer") or {}
-        self.by_words = spec.get("normalizer") is None and all(cut.get(k) == v for k, v in BYTE_LEVEL.items()) and spec["model"]["type"] == "BPE" and not spec["model"].get("ignore_merges")
+        self.by_words = spec.get("normalizer") is None and all(
+            cut.get(k) == v for k, v in BYTE_LEVEL.items()
+        ) and spec["model"]["type"] == "BPE" and not spec["model"].get("ignore_merges")
         self.heads: dict[str, bytes] = {"": b""}
         self.bodies: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
@@ -76,7 +78,10 @@ class WordEncoder:
         return cls.kept[path]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.type).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [
+            np.array(e.ids, self.type).tobytes()
+            for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ]
 
     def _learn(self, known: dict[str, bytes], words: list[str], before: str) -> None:
         """Encode new words, many in one text, and cut the ids before each word."""
@@ -86,7 +91,10 @@ class WordEncoder:
                 ids = np.frombuffer(raw, self.type)
                 cuts = np.flatnonzero(self.spaced[ids] if before == " " else ids == np.frombuffer(self.feed, self.type))
                 own = 0 if before == " " else 1
-                known.update((w, ids[a + own : b].tobytes()) for w, a, b in zip(run, cuts, np.append(cuts[1:], len(ids)), strict=True))
+                known.update(
+                    (w, ids[a + own : b].tobytes())
+                    for w, a, b in zip(run, cuts, np.append(cuts[1:], len(ids)), strict=True)
+                )
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.heads) + len(self.bodies) > KEPT:
@@ -111,7 +119,11 @@ class WordEncoder:
         marked = {w: bodies[s] + self.marks[m] for w, (s, m) in split.items()}
         body = lambda w: bodies.get(w) or marked[w]
         encoded = dict(zip(whole, self._ids(list(whole.values())), strict=True))
-        return [encoded[i] if lines is None else self.feed.join([heads[x[0]] + b"".join(map(body, x[1:])) for x in lines]) for i, lines in enumerate(cut)]
+        return [
+            encoded[i]
+            if lines is None else self.feed.join([heads[x[0]] + b"".join(map(body, x[1:])) for x in lines])
+            for i, lines in enumerate(cut)
+        ]
 
 
 KEPT_BY_WORKER.append(WordEncoder.kept)
@@ -164,7 +176,9 @@ def _write(path: str, folder: str):
         end = np.array([END], encoder.type).tobytes()
         name = f"{folder}/part-{task.partitionId():06d}-{task.attemptNumber()}-{uuid.uuid4().hex[:8]}"
         docs = tokens = nulls = 0
-        with _open(f"{name}.tokens", "wb") as out, _open(f"{name}.offsets", "wb") as offsets, _open(f"{name}.ids", "wb") as ids:
+        with _open(f"{name}.tokens", "wb") as out, _open(
+            f"{name}.offsets", "wb"
+        ) as offsets, _open(f"{name}.ids", "wb") as ids:
             for batch in batches:
                 for piece in _pieces(batch):
                     done = [x + end for x in encoder.encode([x or "" for x in piece.column(1).to_pylist()])]
@@ -176,7 +190,16 @@ def _write(path: str, folder: str):
                     docs, tokens = docs + len(piece), tokens + int(sizes.sum())
         give_back()
         if docs:
-            yield pa.RecordBatch.from_pydict({"part": [task.partitionId()], "name": [name], "docs": [docs], "tokens": [tokens], "nulls": [nulls]}, schema=pa.schema([("part", pa.int32()), ("name", pa.string()), ("docs", pa.int64()), ("tokens", pa.int64()), ("nulls", pa.int64())]))
+            yield pa.RecordBatch.from_pydict(
+                {"part": [task.partitionId()], "name": [name], "docs": [docs], "tokens": [tokens], "nulls": [nulls]},
+                schema=pa
+                .schema(
+                    [
+                        ("part", pa.int32()), ("name", pa.string()), ("docs", pa.int64()), ("tokens", pa.int64()),
+                        ("nulls", pa.int64()),
+                    ]
+                ),
+            )
 
     return run
 
@@ -196,11 +219,25 @@ def write_tokens(documents: DataFrame, path: str, folder: str | None = None) ->
     if urlparse(folder).scheme in ("", "file"):
         os.makedirs(urlparse(folder).path, exist_ok=True)
     docs = documents.select(F.col("doc_id").cast("bigint"), F.col("text"), F.xxhash64("text").alias("tie"))
-    ordered = docs.repartitionByRange(parts(spark), F.col("doc_id").asc_nulls_first(), F.col("tie")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie").drop("tie")
-    rows = sorted(ordered.mapInArrow(_write(path, folder), "part int, name string, docs bigint, tokens bigint, nulls bigint").collect())
+    ordered = (
+        docs.repartitionByRange(parts(spark), F.col("doc_id").asc_nulls_first(), F.col("tie"))
+        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie")
+        .drop("tie")
+    )
+    rows = sorted(
+        ordered.mapInArrow(_write(path, folder), "part int, name string, docs bigint, tokens bigint, nulls bigint")
+        .collect()
+    )
     tokens = np.cumsum([0] + [r.tokens for r in rows])
     encoder = WordEncoder.of(path)
-    index = {"type": encoder.type.str, "tokens": int(tokens[-1]), "files": [{"name": r.name, "base": int(b), "docs": r.docs, "tokens": r.tokens, "nulls": r.nulls} for r, b in zip(rows, tokens, strict=False)]}
+    index = {
+        "type": encoder.type.str,
+        "tokens": int(tokens[-1]),
+        "files": [
+            {"name": r.name, "base": int(b), "docs": r.docs, "tokens": r.tokens, "nulls": r.nulls}
+            for r, b in zip(rows, tokens, strict=False)
+        ],
+    }
     with _open(f"{folder}/index.json", "wb") as f:
         f.write(json.dumps(index).encode())
     return f"{folder}/index.json"
@@ -210,14 +247,27 @@ def _read(kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                ids, starts, tokens = Stored(row["name"] + ".ids", "<i8"), Stored(row["name"] + ".offsets", "<u8"), Stored(row["name"] + ".tokens", kind)
+                ids, starts, tokens = Stored(row["name"] + ".ids", "<i8"), Stored(
+                    row["name"] + ".offsets", "<u8"
+                ), Stored(row["name"] + ".tokens", kind)
                 for at in range(0, ids.size, 10_000):
                     to = min(at + 10_000, ids.size)
                     cuts = starts.part(at, to + 1).astype(np.int64)
                     cuts = cuts if to < ids.size else np.append(cuts, tokens.size)
-                    crc = [zlib.crc32(tokens.part(a, b).astype("<u4").tobytes()) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+                    crc = [
+                        zlib.crc32(tokens.part(a, b).astype("<u4").tobytes())
+                        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
+                    ]
                     null = np.arange(at, to) < row["nulls"]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.array(ids.part(at, to)), mask=null), pa.array(row["base"] + cuts[:-1]), pa.array(np.diff(cuts)), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.array(ids.part(at, to)), mask=null),
+                            pa.array(row["base"] + cuts[:-1]),
+                            pa.array(np.diff(cuts)),
+                            pa.array(crc, pa.int64()),
+                        ],
+                        ["doc_id", "start", "n_tokens", "ids_crc32"],
+                    )
 
     return run
 
@@ -228,7 +278,9 @@ def read_tokens(spark: SparkSession, index_uri: str) -> DataFrame:
         index = json.loads(f.read())
     files = [(i, x["name"], x["base"], x["nulls"]) for i, x in enumerate(index["files"])]
     rows = spark.createDataFrame(files, "i int, name string, base bigint, nulls bigint")
-    return rows.repartitionById(max(1, len(files)), F.col("i")).mapInArrow(_read(index["type"]), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return rows.repartitionById(max(1, len(files)), F.col("i")).mapInArrow(
+        _read(index["type"]), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
+    )
 
 
 def op3_token_files(spark, sf_dir: str) -> DataFrame:

@@ -61,7 +61,14 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at, unit = (np.concatenate(x) for x in zip(*_units(words), strict=True))
             u, inv = np.unique(unit, return_inverse=True)
             pairs = np.unique(inv.astype(np.int64) * len(offsets) + words.row[at])
-            yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(np.bincount(pairs // len(offsets), minlength=len(u))), pa.array(np.bincount(inv, minlength=len(u)))], ["unit", "docs", "n"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(u.view(np.int64)),
+                    pa.array(np.bincount(pairs // len(offsets), minlength=len(u))),
+                    pa.array(np.bincount(inv, minlength=len(u))),
+                ],
+                ["unit", "docs", "n"],
+            )
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,8 +83,17 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at, unit = (np.concatenate(x) for x in zip(*_units(words), strict=True))
             u, inv = np.unique(unit, return_inverse=True)
             own = label[at]
-            columns = [np.append(np.bincount(inv[m], minlength=len(u)), k.sum()) for m, k in ((own > -2, label > -2), (own == 1, label == 1), (own == 0, label == 0))]
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(u.view(np.int64), 0), mask=np.arange(len(u) + 1) == len(u)), *map(pa.array, columns)], ["unit", "n", "y1", "y0"])
+            columns = [
+                np.append(np.bincount(inv[m], minlength=len(u)), k.sum())
+                for m, k in ((own > -2, label > -2), (own == 1, label == 1), (own == 0, label == 0))
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.append(u.view(np.int64), 0), mask=np.arange(len(u) + 1) == len(u)),
+                    *map(pa.array, columns),
+                ],
+                ["unit", "n", "y1", "y0"],
+            )
 
 
 def _member(sorted_words: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -148,7 +164,11 @@ def _scan(model: Lexicon):
             raised = model.rate * best - np.log(np.maximum(size, 1))
             evidence = np.where(total > 0, total, raised - model.log_k)
             score = 1 / (1 + np.exp(-np.clip(model.slope * evidence + model.offset, -700, 700)))
-            kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("score", pa.float64()), ("evidence", pa.float64())]))
+            kind = pa.list_(
+                pa.struct(
+                    [("first", pa.int32()), ("last", pa.int32()), ("score", pa.float64()), ("evidence", pa.float64())]
+                )
+            )
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("label") if "label" in batch.schema.names else pa.nulls(n, pa.int32()), batch.column("key") if "key" in batch.schema.names else pa.nulls(n, pa.binary()), pa.array(raised), pa.array(evidence), pa.array(score), pa.array(segments, kind)],
                 ["doc_id", "label", "key", "raised", "evidence", "score", "segments"],
@@ -157,19 +177,37 @@ def _scan(model: Lexicon):
     return run
 
 
-_SCANNED = "doc_id bigint, label int, key binary, raised double, evidence double, score double, segments array<struct<first: int, last: int, score: double, evidence: double>>"
+_SCANNED = (
+    "doc_id bigint, label int, key binary, raised double, evidence double, score double, segments "
+    "array<struct<first: int, last: int, score: double, evidence: double>>"
+)
 
 
 def learn(documents: DataFrame, labels: DataFrame) -> Lexicon:
     """The model from all documents and the labels that may be learned from (see `learning_labels`)."""
     known = learning_labels(labels, "toxic")
     docs = documents.select(F.col("doc_id").cast("bigint"), "text")
-    toxic = docs.join(known.where("label = 1"), "doc_id").select("text").mapInArrow(_candidates, "unit bigint, docs bigint, n bigint")
-    often = written(toxic.groupBy("unit").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= SUPPORT).select("unit"), "units")
-    rows = docs.join(known, "doc_id", "left").select("text", "label").mapInArrow(_counts, "unit bigint, n bigint, y1 bigint, y0 bigint")
+    toxic = (
+        docs.join(known.where("label = 1"), "doc_id")
+        .select("text")
+        .mapInArrow(_candidates, "unit bigint, docs bigint, n bigint")
+    )
+    often = written(
+        toxic.groupBy("unit").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= SUPPORT).select("unit"), "units"
+    )
+    rows = (
+        docs.join(known, "doc_id", "left")
+        .select("text", "label")
+        .mapInArrow(_counts, "unit bigint, n bigint, y1 bigint, y0 bigint")
+    )
     sums = rows.groupBy("unit").agg(*(F.sum(c).alias(c) for c in ("n", "y1", "y0")))
     # The supported units are kept by an outer join, which lets the row of the null unit through as well.
-    counted = written(sums.join(maybe_broadcast(often.withColumn("known", F.lit(True))), "unit", "left").where("known OR unit IS NULL").drop("known"), "counts")
+    counted = written(
+        sums.join(maybe_broadcast(often.withColumn("known", F.lit(True))), "unit", "left")
+        .where("known OR unit IS NULL")
+        .drop("known"),
+        "counts",
+    )
     total = counted.where("unit IS NULL").select("n", "y1", "y0").first()
     model = Lexicon(np.zeros(0, np.uint64), np.zeros(0))
     if total and total.y1 and total.y0:
@@ -178,9 +216,15 @@ def learn(documents: DataFrame, labels: DataFrame) -> Lexicon:
         y1, y0 = F.col("y1") + F.col("prior"), F.col("y0") + F.col("prior")
         odds = F.log(y1) - F.log(F.lit(total.y1 + mass) - y1) - F.log(y0) + F.log(F.lit(total.y0 + mass) - y0)
         scored = counted.where("unit IS NOT NULL").withColumn("prior", prior).withColumn("odds", odds)
-        scored = written(scored.where((F.col("odds") / F.sqrt(1 / y1 + 1 / y0) > STANDS_OUT) & (F.col("odds") > LEAST)).select("unit", "odds", "y0"), "scoring")
+        scored = written(
+            scored.where((F.col("odds") / F.sqrt(1 / y1 + 1 / y0) > STANDS_OUT) & (F.col("odds") > LEAST))
+            .select("unit", "odds", "y0"),
+            "scoring",
+        )
         if n_bytes(scored) > MODEL_BYTES:
-            raise ValueError(f"the scoring units take {n_bytes(scored)} bytes, more than the {MODEL_BYTES} that every task may hold")
+            raise ValueError(
+                f"the scoring units take {n_bytes(scored)} bytes, more than the {MODEL_BYTES} that every task may hold"
+            )
         found = scored.toArrow()
         unit, odds, y0 = (found.column(c).to_numpy() for c in ("unit", "odds", "y0"))
         order = np.argsort(unit.view(np.uint64))
@@ -189,9 +233,16 @@ def learn(documents: DataFrame, labels: DataFrame) -> Lexicon:
     learning = docs.join(known, "doc_id").select("doc_id", "text", "label")
     mean = learning.where("label = 0").mapInArrow(_scan(model), _SCANNED).agg(F.avg("raised")).first()[0]
     model.log_k = (mean or 0.0) - EULER
-    bins = learning.mapInArrow(_scan(model), _SCANNED).groupBy("label", F.round(F.greatest(F.lit(-50.0), F.least(F.lit(200.0), "evidence")), 1).alias("x")).count().collect()
+    bins = (
+        learning.mapInArrow(_scan(model), _SCANNED)
+        .groupBy("label", F.round(F.greatest(F.lit(-50.0), F.least(F.lit(200.0), "evidence")), 1).alias("x"))
+        .count()
+        .collect()
+    )
     if bins:
-        model.slope, model.offset = logistic_fit(*(np.array(c, float) for c in zip(*((r.x, r.label, r["count"]) for r in bins), strict=True)))
+        model.slope, model.offset = logistic_fit(
+            *(np.array(c, float) for c in zip(*((r.x, r.label, r["count"]) for r in bins), strict=True))
+        )
     return model
 
 
@@ -221,11 +272,21 @@ def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     table gives an empty result.
     """
     model = learn(documents, labels)
-    rows = documents.select(F.col("doc_id").cast("bigint"), "text", row_key(F.col("doc_id"), F.col("text")).alias("key"))
+    rows = documents.select(
+        F.col("doc_id").cast("bigint"), "text", row_key(F.col("doc_id"), F.col("text")).alias("key")
+    )
     return rows.mapInArrow(_scan(model), _SCANNED).select("doc_id", "score", "segments", "key")
 
 
 def op2_toxicity(spark, sf_dir: str) -> DataFrame:
     """Every document, by the labels of the rows that are not held out."""
-    found = score_toxicity(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("segments").alias("n_segments"))
+    found = score_toxicity(
+        spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    )
+    return found.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("segments").alias("n_segments"),
+    )

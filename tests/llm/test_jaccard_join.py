@@ -10,7 +10,10 @@ def shingles(text, k):
 
 def brute(rows, k, percent):
     sets = [(d, shingles(t, k)) for d, t in rows]
-    links = {i: {j for j, (_, b) in enumerate(sets) if j != i and a and 100 * len(a & b) >= percent * len(a | b)} for i, (_, a) in enumerate(sets)}
+    links = {
+        i: {j for j, (_, b) in enumerate(sets) if j != i and a and 100 * len(a & b) >= percent * len(a | b)}
+        for i, (_, a) in enumerate(sets)
+    }
     out = []
     for i, (d, s) in enumerate(sets):
         seen, todo = {i}, [i]
@@ -40,7 +43,9 @@ def corpus():
 
 
 def check(spark, rows, **more):
-    df = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 AS n", "'x' AS shingle", "2 AS component")
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr(
+        "*", "1 AS n", "'x' AS shingle", "2 AS component"
+    )
     got = sorted(tuple(r) for r in J.jaccard_components(df.repartition(3), **more).collect())
     assert got == brute(rows, more["k"], more["percent"])
 
@@ -68,7 +73,10 @@ def test_long_lists_in_parts(spark, monkeypatch):
 
     s = np.sort(np.repeat(np.arange(40), np.arange(40)))
     node = np.concatenate([np.arange(i) for i in range(40)])
-    batches = [pa.RecordBatch.from_arrays([pa.array(s[a : a + 13]), pa.array(node[a : a + 13])], ["shingle", "node"]) for a in range(0, len(s), 13)]
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(s[a : a + 13]), pa.array(node[a : a + 13])], ["shingle", "node"])
+        for a in range(0, len(s), 13)
+    ]
     got = sorted(tuple(r.values()) for b in J._index(iter(batches)) for r in b.to_pylist())
     assert got == sorted((x, min(i, 8), i) for i in range(2, 40) for x in range(i))
 
@@ -86,14 +94,20 @@ def test_templated_texts_and_blocks_of_bands(spark, monkeypatch):
 def test_rows_that_share_an_id(spark):
     a, b = "one two three four five six seven", "eight nine ten eleven twelve"
     rows = [(5, a), (5, b), (2, a), (9, b), (7, "something else that is on its own")]
-    got = {(r.doc_id, r.component_id) for r in J.jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    got = {
+        (r.doc_id, r.component_id)
+        for r in J.jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    }
     assert got == {(5, 2), (2, 2), (9, 2), (7, 7)}
 
 
 def test_edges(spark):
     none = spark.createDataFrame([], "doc_id bigint, text string")
     assert J.jaccard_components(none).count() == 0
-    odd = spark.createDataFrame([(None, "a b c d e f"), (None, None), (1, "a b c d e f"), (1, "a b c d e f"), (2, "word " * 60_000)], "doc_id bigint, text string")
+    odd = spark.createDataFrame(
+        [(None, "a b c d e f"), (None, None), (1, "a b c d e f"), (1, "a b c d e f"), (2, "word " * 60_000)],
+        "doc_id bigint, text string",
+    )
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in J.jaccard_components(odd).collect()), key=str)
     assert got == sorted([(None, 2, None), (None, 0, None), (1, 2, 1), (1, 2, 1), (2, 1, 2)], key=str)
 
@@ -127,11 +141,16 @@ def test_divide_skip_however_lists_are_divided(monkeypatch):
 
     rng = random.Random(8)
     bases = [[rng.randrange(10**6) for _ in range(rng.randint(5, 80))] for _ in range(6)]
-    sets = [np.unique(np.array([x if rng.random() > 0.06 else rng.randrange(10**6) for x in rng.choice(bases)], np.uint64)) for _ in range(120)]
+    sets = [
+        np.unique(np.array([x if rng.random() > 0.06 else rng.randrange(10**6) for x in rng.choice(bases)], np.uint64))
+        for _ in range(120)
+    ]
     sides = [None, np.array([i % 3 == 0 for i in range(120)], np.int8)]
     for side in sides:
         linked = lambda i, j: 100 * (c := len(np.intersect1d(sets[i], sets[j]))) >= 70 * (len(sets[i]) + len(sets[j]) - c)
-        expected = {(j, i) for i in range(120) for j in range(i) if (side is None or side[i] != side[j]) and linked(i, j)}
+        expected = {
+            (j, i) for i in range(120) for j in range(i) if (side is None or side[i] != side[j]) and linked(i, j)
+        }
         for mu in (0.0, 0.002, 0.1, 10.0):
             monkeypatch.setattr(J, "MU", mu)
             assert {tuple(sorted((i, int(j)))) for i, js in J.divide_skip(sets, 70, side) for j in js} == expected

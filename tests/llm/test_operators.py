@@ -11,18 +11,25 @@ from loomspark.llm import decontaminate, html_text, licenses, line_dedup, media,
 from loomspark.llm.textarrays import ASCII_PUNCT, ASCII_SPACE, Words, shingle_sets, text_slices
 
 DATA = Path("/root/testdata/sf0.01")
-ODD = ["", None, " ", "a", "Ünï cödé 日本 x", "a\tb\r\nc", "x" * 200_000, "it's he'll  x\n\n y ", "a <|endoftext|> b", "½ x² n° “q” --a..b-- x,,", "same text", "same text"]
+ODD = [
+    "", None, " ", "a", "Ünï cödé 日本 x", "a\tb\r\nc", "x" * 200_000, "it's he'll  x\n\n y ", "a <|endoftext|> b",
+    "½ x² n° “q” --a..b-- x,,", "same text", "same text",
+]
 
 
 def docs(spark, texts=ODD):
-    return spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").selectExpr("*", "0 AS label", "1 AS score", "'s' AS source", "2 AS size", "'h' AS hits")
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").selectExpr(
+        "*", "0 AS label", "1 AS score", "'s' AS source", "2 AS size", "'h' AS hits"
+    )
 
 
 def test_words_match_plain_splitting():
     import pyarrow as pa
 
     texts = [t or "" for t in ODD if not t or len(t) < 1000] * 3
-    for separators, pattern in ((ASCII_SPACE, rb"[^\x20\x09-\x0D]+"), (ASCII_PUNCT, rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")):
+    for separators, pattern in (
+        (ASCII_SPACE, rb"[^\x20\x09-\x0D]+"), (ASCII_PUNCT, rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    ):
         seen: dict = {}
         for first, raw, offsets in text_slices(pa.array(texts), 64):
             w = Words(raw, offsets, separators)
@@ -43,7 +50,11 @@ def test_token_files_round_trip(spark):
     tokenizer = Tokenizer.from_file(path)
     real = [r.text for r in spark.read.parquet(str(DATA / "documents.parquet")).limit(60).collect()]
     texts, start = ODD + real, 0
-    got = token_files.read_tokens(spark, token_files.write_tokens(docs(spark, texts).repartition(3), path)).orderBy("doc_id").collect()
+    got = (
+        token_files.read_tokens(spark, token_files.write_tokens(docs(spark, texts).repartition(3), path))
+        .orderBy("doc_id")
+        .collect()
+    )
     for r, t in zip(got, texts, strict=True):
         ids = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2]
         assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
@@ -58,7 +69,9 @@ def test_media_round_trip(spark):
         raw = (t or "").encode()
         payload = raw + b"\xff" * (-len(raw) % 576 if raw else 576)
         assert media.from_wav(stored[r.doc_id]) == payload
-        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (
+            len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:])
+        )
         assert (r.media_bytes, r.media_sha256) == (len(stored[r.doc_id]), hashlib.sha256(stored[r.doc_id]).hexdigest())
         assert len(r.codes) == len(r.times) and r.times == sorted(r.times)
     assert got[-1].codes == got[-2].codes
@@ -66,7 +79,9 @@ def test_media_round_trip(spark):
 
 
 def ascii_words(text):
-    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return re.findall(
+        r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    )
 
 
 def plain_contamination(rows, items):
@@ -85,17 +100,37 @@ def plain_contamination(rows, items):
                     hit.update(range(i, i + n))
                     found |= x
         names = sorted(str(x) for x in found)
-        out.append((doc, len(w), len(hit), len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)))
+        out.append(
+            (
+                doc,
+                len(w),
+                len(hit),
+                len(names),
+                hashlib.sha256(",".join(names).encode()).hexdigest(),
+                bool(hit) and 20 * len(hit) >= len(w),
+            )
+        )
     return sorted(out, key=str)
 
 
 @pytest.mark.parametrize("limit", [scratch.BROADCAST_BYTES, 0])
 def test_decontamination(spark, limit):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron"
-    bench = [(10, item), (9, item), (2, "short Item"), (3, None), (4, "..."), (5, "Éa éb"), (None, "no id here"), (2, "short Item")]
-    texts = [f"x, {item.upper()}! y", item[:-10], "a SHORT, item b short  item", None, "", "Éa éb éa Éb", "w " * 500 + item, "K short item", "short", "w " * 60_000 + "short item"]
-    rows = [*enumerate(texts), (None, item), (None, "clean words"), (2, "clean words of a repeated id"), (2, "a SHORT, item b short  item"), (7, f"{item} {item}")]
-    d = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 AS words", "2 AS spans", "3 AS key", "4 AS hash", "5 AS size")
+    bench = [
+        (10, item), (9, item), (2, "short Item"), (3, None), (4, "..."), (5, "Éa éb"), (None, "no id here"),
+        (2, "short Item"),
+    ]
+    texts = [
+        f"x, {item.upper()}! y", item[:-10], "a SHORT, item b short  item", None, "", "Éa éb éa Éb", "w " * 500 + item,
+        "K short item", "short", "w " * 60_000 + "short item",
+    ]
+    rows = [
+        *enumerate(texts), (None, item), (None, "clean words"), (2, "clean words of a repeated id"),
+        (2, "a SHORT, item b short  item"), (7, f"{item} {item}"),
+    ]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr(
+        "*", "1 AS words", "2 AS spans", "3 AS key", "4 AS hash", "5 AS size"
+    )
     b = spark.createDataFrame(bench, "item_id bigint, text string").selectExpr("*", "1 AS doc_id", "2 AS hash")
     plain = plain_contamination(rows, [(i, t) for i, t in bench if i is not None])
     named = b.where("item_id is not null")
@@ -106,7 +141,9 @@ def test_decontamination(spark, limit):
     clean = [r for r in rows if not plain_contamination([r], [(i, t) for i, t in bench if i is not None])[0][5]]
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(clean, key=str)
     cleaned = {(r.doc_id, r.text) for r in decontaminate.remove_spans(d, named, limit=limit).collect()}
-    assert (0, "x y") in cleaned and (None, "") in cleaned and (2, "clean words of a repeated id") in cleaned and (2, "a b") in cleaned
+    assert (0, "x y") in cleaned and (None, "") in cleaned and (
+        2, "clean words of a repeated id"
+    ) in cleaned and (2, "a b") in cleaned
     assert decontaminate.contamination(d, named.limit(0), limit=limit).where("n_hit > 0").count() == 0
     assert decontaminate.contamination(d.limit(0), named, limit=limit).count() == 0
 
@@ -120,8 +157,16 @@ words</b>, and more text, to be long enough.<p>Second one<br>after the break, wh
 
 
 def test_html(spark):
-    assert html_text.main_text(PAGE) == "A title\nFirst & best, with some bold words, and more text, to be long enough.\nSecond one after the break, which is a fine paragraph, too.\nOne, two\nthree"
-    pages = spark.createDataFrame([(1, "u", PAGE), (2, None, None), (3, "u", ""), (4, "u", "plain < text & more"), (4, "u", "<p" * 50_000), (5, "u", "<div>" * 5000 + "deep")], "page_id bigint, url string, html string").selectExpr("*", "1 AS text")
+    assert html_text.main_text(
+        PAGE
+    ) == "A title\nFirst & best, with some bold words, and more text, to be long enough.\nSecond one after the break, which is a fine paragraph, too.\nOne, two\nthree"
+    pages = spark.createDataFrame(
+        [
+            (1, "u", PAGE), (2, None, None), (3, "u", ""), (4, "u", "plain < text & more"), (4, "u", "<p" * 50_000),
+            (5, "u", "<div>" * 5000 + "deep"),
+        ],
+        "page_id bigint, url string, html string",
+    ).selectExpr("*", "1 AS text")
     got = {(r.page_id, r.n_chars): r.text for r in html_text.extract_pages(pages).collect()}
     assert len(got) == 6 and got[(2, 0)] == got[(3, 0)] == "" and got[(5, 4)] == "deep"
     assert html_text.extract_pages(pages.limit(0)).count() == 0
@@ -129,13 +174,35 @@ def test_html(spark):
 
 def test_html_keeps_what_only_looks_like_junk():
     a = "This is the first paragraph, with commas, and enough text to be scored as one."
-    b = "A second paragraph, as long as the first, and with commas, which is no part of the article, but of another thing, at the side."
-    for around in ('<div><p data-hidden="false">{}</p></div>', '<div><p title="the hidden costs">{}</p></div>', '<div class="layout has-sidebar"><article><p>{}</p></article></div>', '<form><div><p>{}</p></div></form>', '<div class="no-sidebar"><p>{}</p></div>', '<div role=form><main><p>{}</p></main></div>', '<div class="post comments-open"><div class="has-ads"><p>{}</p></div></div>'):
+    b = (
+        "A second paragraph, as long as the first, and with commas, which is no part of the article, but of "
+        "another thing, at the side."
+    )
+    for around in (
+        '<div><p data-hidden="false">{}</p></div>',
+        '<div><p title="the hidden costs">{}</p></div>',
+        '<div class="layout has-sidebar"><article><p>{}</p></article></div>',
+        '<form><div><p>{}</p></div></form>',
+        '<div class="no-sidebar"><p>{}</p></div>',
+        '<div role=form><main><p>{}</p></main></div>',
+        '<div class="post comments-open"><div class="has-ads"><p>{}</p></div></div>',
+    ):
         assert html_text.main_text("<body>" + around.format(a)) == a
     assert html_text.main_text(f'<div><p>{a} <a href="/x?id=menu">A link</a></p></div>') == f"{a} A link"
-    for other in ('<div class="related"><article><p>{}</p></article></div>', '<section id=comments><article class=comment><p>{}</p></article></section>', '<div class=sidebar><p>{}</p></div>', "<p hidden>{}</p>", "<nav><p>{}</p></nav>"):
-        assert html_text.main_text(f'<div class="layout has-sidebar"><main><p>{a}</p><p>{a}</p></main>{other.format(b)}</div>') == f"{a}\n{a}"
-    for other in ("<div class=ad><p>{}</p></div>", "<div class=cookie-notice><p>{}</p></div>", "<p hidden>{}</p>", '<p style="display: none">{}</p>'):
+    for other in (
+        '<div class="related"><article><p>{}</p></article></div>',
+        '<section id=comments><article class=comment><p>{}</p></article></section>',
+        '<div class=sidebar><p>{}</p></div>',
+        "<p hidden>{}</p>",
+        "<nav><p>{}</p></nav>",
+    ):
+        assert html_text.main_text(
+            f'<div class="layout has-sidebar"><main><p>{a}</p><p>{a}</p></main>{other.format(b)}</div>'
+        ) == f"{a}\n{a}"
+    for other in (
+        "<div class=ad><p>{}</p></div>", "<div class=cookie-notice><p>{}</p></div>", "<p hidden>{}</p>",
+        '<p style="display: none">{}</p>',
+    ):
         assert html_text.main_text(f"<div><p>{a}</p></div>{other.format(b)}") == a
 
 
@@ -157,7 +224,10 @@ def test_maximal_segments_against_brute_force():
             assert all(score[a : k + 1].sum() > -1e-9 and score[k : b + 1].sum() > -1e-9 for k in range(a, b + 1))
 
 
-@pytest.mark.parametrize(("module", "name", "label", "least"), [(toxicity, "score_toxicity", "toxic", 0.93), (quality, "score_quality", "quality", 0.96)])
+@pytest.mark.parametrize(
+    ("module", "name", "label", "least"),
+    [(toxicity, "score_toxicity", "toxic", 0.93), (quality, "score_quality", "quality", 0.96)],
+)
 def test_classifiers_on_held_out_rows(spark, module, name, label, least):
     d, labels = (spark.read.parquet(str(DATA.parent / "sf0.1" / f"{t}.parquet")) for t in ("documents", "labels"))
     scored = getattr(module, name)(d.drop("lang", "source"), labels).select("doc_id", "score")
@@ -170,7 +240,10 @@ def test_classifiers_on_held_out_rows(spark, module, name, label, least):
 @pytest.mark.parametrize("name", ["toxicity.score_toxicity", "quality.score_quality"])
 def test_classifier_edges(spark, name):
     f = eval(name)
-    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(40)] + [(None, 1, 1), (3, None, None)], "doc_id bigint, quality int, toxic int")
+    labels = spark.createDataFrame(
+        [(i, i % 2, i % 2) for i in range(40)] + [(None, 1, 1), (3, None, None)],
+        "doc_id bigint, quality int, toxic int",
+    )
     texts = ODD + [("bad idiot words " if i % 2 else "fine good words ") * 5 for i in range(28)]
     got = f(docs(spark, texts), labels).orderBy("doc_id").collect()
     assert len(got) == len(texts) and all(0 <= r.score <= 1 for r in got)
@@ -201,7 +274,11 @@ def plain_line_dedup(rows):
             for m in (1, 2, 3):
                 run = texts[s : s + m]
                 short = m == 3 and len(texts) < 3
-                if not (s == 0 or s + 3 <= len(texts) if m == 3 else s + m <= len(texts) and len(re.findall(r"[^\x20\x09-\x0D]+", " ".join(run))) > 50):
+                if not (
+                    s == 0 or s + 3 <= len(texts)
+                    if m == 3
+                    else s + m <= len(texts) and len(re.findall(r"[^\x20\x09-\x0D]+", " ".join(run))) > 50
+                ):
                     continue
                 place = first.setdefault((m, short, *run), (r, s))
                 if place != (r, s):
@@ -209,13 +286,23 @@ def plain_line_dedup(rows):
     out = []
     for (doc, text), lines, g in zip(rows, full, gone, strict=True):
         cut = {lines[p][0] for p in g}
-        out.append((doc, None if text is None else "\n".join(x for i, x in enumerate(text.split("\n")) if i not in cut), len(lines), len(g)))
+        out.append(
+            (
+                doc,
+                None if text is None else "\n".join(x for i, x in enumerate(text.split("\n")) if i not in cut),
+                len(lines),
+                len(g),
+            )
+        )
     return out
 
 
 def test_line_dedup(spark):
     block = "l one\nl two\nl three\nl four"
-    texts = [f"a\n{block}\nz", f"b\n\n {block}\ny", "q\nl two\nl three\nx", block, "tiny", "tiny", None, "", "\n\n", "r\nr\nr\nr\nr"]
+    texts = [
+        f"a\n{block}\nz", f"b\n\n {block}\ny", "q\nl two\nl three\nx", block, "tiny", "tiny", None, "", "\n\n",
+        "r\nr\nr\nr\nr",
+    ]
     got = line_dedup.dedup_lines(docs(spark, texts)).orderBy("doc_id").collect()
     assert [r.text for r in got] == [texts[0], "b\n\ny", texts[2], "", "tiny", "", None, "", "\n\n", "r\nr\nr"]
     assert [r.n_removed for r in got] == [0, 4, 0, 4, 0, 1, 0, 0, 0, 2]
@@ -228,18 +315,40 @@ def test_line_dedup_edges_and_passages(spark):
         (1, f"k1\nk2\nk3\n{long}\nend"), (2, "x1\nx2\nx3"), (2, "k1\nk2\nk3"), (3, f"other\n {long} \nmore"), (4, long), (5, f"{half}\n{half}\na"), (6, f"b\n{half}\n{half}"), (7, f"{half}\nc"),
         (8, "h\nh\nh\nh\nend"), (9, "line\n" * 30_000), (None, "k1\nk2\nk3"), (None, "own\nlines\nhere"), (None, None),
     ]
-    d = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "7 AS places", "8 AS lines", "9 AS full", "10 AS key", "11 AS n_lines")
+    d = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr(
+        "*", "7 AS places", "8 AS lines", "9 AS full", "10 AS key", "11 AS n_lines"
+    )
     got = line_dedup.dedup_lines(d.repartition(3))
     assert {(r.places, r.lines, r.full, r.key) for r in got.collect()} == {(7, 8, 9, 10)}
-    assert sorted(((r.doc_id, r.text, r.n_lines, r.n_removed) for r in got.collect()), key=str) == sorted(plain_line_dedup(rows), key=str)
-    assert (2, "x1\nx2\nx3", 3, 0) in plain_line_dedup(rows) and (3, "other\nmore", 3, 1) in plain_line_dedup(rows) and (8, "h\nh\nh\nend", 5, 1) in plain_line_dedup(rows)
+    assert sorted(
+        ((r.doc_id, r.text, r.n_lines, r.n_removed) for r in got.collect()), key=str
+    ) == sorted(plain_line_dedup(rows), key=str)
+    assert (2, "x1\nx2\nx3", 3, 0) in plain_line_dedup(rows) and (
+        3, "other\nmore", 3, 1
+    ) in plain_line_dedup(rows) and (
+        8, "h\nh\nh\nend", 5, 1
+    ) in plain_line_dedup(rows)
     same = spark.createDataFrame([(1, "a\nb\nc"), (1, "a\nb\nc")], "doc_id bigint, text string")
     assert [r.text for r in line_dedup.dedup_lines(same).collect()] == ["a\nb\nc"] * 2
 
 
 def test_licenses(spark):
-    apache = "Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0\nUnless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."
-    texts = [apache, "x\nReleased under the MIT License.\ny", "licensed under cc by-nc 4.0", None, "", "All rights reserved. This work is licensed under the GNU General Public License, version 3."]
+    apache = (
+        "Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in "
+        "compliance with the License. You may obtain a copy of the License at "
+        "http://www.apache.org/licenses/LICENSE-2.0\nUnless required by applicable law or agreed to in writing, "
+        "software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR "
+        "CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing "
+        "permissions and limitations under the License."
+    )
+    texts = [
+        apache,
+        "x\nReleased under the MIT License.\ny",
+        "licensed under cc by-nc 4.0",
+        None,
+        "",
+        "All rights reserved. This work is licensed under the GNU General Public License, version 3.",
+    ]
     got = licenses.scan_licenses(docs(spark, texts)).orderBy("doc_id").collect()
     assert [r.licenses for r in got] == [["Apache-2.0"], ["MIT"], ["CC-BY-NC-4.0"], [], [], ["GPL-3.0"]]
     assert got[5].unmatched == ["all_rights"] and got[0].n_sentences == 5
@@ -291,7 +400,13 @@ THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND
 ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
 
 THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
-FREE = "This {what} is free software{mark} you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free Software Foundation; either version {v} of the License, or (at your option) any later version.\n\nThis {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details."
+FREE = (
+    "This {what} is free software{mark} you can redistribute it and/or modify it under the terms of the GNU "
+    "{name} as published by the Free Software Foundation; either version {v} of the License, or (at your option) "
+    "any later version.\n\nThis {what} is distributed in the hope that it will be useful, but WITHOUT ANY "
+    "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the "
+    "GNU {name} for more details."
+)
 WHOLE = [
     ("MIT", "\n\n".join(" ".join(p.split()) for p in MIT_WRAPPED[MIT_WRAPPED.index("Permission") :].split("\n\n"))), ("BSD-3-Clause", BSD3), ("BSD-2-Clause", BSD3.replace(BSD3.split("\n\n")[3] + "\n\n", "")), ("ISC", ISC),
     ("GPL-2.0-or-later", FREE.format(what="program", mark=";", name="General Public License", v=2)), ("GPL-3.0-or-later", FREE.format(what="program", mark=":", name="General Public License", v=3)),
@@ -310,10 +425,15 @@ def test_whole_license_texts(spark, wrap):
     import textwrap
 
     cut = lambda t: "\n\n".join("\n".join(textwrap.wrap(p, wrap)) if wrap and "\n" not in p else p for p in t.split("\n\n"))
-    rows = [(i % 7 or None, "Some words before it.\n\n" + cut(t) + "\n\nSome words after it.") for i, (_, t) in enumerate(WHOLE)]
+    rows = [
+        (i % 7 or None, "Some words before it.\n\n" + cut(t) + "\n\nSome words after it.")
+        for i, (_, t) in enumerate(WHOLE)
+    ]
     for (name, _), row in zip(WHOLE, rows, strict=True):
         ids = [x for _, x in licenses.known_sentences(row[1])]
-        found = licenses.scan_licenses(spark.createDataFrame([row], "doc_id bigint, text string")).first() if wrap == 40 and name in ("ISC", "MPL-2.0") else None
+        found = licenses.scan_licenses(
+            spark.createDataFrame([row], "doc_id bigint, text string")
+        ).first() if wrap == 40 and name in ("ISC", "MPL-2.0") else None
         assert found is None or found.licenses == [name] and found.unmatched == []
         rest, got = "," + "".join(f"{x},," for x in ids)[:-1] if ids else ",", []
         for licence, run in licenses.RULES:
@@ -327,7 +447,13 @@ def test_whole_license_texts(spark, wrap):
 def test_wrapped_licenses(spark):
     notices = "words before\nReleased under the MIT License\nAll rights reserved\nwords after"
     parted = "This program is distributed in the hope\n\nthat it will be useful"
-    got = licenses.scan_licenses(docs(spark, [MIT_WRAPPED, GPL_HEADER, GPL_HEADER.replace("\n# ", "\r\n// "), notices, parted])).orderBy("doc_id").collect()
+    got = (
+        licenses.scan_licenses(
+            docs(spark, [MIT_WRAPPED, GPL_HEADER, GPL_HEADER.replace("\n# ", "\r\n// "), notices, parted])
+        )
+        .orderBy("doc_id")
+        .collect()
+    )
     assert [r.licenses for r in got] == [["MIT"], ["GPL-3.0-or-later"], ["GPL-3.0-or-later"], ["MIT"], []]
     assert [r.n_sentences for r in got][0] == 4 and got[0].unmatched == [] and got[3].unmatched == ["all_rights"]
 
@@ -369,13 +495,26 @@ def plain_pipeline(rows, scores, items, encode):
 def small_corpus(spark, tmp_path_factory):
     """Tables of 120 real documents with copies, odd rows, clashing columns, and their labels and benchmark."""
     where = str(tmp_path_factory.mktemp("small"))
-    real = [(r.doc_id, r.text, r.source) for r in spark.read.parquet(str(DATA / "documents.parquet")).orderBy("doc_id").limit(120).collect()]
+    real = [
+        (r.doc_id, r.text, r.source)
+        for r in spark.read.parquet(str(DATA / "documents.parquet")).orderBy("doc_id").limit(120).collect()
+    ]
     items = [(r.item_id, r.text) for r in spark.read.parquet(str(DATA / "benchmark.parquet")).limit(20).collect()]
     near = [(1000 + d, t + " one more word", s) for d, t, s in real[:30]]
-    odd = [(None, None, None), (3001, "", "src1"), (3002, items[0][1], "src2"), (3003, "quiet words of a row " + items[1][1], None), (3004, "some words that stand alone here", "src0"), (3004, "some words that stand alone here", "src0"), (None, real[5][1], "src0")]
+    odd = [
+        (None, None, None),
+        (3001, "", "src1"),
+        (3002, items[0][1], "src2"),
+        (3003, "quiet words of a row " + items[1][1], None),
+        (3004, "some words that stand alone here", "src0"),
+        (3004, "some words that stand alone here", "src0"),
+        (None, real[5][1], "src0"),
+    ]
     schema = "doc_id bigint, text string, source string"
     documents = spark.createDataFrame(real + near + odd, schema)
-    documents.selectExpr("*", "1 AS key", "2 AS size", "3 AS row", "4 AS copies", "5 AS score", "6 AS component_id", "7 AS n_chars").write.parquet(f"{where}/documents.parquet")
+    documents.selectExpr(
+        "*", "1 AS key", "2 AS size", "3 AS row", "4 AS copies", "5 AS score", "6 AS component_id", "7 AS n_chars"
+    ).write.parquet(f"{where}/documents.parquet")
     spark.read.parquet(str(DATA / "labels.parquet")).write.parquet(f"{where}/labels.parquet")
     spark.createDataFrame(items, "item_id string, text string").write.parquet(f"{where}/benchmark.parquet")
     return where, real + near + odd, items
@@ -389,10 +528,19 @@ def test_pipeline_against_plain_python(spark, small_corpus):
     where, rows, items = small_corpus
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     read = lambda t: spark.read.parquet(f"{where}/{t}.parquet")
-    scores = {r.text: r.score for r in toxicity.score_toxicity(read("documents"), read("labels")).alias("s").join(read("documents").select("text", scratch.row_key(F.col("doc_id"), F.col("text")).alias("key")), "key").collect()}
+    scores = {
+        r.text: r.score
+        for r in toxicity
+        .score_toxicity(read("documents"), read("labels"))
+        .alias("s")
+        .join(read("documents").select("text", scratch.row_key(F.col("doc_id"), F.col("text")).alias("key")), "key")
+        .collect()
+    }
     want = plain_pipeline(rows, scores, items, lambda t: tokenizer.encode(t, add_special_tokens=False).ids)
     got = corpus_pipeline.run(spark, where).select("doc_id", "start", "n_tokens", "ids_crc32")
-    assert sorted(tuple(r) for r in got.collect() if r.doc_id is not None) == sorted(r for r in want if r[0] is not None)
+    assert sorted(
+        tuple(r) for r in got.collect() if r.doc_id is not None
+    ) == sorted(r for r in want if r[0] is not None)
     assert len(want) == got.count() and 0 < len(want) < len(rows) * 3
 
 

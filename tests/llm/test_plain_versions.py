@@ -74,9 +74,13 @@ def test_toxicity_against_plain_counts(spark):
         odds = math.log(a / (words[1] + mass - a)) - math.log(b / (words[0] + mass - b))
         if odds / math.sqrt(1 / a + 1 / b) > toxicity.STANDS_OUT and odds > toxicity.LEAST:
             want[unit_hash(*u)] = (odds, y[0][u] / words[0])
-    assert want and dict(zip(model.words.tolist(), model.odds.tolist(), strict=True)) == pytest.approx({h: o for h, (o, _) in want.items()})
+    assert want and dict(
+        zip(model.words.tolist(), model.odds.tolist(), strict=True)
+    ) == pytest.approx({h: o for h, (o, _) in want.items()})
     share = [max(s, 1e-12) for _, s in want.values()]
-    assert sum(s * math.exp(model.rate * o) for (o, _), s in zip(want.values(), share, strict=True)) + (1 - sum(share)) * math.exp(-model.rate * toxicity.DRIFT) == pytest.approx(1, abs=1e-6)
+    assert sum(
+        s * math.exp(model.rate * o) for (o, _), s in zip(want.values(), share, strict=True)
+    ) + (1 - sum(share)) * math.exp(-model.rate * toxicity.DRIFT) == pytest.approx(1, abs=1e-6)
 
     def gains(text):
         found = re.findall(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text.encode().lower())
@@ -92,7 +96,9 @@ def test_toxicity_against_plain_counts(spark):
     for d, s in scores.items():
         kept = [e for x in s if (e := model.rate * x - model.log_k - math.log(size[d])) > 0]
         evidence = sum(kept) if kept else raised[d] - model.log_k
-        assert got[d].score == pytest.approx(1 / (1 + math.exp(-min(max(model.slope * evidence + model.offset, -700), 700))))
+        assert got[d].score == pytest.approx(
+            1 / (1 + math.exp(-min(max(model.slope * evidence + model.offset, -700), 700)))
+        )
         assert [x.evidence for x in got[d].segments] == pytest.approx(kept)
 
 
@@ -113,9 +119,14 @@ def test_quality_ratios_and_dual_optimum(spark):
     want = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
     assert quality.learn(documents, labels)[1] == pytest.approx(want)
     w, t = texts[0].split(), {"A": "A", "a": "a"}
-    shape = ["".join({"l": "a", "u": "A", "d": "0"}["d" if c.isdigit() else "u" if c.isupper() else "l"] for c in x) for x in w]
+    shape = [
+        "".join({"l": "a", "u": "A", "d": "0"}["d" if c.isdigit() else "u" if c.isupper() else "l"] for c in x)
+        for x in w
+    ]
     shape = [re.sub(r"(.)\1+", r"\1", x) for x in shape]
-    grams = {("w", x) for x in zip(*[[y.lower() for y in w]])} | {("w", *x) for x in zip([y.lower() for y in w], [y.lower() for y in w][1:])}
+    grams = {("w", x) for x in zip(*[[y.lower() for y in w]])} | {
+        ("w", *x) for x in zip([y.lower() for y in w], [y.lower() for y in w][1:])
+    }
     grams |= {("s", *x) for k in (1, 2, 3) for x in zip(*[shape[i:] for i in range(k)])}
     assert len(rows[0]) == len(grams) and t
 
@@ -133,7 +144,12 @@ def test_quality_ratios_and_dual_optimum(spark):
 
 def test_quality_query_on_held_out_rows(spark):
     found = quality.op5_quality(spark, str(DATA.parent / "sf0.1"))
-    rows = found.join(spark.read.parquet(str(DATA.parent / "sf0.1" / "labels.parquet")), "doc_id").where("held_out").select("score", "predicted", "quality").toPandas()
+    rows = (
+        found.join(spark.read.parquet(str(DATA.parent / "sf0.1" / "labels.parquet")), "doc_id")
+        .where("held_out")
+        .select("score", "predicted", "quality")
+        .toPandas()
+    )
     assert ((rows.score >= 0.3) == (rows.predicted == 1)).all()
     assert (rows.predicted == rows.quality).mean() >= 0.95
 
@@ -167,19 +183,48 @@ def test_html_on_made_pages(spark):
     rng = random.Random(9)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9)))
     sentence = lambda n: ", ".join(" ".join(word() for _ in range(6)) for _ in range(n)).capitalize() + "."
-    junk = ["<nav><a href=/>Home</a> <a href=/b>Other</a></nav>", '<div class="sidebar"><p>Popular now, and more, and more of it.</p></div>', '<div id="cookie-notice"><p>We use cookies, many of them, for all things.</p></div>', "<footer><p>Copyright, all of it, of some company.</p></footer>", '<div class="ad">Buy this, now, at once, for less.</div>', "<form><label>Mail</label><input name=q><button>Send</button></form>", "<script>var x = '<p>no, no, no</p>';</script><style>p{}</style>", '<section id="comments"><p>I think, as a reader, that this is fine, very fine.</p></section>', '<aside><p>By the way, this, that, and something else.</p></aside>', "<!-- <p>gone, gone, gone</p> -->"]
+    junk = [
+        "<nav><a href=/>Home</a> <a href=/b>Other</a></nav>",
+        '<div class="sidebar"><p>Popular now, and more, and more of it.</p></div>',
+        '<div id="cookie-notice"><p>We use cookies, many of them, for all things.</p></div>',
+        "<footer><p>Copyright, all of it, of some company.</p></footer>",
+        '<div class="ad">Buy this, now, at once, for less.</div>',
+        "<form><label>Mail</label><input name=q><button>Send</button></form>",
+        "<script>var x = '<p>no, no, no</p>';</script><style>p{}</style>",
+        '<section id="comments"><p>I think, as a reader, that this is fine, very fine.</p></section>',
+        '<aside><p>By the way, this, that, and something else.</p></aside>',
+        "<!-- <p>gone, gone, gone</p> -->",
+    ]
     pages, want = [], []
     for i in range(60):
-        blocks = [("h1", sentence(1))] + [(rng.choice(["p", "p", "p", "blockquote"]), sentence(rng.randint(3, 8))) for _ in range(rng.randint(2, 6))]
+        blocks = [("h1", sentence(1))] + [
+            (rng.choice(["p", "p", "p", "blockquote"]), sentence(rng.randint(3, 8))) for _ in range(rng.randint(2, 6))
+        ]
         body = ""
         for tag, text in blocks:
-            shown = text.replace(" ", rng.choice([" ", "\n  ", "\t"]), 1).replace("a", rng.choice(["a", "&#97;", "<b>a</b>"]), 1)
+            shown = text.replace(" ", rng.choice([" ", "\n  ", "\t"]), 1).replace(
+                "a", rng.choice(["a", "&#97;", "<b>a</b>"]), 1
+            )
             body += f"<{tag}>{shown}</{tag}>" + (rng.choice(junk) if rng.random() < 0.2 else "\n")
         body += "<ul><li>first, of the list</li><li>second</li></ul>"
-        start, end = [("<article>", "</article>"), ("<main><div>", "</div></main>"), ('<div class="content">', "</div>"), ('<div class="layout has-sidebar"><article>', "</article></div>"), ('<div id="page"><div class="post-body">', "</div></div>")][i % 5]
+        start, end = [
+            ("<article>", "</article>"),
+            ("<main><div>", "</div></main>"),
+            ('<div class="content">', "</div>"),
+            ('<div class="layout has-sidebar"><article>', "</article></div>"),
+            ('<div id="page"><div class="post-body">', "</div></div>"),
+        ][i % 5]
         before, after = ("".join(rng.sample(junk, 4)) for _ in range(2))
-        pages.append((i, f"u{i}", f"<html><head><title>T</title></head><body>{before}{start}{body}{end}{after}</body></html>"))
+        pages.append(
+            (i, f"u{i}", f"<html><head><title>T</title></head><body>{before}{start}{body}{end}{after}</body></html>")
+        )
         want.append("\n".join([t for _, t in blocks] + ["first, of the list", "second"]))
-    got = html_text.extract_pages(spark.createDataFrame(pages, "page_id bigint, url string, html string").selectExpr("*", "1 AS n_chars")).orderBy("page_id").collect()
+    got = (
+        html_text.extract_pages(
+            spark.createDataFrame(pages, "page_id bigint, url string, html string").selectExpr("*", "1 AS n_chars")
+        )
+        .orderBy("page_id")
+        .collect()
+    )
     assert [r.text for r in got] == want
     assert all(r.n_chars == len(r.text) for r in got)
