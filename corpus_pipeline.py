@@ -26,7 +26,9 @@ def _without(docs: DataFrame, key: Column, bad: DataFrame) -> DataFrame:
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows scored 0.5 or more go, by their own text: rows that share an id, or have none, are each judged."""
     scores = score_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _without(docs, row_key(F.col("doc_id"), F.col("text")), scores.where("score >= 0.5").select("key").distinct())
+    return _without(
+        docs, row_key(F.col("doc_id"), F.col("text")), scores.where("score >= 0.5").select("key").distinct()
+    )
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +46,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     repeated = written(ids.groupBy("key").count().where("count > 1").select("key"), "repeated")
     if repeated.isEmpty():
         return kept
-    once = kept.select(F.struct("*").alias("row"), key.alias("key")).join(repeated, "key").groupBy("key").agg(F.first("row").alias("row")).select("row.*")
+    once = (
+        kept.select(F.struct("*").alias("row"), key.alias("key"))
+        .join(repeated, "key")
+        .groupBy("key")
+        .agg(F.first("row").alias("row"))
+        .select("row.*")
+    )
     return _without(kept, key, repeated).union(once)
 
 
@@ -65,7 +73,13 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return read_tokens(spark, write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
-STAGES = [(name, shipped(f)) for name, f in (("toxicity", toxicity), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("mixing", mixing), ("tokens", tokens))]
+STAGES = [
+    (name, shipped(f))
+    for name, f in (
+        ("toxicity", toxicity), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
+        ("mixing", mixing), ("tokens", tokens),
+    )
+]
 #: SQL can't express the first and the last stage; tests hold run() against a version in plain Python.
 ORACLE_SQL = None
 
