@@ -143,7 +143,9 @@ def named(params: tuple[Param, ...]) -> tuple[Param, ...]:
 
 def _small(word: Column) -> Column:
     """A word as bigint where it is below 2**31, else null."""
-    return F.when(F.hex(F.substring(word, 1, 28)) == "0" * 56, F.conv(F.hex(F.substring(word, 29, 4)), 16, 10).cast("bigint"))
+    return F.when(
+        F.hex(F.substring(word, 1, 28)) == "0" * 56, F.conv(F.hex(F.substring(word, 29, 4)), 16, 10).cast("bigint")
+    )
 
 
 def _word_ok(word: Column, kind: str) -> Column:
@@ -190,7 +192,9 @@ def _simple(data: Column, t: tuple, at: Column | int) -> tuple[Column, Column]:
     size = F.length(data)
     if t[0] == "word":
         word = _word(data, at)
-        return (F.lit(at) + 32 <= size if isinstance(at, int) else at + 32 <= size) & _word_ok(word, t[1]), _word_value(word, t[1])
+        return (
+            F.lit(at) + 32 <= size if isinstance(at, int) else at + 32 <= size
+        ) & _word_ok(word, t[1]), _word_value(word, t[1])
     length = _small(_word(data, at))
     value = F.substring(data, (at + 33).cast("int"), length.cast("int"))
     valid = at + 32 + length <= size
@@ -213,7 +217,10 @@ def _nested(data: Column, t: tuple, at: Column | int, base: Column | int) -> Col
     """struct<ok, v> of any type whose place, or offset from `base`, stands at `at`. Arrays are arrays, tuples structs of
     c0, c1, …; an array that can't fit the data is never laid out."""
     if _size(t) is None:
-        return _let(_small(_word(data, at)) + base, lambda p: _pair(*_simple(data, t, p)) if t[0] == "dynamic" else _laid_out(data, t, p, p))
+        return _let(
+            _small(_word(data, at)) + base,
+            lambda p: _pair(*_simple(data, t, p)) if t[0] == "dynamic" else _laid_out(data, t, p, p),
+        )
     return _pair(*_simple(data, t, at)) if t[0] == "word" else _laid_out(data, t, at, base)
 
 
@@ -224,11 +231,24 @@ def _laid_out(data: Column, t: tuple, at: Column | int, base: Column | int) -> C
             parts.append(_nested(data, x, place, base).alias(f"c{i}"))
             place = place + (_size(x) or 32)
         names = [f"c{i}" for i in range(len(parts))]
-        return _let(F.struct(*parts), lambda s: _pair(reduce(Column.__and__, (s[n]["ok"] for n in names), F.lit(True)), F.struct(*(s[n]["v"].alias(n) for n in names))))
+        return _let(
+            F.struct(*parts),
+            lambda s: (
+                _pair(
+                    reduce(Column.__and__, (s[n]["ok"] for n in names), F.lit(True)),
+                    F.struct(*(s[n]["v"].alias(n) for n in names)),
+                )
+            ),
+        )
     n, first = (_small(_word(data, at)), at + 32) if t[2] is None else (F.lit(t[2]).cast("bigint"), at)
     each = _size(t[1]) or 32
-    fits = F.coalesce(F.lit(first) + n * each <= F.length(data) if isinstance(first, int) else first + n * each <= F.length(data), F.lit(False))
-    places = F.when(fits & (n > 0), F.sequence(F.lit(0).cast("bigint"), n - 1)).otherwise(F.array().cast("array<bigint>"))
+    fits = F.coalesce(
+        F.lit(first) + n * each <= F.length(data) if isinstance(first, int) else first + n * each <= F.length(data),
+        F.lit(False),
+    )
+    places = F.when(
+        fits & (n > 0), F.sequence(F.lit(0).cast("bigint"), n - 1)
+    ).otherwise(F.array().cast("array<bigint>"))
     items = F.transform(places, lambda i: _nested(data, t[1], i * each + first, first))
     return _let(items, lambda x: _pair(fits & F.forall(x, lambda y: y["ok"]), F.transform(x, lambda y: y["v"])))
 
@@ -253,14 +273,20 @@ def decode_body(data: Column, params: tuple[Param, ...]) -> tuple[Column, list[C
 def decode_topic(topic: Column, kind: str, strict: bool = True) -> Column:
     """An indexed parameter; dynamic types are held as their hash. A bad word is an error, or null when not strict."""
     bad = F.raise_error(F.lit(f"topic is not a {kind}")) if strict else F.lit(None)
-    return F.when(topic.isNull(), F.lit(None)).when((F.length(topic) == 32) & _word_ok(topic, kind), _word_value(topic, kind)).otherwise(bad)
+    return (
+        F.when(topic.isNull(), F.lit(None))
+        .when((F.length(topic) == 32) & _word_ok(topic, kind), _word_value(topic, kind))
+        .otherwise(bad)
+    )
 
 
 def _event_columns(s: Signature, strict: bool) -> list[tuple[Param, Column]]:
     indexed = [p for p in s.params if p.indexed]
     body = tuple(p for p in s.params if not p.indexed)
     valid, values = decode_body(F.col("data"), body)
-    return [(p, decode_topic(F.col(f"topic{i + 1}"), p.type, strict)) for i, p in enumerate(indexed)] + [(p, F.when(valid, v)) for p, v in zip(body, values, strict=True)]
+    return [
+        (p, decode_topic(F.col(f"topic{i + 1}"), p.type, strict)) for i, p in enumerate(indexed)
+    ] + [(p, F.when(valid, v)) for p, v in zip(body, values, strict=True)]
 
 
 def decode_logs(logs: DataFrame, signature: str, keep: tuple[str, ...] = (), strict: bool = True) -> DataFrame:
@@ -283,7 +309,15 @@ def _text(c: Column, t: tuple) -> Column:
 def _listed(columns: list[tuple[Param, Column]]) -> Column:
     # An indexed array, tuple or text is held as its hash.
     text = lambda p, c: _text(c, ("word", "bytes32") if p.indexed and _tree(p.type)[0] != "word" else _tree(p.type))
-    return F.array(*(F.struct(F.lit(p.name).alias("name"), F.lit(p.type).alias("type"), F.lit(p.indexed).alias("indexed"), text(p, c).alias("value")) for p, c in columns))
+    return F.array(
+        *(
+            F.struct(
+                F.lit(p.name).alias("name"), F.lit(p.type).alias("type"), F.lit(p.indexed).alias("indexed"),
+                text(p, c).alias("value"),
+            )
+            for p, c in columns
+        )
+    )
 
 
 def decode_events(logs: DataFrame, signatures: list[str], strict: bool = True) -> DataFrame:
@@ -308,7 +342,9 @@ def decode_input(data: Column, signatures: list[str]) -> Column:
         s = parse_signature(text)
         valid, values = decode_body(F.substring(data, 5, 1 << 30), s.params)
         hit = (F.substring(data, 1, 4) == F.lit(s.selector)) & valid
-        value = F.struct(F.lit(s.name).alias("function"), _listed(list(zip(s.params, values, strict=True))).alias("params"))
+        value = F.struct(
+            F.lit(s.name).alias("function"), _listed(list(zip(s.params, values, strict=True))).alias("params")
+        )
         out = F.when(hit, value) if out is None else out.when(hit, value)
     return out
 

@@ -34,18 +34,29 @@ def decimal128(c: Column) -> Column:
     limbs, minus = _limbs(c)
     power = [F.lit(str(1 << (32 * (3 - i)))).cast("decimal(38,0)") for i in range(4)]
     fits = (limbs[0] + limbs[1] + limbs[2] + limbs[3] == 0) & (limbs[4] < 1 << 30)
-    low = sum(((limbs[4 + i].cast("decimal(10,0)") * power[i]).cast("decimal(38,0)") for i in range(1, 4)), (limbs[4].cast("decimal(10,0)") * power[0]).cast("decimal(38,0)")).cast("decimal(38,0)")
+    low = sum(
+        ((limbs[4 + i].cast("decimal(10,0)") * power[i]).cast("decimal(38,0)") for i in range(1, 4)),
+        (limbs[4].cast("decimal(10,0)") * power[0]).cast("decimal(38,0)"),
+    ).cast("decimal(38,0)")
     return F.when(fits & (F.length(c) > 0), F.when(minus, (-low - 1).cast("decimal(38,0)")).otherwise(low))
 
 
 def _double(c: Column) -> Column:
     """The exact decimal's double; beyond 126 bits the sum of the limbs (their first two decide all but the last bit)."""
     limbs, minus = _limbs(c)
-    wide = sum((limbs[i].cast("double") * float(1 << (32 * (7 - i))) for i in range(1, 8)), limbs[0].cast("double") * float(1 << 224))
+    wide = sum(
+        (limbs[i].cast("double") * float(1 << (32 * (7 - i))) for i in range(1, 8)),
+        limbs[0].cast("double") * float(1 << 224),
+    )
     return F.coalesce(decimal128(c).cast("double"), F.when(minus, -wide).otherwise(wide))
 
 
-_RANGES = {"uint64": (0, (1 << 64) - 1, "decimal(20,0)"), "uint32": (0, (1 << 32) - 1, "bigint"), "int64": (-(1 << 63), (1 << 63) - 1, "bigint"), "int32": (-(1 << 31), (1 << 31) - 1, "int")}
+_RANGES = {
+    "uint64": (0, (1 << 64) - 1, "decimal(20,0)"),
+    "uint32": (0, (1 << 32) - 1, "bigint"),
+    "int64": (-(1 << 63), (1 << 63) - 1, "bigint"),
+    "int32": (-(1 << 31), (1 << 31) - 1, "int"),
+}
 TARGETS = ("float64", "float32", "uint64", "uint32", "int64", "int32", "intstr", "decimal256", "decimal128")
 
 
@@ -55,7 +66,10 @@ def map_column(c: Column, kind: T.DataType, target: str, mode: str = "strict", n
         raise ValueError(f"unknown type {target!r}")
     if name == "l1_fee_scalar":
         number = F.decode(c, "utf-8").cast("double")
-        return number.cast("float") if target == "float32" else number if target == "float64" else number.cast({"intstr": "string", "decimal256": "string", "decimal128": "decimal(38,0)"}.get(target) or _RANGES[target][2])
+        return number.cast("float") if target == "float32" else number if target == "float64" else number.cast(
+            {"intstr": "string", "decimal256": "string", "decimal128": "decimal(38,0)"}.get(target)
+            or _RANGES[target][2]
+        )
     binary = isinstance(kind, T.BinaryType)
     if not binary and not isinstance(kind, T.LongType):
         raise TypeError(f"{name}: a {kind.simpleString()} column can't be mapped to {target}")
@@ -69,7 +83,10 @@ def map_column(c: Column, kind: T.DataType, target: str, mode: str = "strict", n
     number = decimal128(c) if binary else c.cast("decimal(38,0)")
     if target in _RANGES:
         low, high, kind_to = _RANGES[target]
-        number = F.when((number >= F.lit(str(low)).cast("decimal(38,0)")) & (number <= F.lit(str(high)).cast("decimal(38,0)")), number).cast(kind_to)
+        number = F.when(
+            (number >= F.lit(str(low)).cast("decimal(38,0)")) & (number <= F.lit(str(high)).cast("decimal(38,0)")),
+            number,
+        ).cast(kind_to)
     bad = F.raise_error(F.lit(f"{name}: out of range of {target}")) if mode == "strict" else F.lit(None)
     return F.when(c.isNull(), F.lit(None)).when(number.isNull(), bad).otherwise(number)
 
@@ -77,7 +94,9 @@ def map_column(c: Column, kind: T.DataType, target: str, mode: str = "strict", n
 def column_mapping(df: DataFrame, mapping: dict[str, str], mode: str = "strict") -> DataFrame:
     """Map the named columns; others pass, unknown names are ignored."""
     kinds = {f.name: f.dataType for f in df.schema}
-    return df.withColumns({n: map_column(F.col(f"`{n}`"), kinds[n], t, mode, n) for n, t in mapping.items() if n in kinds})
+    return df.withColumns(
+        {n: map_column(F.col(f"`{n}`"), kinds[n], t, mode, n) for n, t in mapping.items() if n in kinds}
+    )
 
 
 def _hex(c: Column, kind: T.DataType, prefix: str) -> Column:
@@ -91,7 +110,13 @@ def _hex(c: Column, kind: T.DataType, prefix: str) -> Column:
 
 
 def _has_binary(kind: T.DataType) -> bool:
-    return isinstance(kind, T.BinaryType) or isinstance(kind, T.ArrayType) and _has_binary(kind.elementType) or isinstance(kind, T.StructType) and any(_has_binary(f.dataType) for f in kind)
+    return isinstance(
+        kind, T.BinaryType
+    ) or isinstance(kind, T.ArrayType) and _has_binary(kind.elementType) or isinstance(
+        kind, T.StructType
+    ) and any(
+        _has_binary(f.dataType) for f in kind
+    )
 
 
 def hex_output(df: DataFrame, mode: str = "prefixed") -> DataFrame:
@@ -100,4 +125,6 @@ def hex_output(df: DataFrame, mode: str = "prefixed") -> DataFrame:
         raise ValueError(f"unknown hex mode {mode!r}")
     if mode == "none":
         return df
-    return df.select(*(_hex(F.col(f"`{f.name}`"), f.dataType, "0x" if mode == "prefixed" else "").alias(f.name) for f in df.schema))
+    return df.select(
+        *(_hex(F.col(f"`{f.name}`"), f.dataType, "0x" if mode == "prefixed" else "").alias(f.name) for f in df.schema)
+    )

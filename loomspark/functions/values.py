@@ -22,7 +22,9 @@ def literal(value: str | bytes, size: int | None = None) -> bytearray:
 
 def _checked(value: Column, source: Column, what: str, strict: bool) -> Column:
     """Null where the source is null; a null from something else is an error in strict use."""
-    bad = F.raise_error(F.concat(F.lit(f"{what}: "), F.coalesce(source.cast("string"), F.lit("")))) if strict else F.lit(None)
+    bad = F.raise_error(
+        F.concat(F.lit(f"{what}: "), F.coalesce(source.cast("string"), F.lit("")))
+    ) if strict else F.lit(None)
     return F.when(source.isNull(), F.lit(None)).when(value.isNull(), bad).otherwise(value)
 
 
@@ -49,24 +51,32 @@ def quantity_to_hex(c: Column) -> Column:
 
 def hex_to_data(c: Column, strict: bool = True) -> Column:
     """0x text -> bytes; 0x is empty."""
-    return _checked(F.when(c.rlike("^0x[0-9a-fA-F]*$"), F.unhex(_even(F.substring(c, 3, 1 << 30)))), c, "not hex data", strict)
+    return _checked(
+        F.when(c.rlike("^0x[0-9a-fA-F]*$"), F.unhex(_even(F.substring(c, 3, 1 << 30)))), c, "not hex data", strict
+    )
 
 
 def hex_to_fixed(c: Column, size: int, strict: bool = True) -> Column:
     """0x text -> exactly `size` bytes; another length loses leading zeros and is padded, a longer value is an error."""
     digits = F.when(c.rlike("^0x[0-9a-fA-F]*$"), F.regexp_replace(F.substring(c, 3, 1 << 20), "^0+", ""))
-    return _checked(F.when(F.length(digits) <= 2 * size, F.unhex(F.lpad(digits, 2 * size, "0"))), c, f"not {size} bytes", strict)
+    return _checked(
+        F.when(F.length(digits) <= 2 * size, F.unhex(F.lpad(digits, 2 * size, "0"))), c, f"not {size} bytes", strict
+    )
 
 
 def hex_to_uint64(c: Column, strict: bool = True) -> Column:
     """0x text -> bigint; beyond 63 bits an error."""
     digits = F.when(c.rlike("^0x[0-9a-fA-F]+$"), F.regexp_replace(F.substring(c, 3, 1 << 20), "^0+(?=.)", ""))
-    return _checked(F.conv(F.when(F.length(digits) <= 16, digits), 16, 10).try_cast("bigint"), c, "not a 64-bit integer", strict)
+    return _checked(
+        F.conv(F.when(F.length(digits) <= 16, digits), 16, 10).try_cast("bigint"), c, "not a 64-bit integer", strict
+    )
 
 
 def tx_status(c: Column, strict: bool = True) -> Column:
     """0x1, 0x0, 1 or 0 -> smallint."""
-    return _checked(F.when(c.isin("0x1", "1"), 1).when(c.isin("0x0", "0"), 0).cast("smallint"), c, "not a status", strict)
+    return _checked(
+        F.when(c.isin("0x1", "1"), 1).when(c.isin("0x0", "0"), 0).cast("smallint"), c, "not a status", strict
+    )
 
 
 def tx_type(c: Column, strict: bool = True) -> Column:
@@ -78,7 +88,9 @@ def tx_type(c: Column, strict: bool = True) -> Column:
 def split_hashes(c: Column, strict: bool = True) -> Column:
     """Concatenated 32-byte hashes -> array; a short last one is an error."""
     n = (F.length(c) / 32).cast("int")
-    parts = F.when(F.length(c) == 0, F.array().cast("array<binary>")).otherwise(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(c, i * 32 + 1, F.lit(32))))
+    parts = F.when(F.length(c) == 0, F.array().cast("array<binary>")).otherwise(
+        F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(c, i * 32 + 1, F.lit(32)))
+    )
     return _checked(F.when(F.length(c) % 32 == 0, parts), F.hex(c), "not whole hashes", strict)
 
 

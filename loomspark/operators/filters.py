@@ -52,7 +52,12 @@ class Filter:
     def column(self) -> Column:
         parts = [F.col(n).isin(v) for n, v in self.lists.items() if v]
         if self.authorizations:
-            parts.append(F.exists("authorization_list", lambda a: reduce(lambda x, y: x | y, (self._authorized(a, s) for s in self.authorizations))))
+            parts.append(
+                F.exists(
+                    "authorization_list",
+                    lambda a: reduce(lambda x, y: x | y, (self._authorized(a, s) for s in self.authorizations)),
+                )
+            )
         return reduce(lambda x, y: x & y, parts) if parts else F.lit(True)
 
     @staticmethod
@@ -84,4 +89,6 @@ def any_of(clauses: Iterable) -> Column:
 
 def key_set(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     """Rows whose value is in a table of keys (first column): exact, whatever its size; the join broadcasts a small one."""
-    return df.join(keys.select(F.col(keys.columns[0]).alias(column)).distinct(), column, "left_semi").select(*df.columns)
+    return df.join(
+        keys.select(F.col(keys.columns[0]).alias(column)).distinct(), column, "left_semi"
+    ).select(*df.columns)

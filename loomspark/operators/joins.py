@@ -16,7 +16,12 @@ KEYS = ["block_number", "transaction_hash"]
 
 def _flagged(df: DataFrame, keys: DataFrame, on: list[str], direct: Column) -> DataFrame:
     """Rows that match directly or whose key is in `keys` (distinct)."""
-    return df.withColumn("_direct", F.coalesce(direct, F.lit(False))).join(keys.withColumn("_hit", F.lit(True)), on, "left").where(F.col("_direct") | F.col("_hit").isNotNull()).select(*df.columns)
+    return (
+        df.withColumn("_direct", F.coalesce(direct, F.lit(False)))
+        .join(keys.withColumn("_hit", F.lit(True)), on, "left")
+        .where(F.col("_direct") | F.col("_hit").isNotNull())
+        .select(*df.columns)
+    )
 
 
 def _tx_keys(df: DataFrame, column: str = "transaction_hash") -> DataFrame:
@@ -41,9 +46,16 @@ def join_default(tables: dict, match: dict) -> dict:
     logs = tables["logs"].where(match["logs"])
     tx = tables["transactions"]
     keys = _tx_keys(logs).union(_tx_keys(tx.where(match["transactions"]), "hash")).distinct()
-    txs = tx.join(keys.withColumnRenamed("transaction_hash", "hash"), ["block_number", "hash"], "left_semi").select(*tx.columns)
+    txs = tx.join(
+        keys.withColumnRenamed("transaction_hash", "hash"), ["block_number", "hash"], "left_semi"
+    ).select(*tx.columns)
     traces = _flagged(tables["traces"], keys, KEYS, match["traces"])
-    return {"blocks": _reach(tables["blocks"], match["blocks"], [logs, txs, traces]), "transactions": txs, "logs": logs, "traces": traces}
+    return {
+        "blocks": _reach(tables["blocks"], match["blocks"], [logs, txs, traces]),
+        "transactions": txs,
+        "logs": logs,
+        "traces": traces,
+    }
 
 
 def join_all(tables: dict, match: dict) -> dict:
@@ -51,33 +63,65 @@ def join_all(tables: dict, match: dict) -> dict:
     transactions; a block that is only reached through a row does not."""
     tx = tables["transactions"]
     found = tables["blocks"].where(match["blocks"]).select(F.col("number").alias("block_number"))
-    keys = _tx_keys(tables["logs"].where(match["logs"])).union(_tx_keys(tables["traces"].where(match["traces"]))).union(_tx_keys(tx.where(match["transactions"]), "hash"))
+    keys = (
+        _tx_keys(tables["logs"].where(match["logs"]))
+        .union(_tx_keys(tables["traces"].where(match["traces"])))
+        .union(_tx_keys(tx.where(match["transactions"]), "hash"))
+    )
     keys = keys.union(_tx_keys(tx.join(found, "block_number", "left_semi"), "hash")).distinct()
-    txs = tx.join(keys.withColumnRenamed("transaction_hash", "hash"), ["block_number", "hash"], "left_semi").select(*tx.columns)
+    txs = tx.join(
+        keys.withColumnRenamed("transaction_hash", "hash"), ["block_number", "hash"], "left_semi"
+    ).select(*tx.columns)
     logs, traces = (_flagged(tables[n], keys, KEYS, match[n]) for n in ("logs", "traces"))
-    return {"blocks": _reach(tables["blocks"], match["blocks"], [logs, txs, traces]), "transactions": txs, "logs": logs, "traces": traces}
+    return {
+        "blocks": _reach(tables["blocks"], match["blocks"], [logs, txs, traces]),
+        "transactions": txs,
+        "logs": logs,
+        "traces": traces,
+    }
 
 
 MODES = {"default": join_default, "all": join_all, "nothing": join_nothing}
 
 
-def events(logs: DataFrame, transactions: DataFrame, blocks: DataFrame, log_fields: list[str], tx_fields: list[str], block_fields: list[str]) -> DataFrame:
+def events(
+    logs: DataFrame, transactions: DataFrame, blocks: DataFrame, log_fields: list[str], tx_fields: list[str],
+    block_fields: list[str],
+) -> DataFrame:
     """One row per log: struct columns log, transaction, block; null where nothing matches.
 
     Join keys are added to the selection. A side of which only its join key is selected is made from the log without a
     join, and a side of which nothing is selected is a null of its full type.
     """
 
-    def side(df: DataFrame, other: DataFrame, name: str, fields: list[str], key: str, log_key: str, block: str) -> DataFrame:
+    def side(
+        df: DataFrame, other: DataFrame, name: str, fields: list[str], key: str, log_key: str, block: str
+    ) -> DataFrame:
         if not fields:
             return df.withColumn(name, F.lit(None).cast(SCHEMAS[name + "s"]))
         if set(fields) == {key}:
             return df.withColumn(name, F.struct(F.col(log_key).alias(key)))
-        chosen = other.select(F.col(key).alias("_key"), F.col(block).alias("_block"), F.struct(*(f"`{f}`" for f in sorted({*fields, key}))).alias(name))
+        chosen = other.select(
+            F.col(key).alias("_key"),
+            F.col(block).alias("_block"),
+            F.struct(*(f"`{f}`" for f in sorted({*fields, key}))).alias(name),
+        )
         on = F.col("block_number") == F.col("_block")
-        return df.join(chosen, on if key == block else on & (F.col(log_key) == F.col("_key")), "left").drop("_key", "_block")
+        return df.join(
+            chosen, on if key == block else on & (F.col(log_key) == F.col("_key")), "left"
+        ).drop("_key", "_block")
 
-    fields = sorted({*log_fields} | ({"block_number"} if block_fields else set()) | ({"transaction_hash"} if tx_fields else set()))
+    fields = sorted(
+        {*log_fields} | ({"block_number"} if block_fields else set()) | ({"transaction_hash"} if tx_fields else set())
+    )
     keys = sorted({*fields, "block_number", "transaction_hash"})
-    df = side(side(logs.select(*keys), transactions, "transaction", tx_fields, "hash", "transaction_hash", "block_number"), blocks, "block", block_fields, "number", "block_number", "number")
+    df = side(
+        side(logs.select(*keys), transactions, "transaction", tx_fields, "hash", "transaction_hash", "block_number"),
+        blocks,
+        "block",
+        block_fields,
+        "number",
+        "block_number",
+        "number",
+    )
     return df.select(F.struct(*fields).alias("log"), "transaction", "block")

@@ -17,7 +17,11 @@ def blocks_and_transaction_hashes(start: int, end: int | None = None) -> ChainQu
 
 
 def logs(start: int, end: int | None, address: str) -> ChainQuery:
-    return ChainQuery(start, end).where("logs", Filter("logs").where("address", [address])).select("logs", SCHEMAS["logs"].names)
+    return (
+        ChainQuery(start, end)
+        .where("logs", Filter("logs").where("address", [address]))
+        .select("logs", SCHEMAS["logs"].names)
+    )
 
 
 def logs_of_event(start: int, end: int | None, topic0: str, address: str) -> ChainQuery:
@@ -25,7 +29,11 @@ def logs_of_event(start: int, end: int | None, topic0: str, address: str) -> Cha
 
 
 def transactions(start: int, end: int | None = None) -> ChainQuery:
-    return ChainQuery(start, end).where("transactions", Filter("transactions")).select("transactions", SCHEMAS["transactions"].names)
+    return (
+        ChainQuery(start, end)
+        .where("transactions", Filter("transactions"))
+        .select("transactions", SCHEMAS["transactions"].names)
+    )
 
 
 def transactions_from_address(start: int, end: int | None, address: str) -> ChainQuery:

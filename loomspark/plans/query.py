@@ -19,7 +19,9 @@ def block_range(df: DataFrame, table: str, start: int = 0, end: int | None = Non
     c = F.col(BLOCK_COLUMN[table])
     kept = c >= start if end is None else (c >= start) & (c < end)
     if "block_range" in df.columns:
-        kept &= F.col("block_range") >= start // RANGE if end is None else F.col("block_range").between(start // RANGE, max(0, end - 1) // RANGE)
+        kept &= F.col("block_range") >= start // RANGE if end is None else F.col("block_range").between(
+            start // RANGE, max(0, end - 1) // RANGE
+        )
     return df.where(kept)
 
 
@@ -29,20 +31,35 @@ def full_shape(df: DataFrame, table: str) -> DataFrame:
     for f in SCHEMAS[table]:
         if f.name in have and have[f.name].simpleString() != f.dataType.simpleString():
             raise TypeError(f"{table}.{f.name} is {have[f.name].simpleString()}, expected {f.dataType.simpleString()}")
-    return df.select(*((F.col(f"`{f.name}`") if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in SCHEMAS[table]))
+    return df.select(
+        *(
+            (F.col(f"`{f.name}`") if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in SCHEMAS[table]
+        )
+    )
 
 
 def null_violations(df: DataFrame, table: str) -> DataFrame:
     """(column, violations): nulls in the columns that are there and may not be null."""
     names = [f.name for f in SCHEMAS[table] if not f.nullable and f.name in df.columns]
     counts = df.agg(*(F.count_if(F.col(f"`{n}`").isNull()).alias(n) for n in names))
-    return counts.select(F.explode(F.array(*(F.struct(F.lit(n).alias("column"), F.col(f"`{n}`").alias("violations")) for n in names))).alias("x")).select("x.*")
+    return counts.select(
+        F.explode(F.array(*(F.struct(F.lit(n).alias("column"), F.col(f"`{n}`").alias("violations")) for n in names)))
+        .alias("x")
+    ).select("x.*")
 
 
 def assert_not_null(df: DataFrame, table: str) -> DataFrame:
     """The same rows; a null where none may be is an error when the rows are read."""
     names = [f.name for f in SCHEMAS[table] if not f.nullable and f.name in df.columns]
-    return df.withColumns({n: F.when(F.col(f"`{n}`").isNull(), F.raise_error(F.lit(f"unexpected null in {n}"))).otherwise(F.col(f"`{n}`")) for n in names})
+    return df.withColumns(
+        {
+            n: F
+            .when(F.col(f"`{n}`").isNull(), F.raise_error(F.lit(f"unexpected null in {n}")))
+            .otherwise(F.col(f"`{n}`"))
+            for n in names
+        }
+    )
 
 
 @dataclass(frozen=True)
@@ -54,13 +71,17 @@ class ChainResult:
     last_block: int | None = None
     to_block: int | None = None
 
-    def transform(self, decode=None, reverse: bool = False, mapping: dict | None = None, hex_mode: str = "none") -> ChainResult:
+    def transform(
+        self, decode=None, reverse: bool = False, mapping: dict | None = None, hex_mode: str = "none"
+    ) -> ChainResult:
         """In this order: decode logs, reverse, map columns, hex."""
         tables, decoded = dict(self.tables), decode(self.tables["logs"]) if decode else self.decoded_logs
         if reverse:
             tables = {t: ordered(df, t, True) if df is not None else None for t, df in tables.items()}
         done = lambda df, name: None if df is None else hex_output(column_mapping(df, (mapping or {}).get(name, {})), hex_mode)
-        return replace(self, tables={t: done(df, t) for t, df in tables.items()}, decoded_logs=done(decoded, "decoded_logs"))
+        return replace(
+            self, tables={t: done(df, t) for t, df in tables.items()}, decoded_logs=done(decoded, "decoded_logs")
+        )
 
     def next_block(self, tables: dict) -> DataFrame:
         """One row: where the next page starts."""
@@ -116,20 +137,35 @@ class ChainQuery:
             out["blocks"] = ranged["blocks"]
         last = None
         if any(n is not None for n in self.limits.values()):
-            end = self.to_block if self.to_block is not None else (tables["blocks"].agg(F.max("number")).first()[0] or -1) + 1
+            end = self.to_block if self.to_block is not None else (
+                tables["blocks"].agg(F.max("number")).first()[0] or -1
+            ) + 1
             out, last = limit_blocks(out, self.limits, self.from_block, end)
-        chosen = {t: df.select(*(f"`{c}`" for c in self.fields[t] if c in df.columns)) if self.fields.get(t) else None for t, df in out.items()}
+        chosen = {
+            t: df.select(*(f"`{c}`" for c in self.fields[t] if c in df.columns))
+            if self.fields.get(t) else None
+            for t, df in out.items()
+        }
         return ChainResult(chosen, last_block=last, to_block=self.to_block)
 
     @staticmethod
     def from_dict(document: dict) -> ChainQuery:
         """A query from its JSON document; unknown names are errors."""
-        known = {"from_block", "to_block", "logs", "transactions", "traces", "blocks", "field_selection", "join_mode", "include_all_blocks", "max_num_blocks", "max_num_transactions", "max_num_logs", "max_num_traces"}
+        known = {
+            "from_block", "to_block", "logs", "transactions", "traces", "blocks", "field_selection", "join_mode",
+            "include_all_blocks", "max_num_blocks", "max_num_transactions", "max_num_logs", "max_num_traces",
+        }
         if bad := set(document) - known:
             raise ValueError(f"unknown names {sorted(bad)}")
         mode = {"Default": "default", "JoinAll": "all", "JoinNothing": "nothing"}[document.get("join_mode", "Default")]
         limits = {t: document[f"max_num_{t}"] for t in SCHEMAS if document.get(f"max_num_{t}") is not None}
-        q = ChainQuery(document.get("from_block", 0), document.get("to_block"), join_mode=mode, include_all_blocks=document.get("include_all_blocks", False), limits=limits)
+        q = ChainQuery(
+            document.get("from_block", 0),
+            document.get("to_block"),
+            join_mode=mode,
+            include_all_blocks=document.get("include_all_blocks", False),
+            limits=limits,
+        )
         for t in SCHEMAS:
             if t in document:
                 q = q.where(t, *(_selection(t, s) for s in document[t]))
@@ -147,7 +183,9 @@ def _clause(table: str, d: dict) -> Filter:
             for i, v in enumerate(values):
                 f = f.where(f"topic{i}", v)
         elif name == "authorization_list" and table == "transactions":
-            f = f.authorized(*(AuthorizationSelection(tuple(a.get("chain_id", ())), tuple(a.get("address", ()))) for a in values))
+            f = f.authorized(
+                *(AuthorizationSelection(tuple(a.get("chain_id", ())), tuple(a.get("address", ()))) for a in values)
+            )
         elif name in FIELDS[table]:
             if values is not None:
                 f = f.where(name, values if isinstance(values, list) else [values])

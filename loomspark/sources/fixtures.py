@@ -15,7 +15,10 @@ from loomspark.schema import SCHEMAS
 
 TRANSFER = "ddf252ad1be2c89b69c2b068fc378daa952ba7f163c4a11628f55a4df523b3ef"
 APPROVAL = "8c5be1e5ebec7d5bd14f71427d1e84f3dd0314c0f7b2291e5b200ac8c7c3b925"
-LINE = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
+LINE = (
+    "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, "
+    "l_returnflag, l_linestatus, l_shipdate"
+)
 _ADDR = lambda x: f"substr(H({x}), 1, 40)"
 _PAD = lambda x: f"'000000000000000000000000' || {_ADDR(x)}"
 _Q = lambda n: f"lower(CASE WHEN length(hex({n})) % 2 = 1 THEN '0' || hex({n}) ELSE hex({n}) END)"
@@ -82,19 +85,39 @@ def chain_tables(spark: SparkSession, sf_dir: str, full: bool = False) -> dict[s
         spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(f"chain_{t}")
     out = {}
     for name, sql in TABLES.items():
-        text = _filled(sql, lambda x: f"unhex({x})", lambda x: f"sha2({x}, 256)", "CAST(datediff(o_orderdate, DATE'1995-01-01') AS BIGINT)")
+        text = _filled(
+            sql,
+            lambda x: f"unhex({x})",
+            lambda x: f"sha2({x}, 256)",
+            "CAST(datediff(o_orderdate, DATE'1995-01-01') AS BIGINT)",
+        )
         text = text.replace('"', "`")
         text = re.sub(r"\b(FROM|JOIN) (orders|lineitem)\b", r"\1 chain_\2", text)
         df = spark.sql(text)
         if name == "transactions":
-            one = F.struct(F.unhex(F.lit("01")).alias("chain_id"), F.col("auth_address").alias("address"), *(F.lit(None).cast("binary").alias(n) for n in ("nonce", "y_parity", "r", "s")))
-            df = df.withColumn("authorization_list", F.when(F.col("auth_address").isNotNull(), F.array(one))).drop("auth_address")
+            one = F.struct(
+                F.unhex(F.lit("01")).alias("chain_id"),
+                F.col("auth_address").alias("address"),
+                *(F.lit(None).cast("binary").alias(n) for n in ("nonce", "y_parity", "r", "s")),
+            )
+            df = df.withColumn(
+                "authorization_list", F.when(F.col("auth_address").isNotNull(), F.array(one))
+            ).drop("auth_address")
         if name == "traces":
-            df = df.withColumn("trace_address", F.when(F.col("trace_place").isNotNull(), F.array(F.col("trace_place").cast("bigint")))).drop("trace_place")
-        df = df.withColumns({c: F.col(c).cast("bigint") for c in ("transaction_index", "transaction_position") if c in df.columns})
+            df = df.withColumn(
+                "trace_address", F.when(F.col("trace_place").isNotNull(), F.array(F.col("trace_place").cast("bigint")))
+            ).drop("trace_place")
+        df = df.withColumns(
+            {c: F.col(c).cast("bigint") for c in ("transaction_index", "transaction_position") if c in df.columns}
+        )
         if name == "logs":
             df = df.withColumns({c: F.col(c).cast("bigint") for c in ("log_index", "transaction_index")})
         if full:
-            df = df.select(*((F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in SCHEMAS[name]))
+            df = df.select(
+                *(
+                    (F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                    for f in SCHEMAS[name]
+                )
+            )
         out[name] = df
     return out

@@ -44,8 +44,14 @@ def _value(c: Column, name: str, table: str) -> Column:
 
 
 def _fields(document: Column, table: str, skip: tuple[str, ...] = (), names: dict | None = None) -> list[Column]:
-    plain = [f.name for f in SCHEMAS[table] if f.dataType.simpleString() in ("binary", "bigint", "smallint") and f.name not in skip]
-    return [_value(F.get_json_object(document, f"$.{(names or {}).get(n, _camel(n))}"), n, table).alias(n) for n in plain]
+    plain = [
+        f.name
+        for f in SCHEMAS[table]
+        if f.dataType.simpleString() in ("binary", "bigint", "smallint") and f.name not in skip
+    ]
+    return [
+        _value(F.get_json_object(document, f"$.{(names or {}).get(n, _camel(n))}"), n, table).alias(n) for n in plain
+    ]
 
 
 def _array(document: Column, path: str, kind: str) -> Column:
@@ -58,25 +64,72 @@ def rpc_blocks(df: DataFrame) -> DataFrame:
     hashes = F.transform(_array(d, "$.uncles", "string"), lambda h: hex_to_fixed(h, 32))
     pays = F.transform(
         _array(d, "$.withdrawals", "struct<index string, validatorIndex string, address string, amount string>"),
-        lambda w: F.struct(number_to_quantity(w["index"]).alias("index"), number_to_quantity(w["validatorIndex"]).alias("validator_index"), hex_to_fixed(w["address"], 20).alias("address"), number_to_quantity(w["amount"]).alias("amount")),
+        lambda w: (
+            F.struct(
+                number_to_quantity(w["index"]).alias("index"),
+                number_to_quantity(w["validatorIndex"]).alias("validator_index"),
+                hex_to_fixed(w["address"], 20).alias("address"),
+                number_to_quantity(w["amount"]).alias("amount"),
+            )
+        ),
     )
-    return df.select(*_fields(d, "blocks", names={"nonce": "nonce", "sha3_uncles": "sha3Uncles"}), hashes.alias("uncles"), pays.alias("withdrawals")).select(*SCHEMAS["blocks"].names)
+    return df.select(
+        *_fields(d, "blocks", names={"nonce": "nonce", "sha3_uncles": "sha3Uncles"}),
+        hashes.alias("uncles"),
+        pays.alias("withdrawals"),
+    ).select(*SCHEMAS["blocks"].names)
 
 
 def rpc_block_transactions(df: DataFrame) -> DataFrame:
     """The transactions within block documents that hold them as objects, as rows of `json`."""
-    return df.select(F.explode(_array(F.col("json"), "$.transactions", "string")).alias("json")).where(F.col("json").startswith("{"))
+    return df.select(
+        F.explode(_array(F.col("json"), "$.transactions", "string")).alias("json")
+    ).where(F.col("json").startswith("{"))
 
 
 def rpc_transactions(df: DataFrame) -> DataFrame:
     """Transactions; what only receipts know is null (see `complete`)."""
     d = F.col("json")
-    access = F.transform(_array(d, "$.accessList", "struct<address string, storageKeys array<string>>"), lambda a: F.struct(hex_to_fixed(a["address"], 20).alias("address"), F.transform(a["storageKeys"], lambda k: hex_to_fixed(k, 32)).alias("storage_keys")))
-    given = _array(d, "$.authorizationList", "struct<chainId string, address string, nonce string, yParity string, r string, s string>")
-    auth = F.transform(given, lambda a: F.struct(number_to_quantity(a["chainId"]).alias("chain_id"), hex_to_fixed(a["address"], 20).alias("address"), *(number_to_quantity(a[j]).alias(n) for j, n in (("nonce", "nonce"), ("yParity", "y_parity"), ("r", "r"), ("s", "s")))))
+    access = F.transform(
+        _array(d, "$.accessList", "struct<address string, storageKeys array<string>>"),
+        lambda a: (
+            F.struct(
+                hex_to_fixed(a["address"], 20).alias("address"),
+                F.transform(a["storageKeys"], lambda k: hex_to_fixed(k, 32)).alias("storage_keys"),
+            )
+        ),
+    )
+    given = _array(
+        d,
+        "$.authorizationList",
+        "struct<chainId string, address string, nonce string, yParity string, r string, s string>",
+    )
+    auth = F.transform(
+        given,
+        lambda a: (
+            F.struct(
+                number_to_quantity(a["chainId"]).alias("chain_id"),
+                hex_to_fixed(a["address"], 20).alias("address"),
+                *(
+                    number_to_quantity(a[j]).alias(n)
+                    for j, n in (("nonce", "nonce"), ("yParity", "y_parity"), ("r", "r"), ("s", "s"))
+                ),
+            )
+        ),
+    )
     blobs = F.transform(_array(d, "$.blobVersionedHashes", "string"), lambda h: hex_to_fixed(h, 32))
-    own = df.select(*_fields(d, "transactions", skip=("sighash", "l1_fee_scalar")), access.alias("access_list"), auth.alias("authorization_list"), blobs.alias("blob_versioned_hashes"))
-    own = own.withColumns({"sighash": F.when(F.length("input") >= 4, F.substring("input", 1, 4)), "l1_fee_scalar": F.lit(None).cast("binary")})
+    own = df.select(
+        *_fields(d, "transactions", skip=("sighash", "l1_fee_scalar")),
+        access.alias("access_list"),
+        auth.alias("authorization_list"),
+        blobs.alias("blob_versioned_hashes"),
+    )
+    own = own.withColumns(
+        {
+            "sighash": F.when(F.length("input") >= 4, F.substring("input", 1, 4)),
+            "l1_fee_scalar": F.lit(None).cast("binary"),
+        }
+    )
     return own.select(*(f"`{n}`" for n in SCHEMAS["transactions"].names))
 
 
@@ -88,16 +141,32 @@ def rpc_receipts(df: DataFrame) -> DataFrame:
     """Receipts: transaction_hash, block_number and RECEIPT; a missing or null effective gas price is zero."""
     d = F.col("json")
     text = lambda n: F.get_json_object(d, f"$.{_camel(n)}")
-    special = {"effective_gas_price": number_to_quantity(F.coalesce(text("effective_gas_price"), F.lit("0x0"))), "l1_fee_scalar": F.encode(text("l1_fee_scalar"), "utf-8")}
-    columns = [special.get(n, _value(text(n), n, "transactions") if n not in special else None).alias(n) for n in RECEIPT]
-    return df.select(hex_to_fixed(text("transaction_hash"), 32).alias("transaction_hash"), _value(text("block_number"), "block_number", "transactions").alias("block_number"), *columns)
+    special = {
+        "effective_gas_price": number_to_quantity(F.coalesce(text("effective_gas_price"), F.lit("0x0"))),
+        "l1_fee_scalar": F.encode(text("l1_fee_scalar"), "utf-8"),
+    }
+    columns = [
+        special.get(n, _value(text(n), n, "transactions") if n not in special else None).alias(n) for n in RECEIPT
+    ]
+    return df.select(
+        hex_to_fixed(text("transaction_hash"), 32).alias("transaction_hash"),
+        _value(text("block_number"), "block_number", "transactions").alias("block_number"),
+        *columns,
+    )
 
 
 def complete(transactions: DataFrame, receipts: DataFrame) -> DataFrame:
     """Transactions with the columns of their receipts."""
-    r = receipts.select("block_number", F.col("transaction_hash").alias("hash"), *(F.col(n).alias(f"r_{n}") for n in RECEIPT))
+    r = receipts.select(
+        "block_number", F.col("transaction_hash").alias("hash"), *(F.col(n).alias(f"r_{n}") for n in RECEIPT)
+    )
     joined = transactions.join(r, ["block_number", "hash"], "left")
-    return joined.select(*((F.coalesce(F.col(f"r_{n}"), F.col(f"`{n}`")) if n in RECEIPT else F.col(f"`{n}`")).alias(n) for n in SCHEMAS["transactions"].names))
+    return joined.select(
+        *(
+            (F.coalesce(F.col(f"r_{n}"), F.col(f"`{n}`")) if n in RECEIPT else F.col(f"`{n}`")).alias(n)
+            for n in SCHEMAS["transactions"].names
+        )
+    )
 
 
 def rpc_logs(df: DataFrame) -> DataFrame:
@@ -106,7 +175,11 @@ def rpc_logs(df: DataFrame) -> DataFrame:
     topics = _array(d, "$.topics", "string")
     topics = F.when(F.size(topics) > 4, F.raise_error(F.lit("a log has at most four topics"))).otherwise(topics)
     own = [c for c in _fields(d, "logs", skip=("topic0", "topic1", "topic2", "topic3"))]
-    return df.select(F.get_json_object(d, "$.removed").cast("boolean").alias("removed"), *own, *(hex_to_fixed(F.get(topics, i), 32).alias(f"topic{i}") for i in range(4))).select(*SCHEMAS["logs"].names)
+    return df.select(
+        F.get_json_object(d, "$.removed").cast("boolean").alias("removed"),
+        *own,
+        *(hex_to_fixed(F.get(topics, i), 32).alias(f"topic{i}") for i in range(4)),
+    ).select(*SCHEMAS["logs"].names)
 
 
 def receipt_logs(df: DataFrame) -> DataFrame:
@@ -122,8 +195,14 @@ def rpc_traces(df: DataFrame) -> DataFrame:
     """Traces of the {action, result} form; the action's address is action_address, the result's is address."""
     d = F.col("json")
     texts = {"call_type": "action.callType", "reward_type": "action.rewardType", "type": "type", "error": "error"}
-    own = df.select(*_fields(d, "traces", skip=("sighash",), names=_TRACE), *(F.get_json_object(d, f"$.{p}").alias(n) for n, p in texts.items()), _array(d, "$.traceAddress", "bigint").alias("trace_address"))
-    return own.withColumn("sighash", F.when(F.length("input") >= 4, F.substring("input", 1, 4))).select(*(f"`{n}`" for n in SCHEMAS["traces"].names))
+    own = df.select(
+        *_fields(d, "traces", skip=("sighash",), names=_TRACE),
+        *(F.get_json_object(d, f"$.{p}").alias(n) for n, p in texts.items()),
+        _array(d, "$.traceAddress", "bigint").alias("trace_address"),
+    )
+    return own.withColumn(
+        "sighash", F.when(F.length("input") >= 4, F.substring("input", 1, 4))
+    ).select(*(f"`{n}`" for n in SCHEMAS["traces"].names))
 
 
 #: What is read from a call of a call tree.
@@ -138,8 +217,14 @@ def _calls(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows(batch: pa.RecordBatch, at: list, paths: list, below: list, calls: list) -> pa.RecordBatch:
         own = batch.drop_columns(["json"]).take(pa.array(at, pa.int64()))
         text = lambda x: x if x is None or isinstance(x, str) else json.dumps(x)
-        columns = [pa.array(paths, pa.list_(pa.int64())), pa.array(below, pa.int64()), *(pa.array([text(c.get(n)) for c in calls], pa.string()) for n in _CALL)]
-        return pa.RecordBatch.from_arrays([*own.columns, *columns], [*own.schema.names, "trace_address", "subtraces", *(f"call_{n}" for n in _CALL)])
+        columns = [
+            pa.array(paths, pa.list_(pa.int64())),
+            pa.array(below, pa.int64()),
+            *(pa.array([text(c.get(n)) for c in calls], pa.string()) for n in _CALL),
+        ]
+        return pa.RecordBatch.from_arrays(
+            [*own.columns, *columns], [*own.schema.names, "trace_address", "subtraces", *(f"call_{n}" for n in _CALL)]
+        )
 
     for batch in batches:
         at, paths, below, calls = [], [], [], []
@@ -165,7 +250,11 @@ def debug_traces(df: DataFrame) -> DataFrame:
     of traces; trace_address is the path of positions. A null document has no calls."""
     keys = ["block_number", "block_hash", "transaction_hash", "transaction_position"]
     kinds = {f.name: f.dataType.simpleString() for f in df.schema}
-    schema = ", ".join([f"{k} {kinds[k]}" for k in keys] + ["trace_address array<bigint>", "subtraces bigint"] + [f"call_{n} string" for n in _CALL])
+    schema = ", ".join(
+        [f"{k} {kinds[k]}" for k in keys]
+        + ["trace_address array<bigint>", "subtraces bigint"]
+        + [f"call_{n} string" for n in _CALL]
+    )
     rows = df.select(*keys, "json").mapInArrow(_calls, schema)
     text = lambda n: F.col(f"call_{n}")
     call = F.lower(text("type"))
@@ -175,4 +264,9 @@ def debug_traces(df: DataFrame) -> DataFrame:
         number_to_quantity(text("gasUsed")).alias("gas_used"), hex_to_data(text("input")).alias("input"), hex_to_data(text("output")).alias("output"), number_to_quantity(text("value")).alias("value"), text("error").alias("error"),
     )
     rows = rows.withColumn("sighash", F.when(F.length("input") >= 4, F.substring("input", 1, 4)))
-    return rows.select(*((F.col(f"`{f.name}`") if f.name in rows.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in SCHEMAS["traces"]))
+    return rows.select(
+        *(
+            (F.col(f"`{f.name}`") if f.name in rows.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in SCHEMAS["traces"]
+        )
+    )

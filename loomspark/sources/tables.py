@@ -17,12 +17,18 @@ def store(tables: dict, path: str) -> None:
     """Write tables below `path`, one folder per table, partitioned by block_range and sorted by block within files."""
     for t, df in tables.items():
         c = BLOCK_COLUMN[t]
-        df.withColumn("block_range", F.floor(F.col(c) / RANGE)).repartition("block_range").sortWithinPartitions(c).write.mode("overwrite").partitionBy("block_range").parquet(f"{path}/{t}")
+        df.withColumn(
+            "block_range", F.floor(F.col(c) / RANGE)
+        ).repartition("block_range").sortWithinPartitions(c).write.mode("overwrite").partitionBy("block_range").parquet(
+            f"{path}/{t}"
+        )
 
 
 def scan(spark: SparkSession, path: str, table: str) -> DataFrame:
     """A stored table; one that isn't there is empty."""
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in SCHEMAS[table]] + [T.StructField("block_range", T.LongType())])
+    schema = T.StructType(
+        [T.StructField(f.name, f.dataType) for f in SCHEMAS[table]] + [T.StructField("block_range", T.LongType())]
+    )
     try:
         return spark.read.schema(schema).parquet(f"{path}/{table}")
     except AnalysisException as e:
@@ -50,4 +56,8 @@ def archive_height(blocks: DataFrame) -> DataFrame:
 
 
 def chain_id(transactions: DataFrame) -> DataFrame:
-    return transactions.where("chain_id is not null").select(F.conv(F.hex("chain_id"), 16, 10).cast("bigint").alias("chain_id")).distinct()
+    return (
+        transactions.where("chain_id is not null")
+        .select(F.conv(F.hex("chain_id"), 16, 10).cast("bigint").alias("chain_id"))
+        .distinct()
+    )

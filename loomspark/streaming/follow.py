@@ -14,13 +14,21 @@ from loomspark.schema import SCHEMAS
 def stream_table(spark: SparkSession, path: str, table: str, files: int = 100) -> DataFrame:
     """New files of a table's folder as a stream, at most `files` in a micro-batch."""
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in SCHEMAS[table]])
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).option("recursiveFileLookup", "true").parquet(path)
+    return (
+        spark.readStream
+        .schema(schema)
+        .option("maxFilesPerTrigger", files)
+        .option("recursiveFileLookup", "true")
+        .parquet(path)
+    )
 
 
 def stream_query(spark: SparkSession, path: str, query: ChainQuery, table: str) -> DataFrame:
     """A query's own rows of one table, as they arrive: range, selections and fields, with no join."""
     df = block_range(stream_table(spark, path, table), table, query.from_block, query.to_block)
-    return df.where(query.predicates()[table]).select(*(f"`{c}`" for c in query.fields.get(table) or SCHEMAS[table].names))
+    return df.where(query.predicates()[table]).select(
+        *(f"`{c}`" for c in query.fields.get(table) or SCHEMAS[table].names)
+    )
 
 
 def heights(spark: SparkSession, path: str) -> DataFrame:
@@ -31,19 +39,31 @@ def heights(spark: SparkSession, path: str) -> DataFrame:
 def rollback_guard(blocks: DataFrame) -> DataFrame:
     """What the next page is held against: the last block with its time and hash, the first with its parent's hash."""
     return blocks.agg(
-        F.max("number").alias("block_number"), F.max_by("timestamp", "number").alias("timestamp"), F.max_by("hash", "number").alias("hash"), F.min("number").alias("first_block_number"), F.min_by("parent_hash", "number").alias("first_parent_hash")
+        F.max("number").alias("block_number"),
+        F.max_by("timestamp", "number").alias("timestamp"),
+        F.max_by("hash", "number").alias("hash"),
+        F.min("number").alias("first_block_number"),
+        F.min_by("parent_hash", "number").alias("first_parent_hash"),
     )
 
 
 def detect_reorg(blocks: DataFrame, bucket: int = 1000) -> DataFrame:
     """Blocks whose parent hash isn't the hash of the block before them. Blocks are dealt by buckets of numbers; each
     bucket also gets the last block before it, so that no window holds all blocks."""
-    own = blocks.select("number", "hash", "parent_hash", F.floor(F.col("number") / bucket).alias("b"), F.lit(True).alias("own"))
+    own = blocks.select(
+        "number", "hash", "parent_hash", F.floor(F.col("number") / bucket).alias("b"), F.lit(True).alias("own")
+    )
     tails = own.groupBy("b").agg(F.max("number").alias("number"), F.max_by("hash", "number").alias("hash"))
     after = tails.select("number", "hash", F.lead("b").over(Window.orderBy("b")).alias("b")).where("b is not null")
-    both = own.unionByName(after.select("number", "hash", F.lit(None).cast("binary").alias("parent_hash"), "b", F.lit(False).alias("own")))
+    both = own.unionByName(
+        after.select("number", "hash", F.lit(None).cast("binary").alias("parent_hash"), "b", F.lit(False).alias("own"))
+    )
     w = Window.partitionBy("b").orderBy("number")
-    return both.withColumn("before", F.lag("hash").over(w)).where(F.col("own") & F.col("before").isNotNull() & (F.col("before") != F.col("parent_hash"))).select("number", "parent_hash", F.col("before").alias("stored_hash"))
+    return (
+        both.withColumn("before", F.lag("hash").over(w))
+        .where(F.col("own") & F.col("before").isNotNull() & (F.col("before") != F.col("parent_hash")))
+        .select("number", "parent_hash", F.col("before").alias("stored_hash"))
+    )
 
 
 def follow_with_guard(stream: DataFrame, handle, on_reorg, checkpoint: str, **trigger):
@@ -77,4 +97,10 @@ def follow_with_guard(stream: DataFrame, handle, on_reorg, checkpoint: str, **tr
         handle(batch, epoch)
         guard.write.mode("overwrite").parquet(f"{guards}/epoch={epoch}")
 
-    return stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{checkpoint}/stream").trigger(**(trigger or {"availableNow": True})).start()
+    return (
+        stream.writeStream
+        .foreachBatch(step)
+        .option("checkpointLocation", f"{checkpoint}/stream")
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )

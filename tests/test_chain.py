@@ -25,7 +25,18 @@ def duck():
 
 
 def plain(rows):
-    return sorted((tuple(None if v is None else round(float(v), 6) if isinstance(v, float) or v.__class__.__name__ == "Decimal" else v for v in r) for r in rows), key=str)
+    return sorted(
+        (
+            tuple(
+                None
+                if v is None else round(float(v), 6)
+                if isinstance(v, float) or v.__class__.__name__ == "Decimal" else v
+                for v in r
+            )
+            for r in rows
+        ),
+        key=str,
+    )
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -50,7 +61,9 @@ def one(spark, column, **cells):
 def test_signed_words(spark, n, target):
     word = n.to_bytes(32, "big", signed=True)
     got = one(spark, map_column(F.col("c"), T.BinaryType(), target), c=word)
-    assert (str(got) if target == "intstr" else int(got)) == (str(n) if target == "intstr" else int(float(n)) if target == "float64" else n)
+    assert (str(got) if target == "intstr" else int(got)) == (
+        str(n) if target == "intstr" else int(float(n)) if target == "float64" else n
+    )
 
 
 def test_wide_words(spark):
@@ -73,11 +86,20 @@ def test_values(spark):
 
 
 def test_abi_fixtures(spark):
-    mint = abi.parse_signature("event Mint(address sender, address indexed owner, int24 indexed tickLower, int24 indexed tickUpper, uint128 amount, uint256 amount0, uint256 amount1)")
+    mint = abi.parse_signature(
+        "event Mint(address sender, address indexed owner, int24 indexed tickLower, int24 indexed tickUpper, "
+        "uint128 amount, uint256 amount0, uint256 amount1)"
+    )
     assert mint.hash.hex() == "7a53080ba414158be7ec69b987b5fb7d07dee101fe85488f0853ae16239d0bde"
     assert int.from_bytes(one(spark, abi.decode_topic(F.col("c"), "int24"), c=b"\xff" * 32), "big", signed=True) == -1
-    call = bytes.fromhex("a9059cbb000000000000000000000000dc4bde73fa35b7478a574f78d5dfd57a0b2e22810000000000000000000000000000000000000000000000004710ca26d3eeae0a")
-    got = one(spark, abi.decode_input(F.col("c"), ["transfer(address dst, uint256 wad)", "approve(address usr, uint256 wad)"]), c=call)
+    call = bytes.fromhex(
+        "a9059cbb000000000000000000000000dc4bde73fa35b7478a574f78d5dfd57a0b2e22810000000000000000000000000000000000000000000000004710ca26d3eeae0a"
+    )
+    got = one(
+        spark,
+        abi.decode_input(F.col("c"), ["transfer(address dst, uint256 wad)", "approve(address usr, uint256 wad)"]),
+        c=call,
+    )
     assert got.function == "transfer" and got.params[0].value == "0xdc4bde73fa35b7478a574f78d5dfd57a0b2e2281"
     assert one(spark, abi.decode_input(F.col("c"), ["transfer(address dst, uint256 wad)"]), c=b"\x01") is None
     assert one(spark, abi.decode_output(F.col("c"), "balanceOf(address)(uint256)"), c=b"") is None
@@ -122,19 +144,27 @@ def test_abi_arrays_and_tuples(spark, kinds):
         return v if t[0] == "dynamic" or t[1] == "bool" else int(v).to_bytes(32, "big")
 
     def got(x):
-        return [got(y) for y in x] if isinstance(x, list) else tuple(got(y) for y in x) if isinstance(x, tuple) else bytes(x) if isinstance(x, bytearray) else x
+        return [got(y) for y in x] if isinstance(x, list) else tuple(
+            got(y) for y in x
+        ) if isinstance(x, tuple) else bytes(x) if isinstance(x, bytearray) else x
 
     signature = abi.parse_signature(f"f({', '.join(f'{k} x{i}' for i, (k, _) in enumerate(kinds))})")
     data = encoded(("tuple", [abi._tree(k) for k, _ in kinds]), [v for _, v in kinds])[0]
     rows = [(data,), (data[:-33],), (b"\xff" * len(data),), (None,)]
     valid, values_ = abi.decode_body(F.col("c"), signature.params)
-    found = spark.createDataFrame(rows, "c binary").select(valid.alias("ok"), *(F.when(valid, v).alias(f"v{i}") for i, v in enumerate(values_))).collect()
+    found = (
+        spark.createDataFrame(rows, "c binary")
+        .select(valid.alias("ok"), *(F.when(valid, v).alias(f"v{i}") for i, v in enumerate(values_)))
+        .collect()
+    )
     assert [r.ok for r in found] == [True, False, False, False]
     assert [got(x) for x in found[0][1:]] == [plain(abi._tree(k), v) for k, v in kinds]
 
 
 def test_abi_canonical_forms():
-    s = abi.parse_signature("function multicall(tuple(address target, bytes data)[] calls, uint[3] x) returns (bytes[] memory results);")
+    s = abi.parse_signature(
+        "function multicall(tuple(address target, bytes data)[] calls, uint[3] x) returns (bytes[] memory results);"
+    )
     assert s.canonical == "multicall((address,bytes)[],uint256[3])" and [p.type for p in s.outputs] == ["bytes[]"]
     assert [p.name for p in s.params] == ["calls", "x"]
     assert abi.parse_signature("aggregate((address,bytes)[])").selector.hex() == "252dba42"
@@ -145,8 +175,16 @@ def test_deep_call_trees(spark):
 
     call = {"type": "CALL", "from": "0x" + "01" * 20, "calls": []}
     for _ in range(1023):
-        call = {"type": "CALL", "from": "0x" + "02" * 20, "gas": 5, "calls": [call, {"type": "CREATE", "from": "0x" + "03" * 20}]}
-    docs = spark.createDataFrame([(1, b"a", b"b", 0, json.dumps(call)), (2, b"a", b"c", 1, None)], "block_number bigint, block_hash binary, transaction_hash binary, transaction_position bigint, json string")
+        call = {
+            "type": "CALL",
+            "from": "0x" + "02" * 20,
+            "gas": 5,
+            "calls": [call, {"type": "CREATE", "from": "0x" + "03" * 20}],
+        }
+    docs = spark.createDataFrame(
+        [(1, b"a", b"b", 0, json.dumps(call)), (2, b"a", b"c", 1, None)],
+        "block_number bigint, block_hash binary, transaction_hash binary, transaction_position bigint, json string",
+    )
     rows = ingest.debug_traces(docs).select("trace_address", "subtraces", "type").collect()
     assert len(rows) == 2047 and max(len(r.trace_address) for r in rows) == 1023
     assert sorted(r.subtraces for r in rows)[-1] == 2 and sum(r.type == "create" for r in rows) == 1023
@@ -163,7 +201,9 @@ def test_follow_with_guard_over_restarts(spark, tmp_path):
     def page(rows):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/blocks")
         stream = follow.stream_table(spark, f"{tmp_path}/blocks", "blocks")
-        follow.follow_with_guard(stream, lambda b, e: seen.append(b.count()), lambda b, last: bad.append(last), f"{tmp_path}/checkpoint").awaitTermination()
+        follow.follow_with_guard(
+            stream, lambda b, e: seen.append(b.count()), lambda b, last: bad.append(last), f"{tmp_path}/checkpoint"
+        ).awaitTermination()
 
     page([(1, *h(1, 0)), (2, *h(2, 1))])
     page([(3, *h(3, 2))])
@@ -179,8 +219,17 @@ def test_limits_stop_early(spark, monkeypatch):
 
     monkeypatch.setattr(order, "RANGE", 50)
     t = chain_tables(spark, DATA)
-    q = ChainQuery(10, None, join_mode="nothing").where("logs", Filter("logs")).select("logs", ["block_number"]).where("blocks", Filter("blocks")).select("blocks", ["number"])
-    counts = {r.block_number: r["count"] for r in t["logs"].where("block_number >= 10").groupBy("block_number").count().collect()}
+    q = (
+        ChainQuery(10, None, join_mode="nothing")
+        .where("logs", Filter("logs"))
+        .select("logs", ["block_number"])
+        .where("blocks", Filter("blocks"))
+        .select("blocks", ["number"])
+    )
+    counts = {
+        r.block_number: r["count"]
+        for r in t["logs"].where("block_number >= 10").groupBy("block_number").count().collect()
+    }
     for limit in (1, 40, 700, 10**9):
         total, kept = 0, []
         for b in sorted(counts):
@@ -194,7 +243,13 @@ def test_limits_stop_early(spark, monkeypatch):
 
 
 def test_receipt_defaults(spark):
-    docs = spark.createDataFrame([('{"transactionHash":"0x01","blockNumber":"0x5","status":"0x1","effectiveGasPrice":null}',), ('{"transactionHash":"0x02","blockNumber":"0x5"}',)], "json string")
+    docs = spark.createDataFrame(
+        [
+            ('{"transactionHash":"0x01","blockNumber":"0x5","status":"0x1","effectiveGasPrice":null}',),
+            ('{"transactionHash":"0x02","blockNumber":"0x5"}',),
+        ],
+        "json string",
+    )
     assert [bytes(r.effective_gas_price) for r in ingest.rpc_receipts(docs).collect()] == [b"\x00", b"\x00"]
 
 
@@ -205,10 +260,16 @@ def test_partition_pruning_and_pushdown(spark, tmp_path):
     from loomspark.sources.tables import scan, store
 
     store({"logs": full_shape(chain_tables(spark, DATA)["logs"], "logs")}, str(tmp_path))
-    q = ChainQuery(0, 100, join_mode="nothing").where("logs", Filter("logs").where("address", [addr("tok1")])).select("logs", ["data"])
+    q = (
+        ChainQuery(0, 100, join_mode="nothing")
+        .where("logs", Filter("logs").where("address", [addr("tok1")]))
+        .select("logs", ["data"])
+    )
     tables = {n: scan(spark, str(tmp_path), n) for n in ("blocks", "transactions", "logs", "traces")}
     plan = q.execute(tables).tables["logs"]._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(block_range" in plan and "PushedFilters: [" in plan and "address" in plan.split("PushedFilters")[1]
+    assert "PartitionFilters: [isnotnull(block_range" in plan and "PushedFilters: [" in plan and "address" in plan.split(
+        "PushedFilters"
+    )[1]
     assert "topic0" not in plan.split("ReadSchema")[1]
 
 
@@ -217,7 +278,9 @@ def test_arrow_ipc_round_trip(spark, tmp_path, monkeypatch):
     from loomspark.sources.tables import scan_arrow_ipc
 
     monkeypatch.setattr(sinks, "IPC_BYTES", 1000)
-    df = spark.range(0, 30_000, 1, 3).selectExpr("id AS number", "IF(id % 3 = 0, NULL, sha2(CAST(id AS STRING), 256)) AS text")
+    df = spark.range(0, 30_000, 1, 3).selectExpr(
+        "id AS number", "IF(id % 3 = 0, NULL, sha2(CAST(id AS STRING), 256)) AS text"
+    )
     assert sinks.write_arrow_ipc(df, f"file://{tmp_path}/a") == 30_000
     assert len(list((tmp_path / "a").iterdir())) >= 3
     back = scan_arrow_ipc(spark, f"file://{tmp_path}/a", df.schema)
