@@ -18,6 +18,7 @@ OPERATORS = {
     "mixing": "op8_mix_sources",
     "line_dedup": "op9_line_dedup",
     "licenses": "op10_license_scan",
+    "spelling": "op11_spelling_variants",
 }
 
 
