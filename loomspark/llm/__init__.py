@@ -19,6 +19,7 @@ OPERATORS = {
     "line_dedup": "op9_line_dedup",
     "licenses": "op10_license_scan",
     "spelling": "op11_spelling_variants",
+    "hard_negatives": "op12_hard_negatives",
     "lm_scoring": "op13_lm_scores",
 }
 
