@@ -6,8 +6,9 @@ one comes out too high about once in 2**K times, and counts are bounded by those
 
 Tasks count their own texts first and send packed counts to segments, by a hash of the bigram; each segment becomes a
 piece of the filter, with the exact counts of its words. While all segments together are no larger than a bound they are
-broadcast and texts are scored in place; beyond it the probes of each text are sent to the segments, which answer them,
-and the answers come home to the text. Both ways probe the same filter and give the same scores.
+broadcast (through the shared folder, where each worker reads them once: nothing passes through the driver) and texts
+are scored in place; beyond it the probes of each text are sent to the segments, which answer them, and the answers
+come home to the text. Both ways probe the same filter and give the same scores.
 
 The model: P(w | v) = (c(v w) + MU * P(w)) / (c(v) + MU), with P(w) = (c(w) + 1) / (N + V + 1) over N training tokens of
 V kinds. Each text is followed by one end and preceded by one beginning, which is no token.
@@ -19,11 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.llm.scratch import n_bytes, parts, written
-from loomspark.llm.textarrays import Words, give_back, mix, text_slices
+from loomspark.llm.scratch import n_bytes, open_shared, parts, written
+from loomspark.llm.textarrays import KEPT_BY_WORKER, Words, clear_kept, give_back, mix, text_slices
 
 #: Hashes of the end and of the beginning of a text.
 END, BEGIN = np.uint64(0x1F83D9ABFB41BD6B), np.uint64(0x5BE0CD19137E2179)
@@ -298,11 +300,29 @@ def _result(ids, held, n_tokens, n_known, totals: Totals, base, score) -> pa.Rec
     )
 
 
-def _score(shared, totals: Totals):
+#: The model that a worker holds, by its files.
+_MODELS: dict[tuple, Segments] = {}
+KEPT_BY_WORKER.append(_MODELS)
+
+
+def _model(files: tuple[str, ...], n: int) -> Segments:
+    if files not in _MODELS:
+        clear_kept()
+        rows: list[dict] = []
+        for name in files:
+            with open_shared(name) as f:
+                rows += pq.read_table(f, columns=["segment", "n_bits", "bits", "words", "word_n"]).to_pylist()
+        _MODELS[files] = Segments(rows, n)
+        del rows
+        give_back()
+    return _MODELS[files]
+
+
+def _score(files: tuple[str, ...], n: int, totals: Totals):
     """Scores of texts by a model that every worker holds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Segments = shared.value
+        model = _model(files, n)
         for batch in batches:
             for at, raw, offsets in text_slices(batch.column(2), SLICE):
                 token, row, starts = token_arrays(raw, offsets)
@@ -447,8 +467,7 @@ def lm_scores(documents: DataFrame, model_bytes: int = MODEL_BYTES) -> DataFrame
     whole = segments.agg(F.sum("tokens"), F.sum("kinds")).first()
     totals = Totals(whole[0] or 0, whole[1] or 0)
     if n_bytes(segments) <= model_bytes:
-        rows = segments.select("segment", "n_bits", "bits", "words", "word_n").toArrow().to_pylist()
-        return docs.mapInArrow(_score(spark.sparkContext.broadcast(Segments(rows, n)), totals), RESULT)
+        return docs.mapInArrow(_score(tuple(sorted(segments.inputFiles())), n, totals), RESULT)
     asked = docs.select(F.monotonically_increasing_id().alias("doc"), "doc_id", "held_out", "text")
     asked = written(asked.mapInArrow(_ask(n), PROBES), "probes")
     own = segments.select(F.lit(None).cast("bigint").alias("doc"), "segment", "n_bits", "bits", "words", "word_n")

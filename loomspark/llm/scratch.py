@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,13 +29,24 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write a frame as Parquet to the shared folder and read it back: cuts the lineage, survives lost executors."""
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def open_shared(uri: str):
+    """A file of the shared folder for reading in a task: a plain path where it is mounted, else through Arrow."""
+    where = urlparse(uri)
+    if where.scheme in ("", "file"):
+        return open(unquote(where.path), "rb")
+    from pyarrow import fs
+
+    system, path = fs.FileSystem.from_uri(uri)
+    return system.open_input_file(path)
+
+
 def n_bytes(written_df: DataFrame) -> int:
     """Bytes of the files of a frame that `written` returned, as the file system reports them."""
     jvm = written_df.sparkSession._jvm
@@ -63,5 +75,22 @@ def row_key(doc_id: Column, text: Column) -> Column:
     )
 
 
+def unique_ids(keys: DataFrame, hashed=F.xxhash64) -> DataFrame:
+    """(key, id) for the few of the distinct `keys` (one column, key) whose 64-bit hash another key has too: ids that
+    differ from all others. All other keys go by `hashed(key)`."""
+    ids = keys.select("key", hashed("key").alias("id"))
+    clash = ids.groupBy("id").agg(F.count("*").alias("n"), F.min("key").alias("first")).where("n > 1")
+    left = written(ids.join(clash, "id").where("key <> first").select("key"), "clashes")
+    found, salt = left.select("key", F.lit(0).cast("bigint").alias("id")).limit(0), 0
+    while not left.isEmpty():
+        salt += 1
+        drawn = left.select("key", F.xxhash64(F.lit(salt), "key").alias("id"))
+        again = drawn.groupBy("id").count().where("count > 1").select("id")
+        taken = drawn.select("id").join(ids.select("id").union(found.select("id")), "id", "left_semi").union(again).distinct()
+        found = written(found.union(drawn.join(taken, "id", "left_anti").select("key", "id")), "fresh-ids")
+        left = written(drawn.join(taken, "id", "left_semi").select("key"), "clashes")
+    return found
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
