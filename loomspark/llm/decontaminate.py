@@ -34,6 +34,12 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def folded(text: Column) -> Column:
+    """Lower case for hashing: the two small sigmas, which a lower-cased capital one becomes by what stands around it,
+    are one. Texts that are equal but for A-Z have equal ones, whole or cut into words."""
+    return F.replace(F.lower(text), F.lit("\u03c2"), F.lit("\u03c3"))
+
+
 def _window_hash(words: str, at: Column, size: int) -> Column:
     """The hash of `size` words from the place `at` on; null where they go beyond the end."""
     inside = at + size <= F.size(words)
@@ -44,7 +50,7 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per distinct window: hash, size, words, items (the ids of the items that hold it).
 
     An item of fewer words is one window; one without words, or null, is none. Words are A-Z lower-cased; the hash goes
-    over fully lower-cased words, which equal ones share.
+    over words in `folded` case, which equal ones share.
     """
     items = benchmark.select(
         "item_id", F.split(ascii_lower(F.array_join(words_of(F.col("text")), " ")), " ").alias("w")
@@ -56,7 +62,7 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     distinct = cut.groupBy(F.array_join("w", " ").alias("words")).agg(
         F.first(F.size("w")).alias("size"), F.collect_set("item_id").alias("items")
     )
-    low = distinct.withColumn("l", F.split(F.lower("words"), " "))
+    low = distinct.withColumn("l", F.split(folded(F.col("words")), " "))
     by_size = F.coalesce(*(F.when(F.col("size") == n, _window_hash("l", F.lit(0), n)) for n in range(window, 0, -1)))
     return low.select(by_size.alias("hash"), "size", "words", "items")
 
@@ -64,7 +70,7 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 def _hit_windows(docs: DataFrame, windows: DataFrame, window: int, limit: int) -> DataFrame:
     """(key, start, size, items): every occurrence of a window in the rows of `docs` (key, text)."""
     sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())
-    split = docs.select("key", words_of(F.col("text")).alias("words"), words_of(F.lower("text")).alias("low"))
+    split = docs.select("key", words_of(F.col("text")).alias("words"), words_of(folded(F.col("text"))).alias("low"))
     place = F.explode(F.sequence(F.lit(0), F.size("low") - 1)).alias("start")
     hashes = [_window_hash("low", F.col("start"), n) for n in sizes] or [F.lit(None).cast("bigint")]
     hashes = hashes[0].alias("hash") if len(hashes) == 1 else F.explode(F.array(*hashes)).alias("hash")
