@@ -481,7 +481,8 @@ def plain_pipeline(rows, scores, items, encode):
     targets, taken = filled(sizes), []
     for doc, t, source in rows:
         rate = min(targets[source] / sizes[source], 3.0) if sizes[source] else 0.0
-        draw = int(hashlib.sha256(f"mix-1{'' if doc is None else doc}".encode()).hexdigest()[:8], 16) / 2**32
+        seed = f"mix-2:{'' if doc is None else doc}:{hashlib.md5((t or '').encode()).hexdigest()}:1"
+        draw = int(hashlib.sha256(seed.encode()).hexdigest()[:8], 16) / 2**32
         taken += [(doc, t)] * (int(rate) + (draw < rate - int(rate)))
     out, start = [], 0
     for doc, t in sorted(taken, key=lambda r: (r[0] is not None, r[0] or 0)):
