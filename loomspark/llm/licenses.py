@@ -1,7 +1,8 @@
 """License scans by sentence rules (operator 10).
 
 A text is cut into lines and sentences, which are normalised and looked up among known licence sentences; one that is
-wrapped over several lines is found as well. The identifiers found, in order, form the document's sequence. Ordered
+wrapped over several lines is found as well, and so is one that names its own authors where the public text has a
+slot for them. The identifiers found, in order, form the document's sequence. Ordered
 rules name the licence of a run of identifiers; a rule takes the runs it matches out of the sequence, so that a later,
 wider rule doesn't see them again.
 """
@@ -15,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Sentences as the public licence texts and their usual notices word them, normalised.
+# Sentences as the public licence texts and their usual notices word them, normalised; * is a slot for the
+# names of holders.
 SENTENCES = {
     "mit_notice": [
         "released under the mit license",
@@ -23,7 +25,13 @@ SENTENCES = {
         "this project is licensed under the mit license",
         "this software is released under the mit license",
         "distributed under the mit license",
+        "licensed under the terms of the mit license",
+        "this project is licensed under the terms of the mit license",
+        "licensed under mit",
+        "mit licensed",
+        "license mit",
     ],
+    "mit_title": ["mit license", "the mit license", "the mit license mit"],
     "mit_grant": [
         "permission is hereby granted free of charge to any person obtaining a copy of this software and "
         "associated documentation files the software to deal in the software without restriction including "
@@ -50,6 +58,8 @@ SENTENCES = {
         "distributed under the apache license version 2 0",
         "this project is licensed under the apache license version 2 0",
         "licensed under the apache license version 2 0 the license",
+        "license apache 2 0",
+        "license apache license 2 0",
     ],
     "apache2_comply": ["you may not use this file except in compliance with the license"],
     "apache2_copy": [
@@ -85,6 +95,18 @@ SENTENCES = {
         "general public license as published by the free software foundation either version 2 of the license or "
         "at your option any later version"
     ],
+    "gpl2_only_redistribute": [
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu "
+        "general public license version 2 as published by the free software foundation",
+        "this program is free software you can redistribute it and or modify it under the terms of version 2 of the "
+        "gnu general public license as published by the free software foundation",
+    ],
+    "gpl3_only_redistribute": [
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu "
+        "general public license version 3 as published by the free software foundation",
+        "this program is free software you can redistribute it and or modify it under the terms of version 3 of the "
+        "gnu general public license as published by the free software foundation",
+    ],
     "lgpl_notice": [
         "licensed under the gnu lesser general public license version 3",
         "licensed under the gnu lesser general public license version 2 1",
@@ -112,8 +134,16 @@ SENTENCES = {
         "the following disclaimer in the documentation and or other materials provided with the distribution"
     ],
     "bsd_endorse": [
-        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
-        "promote products derived from this software without specific prior written permission"
+        "neither the name of * nor the names of * contributors may be used to endorse or promote products derived from "
+        "this software without specific prior written permission",
+        "neither the name of * nor the names of its contributors may be used to endorse or promote products derived from "
+        "this software without specific prior written permission",
+        "neither the name nor the names of * may be used to endorse or promote products derived from this software "
+        "without specific prior written permission",
+        "the name of * may not be used to endorse or promote products derived from this software without specific prior "
+        "written permission",
+        "the names of * may not be used to endorse or promote products derived from this software without specific prior "
+        "written permission",
     ],
     "bsd_notice": [
         "licensed under the bsd license", "released under the bsd license", "licensed under the bsd 3 clause license",
@@ -193,12 +223,12 @@ SENTENCES = {
     ],
     "agpl_see": ["see the gnu affero general public license for more details"],
     "bsd_as_is": [
-        "this software is provided by the copyright holders and contributors as is and any express or implied "
+        "this software is provided by * as is and any express or implied "
         "warranties including but not limited to the implied warranties of merchantability and fitness for a "
         "particular purpose are disclaimed"
     ],
     "bsd_liability": [
-        "in no event shall the copyright holder or contributors be liable for any direct indirect incidental "
+        "in no event shall * be liable for any direct indirect incidental "
         "special exemplary or consequential damages including but not limited to procurement of substitute goods "
         "or services loss of use data or profits or business interruption however caused and on any theory of "
         "liability whether in contract strict liability or tort including negligence or otherwise arising in any "
@@ -268,6 +298,10 @@ RULES = [
     ("GPL-2.0-or-later", ["gpl2_redistribute", "gpl_hope", "gpl_see", "gpl_received"]),
     ("GPL-3.0-or-later", ["gpl3_redistribute", "gpl_hope", "gpl_see"]),
     ("GPL-2.0-or-later", ["gpl2_redistribute", "gpl_hope", "gpl_see"]),
+    ("GPL-2.0-only", ["gpl2_only_redistribute", "gpl_hope", "gpl_see", "gpl_received"]),
+    ("GPL-3.0-only", ["gpl3_only_redistribute", "gpl_hope", "gpl_see", "gpl_received"]),
+    ("GPL-2.0-only", ["gpl2_only_redistribute", "gpl_hope", "gpl_see"]),
+    ("GPL-3.0-only", ["gpl3_only_redistribute", "gpl_hope", "gpl_see"]),
     ("LGPL-3.0-or-later", ["lgpl3_redistribute", "lgpl_hope", "lgpl_see"]),
     ("LGPL-3.0-or-later", ["lgpl3_redistribute", "gpl_hope", "lgpl_see"]),
     ("LGPL-2.1-or-later", ["lgpl21_redistribute", "lgpl_hope", "lgpl_see"]),
@@ -279,6 +313,8 @@ RULES = [
     ("AGPL-3.0", ["agpl3_title", "fsf_verbatim"]),
     ("BSD-3-Clause", ["bsd_grant", "bsd_source", "bsd_binary", "bsd_endorse", "bsd_as_is", "bsd_liability"]),
     ("BSD-2-Clause", ["bsd_grant", "bsd_source", "bsd_binary", "bsd_as_is", "bsd_liability"]),
+    ("BSD", ["bsd_grant", "bsd_source", "bsd_binary", "bsd_more", "bsd_as_is", "bsd_liability"]),
+    ("BSD", ["bsd_grant", "bsd_source", "bsd_binary", "bsd_more"]),
     ("BSD-3-Clause", ["bsd_grant", "bsd_source", "bsd_binary", "bsd_endorse"]),
     ("BSD-2-Clause", ["bsd_grant", "bsd_source", "bsd_binary"]),
     ("ISC", ["isc_grant", "isc_as_is", "isc_liability"]),
@@ -287,11 +323,14 @@ RULES = [
     ("MIT", ["mit_grant", "mit_condition"]),
     ("GPL-3.0-or-later", ["gpl3_redistribute"]),
     ("GPL-2.0-or-later", ["gpl2_redistribute"]),
+    ("GPL-2.0-only", ["gpl2_only_redistribute"]),
+    ("GPL-3.0-only", ["gpl3_only_redistribute"]),
     ("LGPL-3.0-or-later", ["lgpl3_redistribute"]),
     ("LGPL-2.1-or-later", ["lgpl21_redistribute"]),
     ("AGPL-3.0-or-later", ["agpl3_redistribute"]),
     ("ISC", ["isc_grant"]),
     ("MIT", ["mit_notice"]),
+    ("MIT", ["mit_title"]),
     ("Apache-2.0", ["apache2_title"]),
     ("Apache-2.0", ["apache2_notice"]),
     ("GPL-3.0", ["gpl3_title"]),
@@ -325,6 +364,10 @@ RULES = [
 ENDS = re.compile(r"(?<=[.!?;:])[ \t\r]+|\n")
 #: ASCII letters (in lower case) and digits; all else, comment leaders too, stands between words.
 _WORD = re.compile(r"[a-z0-9]+")
+#: What a list puts before a clause: a number or a letter with a mark, or a mark alone.
+_LEAD = re.compile(r"[^a-z0-9]*\(?(?:[0-9]{1,2}|[a-z]|[ivx]{1,4})[.)](?![a-z0-9])|[^a-z0-9]*[*+\u2022-](?=[ \t])")
+#: Words that a slot takes, at least one.
+SLOT = 16
 
 
 def _trie() -> dict:
@@ -342,32 +385,66 @@ def _trie() -> dict:
 TRIE = _trie()
 
 
+def _step(states: list[tuple[dict, int]], word: str) -> list[tuple[dict, int]]:
+    """The places in the trie after one more word, each with the words that its slot may still take."""
+    out = []
+    for node, left in states:
+        if word in node:
+            out.append((node[word], 0))
+        if "*" in node:
+            out.append((node["*"], SLOT - 1))
+        if left:
+            out.append((node, left - 1))
+    return out
+
+
+def _sentence_at(pieces: list[str], at: int, first: list[str]) -> tuple[str, int] | None:
+    """(id, number of the piece after it) of the longest known sentence that begins with the words `first` of a piece."""
+    states, found = [(TRIE, 0)], None
+    for k in range(at, len(pieces)):
+        words = first if k == at else _WORD.findall(pieces[k])
+        for word in words:
+            states = _step(states, word)
+            if not states:
+                return found
+        if not words:
+            return found
+        whole = [node[""] for node, left in states if "" in node]
+        if whole:
+            found = whole[0], k + 1
+    return found
+
+
 def known_sentences(text: str | None) -> list[tuple[int, str]]:
     """(number of the piece where it begins, id) of the known sentences of a text.
 
-    A known sentence is a run of whole pieces, the longest one from its first piece on. It may hold line feeds and end
-    marks ("free software: you can", "v. 2.0"), but no line without words.
+    A known sentence is a run of whole pieces, the longest one from its first piece on; what a list puts before its
+    clauses is no part of it. It may hold line feeds and end marks ("free software: you can", "v. 2.0", "Example Inc."),
+    but no line without words. A clause of a list that follows the second BSD clause and isn't known, or anything that
+    stands between that and the disclaimer, is there as "bsd_more".
     """
     out: list[tuple[int, str]] = []
-    pieces, at = ENDS.split((text or "").lower()), 0
+    pieces, at, clause, odd = ENDS.split((text or "").lower()), 0, False, 0
     while at < len(pieces):
-        head = _WORD.search(pieces[at])
-        to = at + 1
+        lead = _LEAD.match(pieces[at])
+        words, found = None, None
+        head = _WORD.search(pieces[at], lead.end() if lead else 0)
         if head and head[0] in TRIE:
-            node, found = TRIE, None
-            for k in range(at, len(pieces)):
-                words = _WORD.findall(pieces[k])
-                for word in words:
-                    node = node.get(word)
-                    if node is None:
-                        break
-                if node is None or not words:
-                    break
-                if "" in node:
-                    found, to = node[""], k + 1
-            if found:
-                out.append((at, found))
-        at = to
+            words = _WORD.findall(pieces[at], head.start())
+            found = _sentence_at(pieces, at, words)
+        if found:
+            if odd and found[0] == "bsd_as_is":
+                out.append((odd, "bsd_more"))
+            out.append((at, found[0]))
+            at, clause, odd = found[1], False, 0
+            continue
+        if out and out[-1][1] == "bsd_binary" and head:
+            if (lead or clause) and not odd:
+                out.append((at, "bsd_more"))
+            elif out[-1][1] == "bsd_binary":
+                odd = odd or at
+        clause = bool(lead) and not head
+        at += 1
     return out
 
 
@@ -426,7 +503,10 @@ def op10_license_scan(spark, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
-    known = ", ".join(f"('{s}', '{i}')" for i, many in SENTENCES.items() for s in many)
+    """The same for texts whose sentences are lines or end at marks, and without unknown BSD clauses."""
+    every = [(s, i) for i, many in SENTENCES.items() for s in many]
+    known = ", ".join(f"('{s}', '{i}')" for s, i in every if "*" not in s)
+    slots = ", ".join(f"('{s.replace('*', f'[a-z0-9]+( [a-z0-9]+){{0,{SLOT - 1}}}')}', '{i}')" for s, i in every if "*" in s)
     steps, before = [], "seqs"
     for k, (_, run) in enumerate(RULES):
         pattern = "," + ",,".join(run) + ","
@@ -438,10 +518,14 @@ def _sql() -> str:
     names = ", ".join(f"CASE WHEN r{k} THEN '{name}' END" for k, (name, _) in enumerate(RULES))
     return f"""
 WITH known(sentence, id) AS (VALUES {known}),
+slots(pattern, id) AS (VALUES {slots}),
 cut AS (SELECT doc_id, generate_subscripts(x, 1) AS place, unnest(x) AS s FROM (
   SELECT doc_id, string_split(regexp_replace(text, '([.!?;:])[ \\t\\r]+', '\\1' || chr(10), 'g'), chr(10)) AS x FROM documents)),
-hits AS (SELECT doc_id, count(*) AS n, string_agg(',' || id || ',', '' ORDER BY place) AS rest FROM (
-  SELECT doc_id, place, trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'), ' ') AS sentence FROM cut) JOIN known USING (sentence) GROUP BY doc_id),
+sentences AS (SELECT doc_id, place, trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'), ' ') AS sentence FROM cut),
+found AS (SELECT doc_id, place, id FROM sentences JOIN known USING (sentence) UNION ALL
+  SELECT doc_id, place, min(id) FROM sentences JOIN slots ON regexp_full_match(sentence, pattern)
+  WHERE starts_with(sentence, 'neither the name') OR starts_with(sentence, 'the name') OR starts_with(sentence, 'this software is') OR starts_with(sentence, 'in no event') GROUP BY doc_id, place),
+hits AS (SELECT doc_id, count(*) AS n, string_agg(',' || id || ',', '' ORDER BY place) AS rest FROM found GROUP BY doc_id),
 seqs AS (SELECT doc_id, coalesce(n, 0)::BIGINT AS n_sentences, coalesce(rest, ',') AS rest FROM documents LEFT JOIN hits USING (doc_id)),
 {", ".join(steps)}
 SELECT doc_id, n_sentences, array_to_string(list_filter([{names}], lambda x, i: x IS NOT NULL AND list_position([{names}], x) = i), ',') AS licenses,
