@@ -1,9 +1,9 @@
 """Media columns (operator 4): texts' bytes as 8-bit WAV, and spectral-peak pair fingerprints.
 
-A payload of bytes is stored as the samples of a one-channel 8-bit WAV by the wave module. Reading takes the samples
-back, transforms overlapping windows to the frequency domain, takes in each band of each window the strongest bin that
+A payload of bytes is stored as the samples of a one-channel 8-bit WAV by the wave module, in a table of media in the
+shared folder. Reading that table takes the samples back, transforms overlapping windows to the frequency domain, takes in each band of each window the strongest bin that
 no neighbouring window exceeds as a peak, and pairs each peak with the others of its window and of the next ones: code (both bins and the distance) and
-time of each pair are stored as two arrays. Every step works on one payload at a time, so equal texts have equal values.
+time of each pair are stored as two arrays, in a table of features beside it. Every step works on one payload at a time, so equal texts have equal values.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomspark.llm.scratch import written
+
 #: Payload granule and window, hop, bands of a window, windows that a peak looks ahead, and windows in one transform.
 GRANULE = WINDOW = 576
 HOP = 288
@@ -109,7 +111,8 @@ def _store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def store_media(documents: DataFrame) -> DataFrame:
     """doc_id, n_bytes, media: each text (null: empty) as the bytes of a WAV file. One row per row, other columns are
-    left out; an empty table gives an empty result."""
+    left out; an empty table gives an empty result. A row without doc_id, one that repeats an id or a text, and a text of
+    any length each have a file of their own."""
     return documents.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
         _store, "doc_id bigint, n_bytes bigint, media binary"
     )
@@ -145,8 +148,9 @@ def media_features(media: DataFrame) -> DataFrame:
 
 
 def op4_media(spark, sf_dir: str) -> DataFrame:
-    """Every text stored as WAV, read back and fingerprinted; `feature` digests the time-coded pairs."""
-    found = media_features(store_media(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    """Every text stored as WAV, read back and fingerprinted; `feature` digests the time-coded pairs as they are stored."""
+    media = written(store_media(spark.read.parquet(f"{sf_dir}/documents.parquet")), "media", "zstd")
+    found = written(media_features(media), "features", "zstd")
     pairs = F.array_join(F.zip_with("codes", "times", lambda c, t: F.concat_ws("@", c, t)), ",")
     return found.select(
         "doc_id",
