@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from loomspark.llm.decontaminate import drop_contaminated
 from loomspark.llm.jaccard_join import jaccard_components
 from loomspark.llm.mixing import mix
-from loomspark.llm.scratch import row_key, written
+from loomspark.llm.scratch import maybe_broadcast, row_key, unique_ids, written
 from loomspark.llm.token_files import read_tokens, write_tokens
 from loomspark.llm.toxicity import score_toxicity
 from loomspark.ship import shipped
@@ -24,7 +24,9 @@ def _without(docs: DataFrame, key: Column, bad: DataFrame) -> DataFrame:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows scored 0.5 or more go, by their own text: rows that share an id, or have none, are each judged."""
+    """Rows scored 0.5 or more go, by their own text: rows that share an id, or have none, are each judged. A null or
+    empty text has the score of a text without words and is kept; texts of any length go whole; of equal rows all are
+    kept or none."""
     scores = score_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return _without(
         docs, row_key(F.col("doc_id"), F.col("text")), scores.where("score >= 0.5").select("key").distinct()
@@ -33,17 +35,23 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of rows that shingles of five words link at 0.8 the one with the smallest id stays (a null id comes
-    last; rows that share an id are rows of their own). Of rows equal in id and text one stays. Rows without words stay."""
-    key = F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
-    linked = jaccard_components(docs.select(key.alias("doc_id"), "text"), k=5, percent=80).where("n_links > 0")
-    groups = written(linked.select(F.col("doc_id").alias("key"), "component_id"), "groups")
-    ids = written(docs.select(key.alias("key"), "doc_id"), "keys")
+    last; rows that share an id are rows of their own). Of rows equal in id and text one stays. Null, empty and
+    wordless texts are linked with nothing and stay; long texts are compared whole."""
+    key = row_key(F.col("doc_id"), F.col("text"))
+    keys = written(docs.groupBy(key.alias("key")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n")), "keys")
+    # The join goes by 64 bits of the key; keys that share them with another have ids of their own.
+    fresh = maybe_broadcast(written(unique_ids(keys.select("key")), "fresh-ids"))
+    numbered = lambda rows: rows.join(fresh, "key", "left").withColumn("id", F.coalesce("id", F.xxhash64("key")))
+    texts = numbered(docs.select(key.alias("key"), "text")).select(F.col("id").alias("doc_id"), "text")
+    linked = jaccard_components(texts, k=5, percent=80).where("n_links > 0")
+    groups = written(linked.select(F.col("doc_id").alias("id"), "component_id").distinct(), "groups")
     # The row that stays is found by partial minima and told from its copies by key: a large group never meets in one task.
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))["key"]
-    best = groups.join(ids, "key").groupBy("component_id").agg(first.alias("key")).select("key")
-    copies = groups.join(best, "key", "left_anti").select("key").distinct()
+    members = written(groups.join(numbered(keys), "id").select("key", "doc_id", "component_id"), "members")
+    best = members.groupBy("component_id").agg(first.alias("key")).select("key")
+    copies = members.join(best, "key", "left_anti").select("key")
     kept = _without(docs, key, copies)
-    repeated = written(ids.groupBy("key").count().where("count > 1").select("key"), "repeated")
+    repeated = written(keys.where("n > 1").select("key"), "repeated")
     if repeated.isEmpty():
         return kept
     once = (
@@ -57,17 +65,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Contaminated rows go, each by its own text."""
+    """Contaminated rows go, each by its own text, with or without an id; a null, empty or wordless text is clean, and
+    rows equal in id and text go or stay together."""
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows repeated or left out by the targets of their sources."""
+    """Rows repeated or left out by the targets of their sources; rows without an id, or that repeat one, are each drawn.
+    A null source is a source; null and empty texts have no size."""
     return mix(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files, read back: one row per document and copy."""
+    """Token files, read back: one row per document and copy, null ids first. A null or empty text is its end id."""
     import public_tokenizers
 
     return read_tokens(spark, write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json")))
