@@ -1,54 +1,137 @@
-"""Casts of 256-bit numbers and hex output.
+"""Casts of 256-bit numbers and hex output, by native expressions.
 
-A binary of 32 bytes is read as two's complement, a shorter one as positive. Numbers up to 127 bits are put together
-from 32-bit limbs as decimal(38,0) by native expressions; only their decimal text may need more, and takes one
-Arrow-batched function. In strict mode what doesn't fit is an error, in permissive mode it is null.
+A binary of 32 bytes is read as two's complement, a shorter one as positive. Its magnitude is taken apart into eight
+32-bit limbs. Numbers up to 126 bits are put together from the limbs as decimal(38,0); wider ones are divided by 10^9 for
+their decimal text, and rounded once from their three first limbs and a sticky bit for floating-point numbers. In strict
+mode what doesn't fit is an error, in permissive mode it is null.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+LIMB = 1 << 32
+#: Digits of one division step, and steps: 81 digits hold 256 bits.
+DIGITS, STEPS = 9, 9
+#: Digits of the widest decimal target, of which Spark's own decimal holds half.
+WIDE, HALF = 76, 38
 
-@F.pandas_udf(T.StringType())
-def _int_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for s in batches:
-        yield s.map(lambda b: None if b is None else str(int.from_bytes(b, "big", signed=len(b) == 32)))
 
+def bound(value: Column, use) -> Column:
+    """`use(value)`, with the value computed once however often `use` takes it."""
+    return F.transform(F.array(value), use)[0]
 
-def _limbs(c: Column) -> tuple[list[Column], Column]:
-    """Eight 32-bit limbs of the magnitude's complement form, and whether the number is negative."""
-    digits = F.lpad(F.hex(c), 64, "0")
-    minus = (F.length(c) == 32) & (F.substring(digits, 1, 1) >= "8")
-    limbs = [F.conv(F.substring(digits, 1 + 8 * i, 8), 16, 10).cast("bigint") for i in range(8)]
-    return [F.when(minus, F.lit(4294967295) - x).otherwise(x) for x in limbs], minus
 
+def _magnitude(c: Column) -> Column:
+    """struct(minus, limbs): the sign, and eight limbs of the magnitude, highest first; null for a null."""
 
-def decimal128(c: Column) -> Column:
-    """decimal(38,0), or null where the number doesn't fit."""
-    limbs, minus = _limbs(c)
+    def limbs(digits: Column) -> Column:
+        minus = (F.length(c) == 32) & (F.substring(digits, 1, 1) >= "8")
+        raw = F.array(*(F.conv(F.substring(digits, 1 + 8 * i, 8), 16, 10).cast("bigint") for i in range(8)))
+
+        def signed(x: Column) -> Column:
+            # -x is the complement plus one: limbs below the lowest one that isn't 0 stay 0, where the one ends up.
+            low = F.aggregate(F.sequence(F.lit(0), F.lit(7)), F.lit(-1), lambda at, i: F.when(F.get(x, i) != 0, i).otherwise(at))
+            flipped = F.transform(x, lambda v, i: F.when(i < low, F.lit(LIMB - 1) - v).when(i == low, F.lit(LIMB) - v).otherwise(F.lit(0).cast("bigint")))
+            return F.struct(minus.alias("minus"), F.when(minus, flipped).otherwise(x).alias("limbs"))
+
+        return bound(raw, signed)
+
+    return F.when(c.isNotNull(), bound(F.lpad(F.hex(c), 64, "0"), limbs))
+
+
+def _narrow(m: Column) -> Column:
+    """The magnitude as decimal(38,0), or null beyond 126 bits."""
+    limb = lambda i: F.get(m["limbs"], F.lit(i))
     power = [F.lit(str(1 << (32 * (3 - i)))).cast("decimal(38,0)") for i in range(4)]
-    fits = (limbs[0] + limbs[1] + limbs[2] + limbs[3] == 0) & (limbs[4] < 1 << 30)
-    low = sum(
-        ((limbs[4 + i].cast("decimal(10,0)") * power[i]).cast("decimal(38,0)") for i in range(1, 4)),
-        (limbs[4].cast("decimal(10,0)") * power[0]).cast("decimal(38,0)"),
-    ).cast("decimal(38,0)")
-    return F.when(fits & (F.length(c) > 0), F.when(minus, (-low - 1).cast("decimal(38,0)")).otherwise(low))
-
-
-def _double(c: Column) -> Column:
-    """The exact decimal's double; beyond 126 bits the sum of the limbs (their first two decide all but the last bit)."""
-    limbs, minus = _limbs(c)
-    wide = sum(
-        (limbs[i].cast("double") * float(1 << (32 * (7 - i))) for i in range(1, 8)),
-        limbs[0].cast("double") * float(1 << 224),
-    )
-    return F.coalesce(decimal128(c).cast("double"), F.when(minus, -wide).otherwise(wide))
+    parts = [(limb(4 + i).cast("decimal(10,0)") * power[i]).cast("decimal(38,0)") for i in range(4)]
+    low = parts[0]
+    for part in parts[1:]:
+        low = (low + part).cast("decimal(38,0)")
+    return F.when((limb(0) + limb(1) + limb(2) + limb(3) == 0) & (limb(4) < 1 << 30), low)
+
+
+def decimal128(c: Column) -> Column:
+    """decimal(38,0), or null where the number doesn't fit in 126 bits, or there are no bytes."""
+    # A decimal's own minus sign rounds to 34 digits; a difference is exact.
+    zero = F.lit(0).cast("decimal(38,0)")
+    number = bound(_magnitude(c), lambda m: bound(_narrow(m), lambda n: F.when(m["minus"], zero - n).otherwise(n)))
+    return F.when(F.length(c) > 0, number)
+
+
+def _digits(m: Column) -> Column:
+    """Decimal digits of a magnitude, without leading zeros but at least one."""
+
+    def divided(limbs: Column) -> Column:
+        """struct(rest, limbs): the limbs divided by 10^DIGITS."""
+        start = F.struct(F.lit(0).cast("bigint").alias("rest"), F.array().cast("array<bigint>").alias("limbs"))
+        base = F.lit(10**DIGITS)
+
+        def step(acc: Column, limb: Column) -> Column:
+            now = acc["rest"] * LIMB + limb
+            whole = F.floor(now.cast("decimal(20,0)") / base).cast("bigint")
+            return F.struct((now % base).alias("rest"), F.concat(acc["limbs"], F.array(whole)).alias("limbs"))
+
+        return F.aggregate(limbs, start, step)
+
+    def round_(acc: Column, _: Column) -> Column:
+        def joined(d: Column) -> Column:
+            return F.struct(d["limbs"].alias("limbs"), F.concat(F.lpad(d["rest"].cast("string"), DIGITS, "0"), acc["text"]).alias("text"))
+
+        return bound(divided(acc["limbs"]), joined)
+
+    start = F.struct(m["limbs"].alias("limbs"), F.lit("").alias("text"))
+    text = F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), start, round_)["text"]
+    return F.regexp_replace(text, "^0+(?=.)", "")
+
+
+def int_text(c: Column) -> Column:
+    """The decimal text of any number; of no bytes "0"."""
+
+    def text(m: Column) -> Column:
+        digits = F.coalesce(_narrow(m).cast("string"), _digits(m))
+        return F.when(m["minus"], F.concat(F.lit("-"), digits)).otherwise(digits)
+
+    return bound(_magnitude(c), text)
+
+
+def decimal256(c: Column) -> Column:
+    """struct(high, low) of decimal(38,0), the number being high * 10^38 + low and both of its sign; null beyond 76 digits."""
+
+    def parts(m: Column) -> Column:
+        def cut(digits: Column) -> Column:
+            size = F.length(digits)
+            high = F.when((size > HALF) & (size <= WIDE), F.substring(digits, F.lit(1), size - HALF)).otherwise(F.lit("0"))
+            low = F.when(size > HALF, F.substring(digits, size - HALF + 1, F.lit(HALF))).otherwise(digits)
+            pair = [F.concat(F.when(m["minus"], F.lit("-")).otherwise(F.lit("")), x).cast("decimal(38,0)") for x in (high, low)]
+            return F.when(size <= WIDE, F.struct(pair[0].alias("high"), pair[1].alias("low")))
+
+        return bound(F.coalesce(_narrow(m).cast("string"), _digits(m)), cut)
+
+    return bound(_magnitude(c), parts)
+
+
+def _rounded(c: Column, kind: str) -> Column:
+    """The nearest float or double, ties to even, by one rounding; a float beyond its range is infinite."""
+
+    def wide(m: Column) -> Column:
+        def cut(x: Column) -> Column:
+            first = F.array_position(F.transform(x, lambda v: v != 0), True).cast("int") - 1
+            limb = lambda i: F.coalesce(F.get(x, first + i), F.lit(0)).cast("decimal(38,0)")
+            sticky = F.exists(F.slice(x, F.least(first, F.lit(5)) + 4, 8), lambda v: v != 0).cast("int").cast("decimal(38,0)")
+            top = (limb(0) * F.lit(str(1 << 65)).cast("decimal(20,0)") + limb(1) * F.lit(str(1 << 33)).cast("decimal(10,0)") + limb(2) * 2).cast("decimal(38,0)")
+            # The top 96 bits and one more for all that is below: enough to round, so that the power of two is exact.
+            return (top + sticky).cast("decimal(38,0)").cast(kind).cast("double") * F.pow(F.lit(2.0), (5 - first) * 32 - 1)
+
+        return bound(m["limbs"], cut)
+
+    def number(m: Column) -> Column:
+        size = F.coalesce(_narrow(m).cast(kind).cast("double"), wide(m))
+        return F.when(m["minus"], -size).otherwise(size).cast(kind)
+
+    return bound(_magnitude(c), number)
 
 
 _RANGES = {
@@ -76,10 +159,14 @@ def map_column(c: Column, kind: T.DataType, target: str, mode: str = "strict", n
     if target in ("intstr", "decimal256"):
         if not binary:
             raise TypeError(f"{name}: only binary columns map to {target}")
-        return _int_text(c)
+        text = int_text(c)
+        if target == "intstr":
+            return text
+        fits = F.length(F.ltrim(text, F.lit("-"))) <= WIDE
+        return F.when(fits | c.isNull(), text).otherwise(_misfit(mode, name, target).cast("string"))
     if target in ("float64", "float32"):
-        number = _double(c) if binary else c.cast("double")
-        return number if target == "float64" else number.cast("float")
+        kind_to = "double" if target == "float64" else "float"
+        return _rounded(c, kind_to) if binary else c.cast(kind_to)
     number = decimal128(c) if binary else c.cast("decimal(38,0)")
     if target in _RANGES:
         low, high, kind_to = _RANGES[target]
@@ -87,8 +174,11 @@ def map_column(c: Column, kind: T.DataType, target: str, mode: str = "strict", n
             (number >= F.lit(str(low)).cast("decimal(38,0)")) & (number <= F.lit(str(high)).cast("decimal(38,0)")),
             number,
         ).cast(kind_to)
-    bad = F.raise_error(F.lit(f"{name}: out of range of {target}")) if mode == "strict" else F.lit(None)
-    return F.when(c.isNull(), F.lit(None)).when(number.isNull(), bad).otherwise(number)
+    return F.when(c.isNull(), F.lit(None)).when(number.isNull(), _misfit(mode, name, target)).otherwise(number)
+
+
+def _misfit(mode: str, name: str, target: str) -> Column:
+    return F.raise_error(F.lit(f"{name}: out of range of {target}")) if mode == "strict" else F.lit(None)
 
 
 def column_mapping(df: DataFrame, mapping: dict[str, str], mode: str = "strict") -> DataFrame:
