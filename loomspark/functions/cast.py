@@ -42,23 +42,22 @@ def _magnitude(c: Column) -> Column:
     return F.when(c.isNotNull(), bound(F.lpad(F.hex(c), 64, "0"), limbs))
 
 
-def _narrow(m: Column) -> Column:
-    """The magnitude as decimal(38,0), or null beyond 126 bits."""
-    limb = lambda i: F.get(m["limbs"], F.lit(i))
-    power = [F.lit(str(1 << (32 * (3 - i)))).cast("decimal(38,0)") for i in range(4)]
-    parts = [(limb(4 + i).cast("decimal(10,0)") * power[i]).cast("decimal(38,0)") for i in range(4)]
-    low = parts[0]
-    for part in parts[1:]:
-        low = (low + part).cast("decimal(38,0)")
-    return F.when((limb(0) + limb(1) + limb(2) + limb(3) == 0) & (limb(4) < 1 << 30), low)
-
-
 def decimal128(c: Column) -> Column:
-    """decimal(38,0), or null where the number doesn't fit in 126 bits, or there are no bytes."""
+    """decimal(38,0), or null where the number doesn't fit in 126 bits and a sign, or there are no bytes. Plain
+    expressions over the four lower limbs, for generated code; the others are all zeros or, in a negative number, ones."""
+    digits = F.lpad(F.hex(c), 64, "0")
+    head = F.substring(digits, 1, 32)
+    minus = (F.length(c) == 32) & (head == "F" * 32)
+    raw = [F.conv(F.substring(digits, 33 + 8 * i, 8), 16, 10).cast("bigint") for i in range(4)]
+    limbs = [F.when(minus, F.lit(LIMB - 1) - x).otherwise(x) for x in raw]
+    parts = [(x.cast("decimal(10,0)") * F.lit(str(1 << (32 * (3 - i)))).cast("decimal(38,0)")).cast("decimal(38,0)") for i, x in enumerate(limbs)]
+    size = parts[0]
+    for part in parts[1:]:
+        size = (size + part).cast("decimal(38,0)")
     # A decimal's own minus sign rounds to 34 digits; a difference is exact.
-    zero = F.lit(0).cast("decimal(38,0)")
-    number = bound(_magnitude(c), lambda m: bound(_narrow(m), lambda n: F.when(m["minus"], zero - n).otherwise(n)))
-    return F.when(F.length(c) > 0, number)
+    below = (F.lit(-1).cast("decimal(38,0)") - size).cast("decimal(38,0)")
+    fits = (minus | (head == "0" * 32)) & (limbs[0] < 1 << 30) & (F.length(c) > 0)
+    return F.when(fits, F.when(minus, below).otherwise(size))
 
 
 def _digits(m: Column) -> Column:
@@ -71,7 +70,7 @@ def _digits(m: Column) -> Column:
 
         def step(acc: Column, limb: Column) -> Column:
             now = acc["rest"] * LIMB + limb
-            whole = F.floor(now.cast("decimal(20,0)") / base).cast("bigint")
+            whole = F.call_function("div", now, base)
             return F.struct((now % base).alias("rest"), F.concat(acc["limbs"], F.array(whole)).alias("limbs"))
 
         return F.aggregate(limbs, start, step)
@@ -91,10 +90,9 @@ def int_text(c: Column) -> Column:
     """The decimal text of any number; of no bytes "0"."""
 
     def text(m: Column) -> Column:
-        digits = F.coalesce(_narrow(m).cast("string"), _digits(m))
-        return F.when(m["minus"], F.concat(F.lit("-"), digits)).otherwise(digits)
+        return F.concat(F.when(m["minus"], F.lit("-")).otherwise(F.lit("")), _digits(m))
 
-    return bound(_magnitude(c), text)
+    return F.coalesce(decimal128(c).cast("string"), bound(_magnitude(c), text))
 
 
 def decimal256(c: Column) -> Column:
@@ -108,9 +106,12 @@ def decimal256(c: Column) -> Column:
             pair = [F.concat(F.when(m["minus"], F.lit("-")).otherwise(F.lit("")), x).cast("decimal(38,0)") for x in (high, low)]
             return F.when(size <= WIDE, F.struct(pair[0].alias("high"), pair[1].alias("low")))
 
-        return bound(F.coalesce(_narrow(m).cast("string"), _digits(m)), cut)
+        return bound(_digits(m), cut)
 
-    return bound(_magnitude(c), parts)
+    narrow = decimal128(c)
+    return F.when(
+        narrow.isNotNull(), F.struct(F.lit(0).cast("decimal(38,0)").alias("high"), narrow.alias("low"))
+    ).otherwise(bound(_magnitude(c), parts))
 
 
 def _rounded(c: Column, kind: str) -> Column:
@@ -128,10 +129,10 @@ def _rounded(c: Column, kind: str) -> Column:
         return bound(m["limbs"], cut)
 
     def number(m: Column) -> Column:
-        size = F.coalesce(_narrow(m).cast(kind).cast("double"), wide(m))
-        return F.when(m["minus"], -size).otherwise(size).cast(kind)
+        return (F.when(m["minus"], F.lit(-1.0)).otherwise(F.lit(1.0)) * wide(m)).cast(kind)
 
-    return bound(_magnitude(c), number)
+    none = F.when(F.length(c) == 0, F.lit(0.0).cast(kind))
+    return F.coalesce(decimal128(c).cast(kind), none, bound(_magnitude(c), number))
 
 
 _RANGES = {

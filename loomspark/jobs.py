@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomspark.functions import abi, values
-from loomspark.functions.cast import column_mapping, hex_output
+from loomspark.functions.cast import column_mapping, decimal256, hex_output
 from loomspark.operators import joins, order
 from loomspark.operators.filters import AuthorizationSelection, Filter, Selection, key_set
 from loomspark.plans import presets
@@ -775,6 +775,26 @@ for _k, _sqltype in _KINDS.items():
     job(f"map_{_k}", f"SELECT hash, CAST({_VALUE} AS {_sqltype}) AS value FROM transactions")(
         lambda spark, d, t, k=_k: column_mapping(t["transactions"].select("hash", "value"), {"value": k})
     )
+_SUM = "list_reduce([(strpos('0123456789abcdef', c) - 1)::BIGNUM for c in string_split({}, '')], lambda a, x: " + " + ".join(["a"] * 16) + " + x)"
+
+
+@job(
+    "map_wide",
+    f""", w AS (SELECT hash, substr(sha256('w' || hash), 1, CASE block_number % 4 WHEN 0 THEN 62 WHEN 1 THEN 34 ELSE 64 END) AS h FROM transactions),
+m AS (SELECT hash, length(h) = 64 AND substr(h, 1, 1) >= '8' AS minus, h FROM w),
+d AS (SELECT hash, CASE WHEN minus THEN '-' || ({_SUM.format("translate(h, '0123456789abcdef', 'fedcba9876543210')")} + 1::BIGNUM)::VARCHAR ELSE {_SUM.format("h")}::VARCHAR END AS text FROM m)
+SELECT hash, text, text::DOUBLE AS f64, text::FLOAT AS f32, CASE WHEN length(ltrim(text, '-')) <= 76 THEN text END AS d256,
+  CASE WHEN length(ltrim(text, '-')) <= 76 THEN right(ltrim(text, '-'), 38)::DECIMAL(38, 0)::VARCHAR END AS low FROM d""",
+)
+def _wide(spark, d, t):
+    """Words of 17, 31 and 32 bytes, half of the last negative, beyond what SQL's own numbers hold."""
+    size = F.when(F.col("block_number") % 4 == 0, 31).when(F.col("block_number") % 4 == 1, 17).otherwise(32)
+    word = F.substring(F.unhex(F.sha2(F.concat(F.lit("w0x"), F.lower(F.hex("hash"))), 256)), F.lit(1), size)
+    low = F.ltrim(decimal256(word)["low"].cast("string"), F.lit("-"))
+    words = t["transactions"].select("hash", *(word.alias(n) for n in ("text", "f64", "f32", "d256")), low.alias("low"))
+    return column_mapping(words, {"text": "intstr", "f64": "float64", "f32": "float32", "d256": "decimal256"}, "permissive")
+
+
 job(
     "column_mapping",
     f"SELECT hash, CAST({_VALUE} AS DOUBLE) AS value, CAST(block_number AS DOUBLE) AS block_number, \"from\" FROM "
