@@ -84,6 +84,14 @@ def join_all(tables: dict, match: dict) -> dict:
 MODES = {"default": join_default, "all": join_all, "nothing": join_nothing}
 
 
+def event_fields(log_fields: list[str], tx_fields: list[str], block_fields: list[str]) -> tuple[list[str], list[str]]:
+    """(log fields with the join keys that the selection needs, those and both keys), sorted."""
+    fields = sorted(
+        {*log_fields} | ({"block_number"} if block_fields else set()) | ({"transaction_hash"} if tx_fields else set())
+    )
+    return fields, sorted({*fields, "block_number", "transaction_hash"})
+
+
 def events(
     logs: DataFrame, transactions: DataFrame, blocks: DataFrame, log_fields: list[str], tx_fields: list[str],
     block_fields: list[str],
@@ -111,10 +119,7 @@ def events(
             chosen, on if key == block else on & (F.col(log_key) == F.col("_key")), "left"
         ).drop("_key", "_block")
 
-    fields = sorted(
-        {*log_fields} | ({"block_number"} if block_fields else set()) | ({"transaction_hash"} if tx_fields else set())
-    )
-    keys = sorted({*fields, "block_number", "transaction_hash"})
+    fields, keys = event_fields(log_fields, tx_fields, block_fields)
     df = side(
         side(logs.select(*keys), transactions, "transaction", tx_fields, "hash", "transaction_hash", "block_number"),
         blocks,
