@@ -332,24 +332,6 @@ job(
 )(lambda spark, d, t: order.row_counts(t))
 
 
-@job(
-    "collect_reduce",
-    "SELECT max(number) AS archive_height, max(number) + 1 AS next_block, count(DISTINCT number // 100) * 3 AS "
-    "total_execution_time FROM blocks",
-)
-def _collect_reduce(spark, d, t):
-    pages = (
-        t["blocks"]
-        .groupBy(F.floor(F.col("number") / 100).alias("p"))
-        .agg(
-            F.max("number").alias("archive_height"),
-            (F.max("number") + 1).alias("next_block"),
-            F.lit(3).alias("total_execution_time"),
-        )
-    )
-    return order.reduce_pages(pages)
-
-
 @job(
     "block_range_split",
     ", r AS (SELECT min(number) AS a, max(number) + 1 AS b FROM blocks) SELECT s AS from_block, least(s + 250, "
