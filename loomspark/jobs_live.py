@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +13,9 @@ from loomspark.operators import order
 from loomspark.operators.filters import Filter
 from loomspark.plans.pages import page_log, run_pages
 from loomspark.plans.query import ChainQuery, full_shape
+from loomspark.schema import BLOCK_COLUMN, SCHEMAS
 from loomspark.sinks import follow_sink, shared_folder
+from loomspark.sources.clustered import scan_clustered, slices, store_clustered
 from loomspark.sources.fixtures import TRANSFER
 from loomspark.streaming import joined, reorg
 
@@ -69,6 +74,40 @@ job(
 )(_fold)
 
 
+# Clustered tables, and keys that are found once
+
+_SOME = "0x" + hashlib.sha256(b"tok7").hexdigest()[:40]
+
+
+@job("scan_clustered", f"SELECT {cols(LG)} FROM logs WHERE address = '{_SOME}' AND block_number >= 300 AND block_number < 1700")
+def _clustered(spark, d, t):
+    path = shared_folder(spark, "clustered")
+    store_clustered({"logs": full_shape(t["logs"], "logs")}, path, rows=10_000)
+    query = ChainQuery(join_mode="nothing").where("logs", Filter("logs").where("address", [_SOME]))
+    return scan_clustered(spark, path, "logs", 300, 1700).where(query.predicates()["logs"]).select(*LG)
+
+
+@job(
+    "clustered_manifest",
+    ", c AS (SELECT block_number AS number, count(*) AS n FROM logs GROUP BY 1), s AS (SELECT *, CAST((sum(n) OVER (ORDER BY number) - n) // 10000 AS BIGINT) AS slice FROM c) "
+    "SELECT slice, min(number) AS first_block, max(number) AS last_block, CAST(sum(n) AS BIGINT) AS n_rows FROM s GROUP BY slice",
+)
+def _slices(spark, d, t):
+    return slices(t["logs"], "logs", 10_000).groupBy("slice").agg(
+        F.min("number").alias("first_block"), F.max("number").alias("last_block"), F.sum("n").alias("n_rows")
+    )
+
+
+@job(
+    "join_stored_keys",
+    f", rl AS (SELECT * FROM logs WHERE topic0 = '0x{TRANSFER}') SELECT 'logs' AS \"table\", count(*) AS n FROM rl UNION ALL SELECT 'transactions', count(*) FROM transactions WHERE hash IN (SELECT transaction_hash FROM rl) "
+    "UNION ALL SELECT 'traces', count(*) FROM traces WHERE transaction_hash IN (SELECT transaction_hash FROM rl) UNION ALL SELECT 'blocks', count(*) FROM blocks WHERE number IN (SELECT block_number FROM rl)",
+)
+def _stored_keys(spark, d, t):
+    query = replace(_TRANSFERS, fields={n: [BLOCK_COLUMN[n]] for n in SCHEMAS})
+    return order.row_counts(query.execute(t, shared_folder(spark, "keys")).tables)
+
+
 # Streams with joins
 
 def _arriving(spark, tables: dict, *names: str) -> str:

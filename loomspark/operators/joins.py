@@ -36,16 +36,22 @@ def _reach(blocks: DataFrame, direct: Column, parts: list[DataFrame]) -> DataFra
     return _flagged(blocks, numbers.distinct(), ["number"], direct)
 
 
-def join_nothing(tables: dict, match: dict) -> dict:
+def as_planned(keys: DataFrame) -> DataFrame:
+    """Matched keys as part of the plan of each table that they bring rows of."""
+    return keys
+
+
+def join_nothing(tables: dict, match: dict, keep=as_planned) -> dict:
     """Each table has only its direct matches."""
     return {n: df.where(match[n]) for n, df in tables.items()}
 
 
-def join_default(tables: dict, match: dict) -> dict:
-    """Logs bring their transactions, transactions their traces, every row its block; nothing flows back."""
+def join_default(tables: dict, match: dict, keep=as_planned) -> dict:
+    """Logs bring their transactions, transactions their traces, every row its block; nothing flows back. `keep` may
+    write the matched keys, so that the tables don't each find them again."""
     logs = tables["logs"].where(match["logs"])
     tx = tables["transactions"]
-    keys = _tx_keys(logs).union(_tx_keys(tx.where(match["transactions"]), "hash")).distinct()
+    keys = keep(_tx_keys(logs).union(_tx_keys(tx.where(match["transactions"]), "hash")).distinct())
     txs = tx.join(
         keys.withColumnRenamed("transaction_hash", "hash"), ["block_number", "hash"], "left_semi"
     ).select(*tx.columns)
@@ -58,7 +64,7 @@ def join_default(tables: dict, match: dict) -> dict:
     }
 
 
-def join_all(tables: dict, match: dict) -> dict:
+def join_all(tables: dict, match: dict, keep=as_planned) -> dict:
     """A matched row brings its transaction with all its logs, traces and block. A directly matched block brings all its
     transactions; a block that is only reached through a row does not."""
     tx = tables["transactions"]
@@ -68,7 +74,7 @@ def join_all(tables: dict, match: dict) -> dict:
         .union(_tx_keys(tables["traces"].where(match["traces"])))
         .union(_tx_keys(tx.where(match["transactions"]), "hash"))
     )
-    keys = keys.union(_tx_keys(tx.join(found, "block_number", "left_semi"), "hash")).distinct()
+    keys = keep(keys.union(_tx_keys(tx.join(found, "block_number", "left_semi"), "hash")).distinct())
     txs = tx.join(
         keys.withColumnRenamed("transaction_hash", "hash"), ["block_number", "hash"], "left_semi"
     ).select(*tx.columns)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loomspark.functions.cast import column_mapping, hex_output
 from loomspark.operators.filters import FIELDS, AuthorizationSelection, Filter, Selection, any_of
-from loomspark.operators.joins import MODES
+from loomspark.operators.joins import MODES, as_planned
 from loomspark.operators.order import limit_blocks, ordered
 from loomspark.schema import BLOCK_COLUMN, RANGE, SCHEMAS
 
@@ -70,6 +70,15 @@ class ChainResult:
     decoded_logs: DataFrame | None = None
     last_block: int | None = None
     to_block: int | None = None
+    #: Folders of matched keys that the frames read; `release` removes them.
+    keys: tuple[str, ...] = ()
+
+    def release(self) -> None:
+        """Remove what `execute` wrote; the frames can't be read any more."""
+        spark = next(df.sparkSession for df in self.tables.values() if df is not None) if self.keys else None
+        for name in self.keys:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
     def transform(
         self, decode=None, reverse: bool = False, mapping: dict | None = None, hex_mode: str = "none"
@@ -127,12 +136,21 @@ class ChainQuery:
     def predicates(self) -> dict:
         return {t: any_of(self.selections.get(t, ())) for t in SCHEMAS}
 
-    def execute(self, tables: dict) -> ChainResult:
+    def execute(self, tables: dict, keys_folder: str | None = None) -> ChainResult:
         """The result over four tables. Without `to_block` the range ends with the highest block there is. Only limits
-        read anything here: counts of ranges of blocks, until one is reached."""
+        read anything here: counts of ranges of blocks, until one is reached.
+
+        With a `keys_folder`, a new one in the folder that the cluster shares, the matched keys are found here, once, and
+        written there; all four tables read them from it. Without it each table's plan finds them by itself.
+        """
+
+        def keep(keys: DataFrame) -> DataFrame:
+            keys.write.parquet(keys_folder)
+            return keys.sparkSession.read.schema(keys.schema).parquet(keys_folder)
+
         ranged = {t: block_range(df, t, self.from_block, self.to_block) for t, df in tables.items()}
         match = self.predicates()
-        out = MODES[self.join_mode](ranged, match)
+        out = MODES[self.join_mode](ranged, match, keep if keys_folder else as_planned)
         if self.include_all_blocks:
             out["blocks"] = ranged["blocks"]
         last = None
@@ -146,7 +164,8 @@ class ChainQuery:
             if self.fields.get(t) else None
             for t, df in out.items()
         }
-        return ChainResult(chosen, last_block=last, to_block=self.to_block)
+        written = (keys_folder,) if keys_folder and self.join_mode != "nothing" else ()
+        return ChainResult(chosen, last_block=last, to_block=self.to_block, keys=written)
 
     @staticmethod
     def from_dict(document: dict) -> ChainQuery:

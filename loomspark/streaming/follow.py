@@ -70,32 +70,40 @@ def follow_with_guard(stream: DataFrame, handle, on_reorg, checkpoint: str, **tr
     """Micro-batches of blocks to `handle(batch, epoch)`; when a batch doesn't continue the one before, or breaks within
     itself, `on_reorg(batch, last good block)` comes first.
 
-    The guards (one row a batch) are kept below `checkpoint` beside the stream's own progress, so a restart goes on
-    against the last one; a batch that is repeated is held against the one before it again.
+    Each batch writes its guard, one row, below `checkpoint` beside the stream's own progress (an empty batch passes the
+    one before on), reads that of the batch before by its name and removes the one before that: as much work in the
+    thousandth batch as in the first. A restart goes on against the last one; a batch that is repeated is held against
+    the one before it again.
     """
     spark, guards = stream.sparkSession, f"{checkpoint}/guards"
 
     def before(epoch: int):
         try:
-            return spark.read.parquet(guards).where(F.col("epoch") < epoch).orderBy(F.desc("epoch")).first()
+            return spark.read.parquet(f"{guards}/epoch={epoch - 1}").first() if epoch else None
         except AnalysisException as e:
             if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
                 raise
             return None
 
+    def keep(guard: DataFrame, epoch: int) -> None:
+        guard.write.mode("overwrite").parquet(f"{guards}/epoch={epoch}")
+        old = spark._jvm.org.apache.hadoop.fs.Path(f"{guards}/epoch={epoch - 2}")
+        old.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(old, True)
+
     def step(batch: DataFrame, epoch: int) -> None:
         guard = rollback_guard(batch)
-        ends = guard.first()
+        ends, last = guard.first(), before(epoch)
         if ends.block_number is None:
+            if last is not None:
+                keep(spark.createDataFrame([last], guard.schema), epoch)
             return
-        last = before(epoch)
         broken = detect_reorg(batch).agg(F.min("number")).first()[0]
         if last and last.hash != ends.first_parent_hash:
             on_reorg(batch, last.block_number)
         elif broken is not None:
             on_reorg(batch, broken - 1)
         handle(batch, epoch)
-        guard.write.mode("overwrite").parquet(f"{guards}/epoch={epoch}")
+        keep(guard, epoch)
 
     return (
         stream.writeStream
