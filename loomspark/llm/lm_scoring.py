@@ -38,8 +38,8 @@ BITS = K / np.log(2)
 MODEL_BYTES = 128 << 20
 #: Bytes of text for a segment, and tokens of a task before their counts are sent on.
 SEGMENT_BYTES, HELD = 16 << 20, 3_000_000
-#: Tokens of a text that is scored at once.
-SLICE = 1 << 20
+#: Bytes of text that are scored at once, and rows of probes that go together.
+SLICE, ROWS = 1 << 20, 2000
 
 _GRAM, _LEVEL, _STEP = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 _KEY, _FORTY, _HALF = np.uint64((1 << 40) - 1), np.uint64(40), np.uint64(32)
@@ -356,8 +356,13 @@ def _ask(n: int):
     """Per text one row (kind 0) that says how its tokens and bigrams lie, and for each segment one (kind 1) with the
     distinct hashes that it is asked for; both in the order of segments."""
     names = [x.split()[0] for x in PROBES.split(",")]
+    schema = pa.schema(
+        [("doc", pa.int64()), ("kind", pa.int32()), ("segment", pa.int32()), ("doc_id", pa.int64()), ("held_out", pa.bool_())]
+        + [(x, pa.binary()) for x in names[5:]]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[dict] = []
         for batch in batches:
             for i in range(len(batch)):
                 doc, doc_id, held = (batch.column(j)[i].as_py() for j in range(3))
@@ -373,20 +378,20 @@ def _ask(n: int):
                 first = np.where(at > 0, rank[where][np.maximum(at, 1) - 1], rank[np.searchsorted(w, END)])
                 w, g = w[wo], g[go]
                 asked = [s for s in range(n) if wb[s] < wb[s + 1] or gb[s] < gb[s + 1]]
-                rows = [
+                rows += [
                     {"doc": doc, "kind": 0, "segment": -1, "doc_id": doc_id, "held_out": held,
-                     "word_times": wn[wo].astype("<i8").tobytes(), "gram_times": gn[go].astype("<i8").tobytes(),
-                     "first": first[go].astype("<i8").tobytes(), "second": second[go].astype("<i8").tobytes()}
+                     "word_times": wn[wo].astype("<i4").tobytes(), "gram_times": gn[go].astype("<i4").tobytes(),
+                     "first": first[go].astype("<i4").tobytes(), "second": second[go].astype("<i4").tobytes()}
                 ] + [
                     {"doc": doc, "kind": 1, "segment": s, "words": w[wb[s] : wb[s + 1]].tobytes(),
                      "grams": g[gb[s] : gb[s + 1]].tobytes()}
                     for s in asked
                 ]
-                schema = pa.schema(
-                    [("doc", pa.int64()), ("kind", pa.int32()), ("segment", pa.int32()), ("doc_id", pa.int64()), ("held_out", pa.bool_())]
-                    + [(x, pa.binary()) for x in names[5:]]
-                )
-                yield pa.RecordBatch.from_pylist(rows, schema)
+                if len(rows) >= ROWS:
+                    yield pa.RecordBatch.from_pylist(rows, schema)
+                    rows = []
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema)
 
     return run
 
@@ -395,25 +400,39 @@ ANSWERS = "doc bigint, segment int, word_n binary, levels binary"
 
 
 def _answer(n: int):
-    """Answers of segments; each segment's own row comes before what it is asked."""
+    """Answers of segments; each segment's own row comes before what it is asked. Rows that follow each other are probed
+    together."""
+
+    def answers(model: Segments, rows: list[dict]) -> pa.RecordBatch:
+        def split(found: np.ndarray, name: str, kind: str) -> pa.Array:
+            cuts = np.cumsum([len(r[name]) // 8 for r in rows])[:-1]
+            return pa.array([x.tobytes() for x in np.split(found.astype(kind), cuts)], pa.binary())
+
+        asked = {k: np.frombuffer(b"".join(r[k] for r in rows), "<u8") for k in ("words", "grams")}
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([r["doc"] for r in rows], pa.int64()), pa.array([r["segment"] for r in rows], pa.int32()),
+                split(model.counts(asked["words"]), "words", "<i8"), split(model.levels(asked["grams"]), "grams", "<u1"),
+            ],
+            ["doc", "segment", "word_n", "levels"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, model = None, Segments([], n)
+        now, model, rows = None, Segments([], n), []
         for batch in batches:
             for r in batch.to_pylist():
+                if rows and (r["segment"] != now or len(rows) == ROWS):
+                    yield answers(model, rows)
+                    rows = []
                 if r["doc"] is None:
                     now, model = r["segment"], Segments([r], n)
                     continue
                 if r["segment"] != now:
                     now, model = r["segment"], Segments([], n)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([r["doc"]]), pa.array([r["segment"]], pa.int32()),
-                        pa.array([model.counts(np.frombuffer(r["words"], "<u8")).astype("<i8").tobytes()], pa.binary()),
-                        pa.array([model.levels(np.frombuffer(r["grams"], "<u8")).astype("<i8").tobytes()], pa.binary()),
-                    ],
-                    ["doc", "segment", "word_n", "levels"],
-                )
+                rows.append(r)
+            if rows:
+                yield answers(model, rows)
+                rows = []
 
     return run
 
@@ -422,28 +441,36 @@ def _finish(totals: Totals):
     """Scores from a text's own row and the answers that follow it in the order of segments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, answers = None, []
-        read = lambda x: np.frombuffer(x, "<i8")
+        own, answers, done = None, [], []
+        read = lambda x, kind="<i4": np.frombuffer(x, kind).astype(np.int64)
 
-        def row() -> pa.RecordBatch:
-            c, q = read(b"".join(a["word_n"] for a in answers)), read(b"".join(a["levels"] for a in answers))
+        def row() -> tuple:
+            c, q = read(b"".join(a["word_n"] for a in answers), "<i8"), read(b"".join(a["levels"] for a in answers), "<u1")
             times, gram_times = read(own["word_times"]), read(own["gram_times"])
             p = totals.bigram(q, c[read(own["first"])], c[read(own["second"])])
-            return _result(
-                pa.array([own["doc_id"]], pa.int64()), pa.array([own["held_out"]], pa.bool_()), [int(times.sum())],
-                [int(times[c > 0].sum())], totals, [float(times @ np.log10(totals.word(c)))], [float(gram_times @ np.log10(p))],
+            return (
+                own["doc_id"], own["held_out"], int(times.sum()), int(times[c > 0].sum()),
+                float(times @ np.log10(totals.word(c))), float(gram_times @ np.log10(p)),
             )
 
+        def rows() -> pa.RecordBatch:
+            ids, held, n_tokens, n_known, base, score = zip(*done, strict=True)
+            done.clear()
+            return _result(pa.array(ids, pa.int64()), pa.array(held, pa.bool_()), n_tokens, n_known, totals, base, score)
+
         for batch in batches:
             for r in batch.to_pylist():
                 if r["segment"] >= 0:
                     answers.append(r)
                     continue
                 if own is not None:
-                    yield row()
+                    done.append(row())
                 own, answers = r, []
+            if done:
+                yield rows()
         if own is not None:
-            yield row()
+            done.append(row())
+            yield rows()
 
     return run
 
