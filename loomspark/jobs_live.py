@@ -8,6 +8,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomspark.functions.cast import hex_output
 from loomspark.jobs import LG, TX, cols, job
 from loomspark.operators import order
 from loomspark.operators.filters import Filter
@@ -15,6 +16,7 @@ from loomspark.plans.pages import page_log, run_pages
 from loomspark.plans.query import ChainQuery, full_shape
 from loomspark.schema import BLOCK_COLUMN, SCHEMAS
 from loomspark.sinks import follow_sink, shared_folder
+from loomspark.sources import ingest
 from loomspark.sources.clustered import scan_clustered, slices, store_clustered
 from loomspark.sources.fixtures import TRANSFER
 from loomspark.streaming import joined, reorg
@@ -74,6 +76,30 @@ job(
 )(_fold)
 
 
+# Documents that don't fit
+
+@job(
+    "ingest_quarantine",
+    """SELECT hash, CASE WHEN block_number % 5 = 0 THEN 'not a document' WHEN block_number % 5 = 1 THEN 'missing: block_number' WHEN block_number % 5 = 2 THEN 'malformed: from,malformed: value' END AS reasons
+FROM transactions""",
+)
+def _quarantine(spark, d, t):
+    """Transactions as documents, of which some are cut off, lack a field or hold what is no value; the rest become rows."""
+    hexed = hex_output(t["transactions"].select("hash", "from", "input", "transaction_index", "block_number", "block_hash"))
+    whole = {"hash": "hash", "from": "from", "input": "input", "block_hash": "blockHash"}
+    parts = [F.col(f"`{a}`").alias(b) for a, b in whole.items()] + [F.lit("0x1").alias(n) for n in ("gas", "nonce", "transactionIndex")]
+    k = F.col("block_number") % 5
+    number = F.when(k != 1, F.concat(F.lit("0x"), F.hex("block_number"))).alias("blockNumber")
+    value = F.when(k == 2, F.lit("many")).otherwise(F.lit("0x5")).alias("value")
+    sender = F.when(k == 2, F.concat("from", F.lit("zz"))).otherwise(F.col("from")).alias("from")
+    text = F.to_json(F.struct(*(sender if p is parts[1] else p for p in parts), number, value))
+    docs = hexed.select("hash", k.alias("k"), text.alias("json"))
+    docs = docs.select("hash", F.when(F.col("k") == 0, F.substring("json", 1, 40)).otherwise(F.col("json")).alias("json"))
+    good, bad = ingest.sorted_out(docs, "transactions")
+    rows = ingest.rpc_transactions(good).select(F.concat(F.lit("0x"), F.lower(F.hex("hash"))).alias("hash"), F.lit(None).cast("string").alias("reasons"))
+    return rows.union(bad.select("hash", F.array_join(F.array_sort("reasons"), ",")))
+
+
 # Clustered tables, and keys that are found once
 
 _SOME = "0x" + hashlib.sha256(b"tok7").hexdigest()[:40]

@@ -1,6 +1,7 @@
 """JSON-RPC documents (one per line) to rows of the four tables.
 
-Readers get a frame with a text column `json`; the documents' fields are read by a fixed schema, so nothing is inferred.
+Readers get a frame with a text column `json`; each document is parsed once, by a fixed schema of texts, so nothing is
+inferred. A document that doesn't fit is an error where rows are read, or goes to quarantine with the reasons (`sorted_out`).
 """
 
 from __future__ import annotations
@@ -26,32 +27,85 @@ def _camel(name: str) -> str:
     return first + "".join(w.capitalize() for w in rest)
 
 
-def _value(c: Column, name: str, table: str) -> Column:
+def _value(c: Column, name: str, table: str, strict: bool = True) -> Column:
     """Text of a JSON value to the column's type."""
     if name == "nonce" and table == "transactions":
-        return number_to_quantity(c)
+        return number_to_quantity(c, strict)
     if name in _FIXED:
-        return hex_to_fixed(c, _FIXED[name])
+        return hex_to_fixed(c, _FIXED[name], strict)
     if name in _DATA:
-        return hex_to_data(c)
+        return hex_to_data(c, strict)
     if name in _LONGS:
         return F.when(c.startswith("0x"), hex_to_uint64(c, False)).otherwise(c.try_cast("bigint"))
     if name == "status":
-        return tx_status(c)
+        return tx_status(c, strict)
     if name == "type" and table == "transactions":
-        return tx_type(c)
-    return number_to_quantity(c)
+        return tx_type(c, strict)
+    return number_to_quantity(c, strict)
 
 
-def _fields(document: Column, table: str, skip: tuple[str, ...] = (), names: dict | None = None) -> list[Column]:
-    plain = [
-        f.name
-        for f in SCHEMAS[table]
-        if f.dataType.simpleString() in ("binary", "bigint", "smallint") and f.name not in skip
-    ]
-    return [
-        _value(F.get_json_object(document, f"$.{(names or {}).get(n, _camel(n))}"), n, table).alias(n) for n in plain
-    ]
+def _plain(table: str, skip: tuple[str, ...] = ()) -> list[str]:
+    """Columns that a text of the document becomes."""
+    kinds = ("binary", "bigint", "smallint")
+    return [f.name for f in SCHEMAS[table] if f.dataType.simpleString() in kinds and f.name not in skip]
+
+
+def _path(name: str, names: dict | None = None) -> str:
+    return (names or {}).get(name, _camel(name))
+
+
+def _parsed(df: DataFrame, paths: list[str], arrays: dict[str, str] | None = None, *more: str) -> DataFrame:
+    """The columns `more` and `_doc`: the documents, parsed once, as structs of texts at dotted paths and of arrays; `_bad`
+    holds a document that isn't of this form. The generator is a barrier: without it a filter or a second projection would
+    take the parse along, once for each field."""
+    tree: dict = {}
+    for path in paths:
+        node = tree
+        *outer, last = path.split(".")
+        for step in outer:
+            node = node.setdefault(step, {})
+        node[last] = "string"
+    tree |= arrays or {}
+    ddl = lambda x: x if isinstance(x, str) else "struct<" + ", ".join(f"`{k}`: {ddl(v)}" for k, v in x.items()) + ">"
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    return df.select(*more, F.explode(F.array(F.from_json("json", ddl(tree | {"_bad": "string"}), options))).alias("_doc"))
+
+
+def _at(path: str) -> Column:
+    return F.col("_doc." + ".".join(f"`{x}`" for x in path.split(".")))
+
+
+def _fields(table: str, skip: tuple[str, ...] = (), names: dict | None = None) -> list[Column]:
+    return [_value(_at(_path(n, names)), n, table).alias(n) for n in _plain(table, skip)]
+
+
+#: Where a table's columns stand in its documents, and columns that documents of their own bring.
+_WITHOUT = {"blocks": (), "transactions": ("sighash", "l1_fee_scalar"), "logs": ("topic0", "topic1", "topic2", "topic3"), "traces": ("sighash",)}
+
+
+def sorted_out(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
+    """(documents that fit the table, the others with `reasons`), all columns of `df` kept.
+
+    Reasons are an array: "not a document" for text that is no JSON object or has an array where a text must stand, or the
+    other way round; "missing: x" for a column that may not be null (a transaction's receipt has its own); "malformed: x"
+    for a text that isn't a value of the column; for a log also "topics: n" beyond four. A null text is no document.
+    """
+    names = _TRACE if table == "traces" else None
+    plain = [n for n in _plain(table, _WITHOUT[table]) if table != "transactions" or n not in RECEIPT]
+    needed = {f.name for f in SCHEMAS[table] if not f.nullable} & set(plain)
+    arrays = {"logs": {"topics": "array<string>"}, "traces": {"traceAddress": "array<bigint>"}}.get(table, {})
+    doc = _parsed(df, [_path(n, names) for n in plain], arrays, F.struct("*").alias("_row"))
+    reasons = [F.when(F.col("_doc").isNull() | F.col("_doc._bad").isNotNull(), F.lit("not a document"))]
+    for n in plain:
+        text = _at(_path(n, names))
+        wrong = F.when(text.isNotNull() & _value(text, n, table, False).isNull(), F.lit(f"malformed: {n}"))
+        reasons.append(F.when(text.isNull(), F.lit(f"missing: {n}")).otherwise(wrong) if n in needed else wrong)
+    if table == "logs":
+        reasons.append(F.when(F.size(_at("topics")) > 4, F.concat(F.lit("topics: "), F.size(_at("topics")))))
+        reasons += [F.when(hex_to_fixed(F.get(_at("topics"), i), 32, False).isNull() & F.get(_at("topics"), i).isNotNull(), F.lit(f"malformed: topic{i}")) for i in range(4)]
+    found = F.array_compact(F.array(*reasons))
+    judged = doc.select("_row", F.when(reasons[0].isNotNull(), F.array(reasons[0])).otherwise(found).alias("reasons"))
+    return judged.where(F.size("reasons") == 0).select("_row.*"), judged.where(F.size("reasons") > 0).select("_row.*", "reasons")
 
 
 def _array(document: Column, path: str, kind: str) -> Column:
@@ -60,10 +114,11 @@ def _array(document: Column, path: str, kind: str) -> Column:
 
 def rpc_blocks(df: DataFrame) -> DataFrame:
     """Block headers; uncles and withdrawals as arrays."""
-    d = F.col("json")
-    hashes = F.transform(_array(d, "$.uncles", "string"), lambda h: hex_to_fixed(h, 32))
+    pay = "array<struct<index: string, validatorIndex: string, address: string, amount: string>>"
+    doc = _parsed(df, [_path(n) for n in _plain("blocks")], {"uncles": "array<string>", "withdrawals": pay})
+    hashes = F.transform(_at("uncles"), lambda h: hex_to_fixed(h, 32))
     pays = F.transform(
-        _array(d, "$.withdrawals", "struct<index string, validatorIndex string, address string, amount string>"),
+        _at("withdrawals"),
         lambda w: (
             F.struct(
                 number_to_quantity(w["index"]).alias("index"),
@@ -73,8 +128,8 @@ def rpc_blocks(df: DataFrame) -> DataFrame:
             )
         ),
     )
-    return df.select(
-        *_fields(d, "blocks", names={"nonce": "nonce", "sha3_uncles": "sha3Uncles"}),
+    return doc.select(
+        *_fields("blocks"),
         hashes.alias("uncles"),
         pays.alias("withdrawals"),
     ).select(*SCHEMAS["blocks"].names)
@@ -89,9 +144,15 @@ def rpc_block_transactions(df: DataFrame) -> DataFrame:
 
 def rpc_transactions(df: DataFrame) -> DataFrame:
     """Transactions; what only receipts know is null (see `complete`)."""
-    d = F.col("json")
+    arrays = {
+        "accessList": "array<struct<address: string, storageKeys: array<string>>>",
+        "authorizationList": "array<struct<chainId: string, address: string, nonce: string, yParity: string, r: string, s: string>>",
+        "blobVersionedHashes": "array<string>",
+    }
+    skip = _WITHOUT["transactions"]
+    doc = _parsed(df, [_path(n) for n in _plain("transactions", skip)], arrays)
     access = F.transform(
-        _array(d, "$.accessList", "struct<address string, storageKeys array<string>>"),
+        _at("accessList"),
         lambda a: (
             F.struct(
                 hex_to_fixed(a["address"], 20).alias("address"),
@@ -99,13 +160,8 @@ def rpc_transactions(df: DataFrame) -> DataFrame:
             )
         ),
     )
-    given = _array(
-        d,
-        "$.authorizationList",
-        "struct<chainId string, address string, nonce string, yParity string, r string, s string>",
-    )
     auth = F.transform(
-        given,
+        _at("authorizationList"),
         lambda a: (
             F.struct(
                 number_to_quantity(a["chainId"]).alias("chain_id"),
@@ -117,9 +173,9 @@ def rpc_transactions(df: DataFrame) -> DataFrame:
             )
         ),
     )
-    blobs = F.transform(_array(d, "$.blobVersionedHashes", "string"), lambda h: hex_to_fixed(h, 32))
-    own = df.select(
-        *_fields(d, "transactions", skip=("sighash", "l1_fee_scalar")),
+    blobs = F.transform(_at("blobVersionedHashes"), lambda h: hex_to_fixed(h, 32))
+    own = doc.select(
+        *_fields("transactions", skip),
         access.alias("access_list"),
         auth.alias("authorization_list"),
         blobs.alias("blob_versioned_hashes"),
@@ -139,8 +195,8 @@ RECEIPT = ["cumulative_gas_used", "effective_gas_price", "gas_used", "contract_a
 
 def rpc_receipts(df: DataFrame) -> DataFrame:
     """Receipts: transaction_hash, block_number and RECEIPT; a missing or null effective gas price is zero."""
-    d = F.col("json")
-    text = lambda n: F.get_json_object(d, f"$.{_camel(n)}")
+    doc = _parsed(df, [_camel(n) for n in ("transaction_hash", "block_number", *RECEIPT)])
+    text = lambda n: _at(_camel(n))
     special = {
         "effective_gas_price": number_to_quantity(F.coalesce(text("effective_gas_price"), F.lit("0x0"))),
         "l1_fee_scalar": F.encode(text("l1_fee_scalar"), "utf-8"),
@@ -148,7 +204,7 @@ def rpc_receipts(df: DataFrame) -> DataFrame:
     columns = [
         special.get(n, _value(text(n), n, "transactions") if n not in special else None).alias(n) for n in RECEIPT
     ]
-    return df.select(
+    return doc.select(
         hex_to_fixed(text("transaction_hash"), 32).alias("transaction_hash"),
         _value(text("block_number"), "block_number", "transactions").alias("block_number"),
         *columns,
@@ -171,13 +227,13 @@ def complete(transactions: DataFrame, receipts: DataFrame) -> DataFrame:
 
 def rpc_logs(df: DataFrame) -> DataFrame:
     """Logs; more than four topics are an error."""
-    d = F.col("json")
-    topics = _array(d, "$.topics", "string")
+    skip = _WITHOUT["logs"]
+    doc = _parsed(df, ["removed", *(_path(n) for n in _plain("logs", skip))], {"topics": "array<string>"})
+    topics = _at("topics")
     topics = F.when(F.size(topics) > 4, F.raise_error(F.lit("a log has at most four topics"))).otherwise(topics)
-    own = [c for c in _fields(d, "logs", skip=("topic0", "topic1", "topic2", "topic3"))]
-    return df.select(
-        F.get_json_object(d, "$.removed").cast("boolean").alias("removed"),
-        *own,
+    return doc.select(
+        _at("removed").cast("boolean").alias("removed"),
+        *_fields("logs", skip),
         *(hex_to_fixed(F.get(topics, i), 32).alias(f"topic{i}") for i in range(4)),
     ).select(*SCHEMAS["logs"].names)
 
@@ -193,12 +249,13 @@ _TRACE = {"from": "action.from", "to": "action.to", "gas": "action.gas", "input"
 
 def rpc_traces(df: DataFrame) -> DataFrame:
     """Traces of the {action, result} form; the action's address is action_address, the result's is address."""
-    d = F.col("json")
     texts = {"call_type": "action.callType", "reward_type": "action.rewardType", "type": "type", "error": "error"}
-    own = df.select(
-        *_fields(d, "traces", skip=("sighash",), names=_TRACE),
-        *(F.get_json_object(d, f"$.{p}").alias(n) for n, p in texts.items()),
-        _array(d, "$.traceAddress", "bigint").alias("trace_address"),
+    paths = [*(_path(n, _TRACE) for n in _plain("traces", _WITHOUT["traces"])), *texts.values()]
+    doc = _parsed(df, paths, {"traceAddress": "array<bigint>"})
+    own = doc.select(
+        *_fields("traces", _WITHOUT["traces"], _TRACE),
+        *(_at(p).alias(n) for n, p in texts.items()),
+        _at("traceAddress").alias("trace_address"),
     )
     return own.withColumn(
         "sighash", F.when(F.length("input") >= 4, F.substring("input", 1, 4))
@@ -206,7 +263,7 @@ def rpc_traces(df: DataFrame) -> DataFrame:
 
 
 #: What is read from a call of a call tree.
-_CALL = ("type", "from", "to", "gas", "gasUsed", "input", "output", "value", "error")
+_CALL = ("type", "from", "to", "gas", "gasUsed", "input", "output", "value", "error", "revertReason")
 _CALL_ROWS = 10_000
 
 
@@ -261,7 +318,7 @@ def debug_traces(df: DataFrame) -> DataFrame:
     rows = rows.select(
         *keys, "trace_address", "subtraces", F.when(call.startswith("create"), "create").when(call == "selfdestruct", "suicide").otherwise("call").alias("type"),
         F.when(~call.startswith("create"), call).alias("call_type"), hex_to_fixed(text("from"), 20).alias("from"), hex_to_fixed(text("to"), 20).alias("to"), number_to_quantity(text("gas")).alias("gas"),
-        number_to_quantity(text("gasUsed")).alias("gas_used"), hex_to_data(text("input")).alias("input"), hex_to_data(text("output")).alias("output"), number_to_quantity(text("value")).alias("value"), text("error").alias("error"),
+        number_to_quantity(text("gasUsed")).alias("gas_used"), hex_to_data(text("input")).alias("input"), hex_to_data(text("output")).alias("output"), number_to_quantity(text("value")).alias("value"), F.coalesce(text("error"), text("revertReason")).alias("error"),
     )
     rows = rows.withColumn("sighash", F.when(F.length("input") >= 4, F.substring("input", 1, 4)))
     return rows.select(
