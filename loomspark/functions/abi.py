@@ -306,32 +306,58 @@ def _text(c: Column, t: tuple) -> Column:
     return c.cast("string") if t[1] in ("bool", "string") else F.concat(F.lit("0x"), F.lower(F.hex(c)))
 
 
-def _listed(columns: list[tuple[Param, Column]]) -> Column:
+def _listed(columns: list[tuple[Param, Column]], names: Column | None = None) -> Column:
+    """The parameters as an array, under their own names or, where many signatures share the columns, under `names`."""
     # An indexed array, tuple or text is held as its hash.
     text = lambda p, c: _text(c, ("word", "bytes32") if p.indexed and _tree(p.type)[0] != "word" else _tree(p.type))
     return F.array(
         *(
             F.struct(
-                F.lit(p.name).alias("name"), F.lit(p.type).alias("type"), F.lit(p.indexed).alias("indexed"),
-                text(p, c).alias("value"),
+                (F.lit(p.name) if names is None else F.get(names, F.lit(i))).alias("name"), F.lit(p.type).alias("type"),
+                F.lit(p.indexed).alias("indexed"), text(p, c).alias("value"),
             )
-            for p, c in columns
+            for i, (p, c) in enumerate(columns)
         )
     )
 
 
-def decode_events(logs: DataFrame, signatures: list[str], strict: bool = True) -> DataFrame:
-    """`logs` with `event` (name of the matching signature) and `params` (name, type, indexed, value as text), null where
-    none matches: the key is topic0 with the number of topics. Generated as one expression, so no join is needed."""
-    n_topics = sum(F.col(f"topic{i}").isNotNull().cast("int") for i in range(4))
-    name, params = None, None
+def event_catalog(signatures: list[str]) -> tuple[list[tuple], list[Signature]]:
+    """(rows of topic0, number of topics, event name, layout, parameter names; one signature for each layout). A layout is
+    the types of the indexed parameters and of the body; of signatures with the same topic0 and number of topics the first counts."""
+    rows: dict[tuple, tuple] = {}
+    layouts: dict[tuple, int] = {}
+    ones: list[Signature] = []
     for text in signatures:
         s = parse_signature(text)
-        hit = (F.col("topic0") == F.lit(s.hash)) & (n_topics == 1 + sum(p.indexed for p in s.params))
-        listed = _listed(_event_columns(s, strict))
-        name = F.when(hit, F.lit(s.name)) if name is None else name.when(hit, F.lit(s.name))
+        indexed, body = ([p for p in s.params if p.indexed == i] for i in (True, False))
+        key = tuple(p.type for p in indexed), tuple(p.type for p in body)
+        if key not in layouts:
+            layouts[key] = len(ones)
+            ones.append(s)
+        names = [p.name for p in indexed + body]
+        rows.setdefault((s.hash, 1 + len(indexed)), (bytearray(s.hash), 1 + len(indexed), s.name, layouts[key], names))
+    return list(rows.values()), ones
+
+
+def decode_events(logs: DataFrame, signatures: list[str], strict: bool = True) -> DataFrame:
+    """`logs` with `event` (name of the matching signature) and `params` (name, type, indexed, value as text), null where
+    none matches: the key is topic0 with the number of topics.
+
+    Signatures of one layout share one generated decoder; names come from a broadcast table of the signatures, which the
+    caller's list bounds. So the expression grows with the layouts, not with the signatures.
+    """
+    rows, layouts = event_catalog(signatures)
+    kinds = "_topic0 binary, _n_topics int, event string, _layout int, _names array<string>"
+    catalog = logs.sparkSession.createDataFrame(rows, kinds)
+    n_topics = sum((F.col(f"topic{i}").isNotNull().cast("int") for i in range(4)), F.lit(0))
+    own = logs.columns
+    met = logs.join(F.broadcast(catalog), (F.col("topic0") == F.col("_topic0")) & (n_topics == F.col("_n_topics")), "left")
+    params = None
+    for i, s in enumerate(layouts):
+        hit, listed = F.col("_layout") == i, _listed(_event_columns(s, strict), F.col("_names"))
         params = F.when(hit, listed) if params is None else params.when(hit, listed)
-    return logs.withColumns({"event": name, "params": params})
+    none = F.lit(None).cast("array<struct<name: string, type: string, indexed: boolean, value: string>>")
+    return met.select(*(f"`{c}`" for c in own), "event", (none if params is None else params).alias("params"))
 
 
 def decode_input(data: Column, signatures: list[str]) -> Column:

@@ -810,11 +810,10 @@ _AMOUNT = "CAST(CASE WHEN length(data) = 66 THEN '0x' || substr(data, 51) END AS
 job(
     "post_process_order",
     f"SELECT '0x' || substr(topic1, 27) AS \"from\", '0x' || substr(topic2, 27) AS \"to\", CAST({_AMOUNT} AS "
-    f"DOUBLE) AS amount FROM logs WHERE block_number >= {LOW} AND block_number < {HIGH} AND topic0 = "
-    f"'0x{TRANSFER}'",
+    f"DOUBLE) AS amount FROM logs WHERE topic0 = '0x{TRANSFER}'",
 )(
     lambda spark, d, t: (
-        ChainQuery(LOW, HIGH, join_mode="nothing")
+        ChainQuery(join_mode="nothing")
         .where("logs", Filter("logs").where("topic0", ["0x" + TRANSFER]))
         .select("logs", LG)
         .execute(t)
@@ -1250,7 +1249,7 @@ job("balance_calls", f"SELECT transaction_hash, CAST(trace_place AS VARCHAR) AS
             F.unhex(F.substring(F.get(abi.decode_output(F.col("output"), "balanceOf(address)(uint256)"), 0)["value"], 3, 64)).alias("balance")),
         {"balance": "int64"})
 )
-job("pool_creations", f"SELECT l.block_number, l.log_index, '0x' || substr(topic1, 27) AS owner, '0x' || substr(topic2, 27) AS spender, CASE WHEN length(data) = 66 THEN data END AS amount, t.\"from\" AS tx_from, b.timestamp AS block_time FROM logs l JOIN transactions t ON l.transaction_hash = t.hash JOIN blocks b ON b.number = l.block_number WHERE l.address = '{addr('tok2')}' AND topic0 = '0x{APPROVAL}' AND l.block_number >= {LOW} AND l.block_number < {HIGH}")(
+job("pool_creations", f"SELECT l.block_number, l.log_index, '0x' || substr(topic1, 27) AS owner, '0x' || substr(topic2, 27) AS spender, CASE WHEN length(data) = 66 THEN data END AS amount, t.\"from\" AS tx_from, b.timestamp AS block_time FROM logs l JOIN transactions t ON l.transaction_hash = t.hash JOIN blocks b ON b.number = l.block_number WHERE l.address = '{addr('tok2')}' AND topic0 = '0x{APPROVAL}'")(
     lambda spark, d, t: (lambda r: abi.decode_logs(r["logs"], EVENT[APPROVAL], ("block_number", "log_index", "transaction_hash")).join(r["transactions"].select(F.col("hash").alias("transaction_hash"), "block_number", F.col("from").alias("tx_from")), ["block_number", "transaction_hash"]).join(r["blocks"].select(F.col("number").alias("block_number"), F.col("timestamp").alias("block_time")), "block_number").drop("transaction_hash"))(
-        ChainQuery(LOW, HIGH).where("logs", Filter("logs").where("address", [addr("tok2")]).where("topic0", ["0x" + APPROVAL])).select("logs", LG).select("transactions", TX).select("blocks", BL).execute(t).tables)
+        ChainQuery().where("logs", Filter("logs").where("address", [addr("tok2")]).where("topic0", ["0x" + APPROVAL])).select("logs", LG).select("transactions", TX).select("blocks", BL).execute(t).tables)
 )

@@ -8,8 +8,9 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomspark.functions import abi
 from loomspark.functions.cast import hex_output
-from loomspark.jobs import LG, TX, cols, job
+from loomspark.jobs import EVENT, LG, TX, cols, job
 from loomspark.operators import order
 from loomspark.operators.filters import Filter
 from loomspark.plans.pages import page_log, run_pages
@@ -76,6 +77,31 @@ job(
 )(_fold)
 
 
+# Decoding of bad logs, and by many signatures
+
+@job(
+    "decode_logs_lenient",
+    "SELECT log_index, block_number, CASE WHEN log_index % 3 <> 0 THEN '0x' || substr(topic1, 27) END AS \"from\", '0x' || substr(topic2, 27) AS \"to\", CASE WHEN length(data) = 66 AND log_index % 4 <> 0 THEN data END AS amount FROM logs",
+)
+def _lenient(spark, d, t):
+    """Logs of which some have an address with a wrong first byte or half a word of data: null there, and the rest is kept."""
+    wrong = F.when(F.col("log_index") % 3 == 0, F.concat(F.unhex(F.lit("ff")), F.substring("topic1", 2, 31))).otherwise(F.col("topic1"))
+    short = F.when(F.col("log_index") % 4 == 0, F.substring("data", 1, 16)).otherwise(F.col("data"))
+    return abi.decode_logs(t["logs"].withColumns({"topic1": wrong, "data": short}), EVENT[TRANSFER], ("log_index", "block_number"), strict=False)
+
+
+@job(
+    "decode_events_catalog",
+    f"SELECT log_index, block_number, CASE topic0 WHEN '0x{TRANSFER}' THEN 'Transfer' ELSE 'Approval' END AS event, CASE topic0 WHEN '0x{TRANSFER}' THEN 'from,to,amount' ELSE 'owner,spender,amount' END AS names FROM logs WHERE topic3 IS NULL",
+)
+def _catalog(spark, d, t):
+    """A thousand signatures of a few layouts, of which two match."""
+    kinds = ("uint256 a, address indexed b", "address indexed a, address indexed b, uint256 c", "bytes32 a, string b", "uint8[] a")
+    many = [f"Other{i}({kinds[i % 4]})" for i in range(1000)]
+    found = abi.decode_events(t["logs"], many[:500] + list(EVENT.values()) + many[500:]).where("event is not null")
+    return found.select("log_index", "block_number", "event", F.array_join(F.transform("params", lambda p: p["name"]), ",").alias("names"))
+
+
 # Documents that don't fit
 
 @job(
