@@ -455,7 +455,7 @@ def test_wrapped_licenses(spark):
         .collect()
     )
     assert [r.licenses for r in got] == [["MIT"], ["GPL-3.0-or-later"], ["GPL-3.0-or-later"], ["MIT"], []]
-    assert [r.n_sentences for r in got][0] == 4 and got[0].unmatched == [] and got[3].unmatched == ["all_rights"]
+    assert [r.n_sentences for r in got][0] == 5 and got[0].unmatched == [] and got[3].unmatched == ["all_rights"]
 
 
 def plain_pipeline(rows, scores, items, encode):
