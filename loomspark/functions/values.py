@@ -21,26 +21,31 @@ def literal(value: str | bytes, size: int | None = None) -> bytearray:
 
 
 def _checked(value: Column, source: Column, what: str, strict: bool) -> Column:
-    """Null where the source is null; a null from something else is an error in strict use."""
-    bad = F.raise_error(
-        F.concat(F.lit(f"{what}: "), F.coalesce(source.cast("string"), F.lit("")))
-    ) if strict else F.lit(None)
-    return F.when(source.isNull(), F.lit(None)).when(value.isNull(), bad).otherwise(value)
+    """The value; where it is null though the source isn't, an error in strict use. It is computed once."""
+    if not strict:
+        return value
+    return F.coalesce(value, F.when(source.isNotNull(), F.raise_error(F.concat(F.lit(f"{what}: "), source.cast("string")))))
 
 
-def _even(digits: Column) -> Column:
-    return F.when(F.length(digits) % 2 == 1, F.concat(F.lit("0"), digits)).otherwise(digits)
+def _digits(c: Column) -> Column:
+    """What stands behind 0x; null without it. (`unhex` is null for other digits and fills up an odd number of them.)"""
+    return F.when(c.startswith("0x"), F.substring(c, 3, 1 << 30))
+
+
+def _minimal(c: Column) -> Column:
+    """Hex digits without leading zeros, of which the last stays; null for none at all."""
+    digits = F.ltrim(_digits(c), F.lit("0"))
+    return F.when(F.length(c) > 2, F.when(digits == "", F.lit("0")).otherwise(digits))
 
 
 def hex_to_quantity(c: Column, strict: bool = True) -> Column:
     """0x text -> big-endian bytes without leading zero bytes; zero is one zero byte; bare 0x is an error."""
-    digits = F.when(c.rlike("^0x[0-9a-fA-F]+$"), F.regexp_replace(F.substring(c, 3, 1 << 20), "^0+(?=.)", ""))
-    return _checked(F.unhex(_even(digits)), c, "not a quantity", strict)
+    return _checked(F.unhex(_minimal(c)), c, "not a quantity", strict)
 
 
 def number_to_quantity(c: Column, strict: bool = True) -> Column:
     """Text of a JSON value, 0x hex or a decimal integer -> quantity; negative numbers are an error."""
-    plain = F.unhex(_even(F.hex(F.when(c.rlike("^[0-9]+$"), c.try_cast("bigint")))))
+    plain = F.unhex(F.hex(F.when(c.rlike(r"^[0-9]+\z"), c.try_cast("bigint"))))
     return _checked(F.when(c.startswith("0x"), hex_to_quantity(c, False)).otherwise(plain), c, "not a quantity", strict)
 
 
@@ -51,25 +56,22 @@ def quantity_to_hex(c: Column) -> Column:
 
 def hex_to_data(c: Column, strict: bool = True) -> Column:
     """0x text -> bytes; 0x is empty."""
-    return _checked(
-        F.when(c.rlike("^0x[0-9a-fA-F]*$"), F.unhex(_even(F.substring(c, 3, 1 << 30)))), c, "not hex data", strict
-    )
+    return _checked(F.unhex(_digits(c)), c, "not hex data", strict)
 
 
 def hex_to_fixed(c: Column, size: int, strict: bool = True) -> Column:
     """0x text -> exactly `size` bytes; another length loses leading zeros and is padded, a longer value is an error."""
-    digits = F.when(c.rlike("^0x[0-9a-fA-F]*$"), F.regexp_replace(F.substring(c, 3, 1 << 20), "^0+", ""))
-    return _checked(
-        F.when(F.length(digits) <= 2 * size, F.unhex(F.lpad(digits, 2 * size, "0"))), c, f"not {size} bytes", strict
-    )
+    digits = F.ltrim(_digits(c), F.lit("0"))
+    padded = F.when(F.length(digits) <= 2 * size, F.lpad(digits, 2 * size, "0"))
+    exact = F.when(F.length(c) == 2 * size + 2, _digits(c)).otherwise(padded)
+    return _checked(F.unhex(exact), c, f"not {size} bytes", strict)
 
 
 def hex_to_uint64(c: Column, strict: bool = True) -> Column:
     """0x text -> bigint; beyond 63 bits an error."""
-    digits = F.when(c.rlike("^0x[0-9a-fA-F]+$"), F.regexp_replace(F.substring(c, 3, 1 << 20), "^0+(?=.)", ""))
-    return _checked(
-        F.conv(F.when(F.length(digits) <= 16, digits), 16, 10).try_cast("bigint"), c, "not a 64-bit integer", strict
-    )
+    digits = F.when(c.rlike(r"^0x[0-9a-fA-F]+\z"), F.ltrim(_digits(c), F.lit("0")))
+    number = F.when(F.length(digits) <= 16, F.conv(F.concat(F.lit("0"), digits), 16, 10))
+    return _checked(number.try_cast("bigint"), c, "not a 64-bit integer", strict)
 
 
 def tx_status(c: Column, strict: bool = True) -> Column:
