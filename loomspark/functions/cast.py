@@ -1,9 +1,9 @@
 """Casts of 256-bit numbers and hex output, by native expressions.
 
-A binary of 32 bytes is read as two's complement, a shorter one as positive. Its magnitude is taken apart into eight
-32-bit limbs. Numbers up to 126 bits are put together from the limbs as decimal(38,0); wider ones are divided by 10^9 for
-their decimal text, and rounded once from their three first limbs and a sticky bit for floating-point numbers. In strict
-mode what doesn't fit is an error, in permissive mode it is null.
+A binary of 32 bytes is read as two's complement, a shorter one as positive. Numbers up to 126 bits are put together from
+32-bit limbs as decimal(38,0). Wider ones become decimal text: each limb times the digits of its power of two, summed by
+column, and one pass of carries; floating-point numbers are read from that text, which rounds once. In strict mode what
+doesn't fit is an error, in permissive mode it is null.
 """
 
 from __future__ import annotations
@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LIMB = 1 << 32
-#: Digits of one division step, and steps: 81 digits hold 256 bits.
-DIGITS, STEPS = 9, 9
+#: Digits of one column of the decimal text, and columns: 80 digits hold 256 bits. Eight limbs times a column of digits
+#: stay below 63 bits.
+DIGITS, COLUMNS = 8, 10
 #: Digits of the widest decimal target, of which Spark's own decimal holds half.
 WIDE, HALF = 76, 38
 
@@ -24,24 +25,6 @@ def bound(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def _magnitude(c: Column) -> Column:
-    """struct(minus, limbs): the sign, and eight limbs of the magnitude, highest first; null for a null."""
-
-    def limbs(digits: Column) -> Column:
-        minus = (F.length(c) == 32) & (F.substring(digits, 1, 1) >= "8")
-        raw = F.array(*(F.conv(F.substring(digits, 1 + 8 * i, 8), 16, 10).cast("bigint") for i in range(8)))
-
-        def signed(x: Column) -> Column:
-            # -x is the complement plus one: limbs below the lowest one that isn't 0 stay 0, where the one ends up.
-            low = F.aggregate(F.sequence(F.lit(0), F.lit(7)), F.lit(-1), lambda at, i: F.when(F.get(x, i) != 0, i).otherwise(at))
-            flipped = F.transform(x, lambda v, i: F.when(i < low, F.lit(LIMB - 1) - v).when(i == low, F.lit(LIMB) - v).otherwise(F.lit(0).cast("bigint")))
-            return F.struct(minus.alias("minus"), F.when(minus, flipped).otherwise(x).alias("limbs"))
-
-        return bound(raw, signed)
-
-    return F.when(c.isNotNull(), bound(F.lpad(F.hex(c), 64, "0"), limbs))
-
-
 def decimal128(c: Column) -> Column:
     """decimal(38,0), or null where the number doesn't fit in 126 bits and a sign, or there are no bytes. Plain
     expressions over the four lower limbs, for generated code; the others are all zeros or, in a negative number, ones."""
@@ -60,79 +43,63 @@ def decimal128(c: Column) -> Column:
     return F.when(fits, F.when(minus, below).otherwise(size))
 
 
-def _digits(m: Column) -> Column:
-    """Decimal digits of a magnitude, without leading zeros but at least one."""
-
-    def divided(limbs: Column) -> Column:
-        """struct(rest, limbs): the limbs divided by 10^DIGITS."""
-        start = F.struct(F.lit(0).cast("bigint").alias("rest"), F.array().cast("array<bigint>").alias("limbs"))
-        base = F.lit(10**DIGITS)
-
-        def step(acc: Column, limb: Column) -> Column:
-            now = acc["rest"] * LIMB + limb
-            whole = F.call_function("div", now, base)
-            return F.struct((now % base).alias("rest"), F.concat(acc["limbs"], F.array(whole)).alias("limbs"))
-
-        return F.aggregate(limbs, start, step)
+def _wide_text(c: Column) -> Column:
+    """The decimal text of any number, by columns of DIGITS digits; a negative number is its complement and one more."""
+    base = 10**DIGITS
 
-    def round_(acc: Column, _: Column) -> Column:
-        def joined(d: Column) -> Column:
-            return F.struct(d["limbs"].alias("limbs"), F.concat(F.lpad(d["rest"].cast("string"), DIGITS, "0"), acc["text"]).alias("text"))
-
-        return bound(divided(acc["limbs"]), joined)
+    def limbs(digits: Column) -> Column:
+        minus = (F.length(c) == 32) & (F.substring(digits, 1, 1) >= "8")
+        size = F.when(minus, F.translate(digits, "0123456789ABCDEF", "FEDCBA9876543210")).otherwise(digits)
+        return bound(F.struct(minus.cast("bigint").alias("minus"), size.alias("size")), numbers)
+
+    def numbers(x: Column) -> Column:
+        parts = [F.conv(F.substring(x["size"], 57 - 8 * i, 8), 16, 10).cast("bigint").alias(f"l{i}") for i in range(8)]
+        return bound(F.struct(x["minus"].alias("minus"), *parts), text)
+
+    def text(x: Column) -> Column:
+        columns = []
+        for j in range(COLUMNS):
+            total = x["minus"] if j == 0 else F.lit(0).cast("bigint")
+            for i in range(8):
+                if digits := (1 << 32 * i) // base**j % base:
+                    total = total + x[f"l{i}"] * F.lit(digits).cast("bigint")
+            columns.append(total)
+        start = F.struct(F.lit(0).cast("bigint").alias("carry"), F.lit("").alias("text"))
+        digits = F.ltrim(F.aggregate(F.array(*columns), start, carried)["text"], F.lit("0"))
+        return F.concat(F.when(x["minus"] == 1, F.lit("-")).otherwise(F.lit("")), F.when(digits == "", F.lit("0")).otherwise(digits))
+
+    def carried(acc: Column, total: Column) -> Column:
+        def cut(now: Column) -> Column:
+            digits = F.lpad((now % base).cast("string"), DIGITS, "0")
+            return F.struct(F.call_function("div", now, F.lit(base)).alias("carry"), F.concat(digits, acc["text"]).alias("text"))
+
+        return bound(total + acc["carry"], cut)
 
-    start = F.struct(m["limbs"].alias("limbs"), F.lit("").alias("text"))
-    text = F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), start, round_)["text"]
-    return F.regexp_replace(text, "^0+(?=.)", "")
+    return F.when(c.isNotNull(), bound(F.lpad(F.hex(c), 64, "0"), limbs))
 
 
 def int_text(c: Column) -> Column:
     """The decimal text of any number; of no bytes "0"."""
-
-    def text(m: Column) -> Column:
-        return F.concat(F.when(m["minus"], F.lit("-")).otherwise(F.lit("")), _digits(m))
-
-    return F.coalesce(decimal128(c).cast("string"), bound(_magnitude(c), text))
+    return F.coalesce(decimal128(c).cast("string"), _wide_text(c))
 
 
 def decimal256(c: Column) -> Column:
     """struct(high, low) of decimal(38,0), the number being high * 10^38 + low and both of its sign; null beyond 76 digits."""
 
-    def parts(m: Column) -> Column:
-        def cut(digits: Column) -> Column:
-            size = F.length(digits)
-            high = F.when((size > HALF) & (size <= WIDE), F.substring(digits, F.lit(1), size - HALF)).otherwise(F.lit("0"))
-            low = F.when(size > HALF, F.substring(digits, size - HALF + 1, F.lit(HALF))).otherwise(digits)
-            pair = [F.concat(F.when(m["minus"], F.lit("-")).otherwise(F.lit("")), x).cast("decimal(38,0)") for x in (high, low)]
-            return F.when(size <= WIDE, F.struct(pair[0].alias("high"), pair[1].alias("low")))
+    def parts(text: Column) -> Column:
+        sign, digits = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit("")), F.ltrim(text, F.lit("-"))
+        size = F.length(digits)
+        high = F.when(size > HALF, F.substring(digits, F.lit(1), size - HALF)).otherwise(F.lit("0"))
+        low = F.when(size > HALF, F.substring(digits, size - HALF + 1, F.lit(HALF))).otherwise(digits)
+        pair = [F.concat(sign, x).cast("decimal(38,0)").alias(n) for x, n in ((high, "high"), (low, "low"))]
+        return F.when(size <= WIDE, F.struct(*pair))
 
-        return bound(_digits(m), cut)
-
-    narrow = decimal128(c)
-    return F.when(
-        narrow.isNotNull(), F.struct(F.lit(0).cast("decimal(38,0)").alias("high"), narrow.alias("low"))
-    ).otherwise(bound(_magnitude(c), parts))
+    return F.when(c.isNotNull(), bound(int_text(c), parts))
 
 
 def _rounded(c: Column, kind: str) -> Column:
     """The nearest float or double, ties to even, by one rounding; a float beyond its range is infinite."""
-
-    def wide(m: Column) -> Column:
-        def cut(x: Column) -> Column:
-            first = F.array_position(F.transform(x, lambda v: v != 0), True).cast("int") - 1
-            limb = lambda i: F.coalesce(F.get(x, first + i), F.lit(0)).cast("decimal(38,0)")
-            sticky = F.exists(F.slice(x, F.least(first, F.lit(5)) + 4, 8), lambda v: v != 0).cast("int").cast("decimal(38,0)")
-            top = (limb(0) * F.lit(str(1 << 65)).cast("decimal(20,0)") + limb(1) * F.lit(str(1 << 33)).cast("decimal(10,0)") + limb(2) * 2).cast("decimal(38,0)")
-            # The top 96 bits and one more for all that is below: enough to round, so that the power of two is exact.
-            return (top + sticky).cast("decimal(38,0)").cast(kind).cast("double") * F.pow(F.lit(2.0), (5 - first) * 32 - 1)
-
-        return bound(m["limbs"], cut)
-
-    def number(m: Column) -> Column:
-        return (F.when(m["minus"], F.lit(-1.0)).otherwise(F.lit(1.0)) * wide(m)).cast(kind)
-
-    none = F.when(F.length(c) == 0, F.lit(0.0).cast(kind))
-    return F.coalesce(decimal128(c).cast(kind), none, bound(_magnitude(c), number))
+    return F.coalesce(decimal128(c).cast(kind), _wide_text(c).cast(kind))
 
 
 _RANGES = {
@@ -163,8 +130,8 @@ def map_column(c: Column, kind: T.DataType, target: str, mode: str = "strict", n
         text = int_text(c)
         if target == "intstr":
             return text
-        fits = F.length(F.ltrim(text, F.lit("-"))) <= WIDE
-        return F.when(fits | c.isNull(), text).otherwise(_misfit(mode, name, target).cast("string"))
+        fits = lambda x: F.length(F.ltrim(x, F.lit("-"))) <= WIDE
+        return F.when(c.isNotNull(), bound(text, lambda x: F.when(fits(x), x).otherwise(_misfit(mode, name, target).cast("string"))))
     if target in ("float64", "float32"):
         kind_to = "double" if target == "float64" else "float"
         return _rounded(c, kind_to) if binary else c.cast(kind_to)

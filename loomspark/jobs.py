@@ -772,8 +772,9 @@ def _wide(spark, d, t):
     """Words of 17, 31 and 32 bytes, half of the last negative, beyond what SQL's own numbers hold."""
     size = F.when(F.col("block_number") % 4 == 0, 31).when(F.col("block_number") % 4 == 1, 17).otherwise(32)
     word = F.substring(F.unhex(F.sha2(F.concat(F.lit("w0x"), F.lower(F.hex("hash"))), 256)), F.lit(1), size)
-    low = F.ltrim(decimal256(word)["low"].cast("string"), F.lit("-"))
-    words = t["transactions"].select("hash", *(word.alias(n) for n in ("text", "f64", "f32", "d256")), low.alias("low"))
+    low = F.ltrim(decimal256(F.col("word"))["low"].cast("string"), F.lit("-"))
+    words = t["transactions"].select("hash", word.alias("word"))
+    words = words.select("hash", *(F.col("word").alias(n) for n in ("text", "f64", "f32", "d256")), low.alias("low"))
     return column_mapping(words, {"text": "intstr", "f64": "float64", "f32": "float32", "d256": "decimal256"}, "permissive")
 
 
