@@ -9,9 +9,10 @@ Two documents link when their sets of word shingles overlap by the threshold. Th
 3. T-occurrence: a set of n shingles and a partner at least as similar as the threshold share all but a few, so of the
    shingles in order of rising frequency the first n - T + 1 hold a common one. Sets whose first n - T + 1 are all
    unique are out. The lists of the rest are the short lists.
-4. A class goes home to the smallest class in its short lists. Homes are cut into blocks of bounded size, large ones by
-   bands of set sizes first, and a pair of blocks is a task when it may hold a link: within a home, or between two homes
-   with a short list in common. Nothing is closed transitively, so chains of lists don't grow into one large group.
+4. A class goes home to the smallest class in the longest of its short lists. Homes are cut into blocks of bounded size,
+   large ones by bands of set sizes first, and a pair of blocks is a task when it may hold a link: within a home, or
+   between two homes with a short list in common, and then only for the classes in such lists. Nothing is closed
+   transitively, so chains of lists don't grow into one large group.
 5. In each task the T-occurrence problem is solved by DivideSkip on whole sets: the short inverted lists are merged by
    a heap that skips, documents reaching T - L are probed in the L long lists by binary search, and those reaching the
    overlap are links. A task returns a spanning forest of its links and the number of links per document, never the pairs.
@@ -343,12 +344,13 @@ def _dealt(lists: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The tasks: pairs (low, high) of blocks, each with the classes of both: block, doc_id, d1, weight (copies)."""
     centres = (
         lists.groupBy("shingle")
-        .agg(F.min("node").alias("centre"), F.max("node").alias("last"))
+        .agg(F.min("node").alias("centre"), F.max("node").alias("last"), (-F.count("*")).alias("shortness"))
         .where("centre <> last")
-        .select("shingle", "centre")
+        .select("shingle", "shortness", "centre")
     )
     ties = written(lists.join(centres, "shingle"), "ties")
-    homes = written(ties.groupBy("node").agg(F.min("centre").alias("home")), "homes")
+    # By the longest list: the classes of a hot list are then in few homes, which all have to meet one another.
+    homes = written(ties.groupBy("node").agg(F.min(F.struct("shortness", "centre"))["centre"].alias("home")), "homes")
     at_home = classes.join(homes, F.col("d1") == F.col("node"))
     needs = F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n") / BLOCK_SHINGLES)
     large = at_home.groupBy("home").agg((needs > 1).alias("large"))
@@ -369,36 +371,37 @@ def _dealt(lists: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     )
 
     blocks = written(members.groupBy("home", "band", "block").agg(F.count("*").alias("m")), "blocks")
-    left, right = (
-        blocks.select(*(F.col(c).alias(f"{side}_{c}") for c in ("home", "band", "block", "m"))) for side in ("l", "r")
-    )
     # The sizes of partners are in the same band or in one beside it; band -1 is a small home as a whole.
     near = (F.col("l_band") < 0) | (F.col("r_band") < 0) | (F.abs(F.col("l_band") - F.col("r_band")) <= 1)
+    named = lambda df, side: df.select(*(F.col(c).alias(c if c == "shingle" else f"{side}_{c}") for c in df.columns))
+    left, right = named(blocks, "l"), named(blocks, "r")
     inside = left.join(right, F.col("l_home") == F.col("r_home")).where(
         near & ((F.col("l_block") < F.col("r_block")) | (F.col("l_block") == F.col("r_block")) & (F.col("l_m") > 1))
     )
-    spread = ties.join(homes, "node").groupBy("shingle", "home").agg(F.first("centre").alias("centre"))
+    # Blocks of two homes meet where they have a list in common, with those of their classes that stand in one; only
+    # blocks with a list longer than a block in common meet as a whole, so that no such list meets itself class by class.
+    held = ties.join(members.withColumn("node", F.col("d1")), "node").select(
+        "shingle", (F.col("shortness") < -BLOCK_DOCS).alias("long"), "home", "band", "block", "d1"
+    )
     several = (
-        spread.groupBy("shingle")
+        held.groupBy("shingle")
         .agg(F.min("home").alias("a"), F.max("home").alias("b"))
         .where("a <> b")
         .select("shingle")
     )
-    spread = written(spread.join(several, "shingle").select("shingle", "home"), "spread")
-    between = (
-        spread.withColumnRenamed("home", "l_home")
-        .join(spread.withColumnRenamed("home", "r_home"), "shingle")
-        .where("l_home < r_home")
-        .select("l_home", "r_home")
-        .distinct()
-    )
-    between = between.join(left, "l_home").join(right, "r_home").where(near)
+    held = written(held.join(several, "shingle"), "held")
+    spread = written(held.select("shingle", "long", "home", "band", "block").distinct(), "spread")
+    short, long = held.where(~F.col("long")), spread.where("long")
+    meets = lambda some, others: named(some, "l").join(named(others, "r"), "shingle").where((F.col("l_home") != F.col("r_home")) & near)
     low, high = F.least("l_block", "r_block").alias("low"), F.greatest("l_block", "r_block").alias("high")
+    some = meets(short, spread).select(low, high, F.col("l_block").alias("block"), F.col("l_d1").alias("d1"))
+    whole = meets(long, long).select(low, high, F.col("l_block").alias("block"))
     ends = F.array_distinct(F.array(*(F.struct(low, high, F.col(b).alias("block")) for b in ("l_block", "r_block"))))
-    tasks = (
-        inside.select(ends.alias("ends")).union(between.select(ends)).select(F.explode("ends").alias("e")).select("e.*")
-    )
-    return tasks.join(members.select("block", "doc_id", "d1", "weight"), "block")
+    whole = whole.distinct().union(inside.select(F.explode(ends).alias("e")).select("e.*"))
+    member = members.select("block", "doc_id", "d1", "weight")
+    all_of = whole.join(member, "block")
+    some_of = some.distinct().join(whole, ["low", "high", "block"], "left_anti").join(member, ["block", "d1"])
+    return all_of.unionByName(some_of)
 
 
 def jaccard_components(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:

@@ -155,3 +155,29 @@ def test_divide_skip_however_lists_are_divided(monkeypatch):
             monkeypatch.setattr(J, "MU", mu)
             assert {tuple(sorted((i, int(j)))) for i, js in J.divide_skip(sets, 70, side) for j in js} == expected
     assert expected
+
+
+def test_a_large_group_does_not_meet_small_homes_as_a_whole(spark, monkeypatch):
+    """120 near copies; 40 of them share one rare passage each with a small group of other texts."""
+    rng = random.Random(21)
+    words = lambda tag, n: [f"{tag}w{j}" for j in range(n)]
+    base, texts = words("base", 64), []
+    for i in range(120):
+        t = list(base)
+        t[rng.randrange(64)] = f"edit{i % 90}"
+        texts.append(t + (words(f"rare{i}", 8) if i < 40 else []))
+    for i in range(40):
+        body = words(f"body{i}", 24)
+        texts += [body + words(f"rare{i}", 8), *(body + [f"own{i}x{j}"] for j in range(3))]
+    rows = list(enumerate(map(" ".join, texts)))
+    kept, write = {}, J.written
+    monkeypatch.setattr(J, "written", lambda df, name, *more: kept.setdefault(name, write(df, name, *more)))
+    monkeypatch.setattr(J, "BLOCK_DOCS", 16)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert sorted(tuple(r) for r in J.jaccard_components(df, k=5, percent=80).collect()) == brute(rows, 5, 80)
+    home = {r.block: r.home for r in kept["blocks"].collect()}
+    dealt = kept["dealt"].collect()
+    assert len({home[r.low] for r in dealt}) > 20
+    # Two classes or a few for each passage, not the 120 of the group.
+    between = [r for r in dealt if home[r.low] != home[r.high]]
+    assert 0 < len(between) <= 400
