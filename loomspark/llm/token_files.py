@@ -37,8 +37,11 @@ PIECE = 1 << 20
 BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
 #: A word of letters and ASCII marks after them: the pattern cuts it between the two. (An apostrophe may bind letters.)
 _STEM = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+)([!-&(-/:-@\[-`{-~]+)")
-#: White space other than single spaces and line feeds between other characters: such texts are encoded whole.
-_ODD = re.compile(r"[^\S \n]|\s\s|\A\s|\s\Z")
+
+
+def _odd(word: str) -> bool:
+    """Whether a part between spaces is empty or holds white space other than one line feed before it."""
+    return word.split() != [word[1:] if word[:1] == "\n" else word]
 
 
 class WordEncoder:
@@ -46,8 +49,9 @@ class WordEncoder:
 
     Byte-level BPE splits a text with a pattern before it merges anything; no match of it reaches over the start of a
     single space, or over a single line feed, between two other characters. There texts may be cut, and each word (with
-    the space before it) is encoded once per worker. Texts with other white space or with an added token go whole, and
-    so do all texts of a tokenizer that isn't of this kind (`by_words`).
+    the space or the line feed before it) is encoded once per worker. Texts with other white space, which shows in the
+    words not met before, or with an added token go whole, and so do all texts of a tokenizer that isn't of this kind
+    (`by_words`).
     """
 
     kept: dict = {}
@@ -63,8 +67,8 @@ class WordEncoder:
         self.by_words = spec.get("normalizer") is None and all(
             cut.get(k) == v for k, v in BYTE_LEVEL.items()
         ) and spec["model"]["type"] == "BPE" and not spec["model"].get("ignore_merges")
-        self.heads: dict[str, bytes] = {"": b""}
-        self.bodies: dict[str, bytes] = {}
+        #: Ids by word: with the line feed before it, where one is, else with the space.
+        self.words: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
         self.feed = self._ids(["\n"])[0] if self.by_words else b""
         #: Ids that start with a space: no word holds one but at its own start.
@@ -83,47 +87,50 @@ class WordEncoder:
             for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         ]
 
-    def _learn(self, known: dict[str, bytes], words: list[str], before: str) -> None:
-        """Encode new words, many in one text, and cut the ids before each word."""
+    def _learn(self, words: list[str], before: str) -> None:
+        """Encode new words, many in one text, and cut the ids where each begins; `before` is put before each."""
         for at in range(0, len(words), 10_000):
             runs = [words[a : a + 200] for a in range(at, min(at + 10_000, len(words)), 200)]
             for run, raw in zip(runs, self._ids([before + before.join(r) for r in runs]), strict=True):
                 ids = np.frombuffer(raw, self.type)
-                cuts = np.flatnonzero(self.spaced[ids] if before == " " else ids == np.frombuffer(self.feed, self.type))
-                own = 0 if before == " " else 1
-                known.update(
-                    (w, ids[a + own : b].tobytes())
-                    for w, a, b in zip(run, cuts, np.append(cuts[1:], len(ids)), strict=True)
+                cuts = np.flatnonzero(self.spaced[ids] if before else ids == np.frombuffer(self.feed, self.type))
+                size = self.type.itemsize
+                self.words.update(
+                    (w, raw[a:b])
+                    for w, a, b in zip(run, (cuts * size).tolist(), [*(cuts[1:] * size).tolist(), len(raw)], strict=True)
                 )
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.heads) + len(self.bodies) > KEPT:
-            self.heads, self.bodies, self.marks = {"": b""}, {}, {}
-        heads, bodies, whole, cut = self.heads, self.bodies, {}, []
-        new_heads, new_bodies = set(), set()
-        for i, text in enumerate(texts):
-            if not self.by_words or _ODD.search(text) or any(a in text for a in self.added):
-                whole[i] = text
+        if len(self.words) > KEPT:
+            self.words, self.marks = {}, {}
+        cut: list[list[str] | None] = []
+        for text in texts:
+            if not self.by_words or any(a in text for a in self.added):
                 cut.append(None)
                 continue
-            lines = [line.split(" ") for line in text.split("\n")]
-            cut.append(lines)
-            new_heads.update(x[0] for x in lines if x[0] not in heads)
-            for x in lines:
-                new_bodies |= set(x[1:]).difference(bodies)
-        self._learn(heads, list(new_heads), "\n")
-        split = {w: m.groups() for w in new_bodies if (m := _STEM.fullmatch(w))}
-        self._learn(bodies, list({s for s, _ in split.values()}.difference(bodies) | (new_bodies - split.keys())), " ")
+            parts = text.replace("\n", " \n").split(" ")
+            parts[0] = "\n" + parts[0]
+            cut.append(parts)
+        words, new = self.words, set()
+        for parts in cut:
+            if parts:
+                new.update(parts)
+        new.difference_update(words)
+        if odd := {w for w in new if _odd(w)}:
+            cut = [parts if parts and odd.isdisjoint(parts) else None for parts in cut]
+            new = set().union(*filter(None, cut)).difference(words)
+        heads = {w for w in new if w[0] == "\n"}
+        new -= heads
+        split = {w: m.groups() for w in new if (m := _STEM.fullmatch(w))}
+        self._learn(list(heads), "")
+        self._learn(list({s for s, _ in split.values()}.difference(words) | (new - split.keys())), " ")
         if more := list({m for _, m in split.values()}.difference(self.marks)):
             self.marks.update(zip(more, self._ids(more), strict=True))
-        marked = {w: bodies[s] + self.marks[m] for w, (s, m) in split.items()}
-        body = lambda w: bodies.get(w) or marked[w]
-        encoded = dict(zip(whole, self._ids(list(whole.values())), strict=True))
-        return [
-            encoded[i]
-            if lines is None else self.feed.join([heads[x[0]] + b"".join(map(body, x[1:])) for x in lines])
-            for i, lines in enumerate(cut)
-        ]
+        words.update((w, words[s] + self.marks[m]) for w, (s, m) in split.items())
+        whole = iter(self._ids([t for t, parts in zip(texts, cut, strict=True) if not parts]))
+        ids, feed = words.__getitem__, len(self.feed)
+        # The first word has no line feed before it.
+        return [b"".join(map(ids, parts))[feed:] if parts else next(whole) for parts in cut]
 
 
 KEPT_BY_WORKER.append(WordEncoder.kept)
