@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 
 from loomspark.llm import token_files
 
@@ -42,3 +43,25 @@ def test_words_kept_are_bounded(monkeypatch):
         part = some[at : at + 100]
         got = [np.frombuffer(x, encoder.type).tolist() for x in encoder.encode(part)]
         assert got == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in part]
+
+
+class OnlyLookedUp(dict):
+    def __iter__(self):
+        raise AssertionError("a piece goes through all words kept")
+
+
+def test_a_piece_costs_no_walk_through_all_words_kept():
+    encoder = token_files.WordEncoder(PATH)
+    encoder.words = OnlyLookedUp()
+    for some in (["One word, (more) of them."], ["One other word.\nAnd more, then another!"], texts()):
+        got = [np.frombuffer(x, encoder.type).tolist() for x in encoder.encode(some)]
+        assert got == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+
+
+def test_arrow_texts_with_nulls_slices_and_only_whole_ones():
+    encoder = token_files.WordEncoder(PATH)
+    some = [None, "a  b", *texts()[:300], None, "Łódź, é!x ’tis 'tis (l'été)... don't? x\u200by", "", "a\u3000b"]
+    want = [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in some]
+    for a, b in ((0, len(some)), (0, 1), (0, 2), (1, 2), (2, 7), (150, 310), (0, 0)):
+        got = encoder.encode(pa.array(some, pa.string()).slice(a, b - a))
+        assert [np.frombuffer(x, encoder.type).tolist() for x in got] == want[a:b]
