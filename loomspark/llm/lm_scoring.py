@@ -7,8 +7,9 @@ one comes out too high about once in 2**K times, and counts are bounded by those
 Tasks count their own texts first and send packed counts to segments, by a hash of the bigram; each segment becomes a
 piece of the filter, with the exact counts of its words. While all segments together are no larger than a bound they are
 broadcast (through the shared folder, where each worker reads them once: nothing passes through the driver) and texts
-are scored in place; beyond it the probes of each text are sent to the segments, which answer them, and the answers
-come home to the text. Both ways probe the same filter and give the same scores.
+are scored in place; beyond it a task puts the probes of a run of its texts in the order of segments and reads all
+segments once for the run, one at a time, so that no probe is written anywhere. Both ways probe the same filter and give
+the same scores.
 
 The model: P(w | v) = (c(v w) + MU * P(w)) / (c(v) + MU), with P(w) = (c(w) + 1) / (N + V + 1) over N training tokens of
 V kinds. Each text is followed by one end and preceded by one beginning, which is no token.
@@ -38,8 +39,10 @@ BITS = K / np.log(2)
 MODEL_BYTES = 128 << 20
 #: Bytes of text for a segment, and tokens of a task before their counts are sent on.
 SEGMENT_BYTES, HELD = 16 << 20, 3_000_000
-#: Bytes of text that are scored at once, and rows of probes that go together.
-SLICE, ROWS = 1 << 20, 2000
+#: Bytes of text that are scored at once, probes of a segment that are answered at once.
+SLICE, PROBED = 1 << 20, 1 << 18
+#: Tokens that go through all segments together, and bytes of text that have about so many.
+RUN, RUN_BYTES = 8_000_000, 48 << 20
 
 _GRAM, _LEVEL, _STEP = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 _KEY, _FORTY, _HALF = np.uint64((1 << 40) - 1), np.uint64(40), np.uint64(32)
@@ -300,18 +303,39 @@ def _result(ids, held, n_tokens, n_known, totals: Totals, base, score) -> pa.Rec
     )
 
 
+def _before(c: np.ndarray, starts: np.ndarray, end: int) -> np.ndarray:
+    """Counts of the tokens before; a text's beginning counts as often as its end, which every text has."""
+    before = np.empty_like(c)
+    before[1:] = c[:-1]
+    before[starts] = end
+    return before
+
+
+def _scored(ids, held, at: int, row, starts, c, end: int, q, totals: Totals) -> pa.RecordBatch:
+    """Scores of a slice of texts, of which the first is row `at` of the columns, from the counts and levels of its tokens."""
+    rows = len(starts)
+    return _result(
+        ids.slice(at, rows), held.slice(at, rows), np.bincount(row, minlength=rows), np.bincount(row, c > 0, rows).astype(np.int64),
+        totals, np.bincount(row, np.log10(totals.word(c)), rows),
+        np.bincount(row, np.log10(totals.bigram(q, _before(c, starts, end), c)), rows),
+    )
+
+
 #: The model that a worker holds, by its files.
 _MODELS: dict[tuple, Segments] = {}
 KEPT_BY_WORKER.append(_MODELS)
 
 
+def _rows_of(name: str) -> list[dict]:
+    """The segments of a file."""
+    with open_shared(name) as f:
+        return pq.read_table(f, columns=["segment", "n_bits", "bits", "words", "word_n"]).to_pylist()
+
+
 def _model(files: tuple[str, ...], n: int) -> Segments:
     if files not in _MODELS:
         clear_kept()
-        rows: list[dict] = []
-        for name in files:
-            with open_shared(name) as f:
-                rows += pq.read_table(f, columns=["segment", "n_bits", "bits", "words", "word_n"]).to_pylist()
+        rows = [r for name in files for r in _rows_of(name)]
         _MODELS[files] = Segments(rows, n)
         del rows
         give_back()
@@ -326,156 +350,74 @@ def _score(files: tuple[str, ...], n: int, totals: Totals):
         for batch in batches:
             for at, raw, offsets in text_slices(batch.column(2), SLICE):
                 token, row, starts = token_arrays(raw, offsets)
-                rows = len(starts)
                 kinds, where = np.unique(token, return_inverse=True)
-                c = model.counts(kinds)[where]
-                before = np.empty_like(c)
-                before[1:] = c[:-1]
-                before[starts] = model.counts(np.array([END]))[0]
+                c, end = model.counts(kinds)[where], model.counts(np.array([END]))[0]
+                before = _before(c, starts, end)
                 q = np.zeros(len(token), np.int64)
                 known = np.flatnonzero((c > 0) & (before > 0))
                 q[known] = model.levels(bigrams(token, starts)[known])
-                yield _result(
-                    batch.column(0).slice(at, rows), batch.column(1).slice(at, rows), np.bincount(row, minlength=rows),
-                    np.bincount(row, c > 0, rows).astype(np.int64), totals,
-                    np.bincount(row, np.log10(totals.word(c)), rows),
-                    np.bincount(row, np.log10(totals.bigram(q, before, c)), rows),
-                )
+                yield _scored(batch.column(0), batch.column(1), at, row, starts, c, end, q, totals)
         give_back()
 
     return run
 
 
-PROBES = (
-    "doc bigint, kind int, segment int, doc_id bigint, held_out boolean, words binary, grams binary, word_times binary,"
-    " gram_times binary, first binary, second binary"
-)
-
-
-def _ask(n: int):
-    """Per text one row (kind 0) that says how its tokens and bigrams lie, and for each segment one (kind 1) with the
-    distinct hashes that it is asked for; both in the order of segments."""
-    names = [x.split()[0] for x in PROBES.split(",")]
-    schema = pa.schema(
-        [("doc", pa.int64()), ("kind", pa.int32()), ("segment", pa.int32()), ("doc_id", pa.int64()), ("held_out", pa.bool_())]
-        + [(x, pa.binary()) for x in names[5:]]
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[dict] = []
-        for batch in batches:
-            for i in range(len(batch)):
-                doc, doc_id, held = (batch.column(j)[i].as_py() for j in range(3))
-                text = (batch.column(3)[i].as_py() or "").encode()
-                token, _, starts = token_arrays(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
-                w, where, wn = np.unique(token, return_inverse=True, return_counts=True)
-                g, at, gn = np.unique(bigrams(token, starts), return_index=True, return_counts=True)
-                (wo, wb), (go, gb) = _by_segment(w, n), _by_segment(g, n)
-                rank = np.empty(len(w), np.int64)
-                rank[wo] = np.arange(len(w))
-                second = rank[where][at]
-                # The text's beginning counts as often as its end, which every text has.
-                first = np.where(at > 0, rank[where][np.maximum(at, 1) - 1], rank[np.searchsorted(w, END)])
-                w, g = w[wo], g[go]
-                asked = [s for s in range(n) if wb[s] < wb[s + 1] or gb[s] < gb[s + 1]]
-                rows += [
-                    {"doc": doc, "kind": 0, "segment": -1, "doc_id": doc_id, "held_out": held,
-                     "word_times": wn[wo].astype("<i4").tobytes(), "gram_times": gn[go].astype("<i4").tobytes(),
-                     "first": first[go].astype("<i4").tobytes(), "second": second[go].astype("<i4").tobytes()}
-                ] + [
-                    {"doc": doc, "kind": 1, "segment": s, "words": w[wb[s] : wb[s + 1]].tobytes(),
-                     "grams": g[gb[s] : gb[s + 1]].tobytes()}
-                    for s in asked
-                ]
-                if len(rows) >= ROWS:
-                    yield pa.RecordBatch.from_pylist(rows, schema)
-                    rows = []
-        if rows:
-            yield pa.RecordBatch.from_pylist(rows, schema)
-
-    return run
-
-
-ANSWERS = "doc bigint, segment int, word_n binary, levels binary"
-
-
-def _answer(n: int):
-    """Answers of segments; each segment's own row comes before what it is asked. Rows that follow each other are probed
-    together."""
-
-    def answers(model: Segments, rows: list[dict]) -> pa.RecordBatch:
-        def split(found: np.ndarray, name: str, kind: str) -> pa.Array:
-            cuts = np.cumsum([len(r[name]) // 8 for r in rows])[:-1]
-            return pa.array([x.tobytes() for x in np.split(found.astype(kind), cuts)], pa.binary())
-
-        asked = {k: np.frombuffer(b"".join(r[k] for r in rows), "<u8") for k in ("words", "grams")}
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([r["doc"] for r in rows], pa.int64()), pa.array([r["segment"] for r in rows], pa.int32()),
-                split(model.counts(asked["words"]), "words", "<i8"), split(model.levels(asked["grams"]), "grams", "<u1"),
-            ],
-            ["doc", "segment", "word_n", "levels"],
-        )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, model, rows = None, Segments([], n), []
-        for batch in batches:
-            for r in batch.to_pylist():
-                if rows and (r["segment"] != now or len(rows) == ROWS):
-                    yield answers(model, rows)
-                    rows = []
-                if r["doc"] is None:
-                    now, model = r["segment"], Segments([r], n)
-                    continue
-                if r["segment"] != now:
-                    now, model = r["segment"], Segments([], n)
-                rows.append(r)
-            if rows:
-                yield answers(model, rows)
-                rows = []
-
-    return run
-
-
-def _finish(totals: Totals):
-    """Scores from a text's own row and the answers that follow it in the order of segments."""
+def _score_by_segments(files: tuple[str, ...], n: int, totals: Totals, most: int):
+    """Scores of texts by a model that no worker holds: the hashes of a run of texts are put in the order of segments, and
+    the segments' files are gone through once for it. Nothing of it is written. A run ends with the text that makes it `most` tokens."""
+
+    def scores(held: list[list]) -> Iterator[pa.RecordBatch]:
+        cuts = np.cumsum([0, *(len(x[2]) for x in held)])
+        token = np.concatenate([x.pop(2) for x in held])
+        h = np.concatenate([x.pop() for x in held])
+        kinds, where = np.unique(token, return_inverse=True)
+        where, end = where.astype(np.int32), np.searchsorted(kinds, END)
+        del token
+        segment = segment_of(h, n).astype(np.uint32)
+        order = np.argsort(segment, kind="stable").astype(np.int32)
+        bounds = np.searchsorted(segment[order], np.arange(n + 1))
+        del segment
+        h = h[order]
+        word_order, word_bounds = _by_segment(kinds, n)
+        kinds = kinds[word_order]
+        q, c = np.zeros(len(h), np.uint8), np.zeros(len(kinds), np.int64)
+        for name in files:
+            for r in _rows_of(name):
+                s, one = r["segment"], Segments([r], n)
+                at, to = bounds[s], bounds[s + 1]
+                for i in range(at, to, PROBED):
+                    q[i : min(i + PROBED, to)] = one.levels(h[i : min(i + PROBED, to)])
+                c[word_bounds[s] : word_bounds[s + 1]] = one.counts(kinds[word_bounds[s] : word_bounds[s + 1]])
+        del h
+        levels, counts = np.empty_like(q), np.empty_like(c)
+        levels[order], counts[word_order] = q, c
+        del q, c, order
+        for (ids, out, starts), at, to in zip(held, cuts[:-1], cuts[1:], strict=True):
+            row = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, to - at)))
+            yield _scored(ids, out, 0, row, starts, counts[where[at:to]], counts[end], levels[at:to].astype(np.int64), totals)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, answers, done = None, [], []
-        read = lambda x, kind="<i4": np.frombuffer(x, kind).astype(np.int64)
-
-        def row() -> tuple:
-            c, q = read(b"".join(a["word_n"] for a in answers), "<i8"), read(b"".join(a["levels"] for a in answers), "<u1")
-            times, gram_times = read(own["word_times"]), read(own["gram_times"])
-            p = totals.bigram(q, c[read(own["first"])], c[read(own["second"])])
-            return (
-                own["doc_id"], own["held_out"], int(times.sum()), int(times[c > 0].sum()),
-                float(times @ np.log10(totals.word(c))), float(gram_times @ np.log10(p)),
-            )
-
-        def rows() -> pa.RecordBatch:
-            ids, held, n_tokens, n_known, base, score = zip(*done, strict=True)
-            done.clear()
-            return _result(pa.array(ids, pa.int64()), pa.array(held, pa.bool_()), n_tokens, n_known, totals, base, score)
-
+        clear_kept()
+        held: list[list] = []
+        tokens = 0
         for batch in batches:
-            for r in batch.to_pylist():
-                if r["segment"] >= 0:
-                    answers.append(r)
-                    continue
-                if own is not None:
-                    done.append(row())
-                own, answers = r, []
-            if done:
-                yield rows()
-        if own is not None:
-            done.append(row())
-            yield rows()
+            for at, raw, offsets in text_slices(batch.column(2), SLICE):
+                token, _, starts = token_arrays(raw, offsets)
+                own = pa.array(np.arange(at, at + len(starts)))  # copies, so that the batch with its texts can go
+                held.append([batch.column(0).take(own), batch.column(1).take(own), token, starts, bigrams(token, starts)])
+                tokens += len(token)
+                if tokens >= most:
+                    yield from scores(held)
+                    held, tokens = [], 0
+                    give_back()
+        if held:
+            yield from scores(held)
+        give_back()
 
     return run
 
 
-def lm_scores(documents: DataFrame, model_bytes: int = MODEL_BYTES) -> DataFrame:
+def lm_scores(documents: DataFrame, model_bytes: int = MODEL_BYTES, run: int = RUN) -> DataFrame:
     """RESULT for every row of `documents` (doc_id, text; other columns are ignored), learned from the rows whose
     crc32(doc_id as text) mod 7 is not 2, those without an id among them.
 
@@ -495,22 +437,9 @@ def lm_scores(documents: DataFrame, model_bytes: int = MODEL_BYTES) -> DataFrame
     totals = Totals(whole[0] or 0, whole[1] or 0)
     if n_bytes(segments) <= model_bytes:
         return docs.mapInArrow(_score(tuple(sorted(segments.inputFiles())), n, totals), RESULT)
-    asked = docs.select(F.monotonically_increasing_id().alias("doc"), "doc_id", "held_out", "text")
-    asked = written(asked.mapInArrow(_ask(n), PROBES), "probes")
-    own = segments.select(F.lit(None).cast("bigint").alias("doc"), "segment", "n_bits", "bits", "words", "word_n")
-    answers = (
-        own.unionByName(asked.where("kind = 1").select("doc", "segment", "words", "grams"), allowMissingColumns=True)
-        .repartition(n, "segment")
-        .sortWithinPartitions(F.col("segment"), F.col("doc").asc_nulls_first())
-        .mapInArrow(_answer(n), ANSWERS)
-    )
-    laid = asked.where("kind = 0").select("doc", "segment", "doc_id", "held_out", "word_times", "gram_times", "first", "second")
-    return (
-        laid.unionByName(answers, allowMissingColumns=True)
-        .repartition(n, "doc")
-        .sortWithinPartitions("doc", "segment")
-        .mapInArrow(_finish(totals), RESULT)
-    )
+    # Each run of texts reads all segments, so tasks are made as large as a run.
+    runs = docs.coalesce(max(3 * spark.sparkContext.defaultParallelism, -(-size // RUN_BYTES)))
+    return runs.mapInArrow(_score_by_segments(tuple(sorted(segments.inputFiles())), n, totals, run), RESULT)
 
 
 def op13_lm_scores(spark, sf_dir: str) -> DataFrame:
