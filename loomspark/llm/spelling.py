@@ -6,6 +6,9 @@ positional grams of the length of such a chunk. One edit leaves one of the two h
 most: so the two meet in a join on (which half, length of the shorter word, gram) within a shift of one, and the edit
 distance is verified inside the join, which returns near pairs only. Words are counted in tasks before they are
 shuffled; a frequent word is one row from then on.
+
+All joins here are asked for as sorted ones: their sides grow with the words, and Spark takes the size of the words' small
+files, which the halves and grams exceed a hundred times, for that of the side and would build it in the driver.
 """
 
 from __future__ import annotations
@@ -113,7 +116,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
         & ((F.length("b.word") > F.col("a.size")) | (F.col("a.word") < F.col("b.word")))
         & (F.levenshtein(F.col("a.word"), F.col("b.word"), 1) == 1)
     )
-    pairs = a.join(b, meet).select(
+    pairs = a.join(b.hint("merge"), meet).select(
         F.col("a.word").alias("word"), F.col("a.n").alias("n"), F.col("b.word").alias("near"), F.col("b.n").alias("near_n")
     )
     pairs = pairs.distinct()
@@ -131,7 +134,7 @@ def roots(forms: DataFrame) -> DataFrame:
     while True:
         on = now.select(F.col("word").alias("root"), F.col("root").alias("next"))
         now = written(
-            now.join(on, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")),
+            now.join(on.hint("merge"), "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")),
             "roots",
         )
         if not now.where("moved").head(1):
@@ -152,14 +155,14 @@ def spelling_variants(words: DataFrame) -> DataFrame:
     form_n = -F.col("best.m")
     is_form = form_n >= TIMES * F.col("n")
     found = written(
-        words.join(near, "word", "left").select(
+        words.join(near.hint("merge"), "word", "left").select(
             "word", F.when(is_form, F.col("best.near")).alias("form"), "n",
             F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"), F.when(is_form, form_n).alias("form_n"),
         ),
         "forms",
     )
     return (
-        found.join(roots(found.where("form is not null")), "word", "left")
+        found.join(roots(found.where("form is not null")).hint("merge"), "word", "left")
         .select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
     )
 
