@@ -1,7 +1,7 @@
 """Clustered tables: slices of blocks of about equal rows, a manifest of their bounds, and filters inside the files.
 
 Blocks are counted first, and a slice is a run of blocks between two multiples of a number of rows, so that hot times
-make more slices, not larger files; a slice that is larger still, by one hot block, is dealt to several files. The manifest
+make more slices, not larger files; a slice that is larger still, by one hot block, goes to several files. The manifest
 (slice, first and last block, rows) turns a range of blocks into a range of slice folders. Within its files a slice is
 ordered by what selections look for (a log's address and first topic), so that row groups drop out by their bounds; the
 other columns have Parquet bloom filters.
@@ -18,6 +18,8 @@ from loomspark.schema import BLOCK_COLUMN, SCHEMAS
 
 #: Rows of a slice, and of a file.
 ROWS = 4_000_000
+#: Up to so many blocks, their slices are broadcast to the rows.
+BLOCKS = 500_000
 #: What each table is ordered by within its files, before its block, and the columns with a bloom filter.
 CLUSTER = {"blocks": [], "transactions": ["from"], "logs": ["address", "topic0"], "traces": ["to"]}
 BLOOM = {
@@ -50,11 +52,15 @@ def store_clustered(tables: dict, path: str, rows: int = ROWS, **options: str) -
         by_block = spark.read.parquet(f"{path}/{table}.blocks")
         manifest = by_block.groupBy("slice").agg(F.min("number").alias("first_block"), F.max("number").alias("last_block"), F.sum("n").alias("n_rows"))
         manifest.coalesce(1).write.mode("overwrite").parquet(f"{path}/{table}.manifest")
-        sized = by_block.join(manifest.select("slice", "n_rows"), "slice").select("number", "slice", F.ceil(F.col("n_rows") / rows).alias("files"))
-        where = df.join(sized.withColumnRenamed("number", number), number).withColumn("file", F.pmod(F.xxhash64(*CLUSTER[table], number), "files"))
-        out = where.repartition("slice", "file").sortWithinPartitions("slice", *CLUSTER[table], number).select(*df.columns, "slice")
-        bloom = {f"parquet.bloom.filter.enabled#{c}": "true" for c in BLOOM[table]}
-        out.write.mode("overwrite").options(**bloom, **options).option("maxRecordsPerFile", 2 * rows).partitionBy("slice").parquet(f"{path}/{table}")
+        of_block = by_block.select(F.col("number").alias(number), "slice")
+        of_block = F.broadcast(of_block) if by_block.count() <= BLOCKS else of_block
+        # Rows that are dealt by ranges of blocks already, as the order asks for, are not shuffled; others split hot blocks too.
+        ordered = df.orderBy(number, *CLUSTER[table]).join(of_block, number).select(*df.columns, "slice")
+        # Without a number of values each filter would take a megabyte, however few rows a file has.
+        bloom = {f"parquet.bloom.filter.{k}#{c}": v for c in BLOOM[table] for k, v in (("enabled", "true"), ("expected.ndv", str(rows)))}
+        ordered.sortWithinPartitions("slice", *CLUSTER[table], number).write.mode("overwrite").options(**bloom, **options).option(
+            "maxRecordsPerFile", 2 * rows
+        ).partitionBy("slice").parquet(f"{path}/{table}")
 
 
 def manifest(spark: SparkSession, path: str, table: str) -> DataFrame:
